@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import version_key
-from tidemark.operators.latest import latest_per_key
+from tidemark.operators.latest import latest_per_key, tie_order
 from tidemark.operators.skew import SkewPolicy, hot_keys
 
 SCD_COLUMNS = ["scd_id", "valid_from", "valid_to", "scd_updated_at"]
@@ -54,20 +54,32 @@ def build_history(
 ) -> DataFrame:
     """Full history from a complete feed of changes: one version per change time."""
     dated = changes.filter(F.col(updated_at).isNotNull())
-    versions = latest_per_key(dated, [*keys, updated_at], updated_at, ties)
-    return with_scd_columns(versions, keys, updated_at, policy)
+    policy = policy or SkewPolicy.of(changes.sparkSession)
+    if policy.applies(changes):
+        versions = latest_per_key(dated, [*keys, updated_at], updated_at, ties)
+        return with_scd_columns(versions, keys, updated_at, policy)
+    # One window both thins and chains: the last row of a change time is the one
+    # whose next row is later, and that next row's time is where it ends.
+    order = [F.col(updated_at).asc(), *tie_order(dated, {*keys, updated_at}, ties)]
+    window = Window.partitionBy(*keys).orderBy(*order)
+    following = dated.withColumn("valid_to", F.lead(updated_at).over(window)).filter(
+        F.col("valid_to").isNull() | (F.col("valid_to") > F.col(updated_at))
+    )
+    return following.withColumns(_scd(keys, updated_at)).select(*changes.columns, *SCD_COLUMNS)
+
+
+def _scd(keys: list[str], updated_at: str) -> dict[str, Column]:
+    return {
+        "scd_id": version_key(keys, updated_at),
+        "valid_from": F.col(updated_at),
+        "scd_updated_at": F.col(updated_at),
+    }
 
 
 def with_scd_columns(
     versions: DataFrame, keys: list[str], updated_at: str, policy: SkewPolicy | None = None
 ) -> DataFrame:
-    named = versions.withColumns(
-        {
-            "scd_id": version_key(keys, updated_at),
-            "valid_from": F.col(updated_at),
-            "scd_updated_at": F.col(updated_at),
-        }
-    )
+    named = versions.withColumns(_scd(keys, updated_at))
     chained = chain_versions(named, keys, "valid_from", "valid_to", policy)
     return chained.select(*versions.columns, *SCD_COLUMNS)
 

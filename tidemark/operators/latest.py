@@ -9,10 +9,17 @@ from pyspark.sql import types as T
 _UNORDERED = (T.MapType, T.VariantType)
 
 
-def _tie_breakers(df: DataFrame, used: set[str]) -> list[str]:
+def _tie_breakers(df: DataFrame, used: set[str], ties: list[str] | None) -> list[str]:
+    if ties is not None:
+        return ties
     return [f.name for f in df.schema if f.name not in used and not isinstance(f.dataType, _UNORDERED)]
 
 
+def tie_order(df: DataFrame, used: set[str], ties: list[str] | None) -> list[Column]:
+    """Ascending order in which the row that wins a tie comes last."""
+    return [F.col(c).asc_nulls_first() for c in _tie_breakers(df, used, ties)]
+
+
 def latest_per_key(
     df: DataFrame, keys: list[str], updated_at: str, ties: list[str] | None = None
 ) -> DataFrame:
@@ -24,7 +31,7 @@ def latest_per_key(
     the shuffle: each task passes on one row per key, so a hot key does not
     collect its rows in one place.
     """
-    ties = _tie_breakers(df, {*keys, updated_at}) if ties is None else ties
+    ties = _tie_breakers(df, {*keys, updated_at}, ties)
     order: list[Column] = [F.col(c).desc_nulls_last() for c in [updated_at, *ties]]
     return _first_by(df, keys, order)
 

@@ -30,13 +30,16 @@ def prorate_lines(
     if changed is not None:
         lines = all_rows_of_changed(lines, changed, ["transaction_id"])
         headers = rows_of(headers, changed, ["transaction_id"])
+    # One aggregate by both ids, so that the two sides read the discounts the same way
+    # and share its shuffle. A discount has one of the two.
+    totals = total_by(discounts, ["transaction_line_id", "transaction_id"], "discount_amount", "_discount")
     by_line = total_by(
-        discounts.filter(F.col("transaction_line_id").isNotNull()),
-        ["transaction_line_id"], "discount_amount", "_line_discount",
+        totals.filter(F.col("transaction_line_id").isNotNull()),
+        ["transaction_line_id"], "_discount", "_line_discount",
     )
     by_order = total_by(
-        discounts.filter(F.col("transaction_id").isNotNull()),
-        ["transaction_id"], "discount_amount", "_header_discount",
+        totals.filter(F.col("transaction_id").isNotNull()),
+        ["transaction_id"], "_discount", "_header_discount",
     )
     netted = (
         lines.select("transaction_line_id", "transaction_id", "line_number", "product_id", "quantity",
@@ -156,16 +159,20 @@ def payments(staged: DataFrame, payment_types: DataFrame) -> DataFrame:
     )
 
 
-def discount_keys(discounts: DataFrame, lines: DataFrame, headers: DataFrame) -> DataFrame:
-    """Product and customer of each discount: through its line, else through its header."""
-    lines = rows_of(
-        lines.select("transaction_line_id", F.col("transaction_id").alias("_line_order"), "product_id"),
-        discounts, ["transaction_line_id"],
-    )
-    headers = rows_of_either(
-        headers.select("transaction_id", "customer_id"), "transaction_id",
-        discounts.select("transaction_id"), lines.select("_line_order"),
-    )
+def discount_keys(
+    discounts: DataFrame, lines: DataFrame, headers: DataFrame, reduce: bool = True
+) -> DataFrame:
+    """Product and customer of each discount: through its line, else through its header.
+
+    `reduce` first keeps the lines and headers that the discounts name. That pays
+    off for a batch, whose keys are few enough to broadcast, not for a full run.
+    """
+    lines = lines.select("transaction_line_id", F.col("transaction_id").alias("_line_order"), "product_id")
+    headers = headers.select("transaction_id", "customer_id")
+    if reduce:
+        lines = rows_of(lines, discounts, ["transaction_line_id"])
+        headers = rows_of_either(
+            headers, "transaction_id", discounts.select("transaction_id"), lines.select("_line_order"))
     with_line = skew_join(discounts, lines, ["transaction_line_id"])
     # A discount names its line or its order, never both: one lookup serves the two paths.
     order = F.coalesce("_line_order", "transaction_id")
@@ -174,10 +181,11 @@ def discount_keys(discounts: DataFrame, lines: DataFrame, headers: DataFrame) ->
 
 
 def discounts(
-    staged: DataFrame, lines: DataFrame, headers: DataFrame, dims: dict[str, DataFrame]
+    staged: DataFrame, lines: DataFrame, headers: DataFrame, dims: dict[str, DataFrame], batch: bool = False
 ) -> DataFrame:
+    """`batch`: the discounts are a small part of all."""
     keyed = pit_keys(
-        discount_keys(staged, lines, headers),
+        discount_keys(staged, lines, headers, reduce=batch),
         [
             {"versions": dims["promotions"], "on": [("promotion_id", "promotion_id")], "sk": "promotion_sk"},
             {"versions": dims["customers"], "on": [("customer_id", "customer_id")], "sk": "customer_sk"},

@@ -161,6 +161,8 @@ CTES: dict[str, str] = {
 
 def _with(select: str) -> str:
     """Prefix a select with the expressions it names, directly or not."""
+    if select.lstrip().startswith("WITH"):
+        return select
     needed: list[str] = []
 
     def visit(text: str) -> None:
@@ -416,6 +418,16 @@ SELECTS: dict[str, str] = {
               * list_extract({list(ISO_WEEK_WEIGHTS)}, least(weekofyear(o_orderdate), {len(ISO_WEEK_WEIGHTS)}))::DOUBLE,
               6) AS factor
         FROM orders GROUP BY o_orderdate""",
+    "daily_growth": """
+        WITH RECURSIVE seen AS (
+            SELECT o_custkey, date_diff('day', min(o_orderdate), max(o_orderdate))::INTEGER AS days
+            FROM orders GROUP BY o_custkey),
+        grown(day, base) AS (
+            SELECT 0, 2000::BIGINT
+            UNION ALL
+            SELECT day + 1, round_even(base::DOUBLE * 1.002::DOUBLE, 0)::BIGINT FROM grown
+            WHERE day < (SELECT max(days) FROM seen))
+        SELECT o_custkey, days, base FROM seen JOIN grown ON day = days""",
     "normalise_list_dimension": f"""SELECT word_id, word, h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-'
         || ('89ab')[1 + (('0x' || h[17])::INTEGER % 4)] || h[18:20] || '-' || h[21:32] AS word_uuid
         FROM (SELECT *, sha1(unhex('{NAMESPACE.hex}') || encode(word_id::VARCHAR)) AS h FROM word_ids)""",

@@ -278,7 +278,7 @@ def pit_customer_key(s: Standins) -> DataFrame:
     lines = s.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
     orders = s.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     owned = lines.join(orders, "l_orderkey", "left")
-    keyed = pit_join(owned, s.dims["customers"], [("o_custkey", "customer_id")], "l_shipdate",
+    keyed = pit_join(owned, s.dims("customers")["customers"], [("o_custkey", "customer_id")], "l_shipdate",
                      {"customer_sk": "customer_sk"})
     return keyed.withColumn("customer_sk", or_unknown("customer_sk"))
 
@@ -307,14 +307,14 @@ def soft_delete_filter(s: Standins) -> DataFrame:
 
 @query
 def bridge_part_supplier(s: Standins) -> DataFrame:
-    dims = s.dims
+    dims = s.dims("products", "suppliers")
     return facts.version_bridge(
         s.supplier_bridge, dims["products"], dims["suppliers"], "product", "supplier", "product_supplier_sk")
 
 
 @query
 def bridge_part_supplier_by_start(s: Standins) -> DataFrame:
-    dims = s.dims
+    dims = s.dims("products", "suppliers")
     return facts.version_bridge(
         s.supplier_bridge, dims["products"], dims["suppliers"], "product", "supplier",
         "product_supplier_sk", by_start=True)
@@ -448,17 +448,17 @@ def proration_balance(s: Standins) -> DataFrame:
 
 @query
 def sales_fact(s: Standins) -> DataFrame:
-    return facts.sales(s.prorated, s.dims)
+    return facts.sales(s.prorated, s.dims("customers", "products", "channels"))
 
 
 @query
 def returns_fact(s: Standins) -> DataFrame:
-    return facts.returns(s.prorated, s.dims)
+    return facts.returns(s.prorated, s.dims("customers", "products", "channels"))
 
 
 @query
 def transactions_fact(s: Standins) -> DataFrame:
-    return facts.transactions(s.prorated, s.dims)
+    return facts.transactions(s.prorated, s.dims("customers", "channels"))
 
 
 @query
@@ -472,12 +472,12 @@ def union_signed(s: Standins) -> DataFrame:
 
 @query
 def payments_fact(s: Standins) -> DataFrame:
-    return facts.payments(s.payments, s.dims["payment_types"])
+    return facts.payments(s.payments, s.dims("payment_types")["payment_types"])
 
 
 @query
 def discounts_fact(s: Standins) -> DataFrame:
-    return facts.discounts(s.discounts, s.lines, s.headers, s.dims)
+    return facts.discounts(s.discounts, s.lines, s.headers, s.dims("promotions", "customers", "products"))
 
 
 @query
@@ -596,7 +596,7 @@ def audit_marts(s: Standins) -> DataFrame:
     """The full audit of the sales fact against its dimensions; '-1' keys are orphans."""
     from tidemark.plans.audits import MART_AUDITS
 
-    dims = s.dims
+    dims = s.dims("customers", "products", "channels")
     parents = {f"dim_{name}_history": dims[name] for name in ("customers", "products", "channels")}
     return audit.audit_table(facts.sales(s.prorated, dims), MART_AUDITS["fct_sales"], parents)
 
@@ -724,6 +724,6 @@ def stream_enrich(s: Standins) -> DataFrame:
     out = fresh_folder(spark, "enriched")
     stream = streams.new_files(spark, _feed(s, orders, "feed"), orders.schema)
     enriched = streams.enrich_stream(
-        stream, s.dims["customers"], [("o_custkey", "customer_id")], "o_orderdate", {"customer_sk": "customer_sk"})
+        stream, s.dims("customers")["customers"], [("o_custkey", "customer_id")], "o_orderdate", {"customer_sk": "customer_sk"})
     streams.append_stream(enriched, out, fresh_folder(spark, "state"))
     return spark.read.parquet(out)

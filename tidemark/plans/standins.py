@@ -6,7 +6,7 @@ return if its flag says so. Repeated line numbers are re-deliveries of a line.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +32,13 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
 class Standins:
     spark: SparkSession
     folder: str
+    _read: dict[str, DataFrame] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
-        return load(self.spark, self.folder, name)
+        """A supplied table; its files are looked at once."""
+        if name not in self._read:
+            self._read[name] = load(self.spark, self.folder, name)
+        return self._read[name]
 
     @property
     def raw_lines(self) -> DataFrame:
@@ -175,17 +179,21 @@ class Standins:
             F.col("valid_from").alias("valid_from_ts"), F.col("valid_to").alias("valid_to_ts"),
         )
 
-    @property
-    def dims(self) -> dict[str, DataFrame]:
-        return {
-            "customers": self.history(self.customer_changes, "customer", ["order_id"]),
-            "products": self.history(self.product_changes, "product"),
-            "channels": self.history(self.channel_changes, "channel"),
-            "promotions": self.history(self.promotion_changes, "promotion"),
-            "payment_types": self.history(self.payment_type_changes, "payment_type"),
-            "suppliers": self.history(self.supplier_changes, "supplier"),
-            "date": self.dates,
+    def dims(self, *names: str) -> dict[str, DataFrame]:
+        """Histories of the named entities, and the date dimension."""
+        feeds = {
+            "customers": ("customer", "customer_changes", ["order_id"]),
+            "products": ("product", "product_changes", None),
+            "channels": ("channel", "channel_changes", None),
+            "promotions": ("promotion", "promotion_changes", None),
+            "payment_types": ("payment_type", "payment_type_changes", None),
+            "suppliers": ("supplier", "supplier_changes", None),
         }
+        built = {}
+        for name in names:
+            singular, feed, ties = feeds[name]
+            built[name] = self.history(getattr(self, feed), singular, ties)
+        return {**built, "date": self.dates}
 
     @property
     def days(self) -> DataFrame:

@@ -211,10 +211,10 @@ class Warehouse:
         paid = changed(self.staged("transaction_payments"), "fct_payments", "modified_at", "source_updated_at")
         upsert(facts.payments(paid, dims["payment_types"]), f"{database}.fct_payments", FACTS["fct_payments"])
         off = changed(self.staged("transaction_discounts"), "fct_discounts", "modified_at", "source_modified_at")
-        upsert(
-            facts.discounts(off, self.staged("transaction_lines"), self.staged("transaction_headers"), dims),
-            f"{database}.fct_discounts", FACTS["fct_discounts"],
-        )
+        batch = table_exists(self.spark, f"{database}.fct_discounts")
+        lines, headers = self.staged("transaction_lines"), self.staged("transaction_headers")
+        upsert(facts.discounts(off, lines, headers, dims, batch), f"{database}.fct_discounts",
+               FACTS["fct_discounts"])
 
     def _build_bridges(self, window: RunWindow, database: str, dims: dict[str, DataFrame]) -> None:
         for bridge in BRIDGES:
