@@ -6,9 +6,11 @@ import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.audit import AuditFailed, TableAudit, audit_table
-from tidemark.sources.tables import LOG, TableSpec, clone_table, read_table
+from tidemark.session import in_parallel
+from tidemark.sources.tables import TableSpec, clone_table, read_table, table_properties
 
 STATUS = "deployment_status"
 
@@ -64,15 +66,14 @@ def clear_database(spark: SparkSession, database: str) -> list[str]:
 
 
 def is_incremental(spark: SparkSession, table: str) -> bool:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").filter("key = 'materialization'").collect()
-    return bool(rows) and rows[0].value == "incremental"
+    return table_properties(spark, table).get("materialization") == "incremental"
 
 
 def clone_incremental(spark: SparkSession, roles: Roles, specs: dict[str, TableSpec]) -> list[str]:
     """Give the audit side the incremental tables of the live side, without copying data."""
     cloned = []
     for name in table_names(spark, roles.live):
-        if name != LOG and name in specs and is_incremental(spark, f"{roles.live}.{name}"):
+        if name in specs and is_incremental(spark, f"{roles.live}.{name}"):
             clone_table(spark, f"{roles.live}.{name}", f"{roles.audit}.{name}", specs[name])
             cloned.append(name)
     return cloned
@@ -88,7 +89,7 @@ def audit_report(
 ) -> dict[str, DataFrame]:
     """A report per table of the database that has an audit."""
     names = set(table_names(spark, database))
-    frames = {name: read_table(spark, f"{database}.{name}") for name in names if name != LOG}
+    frames = {name: read_table(spark, f"{database}.{name}") for name in names}
     return {
         name: audit_table(frames[name], audit, frames, allow_unknown)
         for name, audit in audits.items() if name in frames
@@ -99,10 +100,14 @@ def require_audit(
     spark: SparkSession, database: str, audits: dict[str, TableAudit], allow_unknown: bool = False
 ) -> None:
     """Run all audits, then raise if any failed."""
-    failures = []
-    for name, report in audit_report(spark, database, audits, allow_unknown).items():
-        for row in report.filter("violations > 0").collect():
-            failures.append(f"{name}.{row.column_name} {row.check_name}: {row.violations}")
+    reports = audit_report(spark, database, audits, allow_unknown)
+    if not reports:
+        return
+    named = [report.withColumn("table_name", F.lit(name)) for name, report in reports.items()]
+    found = in_parallel([lambda r=report: r.filter("violations > 0").collect() for report in named])
+    failures = [
+        f"{row.table_name}.{row.column_name} {row.check_name}: {row.violations}" for rows in found for row in rows
+    ]
     if failures:
         raise AuditFailed(failures)
 
@@ -111,8 +116,6 @@ def publish_views(spark: SparkSession, database: str, live_views: str) -> list[s
     """Point a view per table at `database`. Each view moves at once; the set does not."""
     views = []
     for name in sorted(table_names(spark, database)):
-        if name == LOG:
-            continue
         columns = ", ".join(f"`{c}`" for c in read_table(spark, f"{database}.{name}").columns)
         spark.sql(f"CREATE OR REPLACE VIEW {live_views}.live_{name} AS SELECT {columns} FROM {database}.{name}")
         views.append(f"live_{name}")

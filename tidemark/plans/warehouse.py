@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.history import build_history, current_rows, history_changes
 from tidemark.operators.incremental import RunWindow, changed_rows, changed_since
-from tidemark.operators.latest import latest_per_key
 from tidemark.plans import facts
 from tidemark.plans.audits import MART_AUDITS
 from tidemark.plans.entities import (
-    BRIDGE_TABLES, BRIDGES, CLEAN, CURRENT, DIM_DATE, ENTITIES, FACTS, HISTORY, MART_TABLES, PREP,
+    BRIDGE_TABLES, BRIDGES, Bridge, CLEAN, CURRENT, DIM_DATE, ENTITIES, FACTS, HISTORY, MART_TABLES, PREP,
     SNAPSHOTS, history_dimension, stage_bridge, stage_entity, stage_event,
 )
 from tidemark.plans.publish import Roles, audit_and_publish, prepare_audit, read_roles
+from tidemark.session import in_parallel
 from tidemark.sources.specs import LOADS
 from tidemark.sources.tables import (
     TableSpec, append_rows, create_database, read_table, replace_table, table_exists, upsert,
@@ -81,13 +83,15 @@ class Warehouse:
     # Layers below the marts -------------------------------------------------
 
     def build_clean(self, window: RunWindow) -> None:
-        for name, spec in CLEAN.items():
+        def build(name: str) -> None:
             table = self._table("clean", name)
-            changed = changed_since(self.raw(name), "date_modified", window, self._existing(table))
-            upsert(latest_per_key(changed, list(spec.keys), "date_modified"), table, spec)
+            upsert(changed_since(self.raw(name), "date_modified", window, self._existing(table)),
+                   table, CLEAN[name])
+
+        in_parallel([partial(build, name) for name in CLEAN])
 
     def build_snapshots(self) -> None:
-        for name, spec in SNAPSHOTS.items():
+        def build(name: str) -> None:
             entity, table = ENTITIES[name], self._table("snapshots", name)
             clean = read_table(self.spark, self._table("clean", name))
             existing = self._existing(table)
@@ -95,7 +99,9 @@ class Warehouse:
                 rows = build_history(clean, [entity.key], "date_modified")
             else:
                 rows = history_changes(existing, clean, [entity.key], "date_modified")
-            upsert(rows, table, spec)
+            upsert(rows, table, SNAPSHOTS[name])
+
+        in_parallel([partial(build, name) for name in SNAPSHOTS])
 
     def staged(self, name: str) -> DataFrame:
         """Conformed rows: an entity's versions, latest events, or latest bridge rows."""
@@ -151,12 +157,16 @@ class Warehouse:
     # Marts ------------------------------------------------------------------
 
     def build_marts(self, window: RunWindow, database: str) -> None:
-        self._build_dates(database)
-        for name in ENTITIES:
-            self._build_dimension(name, window, database)
+        """Dimensions first: facts and bridges look their keys up in them."""
+        in_parallel([
+            partial(self._build_dates, database),
+            *[partial(self._build_dimension, name, window, database) for name in ENTITIES],
+        ])
         dims = self._dimensions(database)
-        self._build_facts(window, database, dims)
-        self._build_bridges(window, database, dims)
+        in_parallel([
+            *self._fact_builds(window, database, dims),
+            *[partial(self._build_bridge, bridge, window, database, dims) for bridge in BRIDGES],
+        ])
 
     def _build_dates(self, database: str) -> None:
         replace_table(self.raw("date_dimension"), f"{database}.dim_date", DIM_DATE)
@@ -186,48 +196,62 @@ class Warehouse:
         dims = {n: read_table(self.spark, f"{database}.{HISTORY[n].name}") for n in ENTITIES}
         return {**dims, "date": read_table(self.spark, f"{database}.dim_date")}
 
-    def _build_facts(self, window: RunWindow, database: str, dims: dict[str, DataFrame]) -> None:
+    def _fact_builds(
+        self, window: RunWindow, database: str, dims: dict[str, DataFrame]
+    ) -> list[Callable[[], None]]:
         prorated = read_table(self.spark, self._table("prep", PREP.name))
 
         def changed(rows: DataFrame, fact: str, at: str, target_at: str) -> DataFrame:
             existing = self._existing(f"{database}.{fact}")
             return changed_rows(rows, at, window, existing, target_at, self.lookback_days)
 
-        def of_changed_orders(fact: str, target_at: str) -> DataFrame | None:
-            if self._existing(f"{database}.{fact}") is None:
+        def changed_orders(fact: str, target_at: str) -> DataFrame | None:
+            if not table_exists(self.spark, f"{database}.{fact}"):
                 return None
             return changed(prorated, fact, "modified_at", target_at).select("transaction_id").distinct()
 
-        for fact, plan in (("fct_sales", facts.sales), ("fct_returns", facts.returns)):
-            orders = of_changed_orders(fact, "source_modified_at")
-            rows = prorated
+        def line_fact(fact: str, plan: Callable[..., DataFrame]) -> None:
+            orders, rows = changed_orders(fact, "source_modified_at"), prorated
             if orders is not None:
                 # A late line changes the shares of its whole order.
                 rows = facts.all_rows_of_changed(prorated, orders, ["transaction_id"])
             upsert(plan(rows, dims), f"{database}.{fact}", FACTS[fact])
-        orders = of_changed_orders("fct_transactions", "modified_at")
-        upsert(facts.transactions(prorated, dims, orders), f"{database}.fct_transactions",
-               FACTS["fct_transactions"])
-        paid = changed(self.staged("transaction_payments"), "fct_payments", "modified_at", "source_updated_at")
-        upsert(facts.payments(paid, dims["payment_types"]), f"{database}.fct_payments", FACTS["fct_payments"])
-        off = changed(self.staged("transaction_discounts"), "fct_discounts", "modified_at", "source_modified_at")
-        batch = table_exists(self.spark, f"{database}.fct_discounts")
-        lines, headers = self.staged("transaction_lines"), self.staged("transaction_headers")
-        upsert(facts.discounts(off, lines, headers, dims, batch), f"{database}.fct_discounts",
-               FACTS["fct_discounts"])
-
-    def _build_bridges(self, window: RunWindow, database: str, dims: dict[str, DataFrame]) -> None:
-        for bridge in BRIDGES:
-            table = f"{database}.{bridge.mart}"
-            rows = changed_rows(
-                self.staged(bridge.raw), "modified_at", window, self._existing(table),
-                "relationship_modified_at", self.lookback_days,
-            )
-            pairs = facts.version_bridge(
-                rows, dims["products"], dims[bridge.entity], "product",
-                ENTITIES[bridge.entity].singular, bridge.sk,
-            )
-            upsert(pairs, table, BRIDGE_TABLES[bridge.mart])
+
+        def transactions() -> None:
+            orders = changed_orders("fct_transactions", "modified_at")
+            upsert(facts.transactions(prorated, dims, orders), f"{database}.fct_transactions",
+                   FACTS["fct_transactions"])
+
+        def payments() -> None:
+            paid = changed(self.staged("transaction_payments"), "fct_payments", "modified_at", "source_updated_at")
+            upsert(facts.payments(paid, dims["payment_types"]), f"{database}.fct_payments", FACTS["fct_payments"])
+
+        def discounts() -> None:
+            off = changed(
+                self.staged("transaction_discounts"), "fct_discounts", "modified_at", "source_modified_at")
+            batch = table_exists(self.spark, f"{database}.fct_discounts")
+            lines, headers = self.staged("transaction_lines"), self.staged("transaction_headers")
+            upsert(facts.discounts(off, lines, headers, dims, batch), f"{database}.fct_discounts",
+                   FACTS["fct_discounts"])
+
+        return [
+            partial(line_fact, "fct_sales", facts.sales), partial(line_fact, "fct_returns", facts.returns),
+            transactions, payments, discounts,
+        ]
+
+    def _build_bridge(
+        self, bridge: Bridge, window: RunWindow, database: str, dims: dict[str, DataFrame]
+    ) -> None:
+        table = f"{database}.{bridge.mart}"
+        rows = changed_rows(
+            self.staged(bridge.raw), "modified_at", window, self._existing(table),
+            "relationship_modified_at", self.lookback_days,
+        )
+        pairs = facts.version_bridge(
+            rows, dims["products"], dims[bridge.entity], "product",
+            ENTITIES[bridge.entity].singular, bridge.sk,
+        )
+        upsert(pairs, table, BRIDGE_TABLES[bridge.mart])
 
     # Runs -------------------------------------------------------------------
 

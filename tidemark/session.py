@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +61,12 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     folder = fresh_folder(df.sparkSession, purpose)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def in_parallel(tasks: list[Callable[[], object]], threads: int = 4) -> list:
+    """Run independent Spark actions side by side; the first error is raised.
+
+    A cluster has room for the small tables while a large one is built.
+    """
+    with ThreadPoolExecutor(threads) as pool:
+        return [future.result() for future in [pool.submit(task) for task in tasks]]

@@ -21,8 +21,10 @@ from tidemark.operators.latest import latest_per_key
 from tidemark.session import fresh_folder, materialise
 
 NO_VALUE = "none"
-LOG = "table_versions"
-LOG_SCHEMA = "table_name string, part string, location string, changed_at timestamp"
+# Superseded folders are remembered as table properties, for this long.
+REVERT_DAYS = 7
+_SUPERSEDED = "superseded."
+_CREATED = "created_micros"
 # One ALTER TABLE names at most this many partitions; more take several statements.
 _PER_STATEMENT = 500
 
@@ -129,20 +131,58 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _point(spark: SparkSession, table: str, part: str, wanted: dict[str, str], dropped: Iterable[str] = ()) -> None:
+def _point(
+    spark: SparkSession, table: str, part: str, wanted: dict[str, str], dropped: Iterable[str] = (),
+    remember: bool = True,
+) -> None:
     """Make the catalog agree: move, add and drop partitions."""
     known = part_locations(spark, table)
-    for value in [v for v in wanted if v in known and known[v] != wanted[v]]:
+    moved = [v for v in wanted if v in known and known[v] != wanted[v]]
+    added = [v for v in wanted if v not in known]
+    dropped = [v for v in dropped if v in known]
+    if remember:
+        _remember(spark, table, {**{v: known[v] for v in (*moved, *dropped)}, **dict.fromkeys(added, "")})
+    for value in moved:
         spark.sql(f"ALTER TABLE {table} PARTITION ({part}={_quoted(value)}) SET LOCATION {_quoted(wanted[value])}")
-    for chunk in _chunks([v for v in wanted if v not in known]):
+    for chunk in _chunks(added):
         adds = " ".join(f"PARTITION ({part}={_quoted(v)}) LOCATION {_quoted(wanted[v])}" for v in chunk)
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {adds}")
-    for chunk in _chunks([v for v in dropped if v in known]):
+    for chunk in _chunks(dropped):
         drops = ", ".join(f"PARTITION ({part}={_quoted(v)})" for v in chunk)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {drops}")
     spark.catalog.refreshTable(table)
 
 
+def _micros(moment: datetime) -> int:
+    return round(moment.timestamp() * 1_000_000)
+
+
+def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def _superseded(properties: dict[str, str]) -> list[tuple[int, str, str]]:
+    """(when, partition, folder before; '' for none) of the remembered changes."""
+    found = []
+    for key, folder in properties.items():
+        if key.startswith(_SUPERSEDED):
+            micros, part = key.removeprefix(_SUPERSEDED).split(".", 1)
+            found.append((int(micros), part, folder))
+    return sorted(found)
+
+
+def _remember(spark: SparkSession, table: str, before: dict[str, str]) -> None:
+    """Note where the changed partitions were; forget what is too old to revert to."""
+    now = _micros(datetime.now(timezone.utc))
+    for chunk in _chunks(list(before.items())):
+        noted = ", ".join(f"{_quoted(f'{_SUPERSEDED}{now}.{part}')}={_quoted(folder)}" for part, folder in chunk)
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({noted})")
+    limit = now - REVERT_DAYS * 86_400 * 1_000_000
+    old = [f"{_SUPERSEDED}{at}.{part}" for at, part, _ in _superseded(table_properties(spark, table)) if at < limit]
+    for chunk in _chunks(old):
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ({', '.join(_quoted(k) for k in chunk)})")
+
+
 def _create(spark: SparkSession, table: str, schema: T.StructType, spec: TableSpec, location: str) -> None:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     partitioned = ""
@@ -150,43 +190,36 @@ def _create(spark: SparkSession, table: str, schema: T.StructType, spec: TableSp
         columns += f", `{spec.part}` string"
         partitioned = f"PARTITIONED BY ({spec.part})"
     kind = "incremental" if spec.incremental else "table"
+    created = _micros(datetime.now(timezone.utc))
     spark.sql(
         f"CREATE TABLE {table} ({columns}) USING parquet {partitioned} "
-        f"LOCATION {_quoted(location)} TBLPROPERTIES ('materialization'='{kind}')"
+        f"LOCATION {_quoted(location)} TBLPROPERTIES ('materialization'='{kind}', '{_CREATED}'='{created}')"
     )
 
 
-def _log(spark: SparkSession, table: str, changes: dict[str, str | None]) -> None:
-    """Note where the partitions of a table went; None marks a dropped one."""
-    database, name = table.split(".")
-    log = f"{database}.{LOG}"
-    now = datetime.now(timezone.utc)
-    rows = [(name, part, location, now) for part, location in changes.items()]
-    if not rows:
-        return
-    if not table_exists(spark, log):
-        spark.sql(f"CREATE TABLE {log} ({LOG_SCHEMA}) USING parquet LOCATION {_quoted(fresh_folder(spark, 'log'))}")
-    spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").insertInto(log)
-
-
 def replace_table(df: DataFrame, table: str, spec: TableSpec) -> None:
     """Full refresh into new folders; readers move over when they are complete."""
     spark = df.sparkSession
     folder = fresh_folder(spark, table)
     _write(df, spec, folder)
-    if not table_exists(spark, table):
+    new = not table_exists(spark, table)
+    if new:
         _create(spark, table, df.schema, spec, folder)
     else:
         guard_schema(df, read_table(spark, table), table)
     if spec.partition_field:
         written = _child_folders(spark, folder)
-        gone = set(part_locations(spark, table)) - set(written)
-        _point(spark, table, spec.part, written, gone)
-        _log(spark, table, {**written, **dict.fromkeys(gone)})
-    else:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(folder)}")
-        spark.catalog.refreshTable(table)
-        _log(spark, table, {NO_VALUE: folder})
+        gone = set() if new else set(part_locations(spark, table)) - set(written)
+        _point(spark, table, spec.part, written, gone, remember=not new)
+    elif not new:
+        _move(spark, table, folder)
+
+
+def _move(spark: SparkSession, table: str, folder: str) -> None:
+    """Point a table without partitions at another folder."""
+    _remember(spark, table, {NO_VALUE: table_location(spark, table)})
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(folder)}")
+    spark.catalog.refreshTable(table)
 
 
 def upsert(df: DataFrame, table: str, spec: TableSpec, newer_wins: bool = True) -> None:
@@ -229,9 +262,7 @@ def upsert(df: DataFrame, table: str, spec: TableSpec, newer_wins: bool = True)
     folder = fresh_folder(spark, table)
     _write(rest.select(*columns).unionByName(fresh.select(*columns)), spec, folder)
     written = _child_folders(spark, folder)
-    emptied = set(affected) - set(written)
-    _point(spark, table, spec.part, written, emptied)
-    _log(spark, table, {**written, **dict.fromkeys(emptied)})
+    _point(spark, table, spec.part, written, set(affected) - set(written))
 
 
 def _accepted(batch: DataFrame, held: DataFrame, spec: TableSpec, newer_wins: bool) -> DataFrame:
@@ -264,30 +295,30 @@ def clone_table(spark: SparkSession, source: str, target: str, spec: TableSpec)
     spark.sql(f"DROP TABLE IF EXISTS {target}")
     _create(spark, target, schema, spec, table_location(spark, source))
     if spec.partition_field:
-        parts = part_locations(spark, source)
-        _point(spark, target, spec.part, parts)
-        _log(spark, target, dict(parts))
-    else:
-        _log(spark, target, {NO_VALUE: table_location(spark, source)})
+        _point(spark, target, spec.part, part_locations(spark, source), remember=False)
 
 
 def revert_table(spark: SparkSession, table: str, spec: TableSpec, to: datetime | None = None, minutes: int = 360) -> None:
-    """Point the table at the folders it had at `to`, by default `minutes` ago."""
-    to = to or datetime.now(timezone.utc) - timedelta(minutes=minutes)
-    database, name = table.split(".")
-    log = spark.table(f"{database}.{LOG}").filter((F.col("table_name") == name) & (F.col("changed_at") <= F.lit(to)))
-    then = {r.part: r.location for r in latest_per_key(log, ["part"], "changed_at").collect()}
-    wanted = {part: location for part, location in then.items() if location}
-    if not wanted:
-        raise LookupError(f"{table} has no version as of {to}")
+    """Point the table at the folders it had at `to`, by default `minutes` ago.
+
+    What a partition was then is what its first change since then superseded;
+    partitions without one stay. The revert is a change that can be reverted.
+    """
+    since = _micros(to or datetime.now(timezone.utc) - timedelta(minutes=minutes))
+    properties = table_properties(spark, table)
+    oldest = _micros(datetime.now(timezone.utc)) - REVERT_DAYS * 86_400 * 1_000_000
+    if since < max(int(properties.get(_CREATED, 0)), oldest):
+        raise LookupError(f"{table} has no version that old")
+    then: dict[str, str] = {}
+    for at, part, folder in _superseded(properties):
+        if at > since:
+            then.setdefault(part, folder)
     if not spec.partition_field:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(wanted[NO_VALUE])}")
-        spark.catalog.refreshTable(table)
-        _log(spark, table, wanted)
+        if NO_VALUE in then:
+            _move(spark, table, then[NO_VALUE])
         return
-    gone = set(part_locations(spark, table)) - set(wanted)
-    _point(spark, table, spec.part, wanted, gone)
-    _log(spark, table, {**wanted, **dict.fromkeys(gone)})
+    wanted = {part: folder for part, folder in then.items() if folder}
+    _point(spark, table, spec.part, wanted, [part for part, folder in then.items() if not folder])
 
 
 def expire_partitions(spark: SparkSession, table: str, spec: TableSpec, days: int, today: date) -> list[str]:
@@ -296,7 +327,6 @@ def expire_partitions(spark: SparkSession, table: str, spec: TableSpec, days: in
     limit = (today - timedelta(days=days)).strftime(formats[spec.grain])
     old = sorted(v for v in part_locations(spark, table) if v != NO_VALUE and v < limit)
     _point(spark, table, spec.part, {}, old)
-    _log(spark, table, dict.fromkeys(old))
     return old
 
 
@@ -308,7 +338,11 @@ def append_files(spark: SparkSession, paths: list[str], table: str, spec: TableS
 
 
 def append_rows(df: DataFrame, table: str, spec: TableSpec) -> None:
-    """Append by column name; each load is one Spark job whatever the number of files."""
+    """Append by column name; one Spark job whatever the number of files.
+
+    This adds to the partition folders in use, so it is for raw tables, which
+    are neither cloned nor reverted.
+    """
     spark = df.sparkSession
     if not table_exists(spark, table):
         _create(spark, table, df.schema, spec, fresh_folder(spark, table))
