@@ -30,6 +30,7 @@ def pit_join(
     valid_to: str = "valid_to_ts",
     policy: SkewPolicy | None = None,
     skew: bool = True,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join on `at >= valid_from and until < valid_to`.
 
@@ -39,7 +40,9 @@ def pit_join(
     their versions are repeated for the days they cover, and days that are
     still too heavy are salted, so neither a popular key nor a key with very
     many versions ends in one task. `skew=False` leaves that out, for streams:
-    they cannot be counted beforehand, and a micro-batch is small.
+    they cannot be counted beforehand, and a micro-batch is small. `counted`
+    stands in for the facts where keys are counted: in a chain of lookups the
+    facts as they were before it, which keeps the plan from doubling each time.
     """
     keys = [f"_key{i}" for i in range(len(on))]
     right = versions.select(
@@ -53,7 +56,8 @@ def pit_join(
     match = [F.col(fact) == F.col(key) for key, (fact, _) in zip(keys, on, strict=True)]
     policy = policy or SkewPolicy.of(facts.sparkSession)
     if skew and policy.applies(facts) and not fits_broadcast(right):
-        left, right = _by_day(facts, right, [fact for fact, _ in on], keys, at, until, policy)
+        left, right = _by_day(
+            facts, counted or facts, right, [fact for fact, _ in on], keys, at, until, policy)
         match += [F.col("_day") == F.col("_version_day"), F.col("_salt") == F.col("_version_salt")]
     match += [F.col(at) >= F.col("_from"), F.col(until) < F.col("_to")]
     joined = left.join(right, reduce(Column.__and__, match), "left")
@@ -62,6 +66,7 @@ def pit_join(
 
 def _by_day(
     facts: DataFrame,
+    counted: DataFrame,
     right: DataFrame,
     fact_keys: list[str],
     keys: list[str],
@@ -70,24 +75,27 @@ def _by_day(
     policy: SkewPolicy,
 ) -> tuple[DataFrame, DataFrame]:
     any_day = F.lit(_ANY_DAY).cast("date")
-    hot = hot_keys(facts, fact_keys, policy, "_hot")
+    hot = hot_keys(counted, fact_keys, policy, "_hot")
     # until < at can match versions outside the day of `at`: those stay together.
     one_day = F.col("_hot").isNotNull() & (F.col(until) >= F.col(at))
-    dated = (
-        facts.join(F.broadcast(hot), fact_keys, "left")
-        .withColumn("_day", F.coalesce(F.when(one_day, F.to_date(at)), any_day))
-        .drop("_hot")
-    )
-    heavy = hot_keys(dated, [*fact_keys, "_day"], policy)
-    left = salted(dated, heavy, [*fact_keys, "_day"], policy.shares)
+
+    def dated(df: DataFrame) -> DataFrame:
+        return (
+            df.join(F.broadcast(hot), fact_keys, "left")
+            .withColumn("_day", F.coalesce(F.when(one_day, F.to_date(at)), any_day))
+            .drop("_hot")
+        )
+
+    heavy = hot_keys(dated(counted), [*fact_keys, "_day"], policy)
+    left = salted(dated(facts), heavy, [*fact_keys, "_day"], policy.shares)
 
     def renamed(df: DataFrame) -> DataFrame:
         return df.withColumnsRenamed(
             {**dict(zip(fact_keys, keys, strict=True)), "_day": "_version_day"}
         )
 
-    first = facts.agg(F.min(F.to_date(at))).scalar()
-    last = facts.agg(F.max(F.to_date(at))).scalar()
+    first = counted.agg(F.min(F.to_date(at))).scalar()
+    last = counted.agg(F.max(F.to_date(at))).scalar()
     start, end = F.greatest(F.to_date("_from"), first), F.least(F.to_date("_to"), last)
     covered = F.when(start <= end, F.sequence(start, end))
     days = F.when(
@@ -107,9 +115,11 @@ def pit_keys(
     facts: DataFrame, lookups: list[dict], at: str, unknown: bool = True
 ) -> DataFrame:
     """Several point-in-time lookups one after another, each adding one key."""
+    counted = facts
     for lookup in lookups:
         facts = pit_join(
-            facts, lookup["versions"], lookup["on"], lookup.get("at", at), {lookup["sk"]: lookup["sk"]}
+            facts, lookup["versions"], lookup["on"], lookup.get("at", at), {lookup["sk"]: lookup["sk"]},
+            counted=counted,
         )
         if unknown:
             facts = facts.withColumn(lookup["sk"], or_unknown(lookup["sk"]))

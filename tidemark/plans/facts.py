@@ -217,7 +217,7 @@ def version_bridge(
     pairs = staged
     for dim, name in ((left, left_name), (right, right_name)):
         key, sk = f"{name}_id", f"{name}_sk"
-        pairs = pit_join(pairs, dim, [(key, key)], "added_at", {sk: sk}, until=until)
+        pairs = pit_join(pairs, dim, [(key, key)], "added_at", {sk: sk}, until=until, counted=staged)
     left_sk, right_sk = f"{left_name}_sk", f"{right_name}_sk"
     return pairs.select(
         surrogate_key(left_sk, right_sk).alias(out), left_sk, right_sk,

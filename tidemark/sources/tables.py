@@ -150,7 +150,14 @@ def _point(
     for chunk in _chunks(dropped):
         drops = ", ".join(f"PARTITION ({part}={_quoted(v)})" for v in chunk)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {drops}")
+    _measure(spark, table)
+
+
+def _measure(spark: SparkSession, table: str) -> None:
+    """Let the catalog know the size of the files. Without it Spark takes a
+    partitioned table for endless and broadcasts none, however small."""
     spark.catalog.refreshTable(table)
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS NOSCAN")
 
 
 def _micros(moment: datetime) -> int:
@@ -211,7 +218,9 @@ def replace_table(df: DataFrame, table: str, spec: TableSpec) -> None:
         written = _child_folders(spark, folder)
         gone = set() if new else set(part_locations(spark, table)) - set(written)
         _point(spark, table, spec.part, written, gone, remember=not new)
-    elif not new:
+    elif new:
+        _measure(spark, table)
+    else:
         _move(spark, table, folder)
 
 
@@ -219,7 +228,7 @@ def _move(spark: SparkSession, table: str, folder: str) -> None:
     """Point a table without partitions at another folder."""
     _remember(spark, table, {NO_VALUE: table_location(spark, table)})
     spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(folder)}")
-    spark.catalog.refreshTable(table)
+    _measure(spark, table)
 
 
 def upsert(df: DataFrame, table: str, spec: TableSpec, newer_wins: bool = True) -> None:
@@ -354,7 +363,7 @@ def append_rows(df: DataFrame, table: str, spec: TableSpec) -> None:
         by = [spec.part, *by]
     order = spark.table(table).columns
     df.select(*order).repartitionByRange(*by).sortWithinPartitions(*by).write.mode("append").insertInto(table)
-    spark.catalog.refreshTable(table)
+    _measure(spark, table)
 
 
 def seed_if_empty(df: DataFrame, table: str, spec: TableSpec) -> bool:
