@@ -135,9 +135,10 @@ class Model:
             out[s:s + most] = self.run({d: gates[d][at] for d in "fb"}, mask)
         return out
 
-    def learn(self, words: Words, start: np.ndarray, end: np.ndarray, label: np.ndarray, epochs: int = 5, size: int = 256) -> None:
+    def learn(self, words: Words, start: np.ndarray, end: np.ndarray, label: np.ndarray, epochs: int) -> None:
         """Adam on the windows' log loss, through time and attention."""
         rng, step = np.random.default_rng(3), 0
+        size = min(256, max(16, len(start) // 40))  # few windows make as many steps
         weights = self.weights()
         first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
         for _ in range(epochs):
