@@ -163,8 +163,9 @@ def trained(texts: list[str], labels: list[int], vectors: np.ndarray) -> Network
     label = np.array(labels, float)
     if not len(label) or label.min() == label.max():
         return float(label[0]) if len(label) else 0.5
-    x = pooled(batch_of(pa.array(texts, pa.large_string())), vectors)
-    left_out = np.arange(len(label)) % 5 == 4
+    rows = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    x = np.concatenate([pooled(batch_of(some["text"]), vectors) for some in slices(iter([rows]), most=1 << 20)])
+    left_out = np.arange(len(label)) % 5 == 4  # examples come in the order of their ids
     if not left_out.any():
         left_out = ~left_out
     network = Network(x[~left_out] if (~left_out).any() else x, label[~left_out] if (~left_out).any() else label)

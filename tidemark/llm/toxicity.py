@@ -24,7 +24,7 @@ WORD_BITS, GRAM_BITS, GRAM = 16, 18, 4
 WORD_DIMS, HIDDEN = 3, 6
 INPUTS = WORD_DIMS + 3
 # Bounds of what is learned from: labelled rows of each kind, and their length.
-TRAIN_ROWS, TRAIN_CHARS = 1500, 20_000
+TRAIN_ROWS, TRAIN_CHARS = 1500, 8_000
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -93,14 +93,14 @@ class Model:
     def weights(self) -> list[np.ndarray]:
         return [self.words, *self.w.values(), *self.u.values(), *self.c.values(), self.attend, self.out, self.bias]
 
-    def inputs(self, words: Words) -> np.ndarray:
-        """Per distinct word: embedding, mean and largest gram evidence, and whether it is short."""
+    def evidence_of(self, words: Words) -> np.ndarray:
+        """Per distinct word: mean and largest evidence of its grams, and whether it is short."""
         if not len(words.word):
-            return np.zeros((0, INPUTS), np.float32)
+            return np.zeros((0, INPUTS - WORD_DIMS), np.float32)
         evidence = self.grams[words.grams]
         sums, top = np.add.reduceat(evidence, words.first), np.maximum.reduceat(evidence, words.first)
         counts = np.diff(np.append(words.first, len(evidence)))
-        return np.column_stack([self.words[words.word], sums / counts, top, counts < 3]).astype(np.float32)
+        return np.column_stack([sums / counts, top, counts < 3]).astype(np.float32)
 
     def run(self, x: dict[str, np.ndarray], mask: np.ndarray, keep: bool = False):
         """Window logits from gate inputs x[d] (time, window, gates); mask (time, window)."""
@@ -127,7 +127,8 @@ class Model:
         return {d: table @ self.w[d] + self.c[d] for d in "fb"}
 
     def window_logits(self, words: Words, start: np.ndarray, end: np.ndarray, most: int = 4096) -> np.ndarray:
-        gates, out = self.gate_inputs(self.inputs(words)), np.empty(len(start), np.float32)
+        table = np.concatenate([self.words[words.word], self.evidence_of(words)], 1)
+        gates, out = self.gate_inputs(table), np.empty(len(start), np.float32)
         for s in range(0, len(start), most):
             at = start[s:s + most] + np.arange(WINDOW)[:, None]
             mask = (at < end[s:s + most]).astype(np.float32)
@@ -137,7 +138,7 @@ class Model:
 
     def learn(self, words: Words, start: np.ndarray, end: np.ndarray, label: np.ndarray, epochs: int) -> None:
         """Adam on the windows' log loss, through time and attention."""
-        rng, step = np.random.default_rng(3), 0
+        rng, step, fixed = np.random.default_rng(3), 0, self.evidence_of(words)
         size = min(256, max(16, len(start) // 40))  # few windows make as many steps
         weights = self.weights()
         first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
@@ -148,7 +149,7 @@ class Model:
                 at = start[some] + np.arange(WINDOW)[:, None]
                 mask = (at < end[some]).astype(np.float32)
                 at = words.place[np.minimum(at, len(words.place) - 1)]
-                table = self.inputs(Words(words.word, words.grams, words.first, words.place))[at]
+                table = np.concatenate([self.words[words.word[at]], fixed[at]], 2)
                 x = {d: table @ self.w[d] + self.c[d] for d in "fb"}
                 grads = self._gradients(table, x, mask, label[some], words.word[at])
                 for w, g, a, b in zip(weights, grads, first, second):
@@ -200,13 +201,28 @@ class Model:
         return np.where(np.isfinite(logits), sigmoid(a * np.where(np.isfinite(logits), logits, 0) + b), self.base)
 
 
-def evidence(buckets: np.ndarray, text: np.ndarray, label: np.ndarray, size: int) -> np.ndarray:
-    """Log odds of each bucket's texts being labelled 1, smoothed."""
-    pairs = np.unique(text * size + buckets)
-    counts = [np.bincount(pairs[label[pairs // size] == v] % size, minlength=size) for v in (0, 1)]
-    n = [max(1, int((label == v).sum())) for v in (0, 1)]
-    odds = np.log((counts[1] + 0.5) / (n[1] + 1)) - np.log((counts[0] + 0.5) / (n[0] + 1))
-    return np.where(counts[0] + counts[1] > 2, odds, 0).astype(np.float32)
+def evidence(batch: Batch, words: Words, label: np.ndarray, block: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """Smoothed log odds that a text is labelled 1, per word bucket and per gram bucket in it.
+
+    Texts are counted some at a time, so memory follows the largest, not all.
+    """
+    counts = [np.zeros((2, 1 << bits)) for bits in (WORD_BITS, GRAM_BITS)]
+    lengths = np.diff(np.append(words.first, len(words.grams)))
+    for low in range(0, len(label), block):
+        high = min(len(label), low + block)
+        place = words.place[batch.first[low]:batch.first[high]]
+        text = np.repeat(np.arange(low, high), np.diff(batch.first[low:high + 1]))
+        pairs = np.unique(text * len(words.word) + place)
+        text, distinct = pairs // max(1, len(words.word)), pairs % max(1, len(words.word))
+        n = lengths[distinct]
+        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        grams = words.grams[np.repeat(words.first[distinct], n) + inner] if len(distinct) else words.grams[:0]
+        for table, owner, bucket in ((counts[0], text, words.word[distinct]), (counts[1], np.repeat(text, n), grams)):
+            seen = np.unique(owner * table.shape[1] + bucket)
+            np.add.at(table, (label[seen // table.shape[1]], seen % table.shape[1]), 1)
+    texts = [max(1, int((label == v).sum())) for v in (0, 1)]
+    odds = [np.log((t[1] + 0.5) / (texts[1] + 1)) - np.log((t[0] + 0.5) / (texts[0] + 1)) for t in counts]
+    return tuple(np.where(t.sum(0) > 2, o, 0).astype(np.float32) for t, o in zip(counts, odds))
 
 
 def trained(texts: list[str], labels: list[int]) -> Model | float:
@@ -215,22 +231,12 @@ def trained(texts: list[str], labels: list[int]) -> Model | float:
     if not len(label) or label.min() == label.max():
         return float(label[0]) if len(label) else 0.0
     batch = batch_of(pa.array(texts, pa.large_string()))
-    words, text = words_of(batch), batch.of_text()
-    counts = np.diff(np.append(words.first, len(words.grams)))
-    # (text, distinct word) pairs stand for all words; grams follow from them.
-    pairs = np.unique(text * len(counts) + words.place)
-    owner, distinct = pairs // len(counts), pairs % len(counts)
-    lengths = counts[distinct]
-    inner = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    grams = words.grams[np.repeat(words.first[distinct], lengths) + inner]
-    model = Model(
-        evidence(words.word[distinct], owner, label, 1 << WORD_BITS),
-        evidence(grams, np.repeat(owner, lengths), label, 1 << GRAM_BITS),
-    )
+    words = words_of(batch)
+    model = Model(*evidence(batch, words, label))
     start, of = windows_of(batch.first)
     end = np.minimum(start + WINDOW, batch.first[of + 1])
-    table = model.inputs(words)
-    heat = np.concatenate(([0], np.cumsum(np.maximum(table[:, 0], 0)[words.place] + np.maximum(table[:, WORD_DIMS + 1], 0)[words.place])))
+    hot = np.maximum(model.words[words.word, 0], 0) + np.maximum(model.evidence_of(words)[:, 1], 0)
+    heat = np.concatenate(([0], np.cumsum(hot[words.place])))
     strength, rng = heat[end] - heat[start], np.random.default_rng(5)
     for epochs in (3, 2, 2):
         # The worst window of each text stands for it; of the clean ones also some others.
@@ -258,11 +264,18 @@ def logistic_fit(x: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, name: str, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> list[tuple[str, int]]:
-    """Labelled texts of at most `chars` characters: of each label, the `rows` with the smallest hashes."""
-    known = labels.select("doc_id", F.col(name).cast("int").alias("label")).filter("label IN (0, 1) AND doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    texts = text_rows(docs, "doc_id", "text").filter(F.length("text").between(1, chars)).join(known, "doc_id")
-    picked = [texts.filter(F.col("label") == v).orderBy(F.xxhash64(F.lit(17), "doc_id"), "doc_id", "text").limit(rows) for v in (0, 1)]
-    return [(r["text"], r["label"]) for p in picked for r in p.select("text", "label").collect()]
+    """Labelled texts: of each label the `rows` ids with the smallest hashes, where their texts have 1 to `chars` characters.
+
+    Only ids are ranked; the texts of the few chosen come straight from a scan.
+    """
+    known = labels.select("doc_id", F.col(name).cast("int").alias("label")).filter("label IN (0, 1) AND doc_id IS NOT NULL")
+    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
+    order = [F.xxhash64(F.lit(17), "doc_id"), F.col("doc_id")]
+    picked = [known.filter(F.col("label") == v).orderBy(*order).limit(rows) for v in (0, 1)]
+    texts = text_rows(docs, "doc_id", "text").filter(F.length("text").between(1, chars))
+    found = texts.join(F.broadcast(picked[0].union(picked[1])), "doc_id").dropDuplicates(["doc_id", "text"])
+    # The order of examples, and so the model, is the same in a rerun.
+    return [(r["text"], r["label"]) for r in sorted(found.collect(), key=lambda r: (r["doc_id"], r["text"]))]
 
 
 def scored(docs: DataFrame, model: Model | float) -> DataFrame:
