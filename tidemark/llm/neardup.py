@@ -137,12 +137,12 @@ def near_duplicates(
     classes = named.groupBy(*prints).agg(F.min("doc_id").alias("node"), F.first("u").alias("u"), F.first("v").alias("v"))
     classes = materialise(classes, "classes")
 
-    sides = _shared(classes, "u", collections).join(_shared(classes, "v", collections), "node")
+    sides = materialise(_shared(classes, "u", collections).join(_shared(classes, "v", collections), "node"), "sides")
     keys = (
         sides.join(classes.select("node", "n_shingles"), "node")
         .withColumn("x", F.explode("u")).select("node", "n_shingles", "v", "x")
         .withColumn("y", F.explode("v"))
-        .select(F.xxhash64("x.i", "y.i", "x.key", "y.key").alias("key"), "node", "n_shingles")
+        .select(F.xxhash64("x.i", "y.i", "x.key", "y.key").alias("key"), F.col("x.i").alias("i"), F.col("y.i").alias("j"), "node", "n_shingles")
     )
     tables = keys.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1")
     keys = materialise(keys.join(tables.select("key", "least"), "key"), "keys")
@@ -162,12 +162,19 @@ def near_duplicates(
     copies = named.join(classes.select(*prints, "node"), prints).filter("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     groups = materialise(connected_components(links), "groups")
 
-    grouped = keys.join(groups, "node", "left").select("key", "node", "n_shingles", F.coalesce("component", "node").alias("group"))
+    grouped = keys.join(groups, "node", "left").select("key", "i", "j", "node", "n_shingles", F.coalesce("component", "node").alias("group"))
     mixed = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high").select("key")
-    open_keys = materialise(grouped.join(mixed, "key", "left_semi"), "open")
-    left = open_keys.select("key", F.col("node").alias("a"), F.col("n_shingles").alias("of_a"), F.col("group").alias("g"))
-    right = open_keys.select("key", F.col("node").alias("b"), F.col("n_shingles").alias("of_b"), F.col("group").alias("h"))
-    rest = left.join(right, "key").filter((F.col("g") < F.col("h")) & fits("of_a", "of_b")).select(
+    # Two classes share a table for each pair of their common sketches: the first of each collection speaks for all.
+    sketches = classes.select("node", "u", "v")
+    open_keys = materialise(grouped.join(mixed, "key", "left_semi").join(sketches, "node"), "open")
+    one = open_keys.select("key", "i", "j", F.col("node").alias("a"), F.col("n_shingles").alias("of_a"), F.col("group").alias("g"), F.col("u").alias("ua"), F.col("v").alias("va"))
+    other = open_keys.select("key", F.col("node").alias("b"), F.col("n_shingles").alias("of_b"), F.col("group").alias("h"), F.col("u").alias("ub"), F.col("v").alias("vb"))
+
+    def first_common(x: str, y: str):
+        return F.array_position(F.zip_with(x, y, lambda p, q: p == q), True) - 1
+
+    new = (F.col("g") < F.col("h")) & fits("of_a", "of_b") & (F.col("i") == first_common("ua", "ub")) & (F.col("j") == first_common("va", "vb"))
+    rest = one.join(other, (one["key"] == other["key"]) & new).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     ).distinct().join(stars, ["a", "b"], "left_anti")
     rest = materialise(rest, "pairs")
