@@ -97,3 +97,11 @@ def test_missing_run_is_an_error(spark, tmp_path):
     for key in ("2025-01-01", "2025-01-02"):
         with pytest.raises(LookupError):
             folder_of_run(spark, str(tmp_path), "t", key)
+
+
+def test_fixed_price_above_the_unit_price_is_a_negative_discount(spark):
+    from tidemark.functions.measures import discount_amount
+
+    rows = spark.createDataFrame([("FIXED", 5, 9, 2), ("FIXED", 5, -1, 2), ("FLAT", 5, 9, 2), ("NONE", 5, 1, 2)], "pool string, price int, value int, quantity int")
+    got = [float(r[0]) for r in rows.select(discount_amount("pool", "price", "value", "quantity")).collect()]
+    assert got == [-8.0, 10.0, 10.0, 0.0]

@@ -76,6 +76,6 @@ def discounted_units(pool: Column | str, quantity: Column | str) -> Column:
 def discount_amount(
     pool: Column | str, price: Column | str, value: Column | str, quantity: Column | str
 ) -> Column:
-    """Amount taken off one line; 0 for an unknown pool, and never negative."""
-    off = _not_negative(_col(price).cast("decimal(38,12)") - discounted_price(pool, price, value))
+    """Amount taken off one line; 0 for an unknown pool, negative where a fixed price is above the unit price."""
+    off = _col(price).cast("decimal(38,12)") - discounted_price(pool, price, value)
     return F.coalesce(off * discounted_units(pool, quantity), F.lit(0)).cast(MONEY)

@@ -387,7 +387,7 @@ SELECTS: dict[str, str] = {
     + "LEFT JOIN dates ON moment::DATE = d",
     "discount_by_pool": f"""
         SELECT transaction_line_id, product_id, supplier_id, moment AS date_modified, (CASE supplier_id % 5
-            WHEN 0 THEN greatest({_PRICE} - {_VALUE}, 0) * quantity
+            WHEN 0 THEN ({_PRICE} - greatest({_VALUE}, 0)) * quantity
             WHEN 1 THEN ({_PRICE} * least({_VALUE} / 100, 1)) * quantity
             WHEN 2 THEN least({_PRICE}, {_VALUE}) * quantity
             WHEN 3 THEN ({_PRICE} * least({_VALUE} / 100, 1)) * (quantity // 2)

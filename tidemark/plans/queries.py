@@ -695,10 +695,9 @@ def stream_scd2(s: Standins) -> DataFrame:
     # Files go in one by one: a version is opened by the first change that arrives for its time.
     folder = fresh_folder(spark, "feed")
     checkpoint = fresh_folder(spark, "state")
-    for low, high in (("1995-01-01", "1998-01-01"), ("1998-01-01", "2002-01-01")):
-        at = F.col("date_modified")
-        part = changes.filter((at >= F.lit(low).cast("timestamp")) & (at < F.lit(high).cast("timestamp")))
-        part.coalesce(1).write.mode("append").parquet(folder)
+    early = F.coalesce(F.col("date_modified") < F.lit("1998-01-01").cast("timestamp"), F.lit(False))
+    for part in (changes.filter(early), changes.filter(~early)):
+        part.write.mode("append").parquet(folder)
         stream = streams.new_files(spark, folder, changes.schema)
         streams.history_stream(stream, table, spec, ["customer_id"], "date_modified", checkpoint, ["order_id"])
     return _customer_history(tables.read_table(spark, table))

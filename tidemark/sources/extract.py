@@ -18,10 +18,14 @@ MANIFEST_SCHEMA = "table_name string, run_key string, folder string, row_count b
 def window_extract(
     df: DataFrame, date_field: str, start: datetime, end: datetime, columns: list[str] | None = None
 ) -> DataFrame:
-    """Rows with start <= date_field < end; both bounds reach the file scan."""
+    """Rows with start <= date_field < end; both bounds reach the file scan.
+
+    Bounds without a zone are in the session's time zone, wherever the driver runs.
+    """
     at = F.col(date_field)
     kind = df.schema[date_field].dataType.simpleString()
-    rows = df.filter((at >= F.lit(start).cast(kind)) & (at < F.lit(end).cast(kind)))
+    low, high = (F.lit(bound.isoformat(sep=" ")).cast(kind) for bound in (start, end))
+    rows = df.filter((at >= low) & (at < high))
     return rows.select(*chosen_columns(df, columns)) if columns else rows
 
 

@@ -9,9 +9,11 @@ from pyspark.sql import types as T
 from tidemark.sources.specs import FieldSpec
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, columns: list[str] | None = None) -> DataFrame:
-    """CSV with a header; quoted fields may span lines and hold quotes."""
-    df = spark.read.csv(path, schema=schema, header=True, multiLine=True, quote='"', escape='"')
+def read_csv(
+    spark: SparkSession, path: str, schema: str, columns: list[str] | None = None, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header; quoted fields may hold quotes, and span lines with `multi_line`, which reads a file in one task."""
+    df = spark.read.csv(path, schema=schema, header=True, multiLine=multi_line, quote='"', escape='"')
     return df.select(*columns) if columns else df
 
 
