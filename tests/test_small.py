@@ -105,3 +105,59 @@ def test_fixed_price_above_the_unit_price_is_a_negative_discount(spark):
     rows = spark.createDataFrame([("FIXED", 5, 9, 2), ("FIXED", 5, -1, 2), ("FLAT", 5, 9, 2), ("NONE", 5, 1, 2)], "pool string, price int, value int, quantity int")
     got = [float(r[0]) for r in rows.select(discount_amount("pool", "price", "value", "quantity")).collect()]
     assert got == [-8.0, 10.0, 10.0, 0.0]
+
+
+def test_backfill_twice_is_once_and_fits_single_runs(spark, tmp_path):
+    from tidemark.sources.extract import extract_range, extract_run, record_run
+
+    found = [(i, datetime(2025, 1, 30 if i < 3 else 31, i)) for i in range(6)] + [(9, datetime(2025, 2, 1, 5))]
+    df = spark.createDataFrame(found, "k int, t timestamp")
+    base, manifest = str(tmp_path / "lake"), str(tmp_path / "manifest")
+    for layout in ("daily", "monthly"):
+        spec = ExtractSpec(f"t_{layout}", "t", "daily", layout)
+        record_run(spark, manifest, extract_run(df, spec, "2025-01-31", base))
+        for _ in range(2):
+            folder = extract_range(df, spec, datetime(2025, 1, 30), datetime(2025, 2, 2), base, manifest)
+        extract_run(df, spec, "2025-02-01", base)
+        assert rows(spark.read.parquet(folder), "k", "t") == sorted(found, key=repr)
+        run = folder_of_run(spark, manifest, spec.table, "2025-01-30")
+        assert run == lake_folder(base, spec, datetime(2025, 1, 30))
+        assert rows(spark.read.parquet(run), "k") == [(0,), (1,), (2,)]
+    with pytest.raises(ValueError):
+        extract_range(df, ExtractSpec("t", "t", "daily"), datetime(2025, 1, 30, 4), datetime(2025, 2, 2), base)
+
+
+def test_discount_finds_its_customer_by_either_path(spark):
+    from tidemark.plans.facts import discount_keys
+
+    off = spark.createDataFrame([(1, 11, 2), (2, 12, 2), (3, None, 1), (4, 11, None)],
+                                "d int, transaction_line_id long, transaction_id long")
+    lines = spark.createDataFrame([(11, 7, 1), (12, 1, 1)], "transaction_line_id long, transaction_id long, product_id int")
+    headers = spark.createDataFrame([(1, 100), (2, 200)], "transaction_id long, customer_id long")
+    for reduce in (True, False):
+        got = rows(discount_keys(off, lines, headers, reduce), "d", "product_id", "customer_id")
+        assert got == [(1, 1, 200), (2, 1, 100), (3, None, 100), (4, 1, None)]
+
+
+def test_unknown_order_pool_is_an_error(spark):
+    from tidemark.plans.promotions import order_totals
+
+    lines = spark.createDataFrame([(1, 10)], "transaction_id int, gross_line_total int")
+    none = spark.createDataFrame([], "transaction_id int, discount_amount int")
+    off = spark.createDataFrame([(1, "BOGO", 5)], "transaction_id int, discount_pool string, discount_value int")
+    assert order_totals(lines, none, off.limit(0)).count() == 1
+    with pytest.raises(Exception, match="unknown pool"):
+        order_totals(lines, none, off).collect()
+
+
+def test_bridge_keys_keep_unmatched_pairs(spark):
+    from tidemark.plans.facts import version_bridge
+
+    at = datetime(2025, 1, 1)
+    pairs = spark.createDataFrame([(i, 1, at, at, None, None) for i in (1, 2, 3)],
+                                  "a_id int, product_id int, added_at timestamp, modified_at timestamp, "
+                                  "removed_at timestamp, removal_reason string")
+    sides = [spark.createDataFrame([], f"{n}_id int, {n}_sk string, valid_from_ts timestamp, valid_to_ts timestamp")
+             for n in ("product", "a")]
+    got = version_bridge(pairs, *sides, "product", "a", "sk", keep_unmatched=True)
+    assert got.select("sk").distinct().count() == 3

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
-from retail_rows import SCHEMAS, all_days, at, first_day, frame, header, line, second_day
+from retail_rows import SCHEMAS, all_days, at, customer, discount, first_day, frame, header, line, second_day
 
 from tidemark.operators.audit import AuditFailed
 from tidemark.operators.incremental import RunWindow
@@ -158,3 +158,32 @@ def test_failed_audit_moves_nothing(twice, spark):
     assert "fct_sales.customer_sk relationships: 1" in error.value.failures
     assert warehouse.roles() == roles
     assert live(warehouse, "fct_sales") == before
+
+
+def test_corrections_and_deletes_reach_the_marts(spark):
+    """Long after their lines: a tax, then a discount of an order change, then a customer is deleted."""
+    warehouse = Warehouse(spark, "w" + uuid.uuid4().hex[:8])
+    warehouse.create()
+    warehouse.load_raw("date_dimension", all_days(spark))
+    load(warehouse, first_day())
+    warehouse.run(RunWindow("2025-01-01", "2025-01-03"))
+
+    load(warehouse, {"transaction_headers": [header(1, tax=48) | {"date_modified": at("15")}]})
+    warehouse.run(RunWindow("2025-01-15", "2025-01-16"))
+    taxes = [r[1] for r in live(warehouse, "fct_sales", "transaction_id", "prorated_tax_amount") if r[0] == 1]
+    assert sum(taxes) == 48
+    totals = {r[0]: r[1:] for r in live(warehouse, "fct_transactions", "transaction_id", "total_tax_amount", "total_discount_amount")}
+    assert totals[1] == (48, 19)
+
+    load(warehouse, {
+        "transaction_discounts": [discount(2, 18, order=1) | {"date_modified": at("22")},
+                                  discount(3, 15, line_id=21) | {"date_modified": at("22")}],
+        "customers": [customer(2, "22", date_deleted=at("22", 9))],
+    })
+    warehouse.run(RunWindow("2025-01-22", "2025-01-23"))
+    totals = {r[0]: r[1:] for r in live(warehouse, "fct_transactions", "transaction_id", "total_tax_amount", "total_discount_amount")}
+    assert totals[1] == (48, 28)
+    assert totals[2] == (6, 15)
+    history = live(warehouse, "dim_customers_history", "customer_id", "valid_to_ts", "is_current_record")
+    assert history == [(1, None, True), (2, at("22", 9), False)]
+    assert live(warehouse, "dim_customers", "customer_id") == [(1,)]

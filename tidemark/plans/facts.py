@@ -174,10 +174,12 @@ def discount_keys(
         headers = rows_of_either(
             headers, "transaction_id", discounts.select("transaction_id"), lines.select("_line_order"))
     with_line = skew_join(discounts, lines, ["transaction_line_id"])
-    # A discount names its line or its order, never both: one lookup serves the two paths.
-    order = F.coalesce("_line_order", "transaction_id")
-    lookup = headers.withColumnRenamed("transaction_id", "_order")
-    return skew_join(with_line.withColumn("_order", order), lookup, ["_order"]).drop("_order", "_line_order")
+    # Each path has its own lookup: the line's order may be missing where the discount's own is there.
+    through_line = headers.toDF("_line_order", "_line_customer")
+    own = headers.toDF("transaction_id", "_own_customer")
+    found = skew_join(skew_join(with_line, through_line, ["_line_order"]), own, ["transaction_id"])
+    return found.withColumn("customer_id", F.coalesce("_line_customer", "_own_customer")).drop(
+        "_line_order", "_line_customer", "_own_customer")
 
 
 def discounts(
@@ -205,13 +207,15 @@ def discounts(
 
 def version_bridge(
     staged: DataFrame, left: DataFrame, right: DataFrame, left_name: str, right_name: str,
-    out: str, by_start: bool = False,
+    out: str, by_start: bool = False, keep_unmatched: bool = False,
 ) -> DataFrame:
     """Versions of both sides of a relation.
 
     A version matches when it began before the relation and outlived its last
     change, so a relation edited across a version boundary matches none. With
-    `by_start` only the start of the relation counts.
+    `by_start` only the start of the relation counts. `keep_unmatched` keys the
+    pairs without a version on both sides by their ids too: such pairs share
+    their null keys, and a table keyed by `out` alone would keep one of them.
     """
     until = None if by_start else "modified_at"
     pairs = staged
@@ -219,8 +223,12 @@ def version_bridge(
         key, sk = f"{name}_id", f"{name}_sk"
         pairs = pit_join(pairs, dim, [(key, key)], "added_at", {sk: sk}, until=until, counted=staged)
     left_sk, right_sk = f"{left_name}_sk", f"{right_name}_sk"
+    key = surrogate_key(left_sk, right_sk)
+    if keep_unmatched:
+        matched = F.col(left_sk).isNotNull() & F.col(right_sk).isNotNull()
+        key = F.when(matched, key).otherwise(surrogate_key(left_sk, right_sk, f"{left_name}_id", f"{right_name}_id"))
     return pairs.select(
-        surrogate_key(left_sk, right_sk).alias(out), left_sk, right_sk,
+        key.alias(out), left_sk, right_sk,
         F.col("added_at").alias("relationship_started_at"),
         F.col("modified_at").alias("relationship_modified_at"),
         F.col("removed_at").alias("relationship_ended_at"),

@@ -39,7 +39,7 @@ def order_totals(lines: DataFrame, line_discounts: DataFrame, order_discounts: D
     """Gross, discounts, tax and total per order; none of them below zero.
 
     Order discounts are an amount (FLAT) or a share (PERCENT, at most all) of
-    what the line discounts left.
+    what the line discounts left; another pool is an error.
     """
     gross = lines.groupBy("transaction_id").agg(F.sum(money("gross_line_total")).alias("gross_subtotal"))
     off_lines = line_discounts.groupBy("transaction_id").agg(F.sum(money("discount_amount")).alias("_off_lines"))
@@ -53,6 +53,9 @@ def order_totals(lines: DataFrame, line_discounts: DataFrame, order_discounts: D
     off_order = F.coalesce(
         F.when(F.col("discount_pool") == "FLAT", money("discount_value")).when(
             F.col("discount_pool") == "PERCENT", money(left_over * share)
+        ).when(
+            F.col("discount_pool").isNotNull(),
+            F.raise_error(F.concat(F.lit("unknown pool of an order discount: "), "discount_pool")).cast(MONEY),
         ),
         zero,
     )

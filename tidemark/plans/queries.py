@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,9 +146,12 @@ def ingest_run(s: Standins) -> DataFrame:
 def ingest_backfill(s: Standins) -> DataFrame:
     """One job over a range of days, read back by lake folder."""
     base = fresh_folder(s.spark, "lake")
+    lines = s.table("lineitem")
+    # The two bounds, as text: dates of the driver's zone would move them.
+    first, last = lines.agg(F.min("l_shipdate").cast("string"), F.max("l_shipdate").cast("string")).first()
+    low, high = (datetime.fromisoformat((d or "1970-01-01")[:10]) for d in (first, last))
     folder = extract.extract_range(
-        s.table("lineitem"), ExtractSpec("lineitem", "l_shipdate", "daily", "monthly"),
-        datetime(1995, 1, 1), datetime(2002, 1, 1), base,
+        lines, ExtractSpec("lineitem", "l_shipdate", "daily", "monthly"), low, high + timedelta(days=1), base,
     )
     lake = s.spark.read.parquet(folder)
     return lake.groupBy(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month")).agg(

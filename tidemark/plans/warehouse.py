@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, timedelta
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +19,10 @@ from tidemark.plans.entities import (
     SNAPSHOTS, history_dimension, stage_bridge, stage_entity, stage_event,
 )
 from tidemark.plans.publish import Roles, audit_and_publish, prepare_audit, read_roles
-from tidemark.session import in_parallel
+from tidemark.session import in_parallel, materialise
 from tidemark.sources.specs import LOADS
 from tidemark.sources.tables import (
-    TableSpec, append_rows, create_database, read_table, replace_table, table_exists, upsert,
+    TableSpec, append_rows, create_database, read_table, remove_keys, replace_table, table_exists, upsert,
 )
 
 LAYERS = {
@@ -57,6 +57,8 @@ class Warehouse:
     spark: SparkSession
     prefix: str = "retail"
     lookback_days: int = 3
+    # Whether a relation is matched to versions by its start alone; else by its last change too.
+    bridges_by_start: bool = True
 
     def db(self, layer: str) -> str:
         return f"{self.prefix}_{layer}"
@@ -137,22 +139,30 @@ class Warehouse:
         lines, headers, discounts = (
             self.staged(f"transaction_{kind}") for kind in ("lines", "headers", "discounts")
         )
+
+        def touched(rows: DataFrame) -> DataFrame:
+            return changed_rows(rows, "modified_at", window, existing, "modified_at", self.lookback_days)
+
+        stamp = ["transaction_id", "modified_at"]
+        off = touched(discounts)
+        # Order discounts have no line: they stay out of the join, where they would all meet.
+        off_lines = off.filter(F.col("transaction_line_id").isNotNull()).select(
+            "transaction_line_id", "modified_at"
+        ).join(lines.select("transaction_line_id", "transaction_id"), "transaction_line_id")
+        changes = reduce(
+            DataFrame.unionByName, [rows.select(*stamp) for rows in (touched(lines), touched(headers), off, off_lines)])
+        orders = changes.filter(F.col("transaction_id").isNotNull()).groupBy("transaction_id").agg(
+            F.max("modified_at").alias("changed_at"))
         changed = None
         if existing is not None:
-            def touched(rows: DataFrame) -> DataFrame:
-                return changed_rows(rows, "modified_at", window, existing, "modified_at", self.lookback_days)
-
-            line_discounts = touched(discounts).join(
-                lines.select("transaction_line_id", F.col("transaction_id").alias("_order")),
-                "transaction_line_id", "left",
-            )
-            changed = (
-                touched(lines).select("transaction_id")
-                .unionByName(touched(headers).select("transaction_id"))
-                .unionByName(line_discounts.select(F.coalesce("transaction_id", "_order").alias("transaction_id")))
-            )
+            orders = materialise(orders, "touched-orders")
+            changed = orders.select("transaction_id")
         # Lines of a touched order take part even if unchanged, so equal times replace.
-        upsert(facts.prorate_lines(lines, headers, discounts, changed), table, PREP)
+        # `changed_at` tells the facts of a header or discount that changed without its lines.
+        prorated = facts.prorate_lines(lines, headers, discounts, changed)
+        stamped = prorated.join(orders, "transaction_id", "left").select(
+            *prorated.columns, F.coalesce("changed_at", "modified_at").alias("changed_at"))
+        upsert(stamped, table, PREP)
 
     # Marts ------------------------------------------------------------------
 
@@ -174,12 +184,14 @@ class Warehouse:
     def _build_dimension(self, name: str, window: RunWindow, database: str) -> None:
         entity = ENTITIES[name]
         history, current = f"{database}.{HISTORY[name].name}", f"{database}.dim_{name}"
-        versions = history_dimension(self.staged(name), entity)
-        existing = self._existing(history)
-        changed = changed_rows(versions, "updated_at", window, existing, "updated_at", self.lookback_days)
+        versions = changed = history_dimension(self.staged(name), entity)
+        existing, keys = self._existing(history), None
         if existing is not None:
             # Closing a version leaves its change time alone: take all versions of a touched key.
-            keys = changed.select(entity.key).distinct()
+            # A deletion touches its key too, and shows only in the snapshot.
+            snapshot = read_table(self.spark, self._table("snapshots", name))
+            touched = changed_rows(snapshot, "scd_updated_at", window, existing, "updated_at", self.lookback_days)
+            keys = materialise(touched.select(entity.key).distinct(), "touched-keys")
             changed = versions.join(keys, entity.key, "left_semi").select(*versions.columns)
         upsert(changed, history, HISTORY[name])
         if not entity.current:
@@ -189,6 +201,9 @@ class Warehouse:
             rows = changed_rows(
                 rows, "updated_at", window, self._existing(current), "updated_at", self.lookback_days)
             upsert(rows, current, CURRENT[name])
+            if keys is not None:
+                present = current_rows(read_table(self.spark, history)).select(entity.key)
+                remove_keys(keys.join(present, entity.key, "left_anti"), current, CURRENT[name])
         else:
             replace_table(rows, current, CURRENT[name])
 
@@ -208,7 +223,7 @@ class Warehouse:
         def changed_orders(fact: str, target_at: str) -> DataFrame | None:
             if not table_exists(self.spark, f"{database}.{fact}"):
                 return None
-            return changed(prorated, fact, "modified_at", target_at).select("transaction_id").distinct()
+            return changed(prorated, fact, "changed_at", target_at).select("transaction_id").distinct()
 
         def line_fact(fact: str, plan: Callable[..., DataFrame]) -> None:
             orders, rows = changed_orders(fact, "source_modified_at"), prorated
@@ -249,7 +264,7 @@ class Warehouse:
         )
         pairs = facts.version_bridge(
             rows, dims["products"], dims[bridge.entity], "product",
-            ENTITIES[bridge.entity].singular, bridge.sk,
+            ENTITIES[bridge.entity].singular, bridge.sk, self.bridges_by_start, keep_unmatched=True,
         )
         upsert(pairs, table, BRIDGE_TABLES[bridge.mart])
 

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import lake_columns, window_bounds
+from tidemark.functions.dates import key_bounds, lake_columns, window_bounds
 from tidemark.operators.latest import latest_per_key
 from tidemark.sources.specs import ExtractSpec
 
@@ -77,34 +77,55 @@ def extract_run(df: DataFrame, spec: ExtractSpec, run_key: str, base: str) -> Ex
     return Extracted(spec.table, run_key, folder, counted.get["rows"])
 
 
-def extract_range(df: DataFrame, spec: ExtractSpec, start: datetime, end: datetime, base: str) -> str:
-    """Backfill [start, end) in one job, each row below its own day, week or month.
+def extract_range(
+    df: DataFrame, spec: ExtractSpec, start: datetime, end: datetime, base: str, manifest: str | None = None
+) -> str:
+    """Backfill [start, end) in one job, each row in the folder of its own run.
 
-    Rows are ranged by layout level and time, so that a heavy day is written by
-    several tasks and a light one does not leave a file per task.
+    Both bounds have to be starts of runs. The folders of runs with rows are
+    replaced, so a range can be extracted again, after or before single runs; a
+    run that has no rows any more keeps its folder. With `manifest`, each run is
+    recorded there, so that its load can find it. Rows are ranged by folder and
+    time: a heavy day is written by several tasks, a light one by one.
     """
+    label = "%Y-%m-%d-%H:%M" if spec.grain == "hourly" else "%Y-%m-%d"
+    for bound in (start, end):
+        if window_bounds(bound.strftime(label), spec.grain)[0] != bound:
+            raise ValueError(f"{bound} is not the start of a {spec.grain} run")
     columns = None if spec.load_all_columns else list(spec.columns) or None
-    rows = window_extract(df, spec.date_field, start, end, columns)
-    levels = lake_columns(spec.date_field, spec.lake_layout)
-    padded = {
+    rows = window_extract(df, spec.date_field, start, end)
+    begin, _ = key_bounds(spec.date_field, spec.grain)
+    levels = {
         name: column.cast("string") if name == "year" else F.lpad(column.cast("string"), 2, "0")
-        for name, column in levels.items()
+        for name, column in lake_columns(begin, spec.lake_layout).items()
     }
+    run = ("MMdd" if spec.lake_layout in ("weekly", "monthly") else "") + ("HH" if spec.grain == "hourly" else "")
+    if run:
+        levels["run"] = F.date_format(begin, run)
+    folder = f"{base.rstrip('/')}/{spec.table}"
+    chosen = chosen_columns(df, columns) if columns else df.columns
+    placed = rows.withColumns(levels).repartitionByRange(*levels, spec.date_field, F.xxhash64(*chosen))
     writer = (
-        rows.withColumns(padded)
-        .repartitionByRange(*padded, spec.date_field, F.xxhash64(*rows.columns))
-        .write.mode("append").partitionBy(*padded).option("compression", spec.codec)
+        placed.select(*chosen, *levels).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*levels).option("compression", spec.codec)
     )
     if spec.chunk_size:
         writer = writer.option("maxRecordsPerFile", spec.chunk_size)
-    folder = f"{base.rstrip('/')}/{spec.table}"
     writer.parquet(folder)
+    if manifest:
+        parts = F.concat_ws("/", F.lit(folder), *[F.concat(F.lit(f"{name}="), value) for name, value in levels.items()])
+        key = F.date_format(begin, "yyyy-MM-dd-HH:mm" if spec.grain == "hourly" else "yyyy-MM-dd")
+        runs = rows.groupBy(key.alias("run_key"), parts.alias("folder")).agg(F.count(F.lit(1)).alias("row_count"))
+        runs.select(
+            F.lit(spec.table).alias("table_name"), "run_key", "folder", "row_count",
+            F.current_timestamp().alias("written_at"),
+        ).write.mode("append").parquet(manifest)
     return folder
 
 
 def record_run(spark: SparkSession, manifest: str, extracted: Extracted) -> None:
     """Append what a run wrote to the manifest folder."""
-    row = (extracted.table, extracted.run_key, extracted.folder, extracted.row_count, datetime.now())
+    row = (extracted.table, extracted.run_key, extracted.folder, extracted.row_count, datetime.now(timezone.utc))
     spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(manifest)
 
 

@@ -274,6 +274,27 @@ def upsert(df: DataFrame, table: str, spec: TableSpec, newer_wins: bool = True)
     _point(spark, table, spec.part, written, set(affected) - set(written))
 
 
+def remove_keys(gone: DataFrame, table: str, spec: TableSpec) -> None:
+    """Remove the rows of `table` with a key of `gone`; only partitions that hold one are rewritten."""
+    spark, keys = gone.sparkSession, list(spec.keys)
+    existing = spark.table(table)
+    columns = [c for c in existing.columns if c != spec.part]
+    gone = materialise(gone.select(*keys).distinct(), table + "-gone")
+    if gone.isEmpty():
+        return
+    if not spec.partition_field:
+        replace_table(existing.select(*columns).join(gone, keys, "left_anti").select(*columns), table, spec)
+        return
+    affected = _values(existing.join(gone, keys, "left_semi"), spec.part)
+    if not affected:
+        return
+    rest = existing.filter(F.col(spec.part).isin(affected)).join(gone, keys, "left_anti")
+    folder = fresh_folder(spark, table)
+    _write(rest.select(*columns), spec, folder)
+    written = _child_folders(spark, folder)
+    _point(spark, table, spec.part, written, set(affected) - set(written))
+
+
 def _accepted(batch: DataFrame, held: DataFrame, spec: TableSpec, newer_wins: bool) -> DataFrame:
     """Batch rows that are not older than the row they would replace."""
     if not (newer_wins and spec.updated_at):
