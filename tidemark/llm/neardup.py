@@ -6,15 +6,23 @@ collections * collections tables need only 2 * collections * hashes minhashes:
 about a square root of what as many plain bands would compute. Two sets of
 similarity s meet in some table with probability (1 - (1 - s^hashes)^collections)^2,
 for the defaults 0.9997 at s = 0.75 and above 0.9999 from 0.78 on.
+
+Most pairs that meet are not similar enough. Before full sets are moved to
+confirm a pair, both sides' `bins` are compared: the least hash of a set in each
+of 256 ranges of the hash space, three bits of each. The bins filled by either
+set are a uniform draw without replacement from the union, so equal ones are
+hypergeometric; a pair is let go only when they are DEVIATIONS standard
+deviations below what the wanted similarity gives (3 of a million pairs at it).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
@@ -23,6 +31,7 @@ from tidemark.session import materialise
 
 SHINGLE = 5
 COLLECTIONS, HASHES = 16, 3
+BINS, PLANES, DEVIATIONS = 256, 4, 4.5
 
 
 def shingle_sets(batch: Batch, size: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -50,14 +59,49 @@ def minhashes(sets: list[np.ndarray], n: int) -> np.ndarray:
     return out
 
 
+def bin_words(sets: list[np.ndarray]) -> np.ndarray:
+    """Bins of each set as four planes of bits: whether filled, then three bits of the least hash."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    hashes = mix(np.concatenate(sets), 21)
+    order = np.lexsort((hashes, owner))
+    owner, hashes = owner[order], hashes[order]
+    place = owner * BINS + (hashes >> np.uint64(56)).astype(np.int64)
+    least = np.concatenate(([True], place[1:] != place[:-1]))
+    bins = np.zeros(len(sets) * BINS, np.uint8)
+    bins[place[least]] = (hashes[least] & np.uint64(7)).astype(np.uint8) * 2 + 1
+    bins = bins.reshape(len(sets), 1, BINS)
+    planes = np.concatenate([bins >> k & 1 for k in range(PLANES)], axis=1)
+    return np.packbits(planes, axis=2, bitorder="little").reshape(len(sets), -1).view(np.uint64)
+
+
+def may_link(x: str, y: str, n_x: str, n_y: str, percent: int) -> Column:
+    """False where sizes or bins rule out that two sets are similar enough."""
+    words = BINS // 64
+
+    def counted(parts: list[Column]) -> Column:
+        return reduce(Column.__add__, [F.bit_count(part) for part in parts])
+
+    def differing(k: int) -> Column:
+        return reduce(Column.bitwiseOR, [F.col(x)[p * words + k].bitwiseXOR(F.col(y)[p * words + k]) for p in range(PLANES)])
+
+    either = counted([F.col(x)[k].bitwiseOR(F.col(y)[k]) for k in range(words)])
+    unlike = counted([differing(k) for k in range(words)])
+    p = percent / 100
+    union = (F.col(n_x) + F.col(n_y)) / F.lit(1 + p)
+    left = F.greatest(union - either, F.lit(0.0)) / F.greatest(union - 1, F.lit(1.0))
+    enough = p * either - DEVIATIONS * F.sqrt(either * F.lit(p * (1 - p)) * left) - 1
+    return (100 * F.least(n_x, n_y) >= percent * F.greatest(n_x, n_y)) & (either - unlike >= enough)
+
+
 def _sketcher(collections: int, hashes: int, size: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches, most=1 << 20):
             sets = list(shingle_sets(batch_of(rows["text"]), size))
             full = [k for k, s in enumerate(sets) if len(s)]
             both = np.zeros((len(sets), 2 * collections), np.uint64)
-            prints = np.zeros((len(sets), 2), np.uint64)
+            prints, bins = np.zeros((len(sets), 2), np.uint64), np.zeros((len(sets), BINS * PLANES // 64), np.uint64)
             if full:
+                bins[full] = bin_words([sets[k] for k in full])
                 low = minhashes([sets[k] for k in full], 2 * collections * hashes)
                 low = low.reshape(len(full), 2 * collections, hashes)
                 keys = mix(low[:, :, 0], 3)
@@ -67,11 +111,15 @@ def _sketcher(collections: int, hashes: int, size: int):
                 for k in full:
                     prints[k] = mix(sets[k], 11).sum(dtype=np.uint64), mix(sets[k], 12).sum(dtype=np.uint64)
             both, prints = both.view(np.int64), prints.view(np.int64)
-            half = lambda part: pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(part).ravel()), collections).cast(pa.list_(pa.int64()))
+
+            def lists(part: np.ndarray) -> pa.Array:
+                flat = pa.array(np.ascontiguousarray(part).ravel())
+                return pa.FixedSizeListArray.from_arrays(flat, part.shape[1]).cast(pa.list_(pa.int64()))
+
             yield pa.RecordBatch.from_arrays(
                 [rows["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array(prints[:, 0]), pa.array(prints[:, 1]),
-                 half(both[:, :collections]), half(both[:, collections:])],
-                ["doc_id", "n_shingles", "print_a", "print_b", "u", "v"],
+                 lists(both[:, :collections]), lists(both[:, collections:]), lists(bins.view(np.int64))],
+                ["doc_id", "n_shingles", "print_a", "print_b", "u", "v", "bins"],
             )
 
     return sketch
@@ -117,8 +165,8 @@ def near_duplicates(
     the smallest class of its key; what that links forms groups. Then, within a
     key, classes of *different* groups are held against each other, so no pair
     that shares a key and could still join two groups stays unlooked at, while
-    the members of a large group don't meet in pairs. A pair is a link if its
-    full sets say so. Sketches that no other class has are dropped before keys
+    the members of a large group don't meet in pairs. A pair that the bins don't
+    rule out is a link if its full sets say so. Sketches that no other class has are dropped before keys
     are paired.
 
     Texts that are null, empty or white space have no shingles and stay alone.
@@ -129,12 +177,12 @@ def near_duplicates(
     spark = docs.sparkSession
     rows = text_rows(docs, "doc_id", "text").mapInArrow(
         _sketcher(collections, hashes, size),
-        "doc_id long, n_shingles long, print_a long, print_b long, u array<long>, v array<long>",
+        "doc_id long, n_shingles long, print_a long, print_b long, u array<long>, v array<long>, bins array<long>",
     )
     rows = materialise(rows, "sketches")
     named = rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
     prints = ["n_shingles", "print_a", "print_b"]
-    classes = named.groupBy(*prints).agg(F.min("doc_id").alias("node"), F.first("u").alias("u"), F.first("v").alias("v"))
+    classes = named.groupBy(*prints).agg(F.min("doc_id").alias("node"), *[F.first(c).alias(c) for c in ("u", "v", "bins")])
     classes = materialise(classes, "classes")
 
     sides = materialise(_shared(classes, "u", collections).join(_shared(classes, "v", collections), "node"), "sides")
@@ -146,15 +194,12 @@ def near_duplicates(
     )
     tables = keys.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1")
     keys = materialise(keys.join(tables.select("key", "least"), "key"), "keys")
-    sizes = classes.select("node", "n_shingles")
-
-    def fits(a: str, b: str):
-        return (100 * F.least(a, b) >= percent * F.greatest(a, b))
-
+    sizes = classes.select("node", "n_shingles", "bins")
+    of_a = sizes.toDF("a", "of_a", "bins_a")
     stars = (
-        keys.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"), "n_shingles").distinct()
-        .join(sizes.select(F.col("node").alias("a"), F.col("n_shingles").alias("of_a")), "a")
-        .filter(fits("n_shingles", "of_a")).select("a", "b")
+        keys.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+        .join(of_a, "a").join(sizes.toDF("b", "of_b", "bins_b"), "b")
+        .filter(may_link("bins_a", "bins_b", "of_a", "of_b", percent)).select("a", "b")
     )
     stars = materialise(stars, "stars")
     links = materialise(_confirmed(stars, docs, percent, size), "links")
@@ -165,16 +210,20 @@ def near_duplicates(
     grouped = keys.join(groups, "node", "left").select("key", "i", "j", "node", "n_shingles", F.coalesce("component", "node").alias("group"))
     mixed = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high").select("key")
     # Two classes share a table for each pair of their common sketches: the first of each collection speaks for all.
-    sketches = classes.select("node", "u", "v")
+    upper = lambda part: F.transform(part, lambda x: F.shiftright(x, 32).cast("int")).alias(part)
+    sketches = classes.select("node", upper("u"), upper("v"), "bins")
     open_keys = materialise(grouped.join(mixed, "key", "left_semi").join(sketches, "node"), "open")
-    one = open_keys.select("key", "i", "j", F.col("node").alias("a"), F.col("n_shingles").alias("of_a"), F.col("group").alias("g"), F.col("u").alias("ua"), F.col("v").alias("va"))
-    other = open_keys.select("key", F.col("node").alias("b"), F.col("n_shingles").alias("of_b"), F.col("group").alias("h"), F.col("u").alias("ub"), F.col("v").alias("vb"))
+    names = ["n_shingles", "group", "u", "v", "bins"]
+    one = open_keys.select("key", "i", "j", F.col("node").alias("a"), *[F.col(c).alias(f"{c}_a") for c in names])
+    other = open_keys.select(F.col("key").alias("key_b"), F.col("node").alias("b"), *[F.col(c).alias(f"{c}_b") for c in names])
 
     def first_common(x: str, y: str):
         return F.array_position(F.zip_with(x, y, lambda p, q: p == q), True) - 1
 
-    new = (F.col("g") < F.col("h")) & fits("of_a", "of_b") & (F.col("i") == first_common("ua", "ub")) & (F.col("j") == first_common("va", "vb"))
-    rest = one.join(other, (one["key"] == other["key"]) & new).select(
+    similar = may_link("bins_a", "bins_b", "n_shingles_a", "n_shingles_b", percent)
+    first = (F.col("i") == first_common("u_a", "u_b")) & (F.col("j") == first_common("v_a", "v_b"))
+    new = (F.col("key") == F.col("key_b")) & (F.col("group_a") < F.col("group_b")) & similar & first
+    rest = one.join(other, new).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     ).distinct().join(stars, ["a", "b"], "left_anti")
     rest = materialise(rest, "pairs")
