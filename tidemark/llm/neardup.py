@@ -143,7 +143,8 @@ def _shared(rows: DataFrame, side: str, collections: int) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
     """Those of `pairs` (a, b) whose full sets are similar enough."""
-    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    # Written first: Spark then knows the size of the ids, and moves no texts where it can broadcast them.
+    ends = materialise(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ends")
     wanted = text_rows(docs, "doc_id", "text").join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     sets = materialise(wanted.mapInArrow(_set_reader(size), "doc_id long, shingles array<long>"), "sets")
     common = F.size(F.array_intersect("x", "y"))
