@@ -13,8 +13,8 @@ from tidemark.operators.skew import SkewPolicy  # noqa: E402
 from tidemark.session import configure  # noqa: E402
 from tidemark.sources.tables import create_database  # noqa: E402
 
-# Treats every input as large and every key with a few rows as hot.
-FORCED = SkewPolicy(min_bytes=0, shares=20, min_rows=3)
+# Treats every key with a few rows as hot.
+FORCED = SkewPolicy(shares=20, min_rows=3)
 
 
 @pytest.fixture(scope="session")

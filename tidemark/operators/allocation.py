@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.measures import MONEY, money, safe_ratio
-from tidemark.operators.skew import SkewPolicy, skew_join
 
 
 def total_by(df: DataFrame, keys: list[str], amount: str, out: str) -> DataFrame:
@@ -21,7 +20,6 @@ def allocate(
     weight: str,
     amounts: dict[str, str],
     keep: list[str] | None = None,
-    policy: SkewPolicy | None = None,
 ) -> DataFrame:
     """Give every line its share `weight / sum(weight)` of its order's amounts.
 
@@ -29,19 +27,13 @@ def allocate(
     names, `keep` names columns of it to carry along. Where the weights of an
     order sum to zero the shares are zero.
 
-    Large inputs are summed per order with partial sums, joined with the order
-    amounts at order grain, and the lines meet the result in a single join that
-    splits heavy orders. Where a task can hold any order, its lines are summed
-    by a window instead, so that they are read and shuffled only once.
+    Lines are summed per order with partial sums, joined with the order amounts
+    at order grain, and meet the result in a single join, whose heavy orders
+    Spark splits. No task has to hold the lines of an order.
     """
-    policy = policy or SkewPolicy.of(lines.sparkSession)
     facts = orders.select(*keys, *amounts, *(keep or []))
-    if policy.applies(lines):
-        sums = lines.groupBy(*keys).agg(F.sum(money(weight)).alias("_weights"))
-        joined = skew_join(lines, sums.join(facts, keys, "left"), keys, "left", policy)
-    else:
-        total = F.sum(money(weight)).over(Window.partitionBy(*keys))
-        joined = lines.withColumn("_weights", total).join(facts, keys, "left")
+    sums = lines.groupBy(*keys).agg(F.sum(money(weight)).alias("_weights"))
+    joined = lines.join(sums.join(facts, keys, "left"), keys, "left")
     share = safe_ratio(weight, "_weights")
     allocated: dict[str, Column] = {
         out: F.coalesce(money(share * F.coalesce(F.col(name).cast("double"), F.lit(0.0))), F.lit(0).cast(MONEY))

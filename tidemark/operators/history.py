@@ -2,70 +2,47 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import version_key
-from tidemark.operators.latest import latest_per_key, tie_order
-from tidemark.operators.skew import SkewPolicy, hot_keys
+from tidemark.operators.latest import latest_per_key
 
 SCD_COLUMNS = ["scd_id", "valid_from", "valid_to", "scd_updated_at"]
 
 
-def chain_versions(
-    versions: DataFrame, keys: list[str], at: str, until: str, policy: SkewPolicy | None = None
-) -> DataFrame:
+def chain_versions(versions: DataFrame, keys: list[str], at: str, until: str) -> DataFrame:
     """Set `until` to the `at` of the next version of the same key.
 
-    Needs distinct (keys, at). The versions of a hot key are chained day by day;
-    the last one of a day takes the first of the key's next day with any.
+    Needs distinct (keys, at). Versions are chained day by day, and the last one
+    of a day takes the first of the key's next day with any. So a task holds the
+    versions of one key and day, or one row per day of a key: the calendar
+    bounds that, not the rows.
     """
-    policy = policy or SkewPolicy.of(versions.sparkSession)
-    if not policy.applies(versions):
-        window = Window.partitionBy(*keys).orderBy(at)
-        return versions.withColumn(until, F.lead(at).over(window))
-    hot = hot_keys(versions, keys, policy)
-    marked = (
-        versions.join(F.broadcast(hot), keys, "left")
-        .withColumn("_day", F.when(F.col("_salts").isNotNull(), F.to_date(at)))
-        .drop("_salts")
-    )
-    # One row per day of a hot key: bounded by the calendar, not by the rows.
-    first_of_day = (
-        marked.filter(F.col("_day").isNotNull()).groupBy(*keys, "_day").agg(F.min(at).alias("_first"))
-    )
+    names = [c for c in versions.columns if c != until]
+    dated = versions.select(*names, F.to_date(at).alias("_day"))
     days = Window.partitionBy(*keys).orderBy("_day")
-    following = first_of_day.select(*keys, "_day", F.lead("_first").over(days).alias("_following"))
+    following = dated.groupBy(*keys, "_day").agg(F.min(at).alias("_first")).select(
+        *[F.col(k).alias(f"_same_{k}") for k in keys], F.col("_day").alias("_same_day"),
+        F.lead("_first").over(days).alias("_following"),
+    )
     within_day = Window.partitionBy(*keys, "_day").orderBy(at)
+    same = [F.col(k).eqNullSafe(F.col(f"_same_{k}")) for k in keys]
     return (
-        marked.withColumn(until, F.lead(at).over(within_day))
-        .join(following, [*keys, "_day"], "left")
-        .withColumn(until, F.coalesce(until, "_following"))
-        .select(*[c for c in versions.columns if c != until], until)
+        dated.withColumn(until, F.lead(at).over(within_day))
+        .join(following, reduce(Column.__and__, [*same, F.col("_day").eqNullSafe(F.col("_same_day"))]), "left")
+        .select(*names, F.coalesce(until, "_following").alias(until))
     )
 
 
 def build_history(
-    changes: DataFrame,
-    keys: list[str],
-    updated_at: str,
-    ties: list[str] | None = None,
-    policy: SkewPolicy | None = None,
+    changes: DataFrame, keys: list[str], updated_at: str, ties: list[str] | None = None
 ) -> DataFrame:
     """Full history from a complete feed of changes: one version per change time."""
     dated = changes.filter(F.col(updated_at).isNotNull())
-    policy = policy or SkewPolicy.of(changes.sparkSession)
-    if policy.applies(changes):
-        versions = latest_per_key(dated, [*keys, updated_at], updated_at, ties)
-        return with_scd_columns(versions, keys, updated_at, policy)
-    # One window both thins and chains: the last row of a change time is the one
-    # whose next row is later, and that next row's time is where it ends.
-    order = [F.col(updated_at).asc(), *tie_order(dated, {*keys, updated_at}, ties)]
-    window = Window.partitionBy(*keys).orderBy(*order)
-    following = dated.withColumn("valid_to", F.lead(updated_at).over(window)).filter(
-        F.col("valid_to").isNull() | (F.col("valid_to") > F.col(updated_at))
-    )
-    return following.withColumns(_scd(keys, updated_at)).select(*changes.columns, *SCD_COLUMNS)
+    return with_scd_columns(latest_per_key(dated, [*keys, updated_at], updated_at, ties), keys, updated_at)
 
 
 def _scd(keys: list[str], updated_at: str) -> dict[str, Column]:
@@ -76,11 +53,9 @@ def _scd(keys: list[str], updated_at: str) -> dict[str, Column]:
     }
 
 
-def with_scd_columns(
-    versions: DataFrame, keys: list[str], updated_at: str, policy: SkewPolicy | None = None
-) -> DataFrame:
+def with_scd_columns(versions: DataFrame, keys: list[str], updated_at: str) -> DataFrame:
     named = versions.withColumns(_scd(keys, updated_at))
-    chained = chain_versions(named, keys, "valid_from", "valid_to", policy)
+    chained = chain_versions(named, keys, "valid_from", "valid_to")
     return chained.select(*versions.columns, *SCD_COLUMNS)
 
 
@@ -90,12 +65,11 @@ def history_changes(
     keys: list[str],
     updated_at: str,
     ties: list[str] | None = None,
-    policy: SkewPolicy | None = None,
 ) -> DataFrame:
     """Rows to upsert into `history` by `scd_id` so that it covers `batch`.
 
     Only rows newer than the open version of their key count. Returned are the
-    new versions and the open version they close; closed history is not read.
+    new versions and the open version they close.
     """
     attributes = [c for c in history.columns if c not in SCD_COLUMNS]
     dated = batch.select(*attributes).filter(F.col(updated_at).isNotNull())
@@ -109,7 +83,7 @@ def history_changes(
     )
     touched = opened.select(*attributes).join(fresh.select(*keys).distinct(), keys, "left_semi")
     rows = touched.select(*attributes).unionByName(fresh.select(*attributes))
-    return with_scd_columns(rows, keys, updated_at, policy).select(*history.columns)
+    return with_scd_columns(rows, keys, updated_at).select(*history.columns)
 
 
 def current_rows(history: DataFrame, flag: str = "is_current_record") -> DataFrame:

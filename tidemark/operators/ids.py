@@ -5,24 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import SkewPolicy
 from tidemark.session import settle
 
 
-def dense_ids(
-    df: DataFrame, order: list[str], out: str, start: int = 1, policy: SkewPolicy | None = None
-) -> DataFrame:
+def dense_ids(df: DataFrame, order: list[str], out: str, start: int = 1) -> DataFrame:
     """Number the rows from `start` in the given order; `order` has to be unique.
 
-    Small inputs are numbered by one window. Large ones are range-partitioned:
-    each partition numbers its own rows and adds the sizes of those before it.
+    Rows are range-partitioned: each partition numbers its own rows and adds the
+    sizes of those before it.
     The partitioned rows are checkpointed in between, because sampled range
     bounds need not be the same when a plan is run twice.
     """
-    policy = policy or SkewPolicy.of(df.sparkSession)
-    if not policy.applies(df):
-        rank = F.row_number().over(Window.orderBy(*order)).cast("long")
-        return df.withColumn(out, rank + F.lit(start - 1))
     within_task = F.lit((1 << 33) - 1)
     ranged = settle(
         df.repartitionByRange(*order)

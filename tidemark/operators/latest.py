@@ -15,11 +15,6 @@ def _tie_breakers(df: DataFrame, used: set[str], ties: list[str] | None) -> list
     return [f.name for f in df.schema if f.name not in used and not isinstance(f.dataType, _UNORDERED)]
 
 
-def tie_order(df: DataFrame, used: set[str], ties: list[str] | None) -> list[Column]:
-    """Ascending order in which the row that wins a tie comes last."""
-    return [F.col(c).asc_nulls_first() for c in _tie_breakers(df, used, ties)]
-
-
 def latest_per_key(
     df: DataFrame, keys: list[str], updated_at: str, ties: list[str] | None = None
 ) -> DataFrame:

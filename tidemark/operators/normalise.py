@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import uuid_v5
 from tidemark.functions.text import strip_chars
 from tidemark.operators.ids import dense_ids
-from tidemark.operators.skew import skew_join
 
 
 def exploded_items(
@@ -48,4 +47,4 @@ def dimension_of(items: DataFrame, name: str, id_column: str, namespace: uuid.UU
 def bridge_of(items: DataFrame, dimension: DataFrame, key: str, name: str, id_column: str) -> DataFrame:
     """Pairs of owner and dimension id, looked up by name."""
     lookup = dimension.select(name, id_column)
-    return skew_join(items, lookup, [name], "inner").select(key, id_column)
+    return items.join(lookup, name).select(key, id_column)

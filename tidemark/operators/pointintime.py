@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.measures import or_unknown
 from tidemark.operators.skew import SkewPolicy, fits_broadcast, hot_keys, repeated, salted
+from tidemark.session import materialise
 
 OPEN_END = "9999-12-31 00:00:00"
 # Block of all rows of keys that are not hot, and of hot rows no single day can hold.
@@ -55,7 +56,7 @@ def pit_join(
     until = until or at
     match = [F.col(fact) == F.col(key) for key, (fact, _) in zip(keys, on, strict=True)]
     policy = policy or SkewPolicy.of(facts.sparkSession)
-    if skew and policy.applies(facts) and not fits_broadcast(right):
+    if skew and not fits_broadcast(right):
         left, right = _by_day(
             facts, counted or facts, right, [fact for fact, _ in on], keys, at, until, policy)
         match += [F.col("_day") == F.col("_version_day"), F.col("_salt") == F.col("_version_salt")]
@@ -94,8 +95,7 @@ def _by_day(
             {**dict(zip(fact_keys, keys, strict=True)), "_day": "_version_day"}
         )
 
-    first = counted.agg(F.min(F.to_date(at))).scalar()
-    last = counted.agg(F.max(F.to_date(at))).scalar()
+    first, last = (F.lit(day) for day in counted.agg(F.min(F.to_date(at)), F.max(F.to_date(at))).first())
     start, end = F.greatest(F.to_date("_from"), first), F.least(F.to_date("_to"), last)
     covered = F.when(start <= end, F.sequence(start, end))
     days = F.when(
@@ -115,6 +115,9 @@ def pit_keys(
     facts: DataFrame, lookups: list[dict], at: str, unknown: bool = True
 ) -> DataFrame:
     """Several point-in-time lookups one after another, each adding one key."""
+    if not all(fits_broadcast(lookup["versions"]) for lookup in lookups):
+        # Keys are then counted for each lookup: from the facts as written, not computed again.
+        facts = materialise(facts, "facts")
     counted = facts
     for lookup in lookups:
         facts = pit_join(

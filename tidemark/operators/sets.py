@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import skew_join
-
 
 def union_distinct(*frames: DataFrame) -> DataFrame:
     result = frames[0]
@@ -17,10 +15,10 @@ def union_distinct(*frames: DataFrame) -> DataFrame:
 
 def rows_of(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key is in `keys`."""
-    return skew_join(df, keys.select(*on).distinct(), on, "left_semi")
+    return df.join(keys.select(*on).distinct(), on, "left_semi")
 
 
 def rows_of_either(df: DataFrame, on: str, *sources: DataFrame) -> DataFrame:
     """Rows whose key is in any of the one-column sources."""
     keys = union_distinct(*[s.select(F.col(s.columns[0]).alias(on)) for s in sources])
-    return skew_join(df, keys, [on], "left_semi")
+    return df.join(keys, on, "left_semi")

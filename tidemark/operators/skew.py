@@ -1,11 +1,14 @@
-"""Joins that stay balanced when one key holds a large share of all rows.
-
-A key is *hot* when it holds more than 1/`shares` of the rows, so there are at
-most `shares` hot keys whatever the size of the input: a list of them is safe
-to broadcast. Each hot key gets salts in proportion to its rows, and the other
-side is repeated for hot keys only, at most 2 x `shares` times in all for a
-side with one row per key. Inputs whose Catalyst size estimate is below
-`min_bytes` skip the treatment: a single task can hold a whole key of them.
+"""Hot keys: keys that hold a large share of all rows.
+
+Equi joins and sums need nothing of this: Spark splits the partition of a hot
+key at run time (`session.SETTINGS` allows it even where that costs an exchange)
+and sums in part before it shuffles. A join by key *and* range does, as its work
+on a key is the product of both sides (`pointintime`).
+
+A key is hot when it holds more than 1/`shares` of the rows, so there are at
+most `shares` hot keys whatever the size of the input: a list of them is safe to
+broadcast. Each hot key gets salts in proportion to its rows, and the other side
+is repeated for hot keys only.
 """
 
 from __future__ import annotations
@@ -16,10 +19,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import materialise
+
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    min_bytes: int = 4 << 30
     shares: int = 100_000
     min_rows: int = 1_000_000
 
@@ -28,14 +32,7 @@ class SkewPolicy:
         def setting(name: str, default: int) -> int:
             return int(spark.conf.get(f"spark.tidemark.skew.{name}", str(default)))
 
-        return cls(
-            setting("minBytes", cls.min_bytes),
-            setting("shares", cls.shares),
-            setting("minRows", cls.min_rows),
-        )
-
-    def applies(self, df: DataFrame) -> bool:
-        return estimated_bytes(df) >= self.min_bytes
+        return cls(setting("shares", cls.shares), setting("minRows", cls.min_rows))
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -51,15 +48,17 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def hot_keys(df: DataFrame, keys: list[str], policy: SkewPolicy, salts: str = "_salts") -> DataFrame:
-    """The hot keys of `df` and the number of salts each one deserves."""
+    """The hot keys of `df` and the number of salts each one deserves, written once:
+    plans that use the list again read it, and don't count again."""
     known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
     counts = df.filter(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     share = counts.agg(
         F.greatest(F.sum("_rows") / F.lit(policy.shares), F.lit(policy.min_rows)).alias("_share")
     ).scalar()
-    return counts.filter(F.col("_rows") > share).select(
+    hot = counts.filter(F.col("_rows") > share).select(
         *keys, F.ceil(F.col("_rows") / share).cast("int").alias(salts)
     )
+    return materialise(hot, "hot-keys")
 
 
 def spread(columns: list[str], parts: Column) -> Column:
@@ -91,28 +90,3 @@ def repeated(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
         .drop("_salts")
     )
-
-
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str = "left",
-    policy: SkewPolicy | None = None,
-) -> DataFrame:
-    """Equi join whose left side may be dominated by few keys.
-
-    `how` is inner, left, left_semi or left_anti: kinds that decide per left row.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"cannot salt a {how!r} join")
-    policy = policy or SkewPolicy.of(left.sparkSession)
-    if not policy.applies(left) or fits_broadcast(right):
-        return left.join(right, keys, how)
-    order = left.columns
-    hot = hot_keys(left, keys, policy)
-    joined = salted(left, hot, keys, policy.shares).join(
-        repeated(right, hot, keys), [*keys, "_salt"], how
-    )
-    extra = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
-    return joined.select(*order, *extra)

@@ -11,7 +11,6 @@ from tidemark.operators.allocation import allocate, total_by
 from tidemark.operators.incremental import all_rows_of_changed
 from tidemark.operators.pointintime import date_key, pit_join, pit_keys
 from tidemark.operators.sets import rows_of, rows_of_either
-from tidemark.operators.skew import skew_join
 
 MEASURES = [
     "gross_line_total", "line_discount_amount", "prorated_discount_amount", "total_discount_amount",
@@ -173,11 +172,11 @@ def discount_keys(
         lines = rows_of(lines, discounts, ["transaction_line_id"])
         headers = rows_of_either(
             headers, "transaction_id", discounts.select("transaction_id"), lines.select("_line_order"))
-    with_line = skew_join(discounts, lines, ["transaction_line_id"])
+    with_line = discounts.join(lines, "transaction_line_id", "left")
     # Each path has its own lookup: the line's order may be missing where the discount's own is there.
     through_line = headers.toDF("_line_order", "_line_customer")
     own = headers.toDF("transaction_id", "_own_customer")
-    found = skew_join(skew_join(with_line, through_line, ["_line_order"]), own, ["transaction_id"])
+    found = with_line.join(through_line, "_line_order", "left").join(own, "transaction_id", "left")
     return found.withColumn("customer_id", F.coalesce("_line_customer", "_own_customer")).drop(
         "_line_order", "_line_customer", "_own_customer")
 

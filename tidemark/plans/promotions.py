@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.measures import MONEY, money
 from tidemark.operators.latest import first_per_key
 from tidemark.operators.sets import union_distinct
-from tidemark.operators.skew import skew_join
 
 TAX_RATE = "0.12"
 
@@ -18,7 +17,7 @@ def eligible_products(
 ) -> DataFrame:
     """Products in a promotion group, through a category or directly."""
     by_category = groups.filter(F.col("group_type") == "Category").select("category_id", "promotion_group_id")
-    through = skew_join(categories_products, by_category, ["category_id"], "inner")
+    through = categories_products.join(by_category, "category_id")
     return union_distinct(
         through.select("product_id", "promotion_group_id"),
         groups_products.select("product_id", "promotion_group_id"),

@@ -7,6 +7,7 @@ return if its flag says so. Repeated line numbers are re-deliveries of a line.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tidemark.operators.calendar import date_dimension
 from tidemark.operators.history import build_history
 from tidemark.plans import facts
 from tidemark.plans.entities import stage_bridge, stage_event
+from tidemark.session import in_parallel, materialise
 
 LINE_TIES = ["product_id", "supplier_id"]
 DISCOUNT_TIES = ["promotion_id", "discount_amount"]
@@ -189,11 +191,14 @@ class Standins:
             "payment_types": ("payment_type", "payment_type_changes", None),
             "suppliers": ("supplier", "supplier_changes", None),
         }
-        built = {}
-        for name in names:
+
+        def built(name: str) -> DataFrame:
             singular, feed, ties = feeds[name]
-            built[name] = self.history(getattr(self, feed), singular, ties)
-        return {**built, "date": self.dates}
+            return materialise(self.history(getattr(self, feed), singular, ties), f"dim-{name}")
+
+        # Tables, as in the warehouse: lookups go by their size as written, not by an estimate.
+        tables = in_parallel([partial(built, name) for name in names])
+        return {**dict(zip(names, tables, strict=True)), "date": self.dates}
 
     @property
     def days(self) -> DataFrame:

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split hot keys even where a later step then needs one more exchange.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
