@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -355,3 +356,30 @@ def test_quality_on_held_out_rows(labelled, none):
     assert all(0 <= r.score <= 1 for r in scores.collect())
     assert quality.quality(none, labels).count() == 0
     assert {r.score for r in quality.quality(docs, labels.limit(0)).collect()} == {0.5}
+
+
+def test_word_sums_are_those_of_single_words(spark, monkeypatch):
+    monkeypatch.setattr(quality, "HELD_WORDS", 50)
+    texts = [prose(40 + k, 300, 30_000) for k in range(40)] + ["alone", None, "on on on"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    vocabulary = sorted({w for t in texts for w in words(t)})
+    assert len(vocabulary) > 8192
+    hashes = quality.batch_of(pa.array([" ".join(vocabulary)])).hashes()
+    index = dict(zip(vocabulary, quality.index_vectors(hashes).astype(int)))
+    want = {w: np.zeros(quality.DIMS, int) for w in vocabulary}
+    for t in texts:
+        w = words(t)
+        for i, one in enumerate(w):
+            for j in range(max(0, i - quality.REACH), min(len(w), i + quality.REACH + 1)):
+                if i != j:
+                    want[one] += index[w[j]]
+    got = quality.word_sums(docs).collect()
+    assert len(got) == len(vocabulary)
+    sums = {r.word: np.frombuffer(r.sums, f"<i{len(r.sums) // quality.DIMS}") for r in got}
+    for w, h in zip(vocabulary, hashes.view(np.int64)):
+        assert (sums[int(h)] == want[w]).all()
+    monkeypatch.setattr(quality, "GROUP_BYTES", 20_000)  # several groups
+    for r in quality.text_features(docs).collect():
+        rows = quality.unit(np.array([want[w] for w in words(texts[r.doc_id])]).reshape(-1, quality.DIMS)).astype(float)
+        whole = np.concatenate([rows.mean(0), rows.std(0)]) if len(rows) else np.zeros(2 * quality.DIMS)
+        assert np.allclose(np.frombuffer(r.features, "<f4"), whole, atol=1e-5)

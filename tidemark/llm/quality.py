@@ -1,11 +1,13 @@
 """Quality of whole texts: random-indexing word vectors, pooled, and a two-layer network.
 
-Random indexing gives every word a fixed sparse vector of +1 and -1; a word's
-context vector is the sum of those of its neighbours over the whole corpus. Words
-share BUCKETS rows by hash, so the table has one size for any corpus. A text is
-the mean and the deviation of its words' context vectors; a small network trained in
-numpy on a bounded, hash-chosen set of labelled rows gives a probability, whose
-temperature is set on labelled rows that it wasn't trained on.
+Random indexing gives every word a fixed sparse vector of +1 and -1, made of its
+64-bit hash; a word's context vector is the sum of those of its neighbours over
+the whole corpus. Every word has a row of its own in a written table of sums,
+which grows with the vocabulary. A text is the mean and the deviation of its
+words' context vectors: texts are dealt into groups of bounded size, and a group
+meets the rows of the words in it. A small network trained in numpy on a bounded,
+hash-chosen set of labelled rows gives a probability, whose temperature is set on
+labelled rows that it wasn't trained on.
 """
 
 from __future__ import annotations
@@ -14,101 +16,171 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.toxicity import sigmoid, training_rows
-from tidemark.llm.words import Batch, batch_of, mix, slices
+from tidemark.llm.toxicity import TRAIN_CHARS, picked_labels, sigmoid
+from tidemark.llm.words import Batch, batch_of, mix, slices, text_rows
+from tidemark.session import materialise
 
-BUCKETS, DIMS, ENTRIES, REACH = 1 << 13, 32, 4, 2
-BLOCK = 256  # buckets a row, on the way to the sum
+DIMS, ENTRIES, REACH = 32, 4, 2
+HELD_WORDS = 1 << 18  # words whose sums a task combines before it sends them
+GROUP_BYTES = 16 << 20  # of text, that meet their words' vectors at once
 HIDDEN = 32
 TRAIN_ROWS = 4000  # labelled rows of each kind that are learned from
+SUMS = "word long, sums binary"
 
 
-def index_entries() -> tuple[np.ndarray, np.ndarray]:
-    """Per bucket, the ENTRIES components of its index vector that aren't 0, and their signs."""
-    bucket = np.arange(BUCKETS, dtype=np.uint64)
-    components, signs = [], []
+def index_vectors(hashes: np.ndarray) -> np.ndarray:
+    """The index vector of each word hash: ENTRIES components are +1 or -1, the others 0."""
+    out, row = np.zeros((len(hashes), DIMS), np.int8), np.arange(len(hashes))
     for k in range(ENTRIES):
-        h = mix(bucket, 31 + k)
+        h = mix(hashes, 31 + k)
         # Entries of a vector lie in parts of their own, so none meet.
-        components.append(k * (DIMS // ENTRIES) + (h % np.uint64(DIMS // ENTRIES)).astype(np.int64))
-        signs.append(np.where(h >> np.uint64(63), 1, -1))
-    return np.stack(components, 1), np.stack(signs, 1)
+        out[row, k * (DIMS // ENTRIES) + (h % np.uint64(DIMS // ENTRIES)).astype(np.int64)] = np.where(h >> np.uint64(63), 1, -1)
+    return out
+
+
+def _sum_rows(words: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of SUMS; a row's integers are as wide as its largest needs."""
+    largest = np.abs(sums).max(1, initial=0)
+    width = np.select([largest < 1 << 7, largest < 1 << 15, largest < 1 << 31], [1, 2, 4], 8)
+    for w in np.unique(width):
+        some = width == w
+        data = np.ascontiguousarray(sums[some].astype(f"<i{w}"))
+        bounds = np.arange(len(data) + 1, dtype=np.int32) * np.int32(w * DIMS)
+        binary = pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+        yield pa.RecordBatch.from_arrays([pa.array(words[some], pa.int64()), binary], ["word", "sums"])
+
+
+def _sums_of(column: pa.Array) -> np.ndarray:
+    """The integers of `sums` cells."""
+    width = pc.binary_length(column).to_numpy(zero_copy_only=False) // DIMS
+    out = np.zeros((len(column), DIMS), np.int64)
+    for w in np.unique(width):
+        some = np.flatnonzero(width == w)
+        out[some] = np.frombuffer(b"".join(column.take(pa.array(some)).to_pylist()), f"<i{w}").reshape(-1, DIMS)
+    return out
 
 
-def bucket_of(batch: Batch) -> np.ndarray:
-    return (batch.hashes() % np.uint64(BUCKETS)).astype(np.int64)
+def _combined(words: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words in order, and the sums of their rows."""
+    if not len(words):
+        return words, sums.astype(np.int64)
+    order = np.argsort(words, kind="stable")
+    first = np.concatenate(([0], np.flatnonzero(np.diff(words[order])) + 1))
+    return words[order][first], np.add.reduceat(sums[order], first, axis=0, dtype=np.int64)
 
 
 def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What a task's texts add to the context table, in rows of BLOCK buckets."""
-    components, signs = index_entries()
-    index = np.zeros((BUCKETS, DIMS), np.int32)
-    np.put_along_axis(index, components, signs, 1)
-    table = np.zeros((BUCKETS, DIMS), np.int64)
-    for rows in slices(batches, most=1 << 20):
+    """What a task's texts add to the context sums of their words."""
+    held = [(np.zeros(0, np.int64), np.zeros((0, DIMS), np.int64))]
+    for rows in slices(batches, most=2 << 20):
         batch = batch_of(rows["text"])
-        word, text = bucket_of(batch), batch.of_text()
-        if not len(word):
+        text = batch.of_text()
+        if not len(text):
             continue
-        own = index[word]
-        around = np.zeros_like(own)
+        distinct, place = np.unique(batch.hashes(), return_inverse=True)
+        own = index_vectors(distinct)[place]
+        around = np.zeros_like(own)  # at most 2 * REACH in size
         for step in range(1, REACH + 1):
             same = (text[step:] == text[:-step])[:, None]
             around[step:] += own[:-step] * same
             around[:-step] += own[step:] * same
-        order = np.argsort(word, kind="stable")
-        first = np.concatenate(([0], np.flatnonzero(np.diff(word[order])) + 1))
-        table[word[order][first]] += np.add.reduceat(around[order], first, axis=0)
-    yield _blocks(table)
-
-
-def _blocks(table: np.ndarray) -> pa.RecordBatch:
-    parts = [table[s:s + BLOCK] for s in range(0, BUCKETS, BLOCK)]
-    full = [k for k, p in enumerate(parts) if p.any()]
-    small = [parts[k].astype("<i4" if np.abs(parts[k]).max() < 1 << 31 else "<i8") for k in full]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(full, pa.int32()), pa.array([p.itemsize for p in small], pa.int32()), pa.array([p.tobytes() for p in small], pa.binary())],
-        ["block", "width", "sums"],
-    )
+        held.append(_combined(distinct.view(np.int64)[place], around))
+        if sum(len(w) for w, _ in held) > HELD_WORDS:
+            words, sums = _combined(*map(np.concatenate, zip(*held)))
+            held = [(words, sums)]
+            if len(words) > HELD_WORDS // 2:
+                yield from _sum_rows(words, sums)
+                held = [(words[:0], sums[:0])]
+    yield from _sum_rows(*_combined(*map(np.concatenate, zip(*held))))
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = np.zeros((BUCKETS, DIMS), np.int64)
+    """Sum rows that are sorted by word; the last word of a batch may go on in the next."""
+    words, sums = np.zeros(0, np.int64), np.zeros((0, DIMS), np.int64)
     for batch in batches:
-        for block, width, sums in zip(*[batch[n].to_pylist() for n in ("block", "width", "sums")]):
-            table[block * BLOCK:(block + 1) * BLOCK] += np.frombuffer(sums, f"<i{width}").reshape(BLOCK, DIMS)
-    yield _blocks(table)
+        some = batch["word"].to_numpy(zero_copy_only=False)
+        words, sums = _combined(np.concatenate([words, some]), np.concatenate([sums, _sums_of(batch["sums"])]))
+        yield from _sum_rows(words[:-1], sums[:-1])
+        words, sums = words[-1:], sums[-1:]
+    yield from _sum_rows(words, sums)
 
 
-def word_vectors(docs: DataFrame) -> np.ndarray:
-    """The context vector of each bucket over all texts of `docs`, of length 1 (or 0).
+def word_sums(docs: DataFrame) -> DataFrame:
+    """The context sums of each word hash over all texts of `docs` (SUMS), written once."""
+    parts = text_rows(docs, "text").mapInArrow(_context_sums, SUMS)
+    return materialise(parts.repartition("word").sortWithinPartitions("word").mapInArrow(_added, SUMS), "words")
 
-    Tasks send one table each, in blocks, and the sums come to the driver: 2 MB,
-    however large the corpus.
-    """
-    kind = "block int, width int, sums binary"
-    sums = docs.select("text").mapInArrow(_context_sums, kind).repartition("block").mapInArrow(_added, kind)
-    table = np.zeros((BUCKETS, DIMS))
-    for row in sums.collect():
-        table[row["block"] * BLOCK:(row["block"] + 1) * BLOCK] += np.frombuffer(row["sums"], f"<i{row['width']}").reshape(BLOCK, DIMS)
-    return (table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
+def unit(sums: np.ndarray) -> np.ndarray:
+    """Context vectors of length 1 (or 0)."""
+    return (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
-def pooled(batch: Batch, vectors: np.ndarray) -> np.ndarray:
-    """Mean and deviation of the word vectors of each text; zeros without words."""
+
+def pooled(batch: Batch, rows: np.ndarray) -> np.ndarray:
+    """Mean and deviation of each text's `rows`, one per word; zeros without words."""
     n = len(batch.first) - 1
     out, full = np.zeros((n, 2 * DIMS), np.float32), np.flatnonzero(np.diff(batch.first))
     if len(full):
-        rows, counts = vectors[bucket_of(batch)], np.diff(batch.first)[full][:, None]
-        mean = np.add.reduceat(rows, batch.first[full], axis=0) / counts
-        square = np.add.reduceat(rows * rows, batch.first[full], axis=0) / counts
+        counts = np.diff(batch.first)[full][:, None]
+        mean = np.add.reduceat(rows, batch.first[full], axis=0, dtype=np.float64) / counts
+        square = np.add.reduceat(rows * rows, batch.first[full], axis=0, dtype=np.float64) / counts
         out[full] = np.concatenate([mean, np.sqrt(np.maximum(square - mean * mean, 0))], 1)
     return out
 
 
+def _group_words(texts: pa.Table) -> pa.Table:
+    """The distinct words of a group."""
+    found = [np.unique(batch_of(rows["text"]).hashes()) for rows in slices(iter(texts.to_batches()))]
+    words = np.unique(np.concatenate([np.zeros(0, np.uint64), *found])).view(np.int64)
+    group = texts["group"][0].as_py()
+    return pa.table({"group": pa.array(np.full(len(words), group), pa.int64()), "word": pa.array(words, pa.int64())})
+
+
+def _group_features(texts: pa.Table, found: pa.Table) -> pa.Table:
+    """Features of a group's texts from the sums of its words."""
+    words = found["word"].combine_chunks().to_numpy(zero_copy_only=False)
+    order = np.argsort(words)
+    words = words[order]
+    vectors = np.concatenate([np.zeros((0, DIMS), np.float32), *(unit(_sums_of(c)) for c in found["sums"].chunks)])[order]
+    out = []
+    for rows in slices(iter(texts.to_batches()), most=1 << 20):
+        batch = batch_of(rows["text"])
+        own = batch.hashes().view(np.int64)
+        at = np.searchsorted(words, own)
+        if len(own) and (not len(words) or (words[np.minimum(at, len(words) - 1)] != own).any()):
+            raise ValueError("a word of a text has no row in the table")
+        features = [f.tobytes() for f in pooled(batch, vectors[at]).astype("<f4")]
+        out.append(pa.RecordBatch.from_arrays(
+            [rows["doc_id"], rows["chars"], rows["key"], pa.array(features, pa.binary())], ["doc_id", "chars", "key", "features"],
+        ))
+    return pa.Table.from_batches(out)
+
+
+def text_features(docs: DataFrame) -> DataFrame:
+    """Per row of `docs`: doc_id, its text's length (null without a text) and hash, and 2 * DIMS pooled floats; written once."""
+    sums = word_sums(docs)
+    docs = text_rows(docs, "doc_id", "text")
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    key = F.xxhash64("text")
+    # Equal texts are spread by their ids, so no group is large for their sake.
+    group = F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // GROUP_BYTES + 1))
+    dealt = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.length("text").cast("long").alias("chars"), key.alias("key"), group.alias("group"),
+    ).repartition("group")
+    asked = dealt.groupBy("group").applyInArrow(_group_words, "group long, word long")
+    found = asked.join(sums, "word").select("group", "word", "sums")
+    features = dealt.groupBy("group").cogroup(found.groupBy("group")).applyInArrow(_group_features, "doc_id long, chars long, key long, features binary")
+    return materialise(features, "features")
+
+
+def _floats(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<f4").reshape(-1, 2 * DIMS)
+
+
 class Network:
     """Two layers on standardised features, with a temperature."""
 
@@ -158,13 +230,11 @@ class Network:
         return sigmoid(self.logits(x) / self.temperature)
 
 
-def trained(texts: list[str], labels: list[int], vectors: np.ndarray) -> Network | float:
+def trained(x: np.ndarray, labels: list[int]) -> Network | float:
     """A network calibrated on every fifth example; the only label's value if there is one kind; 0.5 without any."""
     label = np.array(labels, float)
     if not len(label) or label.min() == label.max():
         return float(label[0]) if len(label) else 0.5
-    rows = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
-    x = np.concatenate([pooled(batch_of(some["text"]), vectors) for some in slices(iter([rows]), most=1 << 20)])
     left_out = np.arange(len(label)) % 5 == 4  # examples come in the order of their ids
     if not left_out.any():
         left_out = ~left_out
@@ -178,18 +248,21 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Word vectors come from all texts. Null and empty texts and texts of white
     space are points without words (all zeros) and scored like others. Repeated
-    rows score alike; other columns are ignored.
+    rows score alike; other columns are ignored. Only the features of training
+    rows go to the driver.
     """
-    vectors = word_vectors(docs)
-    examples = training_rows(docs, labels, "quality", TRAIN_ROWS)
-    network = trained([t for t, _ in examples], [v for _, v in examples], vectors)
+    features = text_features(docs)
+    short = features.filter(F.col("chars").between(1, TRAIN_CHARS))
+    examples = short.join(F.broadcast(picked_labels(labels, "quality", TRAIN_ROWS)), "doc_id").dropDuplicates(["doc_id", "key"])
+    examples = sorted(examples.select("doc_id", "key", "label", "features").collect(), key=lambda r: (r["doc_id"], r["key"]))
+    network = trained(_floats(pa.array([bytes(r["features"]) for r in examples], pa.binary())), [r["label"] for r in examples])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in slices(batches, most=1 << 20):
+        for rows in batches:
             if isinstance(network, float):
                 values = np.full(rows.num_rows, network)
             else:
-                values = network.probabilities(pooled(batch_of(rows["text"]), vectors))
+                values = network.probabilities(_floats(rows["features"]))
             yield pa.RecordBatch.from_arrays([rows["doc_id"], pa.array(values, pa.float64())], ["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, score double")
+    return features.select("doc_id", "features").mapInArrow(score, "doc_id long, score double")

@@ -263,17 +263,22 @@ def logistic_fit(x: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, name: str, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> list[tuple[str, int]]:
-    """Labelled texts: of each label the `rows` ids with the smallest hashes, where their texts have 1 to `chars` characters.
-
-    Only ids are ranked; the texts of the few chosen come straight from a scan.
-    """
+def picked_labels(labels: DataFrame, name: str, rows: int = TRAIN_ROWS) -> DataFrame:
+    """(doc_id, label): of each label the `rows` ids with the smallest hashes."""
     known = labels.select("doc_id", F.col(name).cast("int").alias("label")).filter("label IN (0, 1) AND doc_id IS NOT NULL")
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
     order = [F.xxhash64(F.lit(17), "doc_id"), F.col("doc_id")]
     picked = [known.filter(F.col("label") == v).orderBy(*order).limit(rows) for v in (0, 1)]
+    return picked[0].union(picked[1])
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, name: str, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> list[tuple[str, int]]:
+    """Labelled texts of `picked_labels`, where they have 1 to `chars` characters.
+
+    Only ids are ranked; the texts of the few chosen come straight from a scan.
+    """
     texts = text_rows(docs, "doc_id", "text").filter(F.length("text").between(1, chars))
-    found = texts.join(F.broadcast(picked[0].union(picked[1])), "doc_id").dropDuplicates(["doc_id", "text"])
+    found = texts.join(F.broadcast(picked_labels(labels, name, rows)), "doc_id").dropDuplicates(["doc_id", "text"])
     # The order of examples, and so the model, is the same in a rerun.
     return [(r["text"], r["label"]) for r in sorted(found.collect(), key=lambda r: (r["doc_id"], r["text"]))]
 
