@@ -325,6 +325,28 @@ def test_toxicity_on_held_out_rows(labelled, none):
     assert {r.score for r in toxicity.toxicity(docs, labels.filter("toxic = 0")).collect()} == {0.0}
 
 
+def test_toxic_stem_after_64_bytes_of_a_word():
+    known = np.zeros(1 << toxicity.GRAM_BITS)
+    known[toxicity.words_of(toxicity.batch_of(pa.array(["zorg"]))).grams[1]] = 5
+    model = toxicity.Model(np.zeros(1 << toxicity.WORD_BITS), known)
+    for n in (*range(0, 140), 1000, 20_000):
+        for text, most in (("q_" * (n // 2) + "-" * (n % 2) + "zorg_" + "q" * 100, 5), ("q_" * (n // 2) + "-" * (n % 2) + "zor_" + "q" * 100, 0)):
+            batch = toxicity.in_pieces(toxicity.batch_of(pa.array([text])))
+            assert model.evidence_of(toxicity.words_of(batch))[:, 1].max() == most
+
+
+def test_pieces_hold_every_gram():
+    texts = [prose(50, 300).replace(" ", "_"), "short", "a" * 64, "b" * 65, None, "\u6bd2" * 500, "x" * 112 + "end y"]
+    batch = toxicity.in_pieces(toxicity.batch_of(pa.array(texts)))
+    for k, text in enumerate(texts):
+        own = range(batch.first[k], batch.first[k + 1])
+        pieces = [batch.data[batch.starts[j]:batch.ends[j]].tobytes() for j in own]
+        assert all(len(p) <= 64 for p in pieces)
+        for w in (text or "").encode().split():
+            assert all(any(w[i:i + 4] in p for p in pieces) for i in range(max(1, len(w) - 3)))
+    assert len(toxicity.words_of(batch).place) == len(batch.starts)
+
+
 def test_toxicity_gradients():
     rng = np.random.default_rng(0)
     model = toxicity.Model(np.zeros(1 << toxicity.WORD_BITS), np.zeros(1 << toxicity.GRAM_BITS))

@@ -2,7 +2,8 @@
 
 A word goes in as a hashed word embedding and as the mean and the largest
 evidence of its hashed character grams, so unseen forms of known stems count. A
-text is cut into overlapping windows, all of which are scored; the text's score
+word of more than PIECE bytes, as of text without white space, is cut into
+overlapping pieces that go in as words. A text is cut into overlapping windows, all of which are scored; the text's score
 is that of its worst window, put on the scale of the labels by a logistic fit.
 Trained in numpy on a bounded, hash-chosen set of labelled rows.
 """
@@ -17,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import Batch, batch_of, mix, slices, text_rows
+from tidemark.llm.words import _IS_SPACE, Batch, batch_of, mix, slices, text_rows
 
 WINDOW, STRIDE = 32, 24
 WORD_BITS, GRAM_BITS, GRAM = 16, 18, 4
+PIECE, PIECE_STEP = 64, 48  # bytes
 WORD_DIMS, HIDDEN = 3, 6
 INPUTS = WORD_DIMS + 3
 # Bounds of what is learned from: labelled rows of each kind, and their length.
@@ -41,12 +43,33 @@ class Words:
     place: np.ndarray  # per word of the batch, its distinct word
 
 
+def in_pieces(batch: Batch) -> Batch:
+    """A batch with its words of more than PIECE bytes cut: a piece every PIECE_STEP bytes, the last one ending with the word."""
+    lengths = batch.ends - batch.starts
+    many = np.where(lengths > PIECE, -(-(lengths - PIECE) // PIECE_STEP) + 1, 1)
+    word = np.repeat(np.arange(len(many)), many)
+    step = np.arange(len(word)) - np.repeat(np.cumsum(many) - many, many)
+    starts = batch.starts[word] + np.minimum(step * PIECE_STEP, np.maximum(lengths[word] - PIECE, 0))
+    ends = starts + np.minimum(lengths[word], PIECE)
+    return Batch(batch.data, batch.offsets, starts, ends, np.concatenate(([0], np.cumsum(many)))[batch.first])
+
+
 def words_of(batch: Batch) -> Words:
-    """A word's grams are its runs of GRAM bytes, lower-cased, with one byte around the word."""
+    """The words of a batch `in_pieces`. A word's grams are its runs of GRAM bytes, lower-cased, with one byte around the word.
+
+    Where a piece is cut off, the byte around it is another one than at a word's end.
+    """
     hashes = batch.hashes(lower=True)
+    outside = np.ones(len(batch.data) + 2, bool)  # whether a word can't go on with the byte before
+    outside[1:-1] = _IS_SPACE[batch.data]
+    edge = np.zeros(len(batch.data) + 1, bool)
+    edge[batch.offsets] = True
+    cut = [~(outside[batch.starts] | edge[batch.starts]), ~(outside[batch.ends + 1] | edge[batch.ends])]
+    hashes = np.where(cut[0] | cut[1], mix(hashes, 41) + cut[0] + np.uint64(2) * cut[1], hashes)
+    hashes = np.where(cut[0] | cut[1], mix(hashes, 42), hashes)
     distinct, at, place = np.unique(hashes, return_index=True, return_inverse=True)
     word = (distinct >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-    lengths = np.minimum(batch.ends[at] - batch.starts[at], 64)
+    lengths = batch.ends[at] - batch.starts[at]
     padded = lengths + 2
     count = np.maximum(padded - GRAM + 1, 1)
     first = np.concatenate(([0], np.cumsum(padded)))
@@ -55,6 +78,7 @@ def words_of(batch: Batch) -> Words:
     value = batch.data[np.repeat(batch.starts[at], lengths) + inside].astype(np.uint64)
     value += np.uint64(32) * ((value >= 65) & (value <= 90))
     bytes_[np.repeat(first[:-1] + 1, lengths) + inside] = value
+    bytes_[first[:-1]], bytes_[first[1:] - 1] = 256 * cut[0][at], 256 * cut[1][at]
     codes = np.zeros(first[-1], np.uint64)
     for j in range(GRAM):
         codes = codes * np.uint64(257) + bytes_[j:j + first[-1]] + np.uint64(1)
@@ -230,7 +254,7 @@ def trained(texts: list[str], labels: list[int]) -> Model | float:
     label = np.array(labels)
     if not len(label) or label.min() == label.max():
         return float(label[0]) if len(label) else 0.0
-    batch = batch_of(pa.array(texts, pa.large_string()))
+    batch = in_pieces(batch_of(pa.array(texts, pa.large_string())))
     words = words_of(batch)
     model = Model(*evidence(batch, words, label))
     start, of = windows_of(batch.first)
@@ -292,7 +316,7 @@ def scored(docs: DataFrame, model: Model | float) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches, most=2 << 20):
-            batch = batch_of(rows["text"])
+            batch = in_pieces(batch_of(rows["text"]))
             values = np.full(rows.num_rows, model) if isinstance(model, float) else model.probabilities(batch)
             yield pa.RecordBatch.from_arrays([rows["doc_id"], pa.array(values, pa.float64())], ["doc_id", "score"])
 
