@@ -335,6 +335,21 @@ def test_toxic_stem_after_64_bytes_of_a_word():
             assert model.evidence_of(toxicity.words_of(batch))[:, 1].max() == most
 
 
+def test_a_passage_scores_alike_at_all_offsets():
+    rng = np.random.default_rng(2)
+    model = toxicity.Model(rng.standard_normal(1 << toxicity.WORD_BITS), rng.standard_normal(1 << toxicity.GRAM_BITS))
+    passage = prose(60, 30)
+    texts = [("the " * (100 + k)) + passage + " the" * (130 - k) for k in range(24)] + ["", "the", passage, prose(61, 32), prose(62, 33)]
+    batch = toxicity.in_pieces(toxicity.batch_of(pa.array(texts)))
+    got, words = model.scores(batch), toxicity.words_of(batch)
+    for k in range(len(texts)):
+        low, high = batch.first[k], batch.first[k + 1]
+        starts = np.arange(low, max(low + 1, high - toxicity.WINDOW + 1)) if high > low else np.zeros(0, int)
+        want = model.window_logits(words, starts, np.minimum(starts + toxicity.WINDOW, high)).max(initial=-np.inf)
+        assert got[k] == pytest.approx(want, abs=1e-4)
+    assert np.ptp(got[:24]) < 1e-4
+
+
 def test_pieces_hold_every_gram():
     texts = [prose(50, 300).replace(" ", "_"), "short", "a" * 64, "b" * 65, None, "\u6bd2" * 500, "x" * 112 + "end y"]
     batch = toxicity.in_pieces(toxicity.batch_of(pa.array(texts)))

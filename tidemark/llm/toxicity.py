@@ -3,8 +3,10 @@
 A word goes in as a hashed word embedding and as the mean and the largest
 evidence of its hashed character grams, so unseen forms of known stems count. A
 word of more than PIECE bytes, as of text without white space, is cut into
-overlapping pieces that go in as words. A text is cut into overlapping windows, all of which are scored; the text's score
-is that of its worst window, put on the scale of the labels by a logistic fit.
+overlapping pieces that go in as words. Every run of WINDOW words of a text is
+scored, at all starts; the text's score is that of its worst window, put on the
+scale of the labels by a logistic fit. Training picks its examples from windows
+STRIDE words apart.
 Trained in numpy on a bounded, hash-chosen set of labelled rows.
 """
 
@@ -88,7 +90,7 @@ def words_of(batch: Batch) -> Words:
 
 
 def windows_of(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(start, text) of all windows: every STRIDE words, the last one ending with the text."""
+    """(start, text) of the windows that are learned from: every STRIDE words, the last one ending with the text."""
     n = np.diff(first)
     many = np.where(n > WINDOW, -(-(n - WINDOW) // STRIDE) + 1, (n > 0).astype(int))
     text = np.repeat(np.arange(len(n)), many)
@@ -160,6 +162,51 @@ class Model:
             out[s:s + most] = self.run({d: gates[d][at] for d in "fb"}, mask)
         return out
 
+    def slid_logits(self, words: Words, first: np.ndarray, most: int = 4096) -> np.ndarray:
+        """Per text of WINDOW words or more, the largest logit of its windows at all starts; -inf for shorter ones.
+
+        The same as `run` without a mask, over neighbouring windows at once: their
+        words at a step are a slice. Windows across two texts are left out.
+        """
+        out = np.full(len(first) - 1, -np.inf)
+        text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        whole = np.arange(len(text)) + WINDOW <= first[text + 1]
+        table = np.concatenate([self.words[words.word], self.evidence_of(words)], 1)
+        gates, cut = self.gate_inputs(table), 2 * HIDDEN
+        for g in gates.values():
+            g[:, :cut] *= 0.5  # sigmoid(x) is (1 + tanh(x / 2)) / 2
+        for s in range(0, len(text) - WINDOW + 1, most):
+            if not whole[s:s + most].any():
+                continue
+            n = min(most, len(text) - WINDOW + 1 - s)
+            scores, values = np.zeros((WINDOW, n), np.float32), np.zeros((WINDOW, n), np.float32)
+            for d, own in (("f", slice(0, HIDDEN)), ("b", slice(HIDDEN, None))):
+                x = np.ascontiguousarray(gates[d][words.place[s:s + n + WINDOW - 1]].T)
+                u, u_new = np.ascontiguousarray(0.5 * self.u[d][:, :cut].T), np.ascontiguousarray(self.u[d][:, cut:].T)
+                ends = np.stack([self.attend[own], self.out[own]])
+                h = np.zeros((HIDDEN, n), np.float32)
+                for t in range(WINDOW) if d == "f" else range(WINDOW - 1, -1, -1):
+                    zr = u @ h
+                    zr += x[:cut, t:t + n]
+                    np.tanh(zr, out=zr)
+                    zr += 1
+                    zr *= 0.5
+                    new = u_new @ (zr[HIDDEN:] * h)
+                    new += x[cut:, t:t + n]
+                    np.tanh(new, out=new)
+                    new -= h
+                    new *= zr[:HIDDEN]
+                    h += new
+                    score, value = ends @ h
+                    scores[t] += score
+                    values[t] += value
+            scores -= scores.max(0)
+            np.exp(scores, out=scores)
+            logits = (scores * values).sum(0) / scores.sum(0) + self.bias[0]
+            kept = np.flatnonzero(whole[s:s + n])
+            np.maximum.at(out, text[s + kept], logits[kept])
+        return out
+
     def learn(self, words: Words, start: np.ndarray, end: np.ndarray, label: np.ndarray, epochs: int) -> None:
         """Adam on the windows' log loss, through time and attention."""
         rng, step, fixed = np.random.default_rng(3), 0, self.evidence_of(words)
@@ -212,11 +259,12 @@ class Model:
 
     def scores(self, batch: Batch) -> np.ndarray:
         """Per text of a batch, the logit of its worst window; -inf without words."""
-        start, text = windows_of(batch.first)
-        out = np.full(len(batch.first) - 1, -np.inf)
-        if len(start):
-            logits = self.window_logits(words_of(batch), start, np.minimum(start + WINDOW, batch.first[text + 1]))
-            np.maximum.at(out, text, logits)
+        words = words_of(batch)
+        out = self.slid_logits(words, batch.first)
+        n = np.diff(batch.first)
+        short = np.flatnonzero((n > 0) & (n < WINDOW))
+        if len(short):
+            out[short] = self.window_logits(words, batch.first[short], batch.first[short + 1])
         return out
 
     def probabilities(self, batch: Batch) -> np.ndarray:
