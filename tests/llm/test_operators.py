@@ -253,6 +253,19 @@ def test_archives_round_trip(spark):
     assert warc.read_chunks(spark, warc.write_archives(pages.limit(0))).count() == 0
 
 
+def test_long_rows_with_one_page_id_or_none_stay_apart(spark):
+    long, other = "<p>" + prose(70, 900), "<q>" + prose(71, 800)
+    rows = [(9, "u", long), (9, "u", long), (3, "u", long), (None, "u", long), (None, "u", other), (None, "u", other), (None, "v", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    chunks = warc.read_chunks(spark, warc.write_archives(pages, chunk=500))
+    got = warc.page_records(chunks).collect()
+    of = lambda t: base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()
+    assert Counter((r.page_id, r.payload_digest) for r in got) == Counter((p, of(t)) for p, _, t in rows)
+    assert all(r.intact for r in got)
+    assert [r.refers_to for r in got if r.page_id == 3] == [9]
+    assert chunks.filter("page_id IS NULL").select("record_id").distinct().count() == 4
+
+
 def test_url_rules(spark):
     rows = [
         (0, "http://x.net/a", "net/", "block"), (1, "https://A.Example.NET/en/x?q#f", "example.net/en/", "allow"), (2, "http://example.net/fr", "net/", "block"),

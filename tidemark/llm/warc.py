@@ -25,7 +25,7 @@ ROWS_PER_FILE = 1024  # of at most CHUNK bytes each
 END = "\r\n\r\n"
 ZERO_TIME = "1970-01-01T00:00:00Z"
 CHUNK_ROWS = (
-    "record_id string, page_id long, record_type string, url string, chunk_no int, last boolean, whole_bytes long,"
+    "record_id string, row_no long, page_id long, record_type string, url string, chunk_no int, last boolean, whole_bytes long,"
     " refers_to string, payload_digest string, digest_so_far string, chunk binary"
 )
 
@@ -38,9 +38,10 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*quads), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def record_id(page_id: Column) -> Column:
-    """A UUID made of the page's id; a page without an id has the id of no other page."""
-    h = F.md5(F.concat(F.lit("page:"), F.coalesce(page_id.cast("string"), F.lit("none"))).cast("binary"))
+def record_id(page_id: Column, row_no: Column) -> Column:
+    """A UUID made of the page's id, which revisits name, or of the row's number where the page has none."""
+    own = F.coalesce(F.concat(F.lit("page:"), page_id.cast("string")), F.concat(F.lit("row:"), row_no.cast("string")))
+    h = F.md5(own.cast("binary"))
     cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[F.substring(h, a, n) for a, n in cuts]), F.lit(">"))
 
@@ -72,10 +73,15 @@ def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 
 def chunk_records(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """The WARC records of `records`, one text each, without their closing line ends."""
+    """The WARC records of `records`, one text each, without their closing line ends.
+
+    All of a row's chunks carry the number its task gave it, so rows that repeat
+    a page_id, and share its record id, stay apart.
+    """
     kept = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
     size = F.octet_length("_kept").cast("long")
-    rows = rows.withColumn("_kept", kept).withColumn("_id", record_id(F.col("page_id")))
+    rows = rows.withColumn("_kept", kept).withColumn("_row", F.monotonically_increasing_id())
+    rows = rows.withColumn("_id", record_id(F.col("page_id"), F.col("_row")))
     rows = rows.withColumn("_no", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((size - 1) / chunk)).cast("int"))))
     part = F.substring(F.col("_kept"), F.col("_no") * chunk + 1, F.lit(chunk))
     several, last = size > chunk, (F.col("_no") + 1).cast("long") * chunk >= size
@@ -91,10 +97,11 @@ def chunk_records(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
         line("WARC-Target-URI", F.col("url")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         only(F.col("page_id").isNotNull(), line("X-Page-ID", F.coalesce(F.col("page_id"), F.lit(0)))),
+        line("X-Row-Number", F.col("_row")),
         line("X-Payload-Length", F.col("bytes")),
         only(revisit, F.concat(
             line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-            line("WARC-Refers-To", record_id(F.col("refers_to"))),
+            line("WARC-Refers-To", record_id(F.col("refers_to"), F.lit(0))),
             line("X-Refers-To-Page-ID", F.coalesce(F.col("refers_to"), F.lit(0))),
         )),
         only(several, line("WARC-Segment-Number", F.col("_no") + 1)),
@@ -139,6 +146,7 @@ def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 kind, whole, page = head["WARC-Type"], int(head["X-Payload-Length"]), head.get("X-Page-ID")
                 single = kind == "response" and "WARC-Segment-Number" not in head
                 out["record_id"].append(head.get("WARC-Segment-Origin-ID", head["WARC-Record-ID"]))
+                out["row_no"].append(int(head["X-Row-Number"]))
                 out["page_id"].append(int(page) if page else None)
                 out["record_type"].append(kind)
                 out["url"].append(head["WARC-Target-URI"].encode("utf-8", "surrogateescape").decode("utf-8", "replace"))
@@ -158,18 +166,18 @@ def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rows(out: dict[str, list]) -> pa.RecordBatch:
-    kinds = {"page_id": pa.int64(), "chunk_no": pa.int32(), "last": pa.bool_(), "whole_bytes": pa.int64(), "chunk": pa.binary()}
+    kinds = {"row_no": pa.int64(), "page_id": pa.int64(), "chunk_no": pa.int32(), "last": pa.bool_(), "whole_bytes": pa.int64(), "chunk": pa.binary()}
     return pa.RecordBatch.from_arrays([pa.array(v, kinds.get(n, pa.string())) for n, v in out.items()], list(out))
 
 
 def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fill digest_so_far of rows sorted by record, page and chunk: one running state, one chunk at a time."""
+    """Fill digest_so_far of rows sorted by record, row and chunk: one running state, one chunk at a time."""
     key, state = None, hashlib.sha1()
     for batch in batches:
         done = []
-        for record, page, no, chunk in zip(*[batch[n].to_pylist() for n in ("record_id", "page_id", "chunk_no")], batch["chunk"]):
-            if (record, page) != key or no == 0:
-                key, state = (record, page), hashlib.sha1()
+        for record, row, no, chunk in zip(*[batch[n].to_pylist() for n in ("record_id", "row_no", "chunk_no")], batch["chunk"]):
+            if (record, row) != key:
+                key, state = (record, row), hashlib.sha1()
             state.update(chunk.as_buffer())
             done.append(base64.b32encode(state.digest()).decode())
         at = batch.schema.names.index("digest_so_far")
@@ -182,13 +190,13 @@ def read_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """The chunk table of the archives below `folder` (CHUNK_ROWS).
 
     Payloads of one chunk are digested while parsing. Chunks of longer ones may
-    lie in several files: they go to one task per record, sorted, and are
+    lie in several files: they go to one task per written row, sorted, and are
     digested as they pass, so a payload of any size takes the memory of a chunk.
     An empty folder gives no rows; a truncated record is an error.
     """
     rows = spark.read.format("binaryFile").load(folder).select("content").mapInArrow(parsed, CHUNK_ROWS)
     whole = (F.col("chunk_no") == 0) & F.col("last")
-    long = rows.filter(~whole).repartition("record_id").sortWithinPartitions("record_id", "page_id", "chunk_no")
+    long = rows.filter(~whole).repartition("record_id", "row_no").sortWithinPartitions("record_id", "row_no", "chunk_no")
     return rows.filter(whole).union(long.mapInArrow(digested, CHUNK_ROWS))
 
 
