@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import divergence, mixing, neardup, packing, quality, substrings, topk, toxicity, urls, warc
+from tidemark.llm import bpe, divergence, mixing, neardup, packing, quality, substrings, topk, toxicity, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 # What the query blocks besides its rules, as parts of hosts.
@@ -25,6 +25,15 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def ranks_path() -> str:
+    """The public rank file of op13, or TIDEMARK_RANKS."""
+    if named := os.environ.get("TIDEMARK_RANKS"):
+        return named
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -83,6 +92,14 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    tokens = bpe.decoded(bpe.encoded(table(spark, folder, "documents"), ranks_path()), ranks_path())
+    return tokens.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -91,7 +108,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 REGISTRY: dict[str, Query] = {f.__name__: f for f in (
     op1_toxicity, op2_distribution_divergence, op3_quality_classifier, op4_source_mixing, op5_best_fit_packing,
-    op6_minhash_near_dedup, op7_exact_top_k, op8_warc_chunks, op9_url_filter, op10_substring_dedup, pipeline,
+    op6_minhash_near_dedup, op7_exact_top_k, op8_warc_chunks, op9_url_filter, op10_substring_dedup, op13_byte_bpe, pipeline,
 )}
 
 
