@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, divergence, mixing, neardup, packing, quality, substrings, topk, toxicity, urls, warc
+from tidemark.llm import bpe, divergence, mixing, neardup, packing, periods, quality, substrings, topk, toxicity, urls, warc
+from tidemark.llm.words import words_column
 
 Query = Callable[[SparkSession, str], DataFrame]
 # What the query blocks besides its rules, as parts of hosts.
@@ -92,6 +93,34 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """Documents of which one in ten (by the hash of its id) repeats a few words of its own from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    rows = docs.select("doc_id", "text", h.alias("h"), g.alias("g"), words_column(F.col("text")).alias("words"))
+    rows = rows.withColumn("n", F.size("words").cast("long")).withColumn("a", F.col("g") % F.greatest("n", F.lit(1)))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    left = F.col("n") - F.col("a")
+    times = F.ceil(left / F.col("p")).cast("int")
+    cycle = F.flatten(F.array_repeat(F.slice("words", (F.col("a") + 1).cast("int"), F.col("p").cast("int")), times))
+    text = F.array_join(F.concat(F.slice("words", 1, F.col("a").cast("int")), F.slice(cycle, 1, left.cast("int"))), " ")
+    return rows.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), text).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periods.repeated_runs(looped(table(spark, folder, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[r[n].cast("string") for n in ("start", "length", "period")]))
+    rows = found.withColumn("best", longest)
+    length, period = F.col("best.length"), -F.col("best.p")
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise(F.lit("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     tokens = bpe.decoded(bpe.encoded(table(spark, folder, "documents"), ranks_path()), ranks_path())
     return tokens.select(
@@ -108,7 +137,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 REGISTRY: dict[str, Query] = {f.__name__: f for f in (
     op1_toxicity, op2_distribution_divergence, op3_quality_classifier, op4_source_mixing, op5_best_fit_packing,
-    op6_minhash_near_dedup, op7_exact_top_k, op8_warc_chunks, op9_url_filter, op10_substring_dedup, op13_byte_bpe, pipeline,
+    op6_minhash_near_dedup, op7_exact_top_k, op8_warc_chunks, op9_url_filter, op10_substring_dedup, op11_periodic_runs, op13_byte_bpe, pipeline,
 )}
 
 
@@ -260,7 +289,39 @@ SELECT t.doc_id, len(t.w)::BIGINT AS n_words, (len(t.w) - coalesce(k.n, 0))::BIG
 FROM texts t LEFT JOIN kept k USING (doc_id)
 """
 
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII string expression in SQL."""
+    bit = "lambda d, k: xor(d >> 1, (d & 1) * 3988292384)"
+    codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(list_reduce({codes}, lambda c, b: list_reduce(range(0, 8), {bit}, xor(c, b)), 4294967295::BIGINT), 4294967295)"
+
+
+OP11 = rf"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w, {_crc32("doc_id::VARCHAR")} AS h FROM documents),
+places AS (
+  SELECT doc_id, w, h, len(w)::BIGINT AS n, (h // 10) % greatest(len(w), 1) AS a, 3 + (h // 10) % 8 AS parts FROM texts),
+looped AS (
+  SELECT doc_id, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(0, n), lambda i: w[(CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // parts) ELSE i END + 1)::BIGINT]) ELSE w END AS w
+  FROM places),
+words AS (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS word, unnest(range(0, len(w)))::BIGINT AS i FROM looped),
+equals AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS p FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS island FROM equals),
+stretches AS (SELECT doc_id, p, min(i) AS s, count(*)::BIGINT + p AS l FROM islands GROUP BY doc_id, p, island),
+runs AS (SELECT doc_id, s, l, min(p) AS p FROM stretches WHERE l >= 6 AND l >= 4 * p GROUP BY doc_id, s, l),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + p, s + l))::BIGINT AS i FROM runs),
+kept AS (SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.i) AS t FROM words w ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i GROUP BY w.doc_id),
+totals AS (
+  SELECT doc_id, count(*)::BIGINT AS n_runs, string_agg(s || ',' || l || ',' || p || chr(10), '' ORDER BY s, p) AS lines, arg_min([s, l, p], [-l, s, p]) AS best
+  FROM runs GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[1]::BIGINT AS start, best[2]::BIGINT AS length, best[3]::BIGINT AS period,
+  (1000 * best[2] // best[3])::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN totals USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_distribution_divergence": OP2, "op4_source_mixing": OP4, "op6_minhash_near_dedup": OP6, "op7_exact_top_k": OP7,
-    "op8_warc_chunks": OP8, "op9_url_filter": OP9, "op10_substring_dedup": OP10,
+    "op8_warc_chunks": OP8, "op9_url_filter": OP9, "op10_substring_dedup": OP10, "op11_periodic_runs": OP11,
 }
