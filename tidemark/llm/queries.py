@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, divergence, mixing, neardup, packing, periods, quality, substrings, topk, toxicity, urls, warc
+from tidemark.llm import bpe, divergence, mixing, neardup, packing, periods, quality, substrings, topk, toxicity, turns, urls, warc
 from tidemark.llm.words import words_column
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +121,23 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations of which one row in twenty each is dropped, emptied, cut of its stops, doubled, or made the user's."""
+    text_of = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    h = F.crc32(F.concat_ws(":", text_of("conv_id"), text_of("turn")).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", text_of("role").alias("role"), text_of("text").alias("text"), h.alias("h")).filter("h <> 0")
+    text = F.when(F.col("h") == 1, "").when(F.col("h") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.explode(F.when(F.col("h") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return rows.select(
+        "conv_id", "turn", F.when(F.col("h") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), copies.alias("copy"),
+    ).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return turns.with_every_conversation(turns.repair_report(damaged(conversations)), conversations)
+
+
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     tokens = bpe.decoded(bpe.encoded(table(spark, folder, "documents"), ranks_path()), ranks_path())
     return tokens.select(
@@ -137,7 +154,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 REGISTRY: dict[str, Query] = {f.__name__: f for f in (
     op1_toxicity, op2_distribution_divergence, op3_quality_classifier, op4_source_mixing, op5_best_fit_packing,
-    op6_minhash_near_dedup, op7_exact_top_k, op8_warc_chunks, op9_url_filter, op10_substring_dedup, op11_periodic_runs, op13_byte_bpe, pipeline,
+    op6_minhash_near_dedup, op7_exact_top_k, op8_warc_chunks, op9_url_filter, op10_substring_dedup, op11_periodic_runs, op12_conversation_repair, op13_byte_bpe, pipeline,
 )}
 
 
@@ -321,7 +338,60 @@ SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[1]::BIGINT AS start
 FROM documents d LEFT JOIN totals USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+_FIRST_EDITS = ", ".join(
+    f"CASE WHEN 3 + b{s} = f{s} THEN 'D' WHEN 2 + f{n} = f{s} THEN 'I' WHEN k{s} = f{s} THEN 'K' ELSE 'R' END" for s, n in enumerate((2, 2, 3, 2))
+)
+
+OP12 = rf"""
+WITH RECURSIVE base AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS h FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN h = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM base WHERE h <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again,
+    regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS ended, left(role, 1) AS r FROM damaged),
+rows AS (
+  SELECT *, CASE WHEN ended = '' THEN 1 WHEN again > 1 THEN 2 WHEN right(ended, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+    lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS two FROM placed),
+totals AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 1)::BIGINT AS blank,
+    count(*) FILTER (fault = 2)::BIGINT AS duplicate, count(*) FILTER (fault = 3)::BIGINT AS truncated, count(*) FILTER (two NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal
+  FROM rows GROUP BY conv_id),
+back AS (
+  SELECT conv_id, n + 1 AS i, 0::BIGINT AS f0, 4::BIGINT AS f1, 2::BIGINT AS f2, 0::BIGINT AS f3, ['', '', '', ''] AS edits FROM totals
+  UNION ALL
+  SELECT conv_id, i, f0, f1, f2, f3, [{_FIRST_EDITS}]
+  FROM (SELECT *, least(g0, 2 + f2) AS f0, least(g1, 2 + f2) AS f1
+    FROM (SELECT *, least(g2, 2 + g3) AS f2, least(g3, 2 + g2) AS f3
+      FROM (SELECT *, {", ".join(f"least(3 + b{s}, k{s}, 2 + t + b{n})" + f" AS g{s}" for s, n in enumerate((2, 2, 3, 2)))}
+        FROM (SELECT *, CASE WHEN t < 9999999 AND r = 's' THEN t + b1 WHEN t < 9999999 AND r = 'u' THEN t + b2 ELSE 99999999 END AS k0,
+            CASE WHEN t < 9999999 AND r = 'u' THEN t + b2 ELSE 99999999 END AS k1, CASE WHEN t < 9999999 AND r = 'a' THEN t + b3 ELSE 99999999 END AS k2,
+            CASE WHEN t < 9999999 AND r = 'u' THEN t + b2 ELSE 99999999 END AS k3
+          FROM (SELECT x.conv_id, x.i, x.r, CASE x.fault WHEN 3 THEN 1 WHEN 0 THEN 0 ELSE 9999999 END::BIGINT AS t, b.f0 AS b0, b.f1 AS b1, b.f2 AS b2, b.f3 AS b3
+            FROM back b JOIN rows x ON x.conv_id IS NOT DISTINCT FROM b.conv_id AND x.i = b.i - 1)))))),
+walk AS (
+  SELECT conv_id, 1::BIGINT AS i, 0 AS s, ''::VARCHAR AS audit, []::VARCHAR[] AS lines FROM totals
+  UNION ALL
+  SELECT conv_id, CASE WHEN e = 'I' THEN i ELSE i + 1 END, s2, audit || e,
+    CASE WHEN e = 'D' THEN lines ELSE list_append(lines, CASE WHEN e = 'K' THEN role WHEN s2 = 2 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END) END
+  FROM (SELECT *, CASE WHEN e = 'D' THEN s WHEN e = 'K' AND r = 's' THEN 1 WHEN s = 2 THEN 3 ELSE 2 END AS s2
+    FROM (SELECT w.*, x.role, x.text, x.r, CASE WHEN x.i IS NULL THEN 'I' ELSE b.edits[w.s + 1] END AS e
+      FROM walk w JOIN back b ON b.conv_id IS NOT DISTINCT FROM w.conv_id AND b.i = w.i LEFT JOIN rows x ON x.conv_id IS NOT DISTINCT FROM w.conv_id AND x.i = w.i
+      WHERE x.i IS NOT NULL OR w.s IN (1, 2)))),
+done AS (
+  SELECT w.conv_id, gaps, blank, duplicate, truncated, illegal, b.f0 AS cost, audit, sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+  FROM walk w JOIN totals t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = t.n + 1 AND w.s IN (0, 3)
+  JOIN back b ON b.conv_id IS NOT DISTINCT FROM w.conv_id AND b.i = 1)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
 ORACLE: dict[str, str] = {
     "op2_distribution_divergence": OP2, "op4_source_mixing": OP4, "op6_minhash_near_dedup": OP6, "op7_exact_top_k": OP7,
-    "op8_warc_chunks": OP8, "op9_url_filter": OP9, "op10_substring_dedup": OP10, "op11_periodic_runs": OP11,
+    "op8_warc_chunks": OP8, "op9_url_filter": OP9, "op10_substring_dedup": OP10, "op11_periodic_runs": OP11, "op12_conversation_repair": OP12,
 }
