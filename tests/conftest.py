@@ -9,13 +9,9 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tools"))
 
-from tidemark.operators.skew import SkewPolicy  # noqa: E402
 from tidemark.session import configure  # noqa: E402
 from tidemark.sources.tables import create_database  # noqa: E402
 
-# Treats every key with a few rows as hot.
-FORCED = SkewPolicy(shares=20, min_rows=3)
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

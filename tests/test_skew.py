@@ -1,19 +1,17 @@
 """Hot keys: the plans give the rows of brute force."""
 
+import re
+
 import pytest
-from conftest import FORCED, rows
+from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators.allocation import allocate
 from tidemark.operators.history import build_history, history_changes
 from tidemark.operators.ids import dense_ids
-from tidemark.operators.pointintime import pit_join, pit_keys
-from tidemark.operators.skew import SkewPolicy, hot_keys
+from tidemark.operators.pointintime import BroadcastBound, pit_join, pit_keys
 from tidemark.session import materialise
 
-# No key is hot.
-PLAIN = SkewPolicy(min_rows=1 << 60)
-
 
 @pytest.fixture
 def skewed(spark):
@@ -23,20 +21,6 @@ def skewed(spark):
     return ids.select("id", key.cast("long").alias("k"), (F.col("id") * 7 % 100).alias("v"))
 
 
-def test_hot_keys_are_few_and_weighted(skewed):
-    hot = {r.k: r._salts for r in hot_keys(skewed, ["k"], FORCED).collect()}
-    assert set(hot) == {0}
-    assert hot[0] >= 6
-
-
-def test_hot_key_is_spread_over_salts(no_broadcast, skewed):
-    from tidemark.operators.skew import salted
-
-    salts = salted(skewed, hot_keys(skewed, ["k"], FORCED), ["k"], 20).filter("k = 0").groupBy("_salt").count()
-    assert salts.count() >= 5
-    assert salts.agg(F.max("count")).first()[0] < 100
-
-
 def _versions(spark):
     """Key 0 changes daily; the others a few times."""
     days = spark.range(200).select(F.lit(0).cast("long").alias("k"), F.col("id").alias("d"))
@@ -48,22 +32,26 @@ def _versions(spark):
 
 
 @pytest.mark.parametrize("until", [None, "late"])
-def test_pit_join_by_day_equals_plain(spark, no_broadcast, skewed, until):
+def test_merge_equals_join(spark, skewed, until):
     facts = skewed.select(
-        "id", "k", F.timestamp_seconds(F.lit(1_000_000_000 - 50_000) + F.col("v") * 90_000 + F.col("id")).alias("at"),
+        "id", F.when(F.col("id") % 9 > 0, F.col("k")).cast("int").alias("k"),
+        F.when(F.col("id") % 11 > 0, F.timestamp_seconds(F.lit(1_000_000_000 - 50_000) + F.col("v") * 90_000 + F.col("id"))).alias("at"),
     ).withColumn("late", F.timestamp_seconds(F.unix_timestamp("at") + (F.col("id") % 7 - 2) * 40_000))
-    versions = _versions(spark)
+    # A version that ended without a next one, and one from before 1970.
+    versions = _versions(spark).filter("k <> 5 or d <> 90").withColumn(
+        "valid_from", F.when((F.col("k") == 7) & (F.col("d") == 3), F.lit("1960-05-05").cast("timestamp")).otherwise(F.col("valid_from")))
 
-    def keyed(policy):
+    def keyed(merge):
         return rows(pit_join(facts, versions, [("k", "k")], "at", {"scd_id": "sk", "d": "d"}, until,
-                             "valid_from", "valid_to", policy))
+                             "valid_from", "valid_to", merge=merge))
 
-    plain = keyed(PLAIN)
-    assert keyed(FORCED) == plain
+    plain = keyed(False)
+    assert keyed(True) == plain
     assert any(r[-1] is None for r in plain) and any(r[-1] is not None for r in plain)
 
 
-def test_pit_join_matches_brute_force(spark, skewed, no_broadcast):
+@pytest.mark.parametrize("bound", [BroadcastBound(), BroadcastBound(rows=10), BroadcastBound(per_key=3)])
+def test_pit_join_matches_brute_force(spark, skewed, bound):
     facts = skewed.select("id", "k", F.timestamp_seconds(F.lit(1_000_000_000) + F.col("v") * 90_000).alias("at"))
     versions = _versions(spark)
     held = [(r.k, r.valid_from, r.valid_to, r.scd_id) for r in versions.collect()]
@@ -72,8 +60,22 @@ def test_pit_join_matches_brute_force(spark, skewed, no_broadcast):
         found = [v[3] for v in held if v[0] == f.k and v[1] <= f["at"] and (v[2] is None or f["at"] < v[2])]
         assert len(found) <= 1
         want.append((f.id, found[0] if found else None))
-    got = pit_join(facts, versions, [("k", "k")], "at", {"scd_id": "sk"}, None, "valid_from", "valid_to", FORCED)
+    got = pit_join(facts, versions, [("k", "k")], "at", {"scd_id": "sk"}, None, "valid_from", "valid_to", bound)
     assert rows(got, "id", "sk") == sorted(want, key=repr)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == (bound == BroadcastBound())
+    assert rows(pit_join(facts, versions.limit(0), [("k", "k")], "at", {"scd_id": "sk"}, None, "valid_from", "valid_to", merge=True), "id", "sk") == sorted(
+        [(f.id, None) for f in facts.collect()], key=repr)
+
+
+def test_groups_of_a_merge_are_hours(spark):
+    """One key with all facts of 40 hours: no group has more than an hour's."""
+    facts = spark.range(4000).select(F.lit(1).cast("long").alias("k"), F.timestamp_seconds(1_000_000_000 + F.col("id") * 36).alias("at"))
+    versions = spark.createDataFrame([(1, 999_000_000, None, "a")], "k long, s long, e long, sk string").select(
+        "k", F.timestamp_seconds("s").alias("valid_from_ts"), F.timestamp_seconds("e").alias("valid_to_ts"), "sk")
+    got = pit_join(facts, versions, [("k", "k")], "at", {"sk": "sk"}, merge=True)
+    assert got.filter("sk = 'a'").count() == 4000
+    assert re.search(r"hashpartitioning\(_key0#\d+L, _hour#\d+L", got._jdf.queryExecution().executedPlan().toString())
 
 
 def test_history_of_a_hot_key(spark):
@@ -125,11 +127,13 @@ def test_dense_ids_over_partitions(spark):
     assert rows(dense_ids(names, ["name"], "n", 5)) == want
 
 
-def test_lookups_without_broadcast_keep_the_plan_small(spark, no_broadcast, skewed):
+def test_lookups_by_merge_keep_the_plan_small(spark, skewed):
     facts = skewed.select("id", "k", F.timestamp_seconds(F.lit(1_000_000_000) + F.col("v") * 90_000).alias("at"))
     versions = materialise(
         _versions(spark).withColumnsRenamed({"valid_from": "valid_from_ts", "valid_to": "valid_to_ts"}), "versions")
     lookups = [{"versions": versions.withColumnRenamed("scd_id", sk), "on": [("k", "k")], "sk": sk} for sk in ("sk1", "sk2", "sk3", "sk4", "sk5", "sk6")]
-    plan = pit_keys(facts, lookups, "at")._jdf.queryExecution().sparkPlan().toString()
-    # The facts once; for each lookup its versions, and both lists of hot keys on both sides.
-    assert plan.count("FileScan") <= 1 + 6 * 5
+    keyed = pit_keys(facts, lookups, "at", bound=BroadcastBound(rows=0))
+    plan = keyed._jdf.queryExecution().sparkPlan().toString()
+    # The facts once; for each lookup its versions twice and the keys and times of the facts.
+    assert plan.count("FileScan") <= 1 + 6 * 3
+    assert rows(keyed) == rows(pit_keys(facts, lookups, "at"))

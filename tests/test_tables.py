@@ -1,6 +1,7 @@
 """The commit log of tables and its indexes: pruning, key filters, versions, clean-up."""
 
 import re
+import uuid
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -24,9 +25,13 @@ def batch(spark, *found):
     return spark.createDataFrame([(k, d if d is None else day(d), c if c is None else day(c, 5), v) for k, d, c, v in found], COLUMNS)
 
 
-def hundred(spark, table):
+@pytest.fixture(scope="module")
+def days(spark):
     """A key per day on 100 days, each changed the day after; key 7 very late."""
-    upsert(batch(spark, *[(k, k, 300 if k == 7 else k + 1, "a") for k in range(100)]), table, SPEC)
+    name = "t_" + uuid.uuid4().hex[:12]
+    tables.create_database(spark, name)
+    upsert(batch(spark, *[(k, k, 300 if k == 7 else k + 1, "a") for k in range(100)]), f"{name}.days", SPEC)
+    return f"{name}.days"
 
 
 def test_filters_name_every_partition_of_a_key(spark):
@@ -42,9 +47,9 @@ def test_filters_name_every_partition_of_a_key(spark):
     assert parts_that_may_hold(good, probes.limit(0), ["id"], [size_class(1000)]).count() == 0
 
 
-def test_window_opens_only_partitions_changed_in_it(spark, database):
+def test_window_opens_only_partitions_changed_in_it(spark, database, days):
     table = f"{database}.t"
-    hundred(spark, table)
+    clone_table(spark, days, table, SPEC)
     got = read_changed(spark, table, "changed", day(300), day(301))
     assert rows(got, "k") == [(7,)]
     plan = got._jdf.queryExecution().executedPlan().toString()
@@ -59,18 +64,18 @@ def test_window_opens_only_partitions_changed_in_it(spark, database):
     assert tables.last_change(spark, table, "day") == day(99).replace(tzinfo=timezone.utc)
 
 
-def test_bounds_follow_upserts_and_null_times(spark, database):
+def test_bounds_follow_upserts_and_null_times(spark, database, days):
     table = f"{database}.t"
-    hundred(spark, table)
+    clone_table(spark, days, table, SPEC)
     upsert(batch(spark, (3, 3, 200, "b"), (200, 3, None, "c"), (201, None, 200, "d")), table, SPEC)
     assert rows(read_changed(spark, table, "changed", day(200), day(201)), "k") == [(201,), (3,)]
     upsert(batch(spark, (201, 60, 210, "e")), table, SPEC)
     assert rows(read_changed(spark, table, "changed", day(200), day(220)), "k", "v") == [(201, "e"), (3, "b")]
 
 
-def test_upsert_opens_only_partitions_of_its_keys(spark, database):
+def test_upsert_opens_only_partitions_of_its_keys(spark, database, days):
     table = f"{database}.t"
-    hundred(spark, table)
+    clone_table(spark, days, table, SPEC)
     _, _, state = tables.catch_up(spark, table)
     moved = batch(spark, (42, 77, 301, "moved"), (1000, 5, 301, "new"))
     opened = set(tables.parts_of_keys(spark, state, moved, ["k"]))
@@ -87,9 +92,9 @@ def test_upsert_opens_only_partitions_of_its_keys(spark, database):
     assert read_table(spark, table).count() == 99
 
 
-def test_of_two_writers_the_second_fails(spark, database):
+def test_of_two_writers_the_second_fails(spark, database, days):
     table = f"{database}.t"
-    hundred(spark, table)
+    clone_table(spark, days, table, SPEC)
     seen = tables.catch_up(spark, table)
     upsert(batch(spark, (1, 1, 310, "first")), table, SPEC)
     late = tables._write(batch(spark, (1, 1, 311, "second")), SPEC, tables._new_folder(spark, table))
@@ -98,12 +103,12 @@ def test_of_two_writers_the_second_fails(spark, database):
     assert rows(read_table(spark, table).filter("k = 1"), "v") == [("first",)]
     upsert(batch(spark, (1, 1, 311, "second")), table, SPEC)
     assert rows(read_table(spark, table).filter("k = 1"), "v") == [("second",)]
-    assert [o for _, _, o in tables.table_log(spark, table)] == ["create", "upsert", "upsert"]
+    assert [o for _, _, o in tables.table_log(spark, table)] == ["clone", "upsert", "upsert"]
 
 
-def test_writer_that_dies_before_the_catalog_is_caught_up(spark, database, monkeypatch):
+def test_writer_that_dies_before_the_catalog_is_caught_up(spark, database, days, monkeypatch):
     table = f"{database}.t"
-    hundred(spark, table)
+    clone_table(spark, days, table, SPEC)
     with monkeypatch.context() as broken:
         broken.setattr(tables, "_point", lambda *_: (_ for _ in ()).throw(RuntimeError("died")))
         with pytest.raises(RuntimeError):

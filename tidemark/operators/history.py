@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,28 +11,32 @@ from tidemark.operators.latest import latest_per_key
 SCD_COLUMNS = ["scd_id", "valid_from", "valid_to", "scd_updated_at"]
 
 
-def chain_versions(versions: DataFrame, keys: list[str], at: str, until: str) -> DataFrame:
+def chain_versions(
+    versions: DataFrame, keys: list[str], at: str, until: str, ties: list[str] | None = None, distinct: bool = True
+) -> DataFrame:
     """Set `until` to the `at` of the next version of the same key.
 
-    Needs distinct (keys, at). Versions are chained day by day, and the last one
-    of a day takes the first of the key's next day with any. So a task holds the
-    versions of one key and day, or one row per day of a key: the calendar
-    bounds that, not the rows.
+    With `distinct=False` the last row by the tie columns (all others by
+    default) stands for those with equal (keys, at). Rows are shuffled and
+    sorted once, by key and day, together with a closing row for each key and
+    day: the first time of the key's next day, from the first times of all its
+    days. So no task needs more than the versions of one key and day, or one
+    narrow row per day of a key. A change feed with a third of its rows in one
+    key spreads over as many groups as the key has days; rows without a time
+    stay together per key and should be left out before.
     """
     names = [c for c in versions.columns if c != until]
-    dated = versions.select(*names, F.to_date(at).alias("_day"))
-    days = Window.partitionBy(*keys).orderBy("_day")
-    following = dated.groupBy(*keys, "_day").agg(F.min(at).alias("_first")).select(
-        *[F.col(k).alias(f"_same_{k}") for k in keys], F.col("_day").alias("_same_day"),
-        F.lead("_first").over(days).alias("_following"),
-    )
-    within_day = Window.partitionBy(*keys, "_day").orderBy(at)
-    same = [F.col(k).eqNullSafe(F.col(f"_same_{k}")) for k in keys]
-    return (
-        dated.withColumn(until, F.lead(at).over(within_day))
-        .join(following, reduce(Column.__and__, [*same, F.col("_day").eqNullSafe(F.col("_same_day"))]), "left")
-        .select(*names, F.coalesce(until, "_following").alias(until))
-    )
+    dated = versions.select(*names, F.to_date(at).alias("_day"), F.lit(0).alias("_closes"))
+    firsts = dated.groupBy(*keys, "_day").agg(F.min(at).alias("_first"))
+    following = F.lead("_first").over(Window.partitionBy(*keys).orderBy("_day"))
+    closing = firsts.select(*keys, "_day", following.alias(at), F.lit(1).alias("_closes")).filter(F.col(at).isNotNull())
+    rows = dated.unionByName(closing, allowMissingColumns=True).repartition(*keys, "_day")
+    if not distinct:
+        ties = ties if ties is not None else [c for c in names if c not in (*keys, at)]
+        same = Window.partitionBy(*keys, "_day", "_closes", at).orderBy(at, *[F.col(c).desc_nulls_last() for c in ties])
+        rows = rows.withColumn("_rank", F.row_number().over(same)).filter("_rank = 1").drop("_rank")
+    in_order = Window.partitionBy(*keys, "_day").orderBy("_closes", at)
+    return rows.withColumn(until, F.lead(at).over(in_order)).filter("_closes = 0").select(*names, until)
 
 
 def build_history(
@@ -42,7 +44,8 @@ def build_history(
 ) -> DataFrame:
     """Full history from a complete feed of changes: one version per change time."""
     dated = changes.filter(F.col(updated_at).isNotNull())
-    return with_scd_columns(latest_per_key(dated, [*keys, updated_at], updated_at, ties), keys, updated_at)
+    chained = chain_versions(dated, keys, updated_at, "valid_to", ties, distinct=False)
+    return chained.withColumns(_scd(keys, updated_at)).select(*changes.columns, *SCD_COLUMNS)
 
 
 def _scd(keys: list[str], updated_at: str) -> dict[str, Column]:

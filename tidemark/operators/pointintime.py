@@ -2,24 +2,41 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import dataclass
+from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.measures import or_unknown
-from tidemark.operators.skew import SkewPolicy, fits_broadcast, hot_keys, repeated, salted
-from tidemark.session import materialise
+from tidemark.session import in_parallel, materialise
 
 OPEN_END = "9999-12-31 00:00:00"
-# Block of all rows of keys that are not hot, and of hot rows no single day can hold.
-_ANY_DAY = "0001-01-01"
 
 
 def open_end(valid_to: Column) -> Column:
     return F.coalesce(valid_to, F.lit(OPEN_END).cast("timestamp"))
 
 
+@dataclass(frozen=True)
+class BroadcastBound:
+    """What a version table must not exceed to be broadcast: all its rows, and those of one key, which each fact is held against."""
+
+    rows: int = 500_000
+    per_key: int = 1_000
+
+    @classmethod
+    def of(cls, spark: SparkSession) -> BroadcastBound:
+        return cls(int(spark.conf.get("spark.tidemark.broadcast.rows", str(cls.rows))),
+                   int(spark.conf.get("spark.tidemark.broadcast.perKey", str(cls.per_key))))
+
+    def holds(self, versions: DataFrame, keys: list[str]) -> bool:
+        """Counted, not estimated."""
+        counts = versions.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("rows"), F.max("n").alias("most"))
+        found = counts.first()
+        return not found.rows or (found.rows <= self.rows and found.most <= self.per_key)
+
+
 def pit_join(
     facts: DataFrame,
     versions: DataFrame,
@@ -29,100 +46,128 @@ def pit_join(
     until: str | None = None,
     valid_from: str = "valid_from_ts",
     valid_to: str = "valid_to_ts",
-    policy: SkewPolicy | None = None,
-    skew: bool = True,
+    bound: BroadcastBound | None = None,
     counted: DataFrame | None = None,
+    merge: bool | None = None,
 ) -> DataFrame:
     """Left join on `at >= valid_from and until < valid_to`.
 
     `on` pairs fact and version columns, `take` maps version columns to output
-    names, `until` defaults to `at`. A small version side is broadcast by Spark
-    and the facts are not shuffled. Otherwise hot keys are joined day by day:
-    their versions are repeated for the days they cover, and days that are
-    still too heavy are salted, so neither a popular key nor a key with very
-    many versions ends in one task. `skew=False` leaves that out, for streams:
-    they cannot be counted beforehand, and a micro-batch is small. `counted`
-    stands in for the facts where keys are counted: in a chain of lookups the
-    facts as they were before it, which keeps the plan from doubling each time.
+    names, `until` defaults to `at`. The versions of a key must not overlap. A
+    version table within `bound` is broadcast, so that a dimension of a few rows
+    doesn't shuffle the facts; any other goes through `asof_merge`. `merge`
+    decides without counting. `counted` stands in for the facts where only their
+    keys and times are read: in a chain of lookups the facts as they were before
+    it, which keeps the plan from doubling each time.
     """
     keys = [f"_key{i}" for i in range(len(on))]
     right = versions.select(
         *[F.col(dim).alias(key) for key, (_, dim) in zip(keys, on, strict=True)],
-        F.col(valid_from).alias("_from"),
+        F.col(valid_from).cast("timestamp").alias("_from"),
         open_end(F.col(valid_to)).alias("_to"),
         *[F.col(name).alias(out) for name, out in take.items()],
     )
-    left = facts
     until = until or at
-    match = [F.col(fact) == F.col(key) for key, (fact, _) in zip(keys, on, strict=True)]
-    policy = policy or SkewPolicy.of(facts.sparkSession)
-    if skew and not fits_broadcast(right):
-        left, right = _by_day(
-            facts, counted or facts, right, [fact for fact, _ in on], keys, at, until, policy)
-        match += [F.col("_day") == F.col("_version_day"), F.col("_salt") == F.col("_version_salt")]
-    match += [F.col(at) >= F.col("_from"), F.col(until) < F.col("_to")]
-    joined = left.join(right, reduce(Column.__and__, match), "left")
-    return joined.select(*facts.columns, *take.values())
+    if merge is None:
+        merge = not (bound or BroadcastBound.of(facts.sparkSession)).holds(right, keys)
+    if merge:
+        return _merged(facts, counted or facts, right, [fact for fact, _ in on], keys, at, until, list(take.values()))
+    return _joined(facts, F.broadcast(right) if not facts.isStreaming else right, [fact for fact, _ in on], keys, at, until, list(take.values()))
 
 
-def _by_day(
-    facts: DataFrame,
-    counted: DataFrame,
-    right: DataFrame,
-    fact_keys: list[str],
-    keys: list[str],
-    at: str,
-    until: str,
-    policy: SkewPolicy,
-) -> tuple[DataFrame, DataFrame]:
-    any_day = F.lit(_ANY_DAY).cast("date")
-    hot = hot_keys(counted, fact_keys, policy, "_hot")
-    # until < at can match versions outside the day of `at`: those stay together.
-    one_day = F.col("_hot").isNotNull() & (F.col(until) >= F.col(at))
-
-    def dated(df: DataFrame) -> DataFrame:
-        return (
-            df.join(F.broadcast(hot), fact_keys, "left")
-            .withColumn("_day", F.coalesce(F.when(one_day, F.to_date(at)), any_day))
-            .drop("_hot")
-        )
+def _joined(
+    facts: DataFrame, right: DataFrame, fact_keys: list[str], keys: list[str], at: str, until: str, taken: list[str]
+) -> DataFrame:
+    match = [F.col(fact) == F.col(key) for key, fact in zip(keys, fact_keys, strict=True)]
+    match += [F.col(at) >= F.col("_from"), F.col(until) < F.col("_to")]
+    return facts.join(right, reduce(Column.__and__, match), "left").select(*facts.columns, *taken)
 
-    heavy = hot_keys(dated(counted), [*fact_keys, "_day"], policy)
-    left = salted(dated(facts), heavy, [*fact_keys, "_day"], policy.shares)
 
-    def renamed(df: DataFrame) -> DataFrame:
-        return df.withColumnsRenamed(
-            {**dict(zip(fact_keys, keys, strict=True)), "_day": "_version_day"}
-        )
+def _merged(
+    facts: DataFrame, counted: DataFrame, right: DataFrame, fact_keys: list[str], keys: list[str], at: str, until: str, taken: list[str]
+) -> DataFrame:
+    if until == at:
+        return asof_merge(facts, counted, right, fact_keys, keys, at, until, taken)
+    # A relation that ended before it began can fit several versions, not only the last one begun.
+    backwards = F.coalesce(F.col(until) < F.col(at), F.lit(False))
+    forwards = asof_merge(facts.filter(~backwards), counted, right, fact_keys, keys, at, until, taken)
+    return forwards.unionByName(_joined(facts.filter(backwards), right, fact_keys, keys, at, until, taken))
+
 
-    first, last = (F.lit(day) for day in counted.agg(F.min(F.to_date(at)), F.max(F.to_date(at))).first())
-    start, end = F.greatest(F.to_date("_from"), first), F.least(F.to_date("_to"), last)
-    covered = F.when(start <= end, F.sequence(start, end))
-    days = F.when(
-        F.col("_hot").isNotNull(),
-        F.concat(F.array(any_day), F.coalesce(covered, F.array().cast("array<date>"))),
-    ).otherwise(F.array(any_day))
-    right = (
-        right.join(F.broadcast(renamed(hot)), keys, "left")
-        .withColumn("_version_day", F.explode(days))
-        .drop("_hot")
+def asof_merge(
+    facts: DataFrame, counted: DataFrame, right: DataFrame, fact_keys: list[str], keys: list[str], at: str, until: str, taken: list[str]
+) -> DataFrame:
+    """Each fact with the last version of its key begun by `at`, if `until` is before that one's end.
+
+    Facts and versions go into one table, shuffled and sorted once by key, hour
+    and time, and each fact takes the last version before it in its group. What
+    an hour begins with is carried into it by an opening row, made from one
+    narrow row per key and hour. So a group holds the facts of one key in one
+    hour, however hot the key, and a key's list of hours is bounded by the
+    calendar. Facts without a key or time match nothing and are spread.
+    """
+    version = F.struct(F.col("_to"), *[F.col(c) for c in taken])
+    kinds = {k: _common_type(facts, f, right, k) for k, f in zip(keys, fact_keys, strict=True)}
+    hour = F.floor(F.unix_micros("_at") / F.lit(3_600_000_000)).cast("long")
+    own = [F.col(f).cast(kinds[k]).alias(k) for k, f in zip(keys, fact_keys, strict=True)]
+    known = reduce(Column.__and__, [F.col(f).isNotNull() for f in (*fact_keys, at)])
+    spread = -1 - F.pmod(F.xxhash64(*facts.columns), F.lit(1 << 20))
+
+    rows = facts.select(
+        *own, F.col(at).cast("timestamp").alias("_at"), F.lit(1).alias("_kind"), known.alias("_known"),
+        F.struct(*facts.columns).alias("_row"), spread.alias("_spread"),
     )
-    right = repeated(right, renamed(heavy), [*keys, "_version_day"])
-    return left, right.withColumnRenamed("_salt", "_version_salt")
+    # Before 1970 hours are negative too, but such rows have a key, which spread ones lack.
+    rows = rows.withColumn("_hour", F.when(F.col("_known"), hour).otherwise(F.col("_spread")))
+    rows = rows.withColumns({k: F.when(F.col("_known"), F.col(k)) for k in keys}).drop("_known", "_spread")
+    begun = right.filter(reduce(Column.__and__, [F.col(k).isNotNull() for k in (*keys, "_from")])).select(
+        *[F.col(k).cast(kinds[k]).alias(k) for k in keys], F.col("_from").alias("_at"), F.lit(0).alias("_kind"), version.alias("_version"),
+    ).withColumn("_hour", hour)
+
+    asked = counted.filter(known).select(*own, F.col(at).cast("timestamp").alias("_at")).select(*keys, hour.alias("_hour")).distinct()
+    last = begun.groupBy(*keys, "_hour").agg(F.max_by("_version", "_at").alias("_last"))
+    hours = asked.withColumn("_asked", F.lit(True)).unionByName(last, allowMissingColumns=True)
+    # Of one hour the question comes first: it is for what the hour begins with.
+    before = Window.partitionBy(*keys).orderBy("_hour", F.col("_asked").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    opening = hours.withColumn("_version", F.last("_last", ignorenulls=True).over(before)).filter(
+        F.col("_asked") & F.col("_version").isNotNull()).select(
+        *keys, F.timestamp_micros(F.col("_hour") * F.lit(3_600_000_000)).alias("_at"), F.lit(-1).alias("_kind"), "_hour", "_version")
+
+    names = [*keys, "_hour", "_at", "_kind", "_row", "_version"]
+    table = rows.unionByName(begun, allowMissingColumns=True).unionByName(opening, allowMissingColumns=True).select(*names)
+    upto = Window.partitionBy(*keys, "_hour").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = table.withColumn("_found", F.last("_version", ignorenulls=True).over(upto)).filter("_kind = 1").select("_row.*", "_found")
+    fits = F.col(until) < F.col("_found._to")
+    return found.select(*facts.columns, *[F.when(fits, F.col(f"_found.{c}")).alias(c) for c in taken])
+
+
+def _common_type(facts: DataFrame, fact: str, right: DataFrame, key: str) -> str:
+    kinds = {facts.schema[fact].dataType.simpleString(), right.schema[key].dataType.simpleString()}
+    if len(kinds) == 1:
+        return kinds.pop()
+    if kinds <= {"tinyint", "smallint", "int", "bigint"}:
+        return "bigint"
+    raise TypeError(f"{fact} and its version key differ in type: {sorted(kinds)}")
 
 
 def pit_keys(
-    facts: DataFrame, lookups: list[dict], at: str, unknown: bool = True
+    facts: DataFrame, lookups: list[dict], at: str, unknown: bool = True, bound: BroadcastBound | None = None
 ) -> DataFrame:
-    """Several point-in-time lookups one after another, each adding one key."""
-    if not all(fits_broadcast(lookup["versions"]) for lookup in lookups):
-        # Keys are then counted for each lookup: from the facts as written, not computed again.
+    """Several point-in-time lookups one after another, each adding one key.
+
+    If any of them is a merge, the facts are written once before: each merge
+    also reads their keys and times.
+    """
+    bound = bound or BroadcastBound.of(facts.sparkSession)
+    tables = [lookup["versions"].select(*[dim for _, dim in lookup["on"]]) for lookup in lookups]
+    merges = [not held for held in in_parallel([partial(bound.holds, t, t.columns) for t in tables])]
+    if any(merges):
         facts = materialise(facts, "facts")
     counted = facts
-    for lookup in lookups:
+    for lookup, merge in zip(lookups, merges, strict=True):
         facts = pit_join(
             facts, lookup["versions"], lookup["on"], lookup.get("at", at), {lookup["sk"]: lookup["sk"]},
-            counted=counted,
+            counted=counted, merge=merge,
         )
         if unknown:
             facts = facts.withColumn(lookup["sk"], or_unknown(lookup["sk"]))

@@ -470,5 +470,9 @@ SELECTS["audit_marts"] = f"""
     UNION ALL SELECT 'relationships', 'channel_sk', count(*) FILTER (channel_sk = '-1') FROM ({SELECTS['sales_fact']})"""
 
 
+# Other ways to the same rows.
+SELECTS["pit_customer_key_merge"] = SELECTS["pit_customer_key"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _with(select) for name, select in SELECTS.items()}

@@ -286,6 +286,16 @@ def pit_customer_key(s: Standins) -> DataFrame:
     return keyed.withColumn("customer_sk", or_unknown("customer_sk"))
 
 
+@query
+def pit_customer_key_merge(s: Standins) -> DataFrame:
+    """The same lookup through the merge, whatever the number of versions."""
+    lines = s.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    orders = s.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    keyed = pit_join(lines.join(orders, "l_orderkey", "left"), s.dims("customers")["customers"], [("o_custkey", "customer_id")],
+                     "l_shipdate", {"customer_sk": "customer_sk"}, merge=True)
+    return keyed.withColumn("customer_sk", or_unknown("customer_sk"))
+
+
 @query
 def date_key_lookup(s: Standins) -> DataFrame:
     events = s.table("orders").select("o_orderkey", F.col("o_orderdate").alias("at"))

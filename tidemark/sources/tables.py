@@ -23,7 +23,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.keyindex import FILTER_COLUMNS, key_filters, parts_that_may_hold, size_class
 from tidemark.operators.latest import latest_per_key
-from tidemark.session import materialise, shared_folder
+from tidemark.session import in_parallel, materialise, shared_folder
 from tidemark.sources import store
 from tidemark.sources.commits import ConcurrentWrite, Log, Part, State, micros, now_micros
 
@@ -249,9 +249,9 @@ def _point(spark: SparkSession, table: str, before: State, after: State) -> None
         if after and after != before:
             spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(after[NO_VALUE].folder)}")
         return
-    for key, part in after.items():
-        if key in before and before[key].folder != part.folder:
-            spark.sql(f"ALTER TABLE {table} {_clause(columns, key)} SET LOCATION {_quoted(part.folder)}")
+    moved = [k for k in after if k in before and before[k].folder != after[k].folder]
+    in_parallel([
+        partial(spark.sql, f"ALTER TABLE {table} {_clause(columns, k)} SET LOCATION {_quoted(after[k].folder)}") for k in moved], 8)
     for chunk in _chunks([k for k in after if k not in before]):
         adds = " ".join(f"{_clause(columns, k)} LOCATION {_quoted(after[k].folder)}" for k in chunk)
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {adds}")

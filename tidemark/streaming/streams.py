@@ -102,4 +102,4 @@ def enrich_stream(
     stream: DataFrame, versions: DataFrame, on: list[tuple[str, str]], at: str, take: dict[str, str]
 ) -> DataFrame:
     """Point-in-time lookup of streamed facts in a static dimension."""
-    return pit_join(stream, versions, on, at, take, skew=False)
+    return pit_join(stream, versions, on, at, take, merge=False)
