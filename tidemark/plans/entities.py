@@ -189,14 +189,15 @@ CLEAN = {
     for e in ENTITIES.values()
 }
 SNAPSHOTS = {
-    e.plural: TableSpec(e.plural, ("scd_id",), "scd_updated_at", "MONTH", (e.key,), fixed_partition=True)
+    e.plural: TableSpec(e.plural, ("scd_id",), "scd_updated_at", "MONTH", (e.key,), fixed_partition=True,
+                        bounds=("scd_updated_at",))
     for e in ENTITIES.values()
 }
 PREP = TableSpec("transaction_lines_proration", ("transaction_line_id",), "line_created_at", "DAY",
-                 ("transaction_id",), "modified_at")
+                 ("transaction_id",), "modified_at", bounds=("changed_at",), lookups=("transaction_id",))
 HISTORY = {
     e.plural: TableSpec(f"dim_{e.plural}_history", (e.sk,), "valid_from_ts", "MONTH",
-                        e.cluster_by, fixed_partition=True)
+                        e.cluster_by, fixed_partition=True, bounds=("updated_at",))
     for e in ENTITIES.values()
 }
 CURRENT = {

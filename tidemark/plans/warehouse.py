@@ -5,24 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, timedelta
-from functools import partial, reduce
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.operators.history import build_history, current_rows, history_changes
-from tidemark.operators.incremental import RunWindow, changed_rows, changed_since
+from tidemark.operators.incremental import RunWindow, changed_rows
 from tidemark.plans import facts
 from tidemark.plans.audits import MART_AUDITS
 from tidemark.plans.entities import (
     BRIDGE_TABLES, BRIDGES, Bridge, CLEAN, CURRENT, DIM_DATE, ENTITIES, FACTS, HISTORY, MART_TABLES, PREP,
-    SNAPSHOTS, history_dimension, stage_bridge, stage_entity, stage_event,
+    SNAPSHOTS, history_dimension, stage_bridge, stage_entity,
 )
+from tidemark.plans.proration import Proration
 from tidemark.plans.publish import Roles, audit_and_publish, prepare_audit, read_roles
 from tidemark.session import in_parallel, materialise
 from tidemark.sources.specs import LOADS
 from tidemark.sources.tables import (
-    TableSpec, append_rows, create_database, read_table, remove_keys, replace_table, table_exists, upsert,
+    TableSpec, append_rows, changed_in_run, create_database, read_table, remove_keys, replace_table, rows_with_keys, table_exists, upsert,
 )
 
 LAYERS = {
@@ -45,7 +45,8 @@ RAW_KEYS = {
     "date_dimension": ("date_key",),
 }
 RAW = {
-    s.table: TableSpec(s.table, RAW_KEYS[s.table], s.partition_field, s.partition_type, s.cluster_by)
+    s.table: TableSpec(s.table, RAW_KEYS[s.table], s.partition_field, s.partition_type, s.cluster_by,
+                       bounds=("date_modified",) if s.partition_field == "date_modified" else ())
     for s in LOADS
 }
 
@@ -79,16 +80,21 @@ class Warehouse:
     def raw(self, name: str) -> DataFrame:
         return read_table(self.spark, self._table("raw", name))
 
-    def load_raw(self, name: str, rows: DataFrame) -> None:
-        append_rows(rows, self._table("raw", name), RAW[name])
+    def load_raw(self, name: str, rows: DataFrame, load: str | None = None) -> None:
+        append_rows(rows, self._table("raw", name), RAW[name], load)
+
+    @property
+    def proration(self) -> Proration:
+        return Proration(self.spark, *[partial(self._table, layer) for layer in ("raw", "clean", "prep")], self.lookback_days)
 
     # Layers below the marts -------------------------------------------------
 
     def build_clean(self, window: RunWindow) -> None:
         def build(name: str) -> None:
             table = self._table("clean", name)
-            upsert(changed_since(self.raw(name), "date_modified", window, self._existing(table)),
-                   table, CLEAN[name])
+            rows = changed_in_run(
+                self.spark, self._table("raw", name), "date_modified", window, table, "date_modified", 1, whole_days=False)
+            upsert(rows, table, CLEAN[name])
 
         in_parallel([partial(build, name) for name in CLEAN])
 
@@ -112,7 +118,7 @@ class Warehouse:
         for bridge in BRIDGES:
             if name == bridge.raw:
                 return stage_bridge(self.raw(name), ENTITIES[bridge.entity].key)
-        return stage_event(self.raw(name), name)
+        return read_table(self.spark, self._table("clean", name))
 
     def create_staging_views(self) -> None:
         """The entity views; event and bridge rows are composed where they are used."""
@@ -127,42 +133,9 @@ class Warehouse:
                 f"FROM {self._table('snapshots', name)} WHERE date_deleted IS NULL"
             )
 
-    def staged_in_window(self, name: str, window: RunWindow) -> DataFrame:
-        """An entity's versions changed in the run window."""
-        staged = self.staged(name)
-        return changed_rows(staged, "modified_at", window, staged, "modified_at", self.lookback_days)
-
     def build_prep(self, window: RunWindow) -> None:
-        """Prorate the transactions with a changed line, header or discount."""
-        table = self._table("prep", PREP.name)
-        existing = self._existing(table)
-        lines, headers, discounts = (
-            self.staged(f"transaction_{kind}") for kind in ("lines", "headers", "discounts")
-        )
-
-        def touched(rows: DataFrame) -> DataFrame:
-            return changed_rows(rows, "modified_at", window, existing, "modified_at", self.lookback_days)
-
-        stamp = ["transaction_id", "modified_at"]
-        off = touched(discounts)
-        # Order discounts have no line: they stay out of the join, where they would all meet.
-        off_lines = off.filter(F.col("transaction_line_id").isNotNull()).select(
-            "transaction_line_id", "modified_at"
-        ).join(lines.select("transaction_line_id", "transaction_id"), "transaction_line_id")
-        changes = reduce(
-            DataFrame.unionByName, [rows.select(*stamp) for rows in (touched(lines), touched(headers), off, off_lines)])
-        orders = changes.filter(F.col("transaction_id").isNotNull()).groupBy("transaction_id").agg(
-            F.max("modified_at").alias("changed_at"))
-        changed = None
-        if existing is not None:
-            orders = materialise(orders, "touched-orders")
-            changed = orders.select("transaction_id")
-        # Lines of a touched order take part even if unchanged, so equal times replace.
-        # `changed_at` tells the facts of a header or discount that changed without its lines.
-        prorated = facts.prorate_lines(lines, headers, discounts, changed)
-        stamped = prorated.join(orders, "transaction_id", "left").select(
-            *prorated.columns, F.coalesce("changed_at", "modified_at").alias("changed_at"))
-        upsert(stamped, table, PREP)
+        """Latest events, their totals, and the prorated lines of the orders they touch."""
+        self.proration.build(window)
 
     # Marts ------------------------------------------------------------------
 
@@ -189,23 +162,21 @@ class Warehouse:
         if existing is not None:
             # Closing a version leaves its change time alone: take all versions of a touched key.
             # A deletion touches its key too, and shows only in the snapshot.
-            snapshot = read_table(self.spark, self._table("snapshots", name))
-            touched = changed_rows(snapshot, "scd_updated_at", window, existing, "updated_at", self.lookback_days)
+            touched = changed_in_run(
+                self.spark, self._table("snapshots", name), "scd_updated_at", window, history, "updated_at", self.lookback_days)
             keys = materialise(touched.select(entity.key).distinct(), "touched-keys")
             changed = versions.join(keys, entity.key, "left_semi").select(*versions.columns)
         upsert(changed, history, HISTORY[name])
         if not entity.current:
             return
-        rows = current_rows(read_table(self.spark, history))
         if CURRENT[name].incremental:
-            rows = changed_rows(
-                rows, "updated_at", window, self._existing(current), "updated_at", self.lookback_days)
-            upsert(rows, current, CURRENT[name])
+            rows = changed_in_run(self.spark, history, "updated_at", window, current, "updated_at", self.lookback_days)
+            upsert(current_rows(rows), current, CURRENT[name])
             if keys is not None:
                 present = current_rows(read_table(self.spark, history)).select(entity.key)
                 remove_keys(keys.join(present, entity.key, "left_anti"), current, CURRENT[name])
         else:
-            replace_table(rows, current, CURRENT[name])
+            replace_table(current_rows(read_table(self.spark, history)), current, CURRENT[name])
 
     def _dimensions(self, database: str) -> dict[str, DataFrame]:
         dims = {n: read_table(self.spark, f"{database}.{HISTORY[n].name}") for n in ENTITIES}
@@ -214,36 +185,32 @@ class Warehouse:
     def _fact_builds(
         self, window: RunWindow, database: str, dims: dict[str, DataFrame]
     ) -> list[Callable[[], None]]:
-        prorated = read_table(self.spark, self._table("prep", PREP.name))
+        prep = self._table("prep", PREP.name)
 
-        def changed(rows: DataFrame, fact: str, at: str, target_at: str) -> DataFrame:
-            existing = self._existing(f"{database}.{fact}")
-            return changed_rows(rows, at, window, existing, target_at, self.lookback_days)
+        def changed(table: str, fact: str, at: str, target_at: str) -> DataFrame:
+            return changed_in_run(self.spark, table, at, window, f"{database}.{fact}", target_at, self.lookback_days)
 
-        def changed_orders(fact: str, target_at: str) -> DataFrame | None:
+        def touched_lines(fact: str, target_at: str) -> DataFrame:
+            """All lines of the touched orders: a late line changes the shares of its whole order."""
             if not table_exists(self.spark, f"{database}.{fact}"):
-                return None
-            return changed(prorated, fact, "changed_at", target_at).select("transaction_id").distinct()
+                return read_table(self.spark, prep)
+            orders = materialise(changed(prep, fact, "changed_at", target_at).select("transaction_id").distinct(), "fact-orders")
+            return rows_with_keys(self.spark, prep, orders, ["transaction_id"])
 
         def line_fact(fact: str, plan: Callable[..., DataFrame]) -> None:
-            orders, rows = changed_orders(fact, "source_modified_at"), prorated
-            if orders is not None:
-                # A late line changes the shares of its whole order.
-                rows = facts.all_rows_of_changed(prorated, orders, ["transaction_id"])
-            upsert(plan(rows, dims), f"{database}.{fact}", FACTS[fact])
+            upsert(plan(touched_lines(fact, "source_modified_at"), dims), f"{database}.{fact}", FACTS[fact])
 
         def transactions() -> None:
-            orders = changed_orders("fct_transactions", "modified_at")
-            upsert(facts.transactions(prorated, dims, orders), f"{database}.fct_transactions",
-                   FACTS["fct_transactions"])
+            rows = touched_lines("fct_transactions", "modified_at")
+            upsert(facts.transactions(rows, dims), f"{database}.fct_transactions", FACTS["fct_transactions"])
 
         def payments() -> None:
-            paid = changed(self.staged("transaction_payments"), "fct_payments", "modified_at", "source_updated_at")
+            paid = changed(self._table("clean", "transaction_payments"), "fct_payments", "modified_at", "source_updated_at")
             upsert(facts.payments(paid, dims["payment_types"]), f"{database}.fct_payments", FACTS["fct_payments"])
 
         def discounts() -> None:
             off = changed(
-                self.staged("transaction_discounts"), "fct_discounts", "modified_at", "source_modified_at")
+                self._table("clean", "transaction_discounts"), "fct_discounts", "modified_at", "source_modified_at")
             batch = table_exists(self.spark, f"{database}.fct_discounts")
             lines, headers = self.staged("transaction_lines"), self.staged("transaction_headers")
             upsert(facts.discounts(off, lines, headers, dims, batch), f"{database}.fct_discounts",

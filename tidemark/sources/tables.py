@@ -24,11 +24,13 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 from functools import partial, reduce
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.incremental import RunWindow
 from tidemark.operators.keyindex import FILTER_COLUMNS, key_filters, parts_that_may_hold, size_class
 from tidemark.operators.latest import latest_per_key
 from tidemark.session import in_parallel, materialise, shared_folder
@@ -60,6 +62,8 @@ class TableSpec:
     incremental: bool = True
     # Time columns, besides `updated_at`, whose bounds are kept for each partition.
     bounds: tuple[str, ...] = ()
+    # Columns, besides the keys, that rows are looked up by.
+    lookups: tuple[str, ...] = ()
 
     @property
     def part(self) -> str:
@@ -139,6 +143,73 @@ def last_change(spark: SparkSession, table: str, column: str) -> datetime | None
     return None if found is None else datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=found)
 
 
+def rows_with_keys(spark: SparkSession, table: str, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose `on` columns are in `keys`; only partitions whose filters let one pass are opened."""
+    rows, wanted = spark.table(table), keys.select(*on).distinct()
+    state = _log(spark, table).state()
+    if any(",".join(on) in p.filtered for p in state.values()):
+        rows = rows.filter(_in_parts(rows.columns, parts_of_keys(spark, state, wanted, on)))
+    return _plain(rows.join(wanted, on, "left_semi"))
+
+
+def changed_in_run(
+    spark: SparkSession, table: str, at: str, window: RunWindow, target: str | None = None, target_at: str | None = None,
+    lookback_days: int = 3, whole_days: bool = True,
+) -> DataFrame:
+    """Rows of a table changed on the days of the window, or since the target's last change.
+
+    As `changed_rows` (or, with `whole_days=False`, `changed_since`), but the
+    bounds are known first, so that partitions without such rows are not opened.
+    Everything, if the target isn't there or has no rows.
+    """
+    if target is None or not table_exists(spark, target):
+        return read_table(spark, table)
+    zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
+    back = timedelta(days=lookback_days)
+    if window.given:
+        first, end = (datetime.combine(date.fromisoformat(d[:10]), datetime.min.time(), zone) for d in (window.start, window.end))
+        return read_changed(spark, table, at, first - back, end)
+    last = last_change(spark, target, target_at or at)
+    if last is None:
+        return read_table(spark, table)
+    if whole_days:
+        last = datetime.combine(last.astimezone(zone).date(), datetime.min.time(), zone)
+    return read_changed(spark, table, at, last - back)
+
+
+def table_version(spark: SparkSession, table: str) -> int:
+    return _log(spark, table).last()
+
+
+def noted(spark: SparkSession, table: str, prefix: str) -> str | None:
+    """The rest of the newest commit's note that starts with `prefix`."""
+    log = _log(spark, table)
+    for version in reversed(log.versions()):
+        operation = log.read(version).operation
+        if operation.startswith(prefix):
+            return operation.removeprefix(prefix)
+    return None
+
+
+def versions_apart(spark: SparkSession, table: str, version: int) -> tuple[DataFrame, DataFrame]:
+    """Rows then and now of the partitions that changed since `version` (0: from nothing), by their files alone.
+
+    LookupError if that version is no longer kept.
+    """
+    properties, schema = table_properties(spark, table), read_table(spark, table).schema
+    if 0 < version < int(properties[_KEPT_FROM]):
+        raise LookupError(f"version {version} of {table} is no longer kept")
+    log = Log(spark, properties[_LOG])
+    now = log.state()
+    then = log.state(version) if version else {}
+
+    def read(state: State, other: State) -> DataFrame:
+        folders = sorted({p.folder for k, p in state.items() if k not in other or other[k].folder != p.folder})
+        return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+    return read(then, now), read(now, then)
+
+
 def _in_parts(columns: list[str], keys: list[str]) -> Column:
     """Partition predicate for these partitions; for appended tables it may let others of the same loads in."""
     names = [c for c in columns if c.startswith("part_of_")]
@@ -188,15 +259,17 @@ def _written(df: DataFrame, spec: TableSpec, folder: str) -> State:
         F.count(F.lit(1)).alias("rows"),
         *[f(m).alias(f"{n}_{c}") for c, m in micros_of.items() for n, f in (("least", F.min), ("most", F.max))],
     ).collect()
-    indexed = bool(spec.keys) and not spec.fixed_partition and spec.incremental and bool(totals)
-    if indexed:
+    by_keys = spec.keys and not spec.fixed_partition and spec.incremental
+    indexed = [list(spec.keys)] * bool(by_keys) + [[c] for c in spec.lookups]
+    if totals and indexed:
         classes = {r[spec.part]: size_class(r.rows) for r in totals}
-        key_filters(rows, list(spec.keys), F.col(spec.part), classes).repartition("part").write.parquet(f"{folder}/{_KEYS}")
+        filters = [key_filters(rows, names, F.col(spec.part), classes) for names in indexed]
+        reduce(DataFrame.unionByName, filters).repartition("part").write.parquet(f"{folder}/{_KEYS}")
     return {
         r[spec.part]: Part(
             f"{folder}/{spec.part}={r[spec.part]}", r.rows,
             {c: [r[f"least_{c}"], r[f"most_{c}"]] for c in times if r[f"least_{c}"] is not None},
-            f"{folder}/{_KEYS}" if indexed else None,
+            f"{folder}/{_KEYS}" if indexed else None, [",".join(names) for names in indexed],
         )
         for r in totals
     }
@@ -318,20 +391,21 @@ def replace_table(df: DataFrame, table: str, spec: TableSpec) -> None:
     _commit(spark, table, seen, "replace", parts, set(seen[2]) - set(parts))
 
 
-def upsert(df: DataFrame, table: str, spec: TableSpec, newer_wins: bool = True) -> None:
+def upsert(df: DataFrame, table: str, spec: TableSpec, newer_wins: bool = True, note: str | None = None) -> None:
     """Replace the rows of `table` that share a key with `df`, and add the others.
 
     Rewritten are the partitions the new rows go to and those that hold the
     keys now: a key may have moved. The key filters tell which those can be; no
     other partition is opened. With `newer_wins`, rows older than what the table
-    has are ignored, so that an old window can be run again.
+    has are ignored, so that an old window can be run again. `note` goes to the
+    log, in the same commit.
     """
     spark = df.sparkSession
     keys = list(spec.keys)
     if spec.updated_at:
         df = latest_per_key(df, keys, spec.updated_at)
     if not table_exists(spark, table):
-        replace_table(df, table, spec)
+        _create(spark, table, df.schema, spec, note or "create", _write(df, spec, _new_folder(spark, table)))
         return
     seen = catch_up(spark, table)
     existing = spark.table(table)
@@ -343,7 +417,7 @@ def upsert(df: DataFrame, table: str, spec: TableSpec, newer_wins: bool = True)
         fresh = _accepted(batch, existing, spec, newer_wins)
         rest = existing.select(*columns).join(fresh.select(*keys), keys, "left_anti")
         parts = _write(rest.select(*columns).unionByName(fresh.select(*columns)), spec, _new_folder(spark, table))
-        _commit(spark, table, seen, "upsert", parts)
+        _commit(spark, table, seen, note or "upsert", parts)
         return
     placed = batch.withColumn(spec.part, part_value(spec.partition_field, spec.grain))
     scope = existing.filter(F.col(spec.part).isin(
@@ -354,17 +428,20 @@ def upsert(df: DataFrame, table: str, spec: TableSpec, newer_wins: bool = True)
     moved = held.join(fresh.select(*keys), keys, "left_semi")
     affected = _values(fresh.select(spec.part).unionByName(moved.select(spec.part)), spec.part)
     if not affected:
+        if note:
+            _commit(spark, table, seen, note, {})
         return
     old = existing.filter(F.col(spec.part).isin(affected))
     rest = old.join(fresh.select(*keys), keys, "left_anti")
     parts = _write(rest.select(*columns).unionByName(fresh.select(*columns)), spec, _new_folder(spark, table))
-    _commit(spark, table, seen, "upsert", parts, set(affected) - set(parts))
+    _commit(spark, table, seen, note or "upsert", parts, set(affected) - set(parts))
 
 
 def parts_of_keys(spark: SparkSession, state: State, batch: DataFrame, keys: list[str]) -> list[str]:
     """Partitions that may hold a key of `batch`, by their key filters; those without filters always."""
-    without = [k for k, p in state.items() if not p.keys]
-    filtered = {k: p for k, p in state.items() if p.keys}
+    named = ",".join(keys)
+    without = [k for k, p in state.items() if named not in p.filtered]
+    filtered = {k: p for k, p in state.items() if named in p.filtered}
     if not filtered:
         return without
     live = spark.createDataFrame([(k, p.keys) for k, p in filtered.items()], "part string, _home string")
@@ -374,7 +451,7 @@ def parts_of_keys(spark: SparkSession, state: State, batch: DataFrame, keys: lis
     # As many rows as partitions.
     current = F.broadcast(live.withColumn("_home", F.regexp_replace("_home", r"^\w+:/*", "/")))
     found = parts_that_may_hold(
-        filters.join(current, ["part", "_home"], "left_semi"), batch, keys, {size_class(p.rows) for p in filtered.values()})
+        filters.filter(F.col("columns") == named).join(current, ["part", "_home"], "left_semi"), batch, keys, {size_class(p.rows) for p in filtered.values()})
     return without + [r.part for r in found.collect()]
 
 
