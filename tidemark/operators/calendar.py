@@ -1,27 +1,15 @@
-"""Date dimension, seasonality and compound growth."""
+"""Date dimension, seasonal factors and growth."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import day_suffix
+from tidemark.functions.measures import money
 
 HOLIDAY_SCHEMA = "holiday_date date, holiday_name string"
 
-# Weight of each weekday, Monday to Sunday.
-WEEKDAY_WEIGHTS = (0.75, 0.75, 0.85, 1.00, 1.30, 1.65, 1.40)
-# Weight of each ISO week from the first on. Later weeks of a year
-# take the last one.
-ISO_WEEK_WEIGHTS = (
-    0.80, 0.75, 0.75, 0.75, 0.85, 1.10, 0.85, 0.80, 0.90, 0.90,
-    0.95, 1.05, 1.05, 0.95, 0.95, 0.95, 1.00, 1.15, 1.00, 1.00,
-    1.20, 1.05, 1.10, 1.05, 1.05, 1.25, 1.00, 1.00, 1.00, 1.25,
-    1.30, 1.30, 1.30, 1.10, 0.90, 0.90, 0.90, 0.95, 1.00, 1.10,
-    1.10, 1.10, 1.00, 1.50, 2.20, 2.40, 1.90, 2.00, 2.20, 1.60,
-    1.40,
-)
-
 
 def days_between(spark: SparkSession, first: str, last: str) -> DataFrame:
     """One row per day, both ends included."""
@@ -84,17 +72,27 @@ def date_dimension(days: DataFrame, holidays: DataFrame | None = None, fiscal_st
     return named.select(*[column.alias(name) for name, column in columns.items()])
 
 
-def seasonality(day: Column) -> Column:
-    """Weekday weight times ISO week weight."""
-    by_day = F.array(*[F.lit(w) for w in WEEKDAY_WEIGHTS])
-    by_week = F.array(*[F.lit(w) for w in ISO_WEEK_WEIGHTS])
-    week = F.least(F.weekofyear(day), F.lit(len(ISO_WEEK_WEIGHTS)))
-    return F.get(by_day, F.weekday(day)) * F.get(by_week, week - 1)
+def seasonal_factors(days: DataFrame, day: str, amount: str) -> DataFrame:
+    """`days` with `factor`: the mean of its weekday times that of its ISO week, each against the mean of all days.
+
+    Weeks 1 to 53 are counted as they are. The means are of a few rows each.
+    """
+    columns = days.columns
+    parts = days.withColumns({"_weekday": F.weekday(day), "_week": F.weekofyear(day)})
+    mean = (F.sum(amount).cast("double") / F.count(F.lit(1)))
+    of_all = parts.agg(mean.alias("_all"))
+    by = {name: parts.groupBy(name).agg(mean.alias(f"{name}_mean")) for name in ("_weekday", "_week")}
+    joined = parts.join(F.broadcast(by["_weekday"]), "_weekday").join(F.broadcast(by["_week"]), "_week").join(F.broadcast(of_all), F.lit(True))
+    return joined.select(*columns, (F.col("_weekday_mean") / F.col("_all") * (F.col("_week_mean") / F.col("_all"))).alias("factor"))
+
 
+def mean_growth(events: DataFrame, keys: list[str], at: str, amount: str) -> DataFrame:
+    """Per key: `days` from the first to the last day, and the mean daily `growth` of the running total between them.
 
-def grown_base(base: Column, days: Column, rate: float = 1.002) -> Column:
-    """A daily base after `days` of growth, rounded to whole units every day."""
-    steps = F.when(days > 0, F.sequence(F.lit(1), days)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(
-        steps, base.cast("long"), lambda size, _: F.bround(size.cast("double") * F.lit(rate)).cast("long")
-    )
+    The total of the first day grows to that of all days; null where they are one day.
+    """
+    daily = events.groupBy(*keys, F.to_date(at).alias("_day")).agg(F.sum(money(amount)).alias("_sum"))
+    seen = daily.groupBy(*keys).agg(
+        F.datediff(F.max("_day"), F.min("_day")).alias("days"), F.min_by("_sum", "_day").cast("double").alias("_first"), F.sum("_sum").cast("double").alias("_all"))
+    growth = F.pow(F.try_divide("_all", "_first"), F.try_divide(F.lit(1.0), F.col("days"))) - 1
+    return seen.select(*keys, "days", growth.alias("growth"))

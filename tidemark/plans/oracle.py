@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import re
 
-from tidemark.operators.calendar import ISO_WEEK_WEIGHTS, WEEKDAY_WEIGHTS
-from tidemark.plans.queries import NAMESPACE
+from tidemark.plans.queries import INGEST_KEY, NAMESPACE
 
 STAMP = "'%Y-%m-%d %H:%M:%S.%f'"
 
@@ -159,14 +158,14 @@ CTES: dict[str, str] = {
 }
 
 
-def _with(select: str) -> str:
+def _with(select: str, ctes: dict[str, str] = CTES) -> str:
     """Prefix a select with the expressions it names, directly or not."""
     if select.lstrip().startswith("WITH"):
         return select
     needed: list[str] = []
 
     def visit(text: str) -> None:
-        for name, body in CTES.items():
+        for name, body in ctes.items():
             if name not in needed and re.search(rf"\b{name}\b", text):
                 visit(body)
                 if name not in needed:
@@ -175,7 +174,7 @@ def _with(select: str) -> str:
     visit(select)
     if not needed:
         return select
-    return "WITH " + ", ".join(f"{n} AS ({CTES[n]})" for n in needed) + " " + select
+    return "WITH " + ", ".join(f"{n} AS ({ctes[n]})" for n in needed) + " " + select
 
 
 def _money(*names: str) -> str:
@@ -413,21 +412,16 @@ SELECTS: dict[str, str] = {
     "safe_ratios": """SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate,
         l_tax / nullif(l_discount, 0) AS tax_per_discount FROM lineitem""",
     "date_dim": _DATE_DIM,
-    "seasonality_factor": f"""SELECT o_orderdate::DATE AS day, count(*) AS n_orders,
-        round(list_extract({list(WEEKDAY_WEIGHTS)}, isodow(o_orderdate))::DOUBLE
-              * list_extract({list(ISO_WEEK_WEIGHTS)}, least(weekofyear(o_orderdate), {len(ISO_WEEK_WEIGHTS)}))::DOUBLE,
-              6) AS factor
-        FROM orders GROUP BY o_orderdate""",
-    "daily_growth": """
-        WITH RECURSIVE seen AS (
-            SELECT o_custkey, date_diff('day', min(o_orderdate), max(o_orderdate))::INTEGER AS days
-            FROM orders GROUP BY o_custkey),
-        grown(day, base) AS (
-            SELECT 0, 2000::BIGINT
-            UNION ALL
-            SELECT day + 1, round_even(base::DOUBLE * 1.002::DOUBLE, 0)::BIGINT FROM grown
-            WHERE day < (SELECT max(days) FROM seen))
-        SELECT o_custkey, days, base FROM seen JOIN grown ON day = days""",
+    "seasonality_factor": """WITH days AS (SELECT o_orderdate::DATE AS day, count(*) AS n_orders FROM orders GROUP BY o_orderdate::DATE),
+        w AS (SELECT isodow(day) AS d, sum(n_orders)::DOUBLE / count(*) AS m FROM days GROUP BY 1),
+        v AS (SELECT weekofyear(day) AS d, sum(n_orders)::DOUBLE / count(*) AS m FROM days GROUP BY 1),
+        a AS (SELECT sum(n_orders)::DOUBLE / count(*) AS m FROM days)
+        SELECT day, n_orders, round(w.m / a.m * (v.m / a.m), 6) AS factor
+        FROM days JOIN w ON isodow(day) = w.d JOIN v ON weekofyear(day) = v.d, a""",
+    "daily_growth": """WITH daily AS (
+            SELECT o_custkey, o_orderdate::DATE AS day, sum(o_totalprice::DECIMAL(18,4)) AS s FROM orders GROUP BY ALL),
+        seen AS (SELECT o_custkey, date_diff('day', min(day), max(day))::INTEGER AS days, arg_min(s, day)::DOUBLE AS f, sum(s)::DOUBLE AS a FROM daily GROUP BY o_custkey)
+        SELECT o_custkey, days, CASE WHEN days > 0 THEN round(pow(a / f, 1.0::DOUBLE / days) - 1, 6) END AS growth FROM seen""",
     "normalise_list_dimension": f"""SELECT word_id, word, h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-'
         || ('89ab')[1 + (('0x' || h[17])::INTEGER % 4)] || h[18:20] || '-' || h[21:32] AS word_uuid
         FROM (SELECT *, sha1(unhex('{NAMESPACE.hex}') || encode(word_id::VARCHAR)) AS h FROM word_ids)""",
@@ -470,6 +464,38 @@ SELECTS["audit_marts"] = f"""
     UNION ALL SELECT 'relationships', 'channel_sk', count(*) FILTER (channel_sk = '-1') FROM ({SELECTS['sales_fact']})"""
 
 
+_CHANGED = {
+    **CTES, "first_headers": CTES["headers"], "first_discounts": CTES["discounts"],
+    "headers": """SELECT * REPLACE ((CASE WHEN transaction_id % 2 = 0 AND transaction_id // 2 % 11 = 0 THEN tax * 2 ELSE tax END)::DECIMAL(18,4) AS tax)
+        FROM first_headers""",
+    "discounts": """SELECT * REPLACE ((CASE WHEN transaction_discount_id % 13 = 0 THEN discount_amount + 1 ELSE discount_amount END)::DECIMAL(18,4)
+        AS discount_amount) FROM first_discounts""",
+}
+SELECTS["incremental_facts"] = _with("""SELECT transaction_id, transaction_type, customer_id, gross::DOUBLE AS gross_subtotal_amount,
+    off::DOUBLE AS total_discount_amount, tax::DOUBLE AS total_tax_amount, net::DOUBLE AS net_amount FROM totals""", _CHANGED)
+
+
+def _ingested() -> str:
+    """Rows of each source table in the month of the ingest run."""
+    first = "SELECT {c}, min({m}) AS moment FROM {t} GROUP BY {c}, date_trunc('{u}', {m})".format
+    line = lambda c, u: first(c=c, m="l_shipdate", t="lineitem", u=u)
+    shipped = "SELECT l_shipdate AS moment FROM lineitem"
+    feeds = {
+        "authors": line("l_suppkey", "month"), "publishers": line("l_linenumber", "month"), "promotion_groups": line("l_partkey", "month"),
+        "categories": line("l_quantity", "month"), "products": line("l_partkey", "year"), "suppliers": line("l_suppkey", "year"),
+        "promotions": line("l_suppkey", "quarter"), "channels": first(c="o_orderpriority", m="o_orderdate", t="orders", u="year"),
+        "payment_types": "SELECT min(moment) AS moment FROM payments GROUP BY payment_type_id, year(moment)",
+        "customers": "SELECT o_orderdate AS moment FROM orders", "suppliers_products": "SELECT modified_at AS moment FROM bridge",
+        **dict.fromkeys(("authors_products", "publishers_products", "promotion_groups_products", "categories_products"), shipped),
+        "transaction_headers": "SELECT moment FROM headers", "transaction_lines": "SELECT moment FROM raw_lines",
+        "transaction_discounts": "SELECT moment FROM raw_discounts", "transaction_payments": "SELECT moment FROM payments",
+    }
+    inside = f"moment >= TIMESTAMP '{INGEST_KEY}' AND moment < TIMESTAMP '{INGEST_KEY}' + INTERVAL 1 MONTH"
+    return " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS n_rows, max(moment) AS newest FROM ({feed}) WHERE {inside}" for n, feed in feeds.items())
+
+
+SELECTS["ingest_all"] = _ingested()
 # Other ways to the same rows.
 SELECTS["pit_customer_key_merge"] = SELECTS["pit_customer_key"]
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime, timedelta
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from tidemark.functions.measures import (
 )
 from tidemark.functions.text import quoted_items
 from tidemark.operators import audit
-from tidemark.operators.calendar import grown_base, seasonality
+from tidemark.operators.calendar import mean_growth, seasonal_factors
 from tidemark.operators.history import build_history, current_rows, history_changes
 from tidemark.operators.ids import continue_ids, dense_ids, sample_rows, top_k
 from tidemark.operators.incremental import (
@@ -29,11 +31,13 @@ from tidemark.operators.pointintime import date_key, pit_join
 from tidemark.operators.sets import rows_of, rows_of_either
 from tidemark.plans import facts, promotions
 from tidemark.plans.audits import source_audits
+from tidemark.plans.entities import EVENTS, PREP
+from tidemark.plans.proration import Proration
 from tidemark.plans.publish import Roles, audit_and_publish, prepare_audit
-from tidemark.plans.standins import LINE_TIES, Standins
+from tidemark.plans.standins import DISCOUNT_TIES, LINE_TIES, Standins
 from tidemark.session import configure, fresh_folder
-from tidemark.sources import extract, files, tables
-from tidemark.sources.specs import ExtractSpec, FieldSpec
+from tidemark.sources import extract, files, ingest, tables
+from tidemark.sources.specs import ENTITY_TABLES, EXTRACTS, LOADS, ExtractSpec, FieldSpec
 from tidemark.sources.tables import TableSpec
 from tidemark.streaming import streams
 
@@ -159,6 +163,53 @@ def ingest_backfill(s: Standins) -> DataFrame:
     )
 
 
+INGEST_KEY = "1997-03-01"
+
+
+def ingest_sources(s: Standins) -> dict[str, DataFrame]:
+    """A change feed for each of the source tables."""
+    lines = s.table("lineitem")
+    pairs = {f"{n}s_products": lines.select(F.col(c).alias(f"{n}_id"), F.col("l_partkey").alias("product_id"), F.col("l_shipdate").alias("date_modified"))
+             for n, c in (("author", "l_suppkey"), ("publisher", "l_linenumber"), ("promotion_group", "l_suppkey"))}
+    monthly = {f"{n}s": s._first_of_period("lineitem", c, "l_shipdate", "MONTH", f"{n}_id")
+               for n, c in (("author", "l_suppkey"), ("publisher", "l_linenumber"), ("promotion_group", "l_partkey"))}
+    return {
+        **pairs, **monthly, "categories": s._first_of_period("lineitem", "l_quantity", "l_shipdate", "MONTH", "category_id"),
+        "categories_products": lines.select(F.col("l_quantity").alias("category_id"), F.col("l_partkey").alias("product_id"), F.col("l_shipdate").alias("date_modified")),
+        "suppliers_products": s.raw_supplier_bridge, "customers": s.customer_changes, "products": s.product_changes, "suppliers": s.supplier_changes,
+        "promotions": s.promotion_changes, "channels": s.channel_changes, "payment_types": s.payment_type_changes,
+        "transaction_headers": s.raw_headers, "transaction_lines": s.raw_lines, "transaction_discounts": s.raw_discounts, "transaction_payments": s.raw_payments,
+    }
+
+
+@query
+def ingest_all(s: Standins) -> DataFrame:
+    """A run over all ingest specs that dies half way, started again, and once more: rows of each raw table."""
+    spark, base, database = s.spark, fresh_folder(s.spark, "lake"), _database(s.spark, "ingest")
+    sources = ingest_sources(s)
+    extracts = [replace(e, grain="monthly", layout="monthly") for e in EXTRACTS]
+    loads = {x.table: (x, TableSpec(x.table, (), x.partition_field, "MONTH", bounds=("date_modified",))) for x in LOADS if x.partition_field == "date_modified"}
+    needs = {name: set(ENTITY_TABLES) for name in sources if name not in ENTITY_TABLES}
+
+    def dying(name: str) -> DataFrame:
+        if name == "suppliers_products":
+            raise RuntimeError("the source is gone")
+        return sources[name]
+
+    arguments = (extracts, loads, INGEST_KEY, base, f"{base}/manifest", database, needs)
+    try:
+        ingest.ingest_run(spark, dying, *arguments)
+    except RuntimeError:
+        ingest.ingest_run(spark, sources.__getitem__, *arguments)
+    counted = ingest.ingest_run(spark, sources.__getitem__, *arguments)
+    parts = [
+        (tables.read_table(spark, f"{database}.{name}") if n else sources[name].limit(0)).agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.max("date_modified").alias("newest"))
+        for name, n in sorted(counted.items())
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def conform_schema(s: Standins) -> DataFrame:
     """Explicit schema with required fields and both rounding modes."""
@@ -443,6 +494,35 @@ def proration(s: Standins) -> DataFrame:
     return s.prorated
 
 
+@query
+def incremental_facts(s: Standins) -> DataFrame:
+    """Totals per transaction after a first run, a run with newer rows, and one with header-only and discount-only changes."""
+    spark, database = s.spark, _database(s.spark, "incremental")
+    table = f"{database}.{{}}_{{}}".format
+    work = Proration(spark, *[partial(table, layer) for layer in ("raw", "clean", "prep")], grain="YEAR")
+    cut, late = F.lit("1998-01-01").cast("timestamp"), F.lit("2035-01-01").cast("timestamp")
+    raw = {
+        "transaction_lines": latest_per_key(s.raw_lines, ["transaction_line_id", "date_modified"], "date_modified", LINE_TIES),
+        "transaction_headers": s.raw_headers,
+        "transaction_discounts": latest_per_key(s.raw_discounts, ["transaction_discount_id", "date_modified"], "date_modified", DISCOUNT_TIES),
+    }
+    doubled = s.raw_headers.filter("transaction_id % 2 = 0 AND (transaction_id div 2) % 11 = 0").withColumn(
+        "total_tax_amount", (F.col("total_tax_amount") * 2).cast(MONEY))
+    dearer = latest_per_key(raw["transaction_discounts"], ["transaction_discount_id"], "date_modified", DISCOUNT_TIES).filter(
+        "transaction_discount_id % 13 = 0").withColumn("discount_amount", (F.col("discount_amount") + 1).cast(MONEY))
+    feeds = [
+        {n: df.filter(F.col("date_modified") < cut) for n, df in raw.items()}, {n: df.filter(F.col("date_modified") >= cut) for n, df in raw.items()},
+        {n: df.withColumn("date_modified", late) for n, df in (("transaction_headers", doubled), ("transaction_discounts", dearer))},
+    ]
+    for k, feed in enumerate(feeds):
+        for name, rows in feed.items():
+            spec = TableSpec(name, (EVENTS[name][0],), "date_modified", "YEAR", bounds=("date_modified",))
+            tables.append_rows(rows, table("raw", name), spec, f"feed-{k}")
+        work.build(RunWindow())
+    totals = facts.signed_totals(tables.read_table(spark, table("prep", PREP.name)))
+    return totals.select("transaction_id", "transaction_type", "customer_id", "gross_subtotal_amount", "total_discount_amount", "total_tax_amount", "net_amount")
+
+
 @query
 def line_discount_totals(s: Standins) -> DataFrame:
     by_line = s.discounts.filter(F.col("transaction_line_id").isNotNull())
@@ -546,16 +626,16 @@ def date_dim(s: Standins) -> DataFrame:
 
 @query
 def seasonality_factor(s: Standins) -> DataFrame:
+    """Orders of each day, and what its weekday and ISO week have against the mean of all days."""
     orders = s.table("orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("n_orders"))
-    return orders.select("day", "n_orders", F.round(seasonality(F.col("day")), 6).alias("factor"))
+    return seasonal_factors(orders, "day", "n_orders").select("day", "n_orders", F.round("factor", 6).alias("factor"))
 
 
 @query
 def daily_growth(s: Standins) -> DataFrame:
-    """A base that grows from the first order of a customer to the last."""
-    seen = s.table("orders").groupBy("o_custkey").agg(
-        F.datediff(F.max("o_orderdate"), F.min("o_orderdate")).alias("days"))
-    return seen.select("o_custkey", "days", grown_base(F.lit(2000), F.col("days")).alias("base"))
+    """Growth a day of what a customer has bought, from the first day to all of it on the last."""
+    return mean_growth(s.table("orders"), ["o_custkey"], "o_orderdate", "o_totalprice").select(
+        "o_custkey", "days", F.round("growth", 6).alias("growth"))
 
 
 def _named_items(s: Standins) -> DataFrame:

@@ -46,7 +46,7 @@ class ExtractSpec:
     layout: str | None = None
     columns: tuple[str, ...] = ()
     load_all_columns: bool = True
-    chunk_size: int | None = None
+    chunk_size: int | None = 32_768
     compression: str | None = None
 
     def __post_init__(self) -> None:

@@ -264,7 +264,7 @@ def _written(df: DataFrame, spec: TableSpec, folder: str) -> State:
     if totals and indexed:
         classes = {r[spec.part]: size_class(r.rows) for r in totals}
         filters = [key_filters(rows, names, F.col(spec.part), classes) for names in indexed]
-        reduce(DataFrame.unionByName, filters).repartition("part").write.parquet(f"{folder}/{_KEYS}")
+        reduce(DataFrame.unionByName, filters).write.parquet(f"{folder}/{_KEYS}")
     return {
         r[spec.part]: Part(
             f"{folder}/{spec.part}={r[spec.part]}", r.rows,
