@@ -30,3 +30,18 @@ def test_run(spark, folder):
     again = corpus_pipeline.run(spark, folder).collect()
     key = lambda r: (r.doc_id or -1, r.piece, r.ids_crc32)
     assert sorted(map(key, rows)) == sorted(map(key, again))
+
+
+def test_repeated_rows_and_rows_without_id_keep_one_text(spark, folder):
+    """Copies under one id, and copies without any: one of each stays, with all its words."""
+    from tidemark.llm import neardup, substrings
+
+    text, other = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(1, text), (1, text), (2, text), (None, text), (None, other), (None, other), (7, "one two"), (7, "three four"), (8, None), (9, ""), (8, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = neardup.without_near_duplicates(docs)
+    assert kept.schema == docs.schema
+    want = [(1, text), (None, other), (7, "one two"), (7, "three four"), (8, None), (8, None), (9, "")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+    assert sorted(((r.doc_id, r.text) for r in substrings.without_repeats(kept).collect()), key=repr) == sorted(want, key=repr)
+    assert neardup.without_near_duplicates(docs.limit(0)).count() == 0

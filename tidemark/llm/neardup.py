@@ -239,6 +239,18 @@ def near_duplicates(
 
 
 def without_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
-    """`docs`, of each group the row with the smallest doc_id; columns as they came."""
-    gone = near_duplicates(docs, **settings).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """`docs`, one row of each group of near duplicates; columns as they came.
+
+    Groups are of rows: rows that repeat a doc_id or have none are copies of each
+    other if their texts are, and stay if they are not. The row with the smallest
+    doc_id is kept, one without an id only if none has one, and of equal ones any
+    one. Rows without words stay.
+    """
+    # Row numbers hold only if everything reads them from the same files.
+    numbered = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    groups = near_duplicates(numbered.select(F.col("_row").alias("doc_id"), "`text`"), **settings)
+    members = numbered.select("_row", F.col("`doc_id`").alias("_id")).join(
+        groups.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")), "_row")
+    kept = members.groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_row")).alias("_first"))
+    kept = materialise(kept.select(F.col("_first._row").alias("_row")), "kept-rows")
+    return numbered.join(kept, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import fresh_folder
+from tidemark.session import fresh_folder, materialise
 
 CHUNK = 1 << 16
 ROWS_PER_FILE = 1024  # of at most CHUNK bytes each
@@ -64,7 +64,9 @@ def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         rows.filter((F.col("bytes") >= least_bytes) & F.col("page_id").isNotNull()).groupBy("digest", "bytes")
         .agg(F.max("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     )
-    # Few payloads stand twice; the join is skewed where one stands very often, and Spark splits that.
+    # Few payloads stand twice. Written first, so that Spark knows how small the list is and payloads
+    # needn't be shuffled to meet it; beyond what it broadcasts they are, and a payload that stands very often is split.
+    firsts = materialise(firsts, "firsts")
     revisit = F.col("page_id") < F.col("first")
     return rows.join(firsts, ["digest", "bytes"], "left").select(
         "page_id", "url", "payload", "digest", "bytes",
