@@ -363,7 +363,7 @@ def scored(docs: DataFrame, model: Model | float) -> DataFrame:
     """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in slices(batches, most=2 << 20):
+        for rows in slices(batches, most=1 << 19):
             batch = in_pieces(batch_of(rows["text"]))
             values = np.full(rows.num_rows, model) if isinstance(model, float) else model.probabilities(batch)
             yield pa.RecordBatch.from_arrays([rows["doc_id"], pa.array(values, pa.float64())], ["doc_id", "score"])
