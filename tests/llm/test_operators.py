@@ -120,24 +120,47 @@ def test_repeats_against_all_windows(spark, texts, none):
     assert substrings.repeats_removed(none).count() == 0
 
 
-@pytest.mark.parametrize("cuts", [[], [1], [2], [3], [1, 2], [2, 5, 6], [4, 7]])
-def test_deep_nodes_cut_by_ranges(cuts):
-    import pyarrow as pa
-
-    path = [1, 1, 1, 2, 3, 3, 4, 5]
-    rows = list(zip([0] * 8, path, range(8), [0] * 8))
-    out = []
-    for a, b in zip([0, *cuts], [*cuts, 8]):
-        columns = [pa.array(c) for c in zip(*rows[a:b])]
-        parts = [pa.RecordBatch.from_arrays([c.slice(k, 1) for c in columns], ["prefix", "path", "text_id", "place"]) for k in range(b - a)]
-        for batch in substrings.deep_nodes(iter(parts)):
-            out += batch.to_pylist()
-    edges = {}
-    for r in out:
-        if r["state"] > 1:
-            edges.setdefault(r["path"], set()).add(r["text_id"])
-    met = {r["text_id"] for r in out if r["state"] == 1 or (r["state"] == 2 and len(edges[r["path"]]) > 1)}
-    assert met == {0, 1, 2, 4, 5}
+@pytest.mark.parametrize("most", [1, 3, 40])
+def test_frequent_prefixes_are_made_longer(spark, most):
+    rng = random.Random(8)
+    passage = prose(80, 60)
+    many = [" ".join([prose(1000 + k, rng.randrange(40), 9), passage, prose(2000 + k, rng.randrange(40), 9)]) for k in range(50)]
+    many += ["the " * 300, "the " * 34, "the " * 36 + "end", passage, passage, " ".join(passage.split()[:35]), None, ""]
+    rows = spark.createDataFrame(list(enumerate(many)), "k long, text string").repartition(5)
+    got = {r.k: (r.n_words, r.n_removed, r.kept_text) for r in substrings.repeats_removed(rows, most=most).collect()}
+    assert [got[k] for k in range(len(many))] == brute_cut([t or "" for t in many])
+
+
+def suffix_rows(texts, level=0):
+    found = substrings.Suffixes(pa.array(texts), 35, 8)
+    keys = np.unique(np.concatenate([found.of(k, level)[0] for k in range(len(texts))]))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(texts), pa.array(range(len(texts)), pa.int64()), pa.array([1] * len(texts), pa.int64()), pa.array([keys] * len(texts))], ["_text", "_id", "copies", "chosen"],
+    )
+    table = pa.Table.from_batches(substrings._suffix_reader(35, 8, level)(iter([batch])))
+    return table.sort_by("key").combine_chunks().to_batches()[0]
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 10000])
+@pytest.mark.parametrize("level", [0, 1])
+def test_subtrees_over_batches_of_any_size(size, level):
+    texts = [prose(5, 20) + " " + prose(6, 50 + k) + " " + prose(7 + k, 40) for k in range(6)] + ["a b " * 60, prose(1, 30)]
+    rows = suffix_rows(texts, level)
+    got = {k: set() for k in range(len(texts))}
+    for batch in substrings._subtrees(35, 8)(rows.slice(s, size) for s in range(0, rows.num_rows, size)):
+        for r in batch.to_pylist():
+            got[r["text_id"]] |= set(r["places"])
+    windows = [[tuple(w[k:k + 35]) for k in range(len(w) - 34)] for w in map(words, texts)]
+    starts = Counter(x for w in windows for x in w)
+    assert got == {k: {j for j, x in enumerate(w) if starts[x] > 1} for k, w in enumerate(windows)}
+
+
+def test_tree_nodes():
+    tree = substrings.Tree(np.array([[1, 2, 3], [1, 2, 4], [2, 2, 3], [1, 2, 3]], np.uint64))
+    alike = lambda depth: [[int(a == b) for b in tree.nodes(depth)] for a in tree.nodes(depth)]
+    assert alike(0) == [[1] * 4] * 4
+    assert alike(2) == [[1, 1, 0, 1], [1, 1, 0, 1], [0, 0, 1, 0], [1, 1, 0, 1]]
+    assert alike(3) == [[1, 0, 0, 1], [0, 1, 0, 0], [0, 0, 1, 0], [1, 0, 0, 1]]
 
 
 def test_mixture(spark, docs, none):

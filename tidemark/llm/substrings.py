@@ -1,17 +1,22 @@
 """Removal of word runs that stand more than once in a corpus, with prefix-partitioned suffix trees.
 
-A suffix tree over all words, cut off at the depth of a window (35 words), has
-an inner node at that depth for every window that occurs twice. The tree is
-never held whole: suffixes are dealt out by ranges of their path, and a range
-ends after as many words as it takes to make it small (a range bound is a
-prefix of variable length; a bound inside one leaf set, when thousands of texts
-share a passage, is told apart by place). Each task sorts its suffixes and reads
-off the deep inner nodes as runs of equal paths. Runs cut by a range bound are
-joined again from the two edge rows that a task leaves.
-
-Only suffixes that can have a twin are dealt out. Each window has an anchor, its
-least 8-word gram; windows with equal words have equal anchors. A window whose
-anchor stands nowhere else is unique, and anchors are one word in fifteen.
+A window is 35 consecutive words. Its anchor is its least 8-word gram, so equal
+windows have equal anchors at equal places, and neighbouring windows share one.
+The trees hold the suffixes that start at anchors, one word in fifteen; a suffix
+carries the words of all windows it is the anchor of, on both its sides.
+
+Suffixes are dealt out by prefix. A prefix is the anchor gram at first. One that
+more suffixes begin with than a task may hold is made longer: to 18 words from
+the anchor on for windows that reach so far, and by 18 words before it for the
+others. What is too frequent even so is told apart by whole windows; those of
+one path are one leaf set, which needs a count and no tree. A task builds the
+trees of its prefixes one group after another: the suffixes in order with their
+common lengths, and the same for the words before them, read backwards. A window
+with d words before its anchor repeats exactly if its suffix hangs below an
+inner node at depth 35 - d with another whose last d words before it are the
+same: together a repeat that is maximal to both sides where the nodes end.
+
+An anchor that stands nowhere else makes its windows unique; those are left out.
 """
 
 from __future__ import annotations
@@ -23,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import Batch, batch_of, slices, window_sums
+from tidemark.llm.words import batch_of, mix, slices, window_sums
 from tidemark.session import materialise
 
 WINDOW, GRAM = 35, 8
+MOST = 1 << 15  # suffixes of one prefix that a task holds, about 0.5 KB each
+SUFFIX = "key long, text_id long, first int, n int, ahead int, words binary"
 
 
 def anchors_of(grams: np.ndarray, window: int, gram: int) -> np.ndarray:
@@ -38,101 +45,223 @@ def anchors_of(grams: np.ndarray, window: int, gram: int) -> np.ndarray:
     return least + np.arange(len(least))
 
 
-def _grams(batch: Batch, window: int, gram: int):
-    words = batch.hashes()
-    grams = window_sums(words, gram)
-    for first, last in zip(batch.first[:-1], batch.first[1:]):
-        yield words[first:last], grams[first:max(first, last - gram + 1)]
+def prefixes(level: int, window: int, gram: int) -> list[tuple[int, int, int, int]]:
+    """Prefixes of a level: for windows with least to greatest words before the anchor, words of the prefix before it and from it on."""
+    last, half = window - gram, window // 2
+    return [[(0, last, 0, gram)], [(0, half, 0, window - half), (half + 1, last, half + 1, gram)]][level]
 
 
-def _anchor_reader(window: int, gram: int):
+class Suffixes:
+    """Anchored suffixes of each text of an Arrow array."""
+
+    def __init__(self, texts: pa.Array, window: int, gram: int) -> None:
+        batch = batch_of(texts)
+        self.window, self.gram = window, gram
+        self.first, self.words = batch.first, batch.hashes()
+        self.sums = {gram: window_sums(self.words, gram)}
+
+    def hashes(self, size: int, at: np.ndarray) -> np.ndarray:
+        if size not in self.sums:
+            self.sums[size] = window_sums(self.words, size)
+        return self.sums[size][at]
+
+    def of(self, k: int, level: int, chosen: np.ndarray | None = None, by: int | None = None) -> tuple[np.ndarray, ...]:
+        """(key, anchor, first window, last window) of text k's suffixes; only those whose key of level `by` is `chosen`.
+
+        A suffix stands once for each prefix of its level, with the windows that hold it.
+        """
+        start, stop = int(self.first[k]), int(self.first[k + 1])
+        anchor = anchors_of(self.sums[self.gram][start:max(start, stop - self.gram + 1)], self.window, self.gram)
+        new = np.flatnonzero(np.diff(anchor, prepend=-1))
+        p, a, b = anchor[new] + start, new + start, np.append(new[1:], len(anchor)) - 1 + start
+        out = []
+        for part, (least, most, before, after) in enumerate(prefixes(level, self.window, self.gram)):
+            low, high = np.maximum(a, p - most), np.minimum(b, p - least)
+            some = np.flatnonzero(low <= high)
+            at = p[some]
+            key = self.hashes(before + after, at - before)
+            if level:
+                key = mix(key, 40 + part)
+            key = key.view(np.int64)
+            if chosen is not None:
+                kept = np.isin(key if by == level else self.hashes(self.gram, at).view(np.int64), chosen)
+                some, key = some[kept], key[kept]
+            out.append((key, p[some], low[some], high[some]))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    values, counts = np.unique(keys, return_counts=True)
+    return values, counts.astype(np.int32)
+
+
+def _prefix_counter(window: int, gram: int):
+    """Prefixes of the first level in each text, and how often."""
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches, most=2 << 20):
-            once, twice = [], []
-            for _, grams in _grams(batch_of(rows["text"]), window, gram):
-                at = np.unique(anchors_of(grams, window, gram))
-                values, counts = np.unique(grams[at].view(np.int64), return_counts=True)
-                once.append(values[counts == 1])
-                twice.append(values[counts > 1])
-            kind = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([rows["text_id"], pa.array(once, kind), pa.array(twice, kind)], ["text_id", "once", "twice"])
+            found = Suffixes(rows["text"], window, gram)
+            counted = [_counted(found.of(k, 0)[0]) for k in range(rows.num_rows)]
+            keys, counts = pa.array([c[0] for c in counted], pa.list_(pa.int64())), pa.array([c[1] for c in counted], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([rows["text_id"], keys, counts], ["text_id", "keys", "counts"])
+
+    return read
+
+
+def _chosen_texts(batches: Iterator[pa.RecordBatch], window: int, gram: int):
+    """(text id, copies, suffixes, place in them, chosen keys), each copied text once a task."""
+    seen: set[int] = set()
+    for rows in slices(batches, "_text", most=2 << 20):
+        found = Suffixes(rows["_text"], window, gram)
+        for k, (text_id, copies, chosen) in enumerate(zip(rows["_id"].to_pylist(), rows["copies"].to_pylist(), rows["chosen"])):
+            if copies > 1:
+                # Its copies lose all words anyway; one of them is enough to be met by others.
+                if text_id in seen:
+                    continue
+                seen.add(text_id)
+            yield text_id, copies, found, k, chosen.values.to_numpy()
+
+
+def _longer_counter(window: int, gram: int):
+    """The longer prefixes of suffixes whose first one is too frequent."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for text_id, copies, found, k, chosen in _chosen_texts(batches, window, gram):
+            keys, counts = _counted(found.of(k, 1, chosen, by=0)[0])
+            arrays = [np.full(len(keys), text_id), np.full(len(keys), copies), keys, counts]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["text_id", "copies", "key", "n"])
+
+    return read
+
+
+def _suffix_reader(window: int, gram: int, level: int):
+    """Suffixes (SUFFIX) that begin with the chosen prefixes; `first` of a copied text is -1 - first."""
+
+    def table(parts: list) -> pa.RecordBatch:
+        key, text_id, first, n, ahead, data, sizes = (np.concatenate(x) for x in zip(*parts))
+        bounds = np.concatenate(([0], np.cumsum(sizes * 8))).astype(np.int32)
+        words = pa.Array.from_buffers(pa.binary(), len(key), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(key), pa.array(text_id), *(pa.array(x.astype(np.int32)) for x in (first, n, ahead)), words], ["key", "text_id", "first", "n", "ahead", "words"],
+        )
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+        for text_id, copies, found, k, chosen in _chosen_texts(batches, window, gram):
+            key, p, a, b = found.of(k, level, chosen, by=level)
+            # A very long text leaves its suffixes in several batches.
+            for s in range(0, len(key), 1 << 13):
+                some = slice(s, s + (1 << 13))
+                low, sizes = a[some], b[some] - a[some] + window
+                ends = np.cumsum(sizes)
+                data = found.words[np.arange(ends[-1]) + np.repeat(low - (ends - sizes), sizes)]
+                first = low - found.first[k]
+                parts.append((key[some], np.full(len(low), text_id), first if copies == 1 else -1 - first, b[some] - low + 1, p[some] - low, data, sizes))
+                held += len(low)
+                if held >= 1 << 13:
+                    yield table(parts)
+                    parts, held = [], 0
+        if parts:
+            yield table(parts)
 
     return read
 
 
-def _suffix_reader(window: int, gram: int):
+def _window_reader(window: int, gram: int):
+    """Whole windows of the suffixes whose longer prefix is too frequent as well."""
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for rows in slices(batches, "_text", most=2 << 20):
-            parts = []
-            shared, ids, copies = rows["shared"], rows["_id"].to_numpy(), rows["copies"].to_numpy()
-            for k, (words, grams) in enumerate(_grams(batch_of(rows["_text"]), window, gram)):
-                if copies[k] > 1:
-                    # Its copies lose all words anyway; one of them is enough to be met by others.
-                    if ids[k] in seen:
-                        continue
-                    seen.add(ids[k])
-                at = anchors_of(grams, window, gram)
-                at = np.flatnonzero(np.isin(grams.view(np.int64)[at], shared[k].values.to_numpy()))
-                if len(at):
-                    parts.append((grams[at], window_sums(words, window)[at], np.full(len(at), ids[k]), at if copies[k] == 1 else -1 - at))
-            if parts:
-                prefix, path, text_id, at = (np.concatenate(x) for x in zip(*parts))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(prefix.view(np.int64)), pa.array(path.view(np.int64)), pa.array(text_id), pa.array(at.astype(np.int32))],
-                    ["prefix", "path", "text_id", "place"],
-                )
+        for text_id, copies, found, k, chosen in _chosen_texts(batches, window, gram):
+            _, _, a, b = found.of(k, 1, chosen, by=1)
+            sizes = b - a + 1
+            at = np.arange(sizes.sum()) + np.repeat(a - (np.cumsum(sizes) - sizes), sizes)
+            place = at - found.first[k]
+            arrays = [found.hashes(window, at).view(np.int64), np.full(len(at), text_id), (place if copies == 1 else -1 - place).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["key", "text_id", "place"])
 
     return read
 
 
-def deep_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Leaves of the inner nodes at window depth, from suffixes sorted by (prefix, path).
+class Tree:
+    """A suffix tree of rows of words, as their order and the common lengths of neighbours."""
+
+    def __init__(self, rows: np.ndarray) -> None:
+        count, depth = rows.shape
+        order = np.argsort(np.ascontiguousarray(rows).view(f"S{8 * depth}")[:, 0], kind="stable") if depth else np.arange(count)
+        self.place = np.empty(count, np.int64)
+        self.place[order] = np.arange(count)
+        unlike = np.ones((max(count - 1, 0), depth + 1), bool)
+        unlike[:, :depth] = rows[order[1:]] != rows[order[:-1]]
+        self.common = np.argmax(unlike, axis=1)
+
+    def nodes(self, depth: int) -> np.ndarray:
+        """For each row, the node that it passes at a depth."""
+        return np.concatenate(([0], np.cumsum(self.common < depth)))[self.place]
+
+
+def repeated_windows(n: np.ndarray, ahead: np.ndarray, words: list[np.ndarray], window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """(suffix, number of the window in it) of the windows that repeat among these suffixes.
 
-    state 1: a leaf that has a twin here. The task's first and last node are
-    also left as edges, for the neighbouring ranges: state 2 is a lone suffix,
-    state 3 one suffix of a node with several.
+    Suffix i has n[i] windows, ahead[i] words before its anchor, and its words.
     """
-    names = ["prefix", "path", "text_id", "place"]
-
-    def table(columns: list[np.ndarray], state: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(state)], [*names, "state"])
-
-    def settle(columns: list[np.ndarray], first: bool, last: bool) -> pa.RecordBatch:
-        prefix, path = columns[:2]
-        new = np.concatenate(([True], (prefix[1:] != prefix[:-1]) | (path[1:] != path[:-1])))
-        sizes = np.diff(np.append(np.flatnonzero(new), len(new)))
-        many = np.repeat(sizes > 1, sizes)
-        state = np.where(many, 1, 0).astype(np.int8)
-        extra = []
-        for edge, at in ((first, 0), (last, len(new) - 1)):
-            if edge:
-                extra.append((at, 3 if many[at] else 2))
-        keep = np.flatnonzero(state)
-        at = np.concatenate((keep, [a for a, _ in extra])).astype(np.int64)
-        return table([c[at] for c in columns], np.concatenate((state[keep], [s for _, s in extra])).astype(np.int8))
-
-    held: list[np.ndarray] | None = None
-    fresh = True
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch[n].to_numpy(zero_copy_only=False) for n in names]
-        if held is not None:
-            columns = [np.concatenate(x) for x in zip(held, columns)]
-        prefix, path = columns[:2]
-        tail = np.flatnonzero((prefix != prefix[-1]) | (path != path[-1]))
-        cut = int(tail[-1]) + 1 if len(tail) else 0
-        if cut:
-            yield settle([c[:cut] for c in columns], fresh, False)
-            fresh = False
-        elif len(prefix) > 1 << 16:
-            # One node fills the memory allowed: all but two of its leaves are known to have a twin.
-            yield table([c[:-2] for c in columns], np.ones(len(prefix) - 2, np.int8))
-            cut = len(prefix) - 2
-        held = [c[cut:] for c in columns]
-    if held is not None:
-        yield settle(held, fresh, True)
+    data, sizes = np.concatenate(words), n + window - 1
+    anchor = np.cumsum(sizes) - sizes + ahead
+    steps = np.arange(window)
+    inside = steps < (sizes - ahead)[:, None]
+    after = Tree(np.where(inside, data[np.where(inside, anchor[:, None] + steps, 0)], np.uint64(0)))
+    steps = np.arange(window - gram)
+    inside = steps < ahead[:, None]
+    before = Tree(np.where(inside, data[np.where(inside, anchor[:, None] - 1 - steps, 0)], np.uint64(0)))
+    found = []
+    for d in range(window - gram + 1):
+        # Fill beyond a suffix's words is not looked at: a window holds its own depth on both sides.
+        some = np.flatnonzero((ahead - n < d) & (d <= ahead))
+        if len(some):
+            node = after.nodes(window - d)[some] * len(n) + before.nodes(d)[some]
+            _, of, counts = np.unique(node, return_inverse=True, return_counts=True)
+            some = some[counts[of] > 1]
+            found.append((some, ahead[some] - d))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at, number = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((number, at))
+    return at[order], number[order]
+
+
+def _subtrees(window: int, gram: int):
+    """Repeated windows of suffixes that are sorted by prefix; whole prefixes are held together."""
+
+    def settle(rows: pa.Table) -> pa.RecordBatch:
+        text_id, first, n, ahead = (rows[c].to_numpy().astype(np.int64) for c in ("text_id", "first", "n", "ahead"))
+        words = [np.frombuffer(b"".join(c.to_pylist()), np.uint64) for c in rows["words"].chunks]
+        at, number = repeated_windows(n, ahead, words, window, gram)
+        own = first[at] >= 0
+        at, number = at[own], number[own]
+        suffix, start = np.unique(at, return_index=True)
+        places = pa.ListArray.from_arrays(pa.array(np.append(start, len(at)).astype(np.int32)), pa.array((first[at] + number).astype(np.int32)))
+        return pa.RecordBatch.from_arrays([pa.array(text_id[suffix]), places], ["text_id", "places"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = batch["key"].to_numpy()
+            new = np.flatnonzero(key != key[-1])
+            cut = int(new[-1]) + 1 if len(new) else (0 if last is None or key[-1] == last else -1)
+            if cut > 0:
+                yield settle(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            elif cut < 0:
+                yield settle(pa.Table.from_batches(held))
+                held = []
+            held.append(batch.slice(max(cut, 0)))
+            last = key[-1]
+        if held:
+            yield settle(pa.Table.from_batches(held))
+
+    return read
 
 
 def _cutter(window: int):
@@ -164,7 +293,7 @@ def _cutter(window: int):
     return cut
 
 
-def repeats_removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def repeats_removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, most: int = MOST) -> DataFrame:
     """`docs` with the columns kept_text, n_words and n_removed.
 
     A run of `window` consecutive words of one row that also starts anywhere
@@ -173,7 +302,8 @@ def repeats_removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     is: rows that repeat, whatever their ids, are copies of each other and lose
     everything if they have `window` words. A null, empty or shorter text has no
     windows and keeps its words. Added columns replace columns of these names.
-    Texts go by a 64-bit hash of all their bytes, windows by two 64-bit hashes.
+    Texts go by a 64-bit hash of all their bytes, words by one of theirs; a
+    prefix that more than `most` suffixes begin with is made longer.
     """
     names = [c for c in docs.columns if c not in ("kept_text", "n_words", "n_removed")]
     text = F.coalesce(F.col("`text`"), F.lit(""))
@@ -184,33 +314,41 @@ def repeats_removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     )
     classes = materialise(
         docs.select(F.xxhash64(text).alias("text_id"), text.alias("text"))
-        .mapInArrow(_anchor_reader(window, gram), "text_id long, once array<long>, twice array<long>")
-        .groupBy("text_id").agg(F.count("*").alias("copies"), F.first("once").alias("once"), F.first("twice").alias("twice")),
+        .mapInArrow(_prefix_counter(window, gram), "text_id long, keys array<long>, counts array<int>")
+        .groupBy("text_id").agg(F.count("*").alias("copies"), F.first("keys").alias("keys"), F.first("counts").alias("counts")),
         "texts",
     )
-    stands = classes.select("text_id", "copies", F.explode("once").alias("gram"), F.lit(1).alias("n")).union(
-        classes.select("text_id", "copies", F.explode("twice").alias("gram"), F.lit(2).alias("n"))
-    )
-    common = stands.groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram")
-    shared = materialise(
-        stands.select("text_id", "copies", "gram").join(common, "gram")
-        .groupBy("text_id").agg(F.first("copies").alias("copies"), F.collect_list("gram").alias("shared")),
-        "shared",
-    )
-    path = ["prefix", "path", "text_id", "place"]
-    leaves = (
-        base.join(shared, F.col("_id") == F.col("text_id")).drop("text_id")
-        .mapInArrow(_suffix_reader(window, gram), "prefix long, path long, text_id long, place int")
-        .repartitionByRange(*path).sortWithinPartitions(*path)
-        .mapInArrow(deep_nodes, "prefix long, path long, text_id long, place int, state tinyint")
-    )
-    # A node that a range bound cuts has edge rows on both sides of it.
-    edges = leaves.filter("state > 1")
-    cut = edges.groupBy("prefix", "path").agg(F.count_distinct("text_id", "place").alias("n")).filter("n > 1")
-    met = leaves.filter("state = 1").select("text_id", "place").union(
-        edges.filter("state = 2").join(cut, ["prefix", "path"]).select("text_id", "place")
-    )
-    gone = met.filter("place >= 0").groupBy("text_id").agg(F.collect_set("place").alias("_places")).withColumn("_copies", F.lit(1).cast("long"))
+
+    def dealt(stands: DataFrame) -> DataFrame:
+        """Per text the prefixes that other suffixes begin with as well: those that fit a task, and those to make longer."""
+        common = stands.groupBy("key").agg(F.sum("n").alias("all")).filter("all > 1")
+        fits = F.col("all") <= most
+        return materialise(
+            stands.join(common, "key").groupBy("text_id").agg(
+                F.first("copies").alias("copies"), F.collect_list(F.when(fits, F.col("key"))).alias("fit"), F.collect_list(F.when(~fits, F.col("key"))).alias("longer"),
+            ),
+            "prefixes",
+        )
+
+    def having(prefix: DataFrame, kind: str) -> DataFrame:
+        some = prefix.filter(F.size(kind) > 0).select("text_id", "copies", F.col(kind).alias("chosen"))
+        return base.join(some, F.col("_id") == F.col("text_id")).select("_text", "_id", "copies", "chosen")
+
+    def subtrees(prefix: DataFrame, level: int) -> DataFrame:
+        suffixes = having(prefix, "fit").mapInArrow(_suffix_reader(window, gram, level), SUFFIX)
+        return suffixes.repartition("key").sortWithinPartitions("key").mapInArrow(_subtrees(window, gram), "text_id long, places array<int>")
+
+    first = dealt(classes.select("text_id", "copies", F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("counts").alias("n")))))
+    met = subtrees(first, 0)
+    if not first.filter(F.size("longer") > 0).isEmpty():
+        stands = materialise(having(first, "longer").mapInArrow(_longer_counter(window, gram), "text_id long, copies long, key long, n int"), "longer")
+        second = dealt(stands)
+        met = met.union(subtrees(second, 1))
+        if not second.filter(F.size("longer") > 0).isEmpty():
+            windows = materialise(having(second, "longer").mapInArrow(_window_reader(window, gram), "key long, text_id long, place int"), "windows")
+            again = windows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+            met = met.union(windows.filter("place >= 0").join(again, "key").select("text_id", F.array("place").alias("places")))
+    gone = met.groupBy("text_id").agg(F.flatten(F.collect_list("places")).alias("_places")).withColumn("_copies", F.lit(1).cast("long"))
     copied = classes.filter("copies > 1").select("text_id", F.lit(None).cast("array<int>").alias("_places"), F.col("copies").alias("_copies"))
     rest = [c for c in base.columns if c not in ("_text", "_id")]
     cut_texts = (
