@@ -239,19 +239,35 @@ def test_packing_plan_places_every_piece_once(seed):
 def test_top_k_against_all_rows(spark):
     rng = np.random.default_rng(1)
     rows = [(k, (rng.standard_normal(8) if k % 7 else np.ones(8)).tolist()) for k in range(300)]
-    rows += [(400, None), (450, [1.0, None]), (500, [float("nan")] * 8), (550, [float("inf")] * 8), (600, [2.0]), (650, []), (None, [1.0]), (1, rows[1][1])]
+    rows += [(400, None), (450, [1.0, None]), (500, [float("nan")] * 8), (550, [float("inf")] * 8), (600, [2.0]), (650, []), (None, [9.0]), (1, rows[1][1]), (50, rows[50][1]), (50, [1.0] * 8)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)).withColumn("score", F.lit(2))
     vectors = topk.whole_vectors(df)
     got = topk.exact_top_k(vectors, vectors.filter("vec_id % 50 = 0"), 5).collect()
-    whole = {k: np.floor(256 * np.pad(np.array(v), (0, 8 - len(v)))).astype(int) for k, v in rows if k is not None and (k < 400 or k in (600, 650))}
-    want = set()
-    for q in (k for k in whole if k % 50 == 0):
-        best = sorted((-int(whole[q] @ whole[c]), c) for c in whole if c != q)[:5]
-        want |= {(q, n, c, -s) for n, (s, c) in enumerate(best, 1)}
-    assert {(r.query_id, r.rank, r.vec_id, r.score) for r in got} == want
+    whole = [(k, np.floor(256 * np.pad(np.array(v), (0, 8 - len(v)))).astype(int)) for k, v in rows if k is None or k < 400 or k in (600, 650)]
+    want = Counter()
+    for at, (q, v) in enumerate(whole):
+        if q is not None and q % 50 == 0:
+            best = sorted((-int(v @ w), c is None, c or 0) for k, (c, w) in enumerate(whole) if k != at)[:5]
+            want.update((q, n, None if none else c, -s) for n, (s, none, c) in enumerate(best, 1))
+    assert Counter((r.query_id, r.rank, r.vec_id, r.score) for r in got) == want
     assert topk.exact_top_k(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_segment_bounds_prune_and_lose_nothing():
+    """Clustered vectors: few pairs are left for exact scores, the best among them; on noise most are left, and the best too."""
+    rng = np.random.default_rng(2)
+    centres = rng.standard_normal((40, 64)).cumsum(1)
+    for x, share in ((centres[rng.integers(0, 40, 4000)] + 0.1 * rng.standard_normal((4000, 64)), 0.1), (rng.standard_normal((4000, 64)), 1.0)):
+        x = np.floor(256 * x).astype(np.int64)
+        q, numbers = x[::50], np.arange(len(x))
+        beat = topk.seed_scores(q, numbers[::50], x[:1000], numbers[:1000], 5)
+        (a, b, scores), left = topk.best_of_block(q, numbers[::50], x, numbers, beat, 5, topk.LEVELS)
+        top = topk._best(a, b, np.zeros(len(b), bool), scores, 5)
+        want = [sorted((-int(s), c) for c, s in enumerate(row) if c != 50 * k)[:5] for k, row in enumerate(q @ x.T)]
+        assert [list(zip((-scores[top[a[top] == k]]).tolist(), b[top[a[top] == k]].tolist())) for k in range(len(q))] == want
+        assert sorted(left, reverse=True) == left and left[-1] <= share * len(q) * len(x)
+
+
 def test_archives_round_trip(spark):
     long = "<p>" + prose(30, 9000)
     rows = [(1, "http://a/1", "x"), (2, "http://a/2", "x"), (3, None, "x"), (4, "u\r\nWARC/1.1", None), (5, "u", ""), (6, "u", long), (7, "u", long),
@@ -304,6 +320,19 @@ def test_url_rules(spark):
     assert urls.judged_urls(pages.limit(0), listed).count() == 0 and urls.judged_urls(pages, listed.limit(0)).filter("verdict = 'block' AND rule IS NULL").count() == 0
 
 
+def test_filter_of_any_size_leaves_the_verdicts_alike(spark):
+    """A listed url decides for itself alone, not for its host; a filter of one block passes much, one by shuffle as much as a broadcast one."""
+    of = lambda k: f"http://h{k % 9}.com/p/{k}"
+    pages = spark.createDataFrame([(k, of(k % 300)) for k in range(600)] + [(None, None), (700, None), (701, "net")], "page_id long, url string")
+    listed = spark.createDataFrame([(of(k),) for k in range(0, 300, 3)], "url string")
+    for most in (0, urls.BROADCAST_BLOCKS):
+        got = urls.judged_urls(pages, listed, broadcast_blocks=most).collect()
+        assert len(got) == 603
+        for r in got:
+            assert r.verdict == ("block" if r.url and "://" in r.url and int(r.url.rsplit("/", 1)[1]) % 3 == 0 else "allow")
+    assert [urls.n_blocks(n) for n in (0, 1, 16, 17, 33, 10**8)] == [1, 1, 1, 2, 4, 1 << 23]
+
+
 def test_divergence_counts(spark, docs, texts, none):
     odd = ["a b c a b c", "x x x x", "a b c d a b c e a b", prose(40, 200, 12), ("p q r " * 40).strip()]
     rows = spark.createDataFrame(list(enumerate(texts + odd)), "doc_id long, text string").withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "en")).withColumn("n_words", F.lit("clash"))

@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialise
+
 LANES, LANE_BITS = 8, 32
-BLOCKS = 1 << 16  # of 256 bits: the filter is 2 MB at most, however long the list
+KEYS_PER_BLOCK = 16  # 16 bits a key: about one url in a thousand passes by mistake
+BROADCAST_BLOCKS = 1 << 17  # of 256 bits, 4 MB of filter; a larger one is joined by block
 
 # The rules that the query applies, in order (verdict, host and path).
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -50,8 +53,13 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULE
     return rule, verdict
 
 
-def _block(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BLOCKS)).cast("int")
+def n_blocks(n_keys: int) -> int:
+    """Blocks of a filter for so many keys: a power of two."""
+    return 1 << max(0, (n_keys - 1) // KEYS_PER_BLOCK).bit_length()
+
+
+def _block(key: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(blocks))
 
 
 def _bits(key: Column, lane: int) -> Column:
@@ -59,37 +67,44 @@ def _bits(key: Column, lane: int) -> Column:
     return F.call_function("shiftleft", F.lit(1), bits)
 
 
-def bloom_blocks(listed: DataFrame, key: str) -> DataFrame:
-    """The filter as a table: a row per block that has bits, BLOCKS rows at most."""
-    return listed.groupBy(_block(F.col(key)).alias("block")).agg(
+def bloom_blocks(listed: DataFrame, key: str, blocks: int) -> DataFrame:
+    """The filter as a table: a row per block that has bits."""
+    return listed.groupBy(_block(F.col(key), blocks).alias("_slot")).agg(
         *[F.bit_or(_bits(F.col(key), lane)).alias(f"lane{lane}") for lane in range(LANES)]
     )
 
 
-def judged_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
+def judged_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str]] = RULES, broadcast_blocks: int = BROADCAST_BLOCKS) -> DataFrame:
     """`pages` (with a column url) plus host, path, rule and verdict (allow or block).
 
     A rule decides where one fits. Elsewhere a url is blocked if its canonical
-    form is that of a row of `listed` (column url): the Bloom filter, broadcast
-    with its fixed bound, sorts out most that aren't, and only what it passes is
-    shuffled to an exact join, which removes its false positives.
+    form is that of a row of `listed` (column url): the Bloom filter, sized by the
+    counted list, sorts out most that aren't, and only what it passes goes to an
+    exact join by url, which removes its false positives. The filter is broadcast
+    up to `broadcast_blocks`; a larger one meets the urls by block in a shuffle.
 
     Null urls and urls without :// have an empty host and path and are allowed.
     Null or hostless listed urls list nothing; repeated ones count once. Added
     columns replace columns of these names.
     """
     names = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    keys = listed.select(canonical(F.col("`url`")).alias("_key")).filter("_key IS NOT NULL").distinct()
+    keys = materialise(listed.select(canonical(F.col("`url`")).alias("_key")).filter("_key IS NOT NULL").distinct(), "listed")
+    blocks = n_blocks(keys.count())
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     rows = (
         pages.select(*[F.col(f"`{c}`") for c in names]).withColumns({"host": host_of(F.col("`url`")), "path": path_of(F.col("`url`"))})
         .withColumns({"rule": rule, "verdict": verdict, "_url": canonical(F.col("`url`"))})
     )
-    blocks = F.broadcast(bloom_blocks(keys, "_key"))
-    tested = rows.join(blocks, _block(F.col("_url")) == F.col("block"), "left")
-    maybe = F.col("verdict").isNull() & F.col("block").isNotNull()
+    bits = bloom_blocks(keys, "_key", blocks).select("_slot", F.array(*[f"lane{lane}" for lane in range(LANES)]).alias("_lanes"))
+    asked = F.when(F.col("verdict").isNull(), _block(F.col("_url"), blocks))
+    # Urls that a rule judged, or without a host, ask for no block; they are dealt over numbers that no block has.
+    asked = F.coalesce(F.when(F.col("_url").isNotNull(), asked), -1 - F.pmod(F.xxhash64("`url`"), F.lit(1 << 20)))
+    tested = rows.withColumn("_block", asked).join(
+        F.broadcast(bits) if blocks <= broadcast_blocks else bits.hint("shuffle_hash"), F.col("_block") == F.col("_slot"), "left",
+    )
+    maybe = F.col("_slot").isNotNull()
     for lane in range(LANES):
-        maybe = maybe & (F.col(f"lane{lane}").bitwiseAND(_bits(F.col("_url"), lane)) != 0)
+        maybe = maybe & (F.col("_lanes")[lane].bitwiseAND(_bits(F.col("_url"), lane)) != 0)
     tested = tested.withColumn("_maybe", F.coalesce(maybe, F.lit(False)))
     out = [*names, "host", "path", "rule"]
     passed = tested.filter("_maybe").join(keys, F.col("_url") == F.col("_key"), "left").select(
