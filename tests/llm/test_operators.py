@@ -133,7 +133,7 @@ def test_frequent_prefixes_are_made_longer(spark, most):
 
 def suffix_rows(texts, level=0):
     found = substrings.Suffixes(pa.array(texts), 35, 8)
-    keys = np.unique(np.concatenate([found.of(k, level)[0] for k in range(len(texts))]))
+    keys = np.unique(np.concatenate([found.of(k, 0)[0] for k in range(len(texts))]))
     batch = pa.RecordBatch.from_arrays(
         [pa.array(texts), pa.array(range(len(texts)), pa.int64()), pa.array([1] * len(texts), pa.int64()), pa.array([keys] * len(texts))], ["_text", "_id", "copies", "chosen"],
     )

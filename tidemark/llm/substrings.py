@@ -65,8 +65,8 @@ class Suffixes:
             self.sums[size] = window_sums(self.words, size)
         return self.sums[size][at]
 
-    def of(self, k: int, level: int, chosen: np.ndarray | None = None, by: int | None = None) -> tuple[np.ndarray, ...]:
-        """(key, anchor, first window, last window) of text k's suffixes; only those whose key of level `by` is `chosen`.
+    def of(self, k: int, level: int, chosen: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        """(key, anchor, first window, last window) of text k's suffixes; only those whose anchor gram is `chosen`.
 
         A suffix stands once for each prefix of its level, with the windows that hold it.
         """
@@ -84,7 +84,7 @@ class Suffixes:
                 key = mix(key, 40 + part)
             key = key.view(np.int64)
             if chosen is not None:
-                kept = np.isin(key if by == level else self.hashes(self.gram, at).view(np.int64), chosen)
+                kept = np.isin(self.hashes(self.gram, at).view(np.int64), chosen)
                 some, key = some[kept], key[kept]
             out.append((key, p[some], low[some], high[some]))
         return tuple(np.concatenate(x) for x in zip(*out))
@@ -122,20 +122,8 @@ def _chosen_texts(batches: Iterator[pa.RecordBatch], window: int, gram: int):
             yield text_id, copies, found, k, chosen.values.to_numpy()
 
 
-def _longer_counter(window: int, gram: int):
-    """The longer prefixes of suffixes whose first one is too frequent."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for text_id, copies, found, k, chosen in _chosen_texts(batches, window, gram):
-            keys, counts = _counted(found.of(k, 1, chosen, by=0)[0])
-            arrays = [np.full(len(keys), text_id), np.full(len(keys), copies), keys, counts]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["text_id", "copies", "key", "n"])
-
-    return read
-
-
 def _suffix_reader(window: int, gram: int, level: int):
-    """Suffixes (SUFFIX) that begin with the chosen prefixes; `first` of a copied text is -1 - first."""
+    """Suffixes (SUFFIX) with prefixes of a level whose anchor grams are chosen; `first` of a copied text is -1 - first."""
 
     def table(parts: list) -> pa.RecordBatch:
         key, text_id, first, n, ahead, data, sizes = (np.concatenate(x) for x in zip(*parts))
@@ -148,7 +136,7 @@ def _suffix_reader(window: int, gram: int, level: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for text_id, copies, found, k, chosen in _chosen_texts(batches, window, gram):
-            key, p, a, b = found.of(k, level, chosen, by=level)
+            key, p, a, b = found.of(k, level, chosen)
             # A very long text leaves its suffixes in several batches.
             for s in range(0, len(key), 1 << 13):
                 some = slice(s, s + (1 << 13))
@@ -167,17 +155,19 @@ def _suffix_reader(window: int, gram: int, level: int):
     return read
 
 
-def _window_reader(window: int, gram: int):
-    """Whole windows of the suffixes whose longer prefix is too frequent as well."""
+def _window_reader(window: int):
+    """Whole windows of suffixes whose longer prefix is too frequent as well."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for text_id, copies, found, k, chosen in _chosen_texts(batches, window, gram):
-            _, _, a, b = found.of(k, 1, chosen, by=1)
-            sizes = b - a + 1
-            at = np.arange(sizes.sum()) + np.repeat(a - (np.cumsum(sizes) - sizes), sizes)
-            place = at - found.first[k]
-            arrays = [found.hashes(window, at).view(np.int64), np.full(len(at), text_id), (place if copies == 1 else -1 - place).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["key", "text_id", "place"])
+        for batch in batches:
+            text_id, first, n = (batch[c].to_numpy() for c in ("text_id", "first", "n"))
+            paths = window_sums(np.frombuffer(b"".join(batch["words"].to_pylist()), np.uint64), window)
+            # Windows that reach from one suffix into the next are between those of the two.
+            number = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at = number + np.repeat(np.cumsum(n + window - 1) - (n + window - 1), n)
+            start = np.repeat(np.where(first < 0, -1 - first, first), n) + number
+            place = np.where(np.repeat(first, n) < 0, -1 - start, start).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(paths[at].view(np.int64)), pa.array(np.repeat(text_id, n)), pa.array(place)], ["key", "text_id", "place"])
 
     return read
 
@@ -319,35 +309,34 @@ def repeats_removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, mos
         "texts",
     )
 
-    def dealt(stands: DataFrame) -> DataFrame:
-        """Per text the prefixes that other suffixes begin with as well: those that fit a task, and those to make longer."""
-        common = stands.groupBy("key").agg(F.sum("n").alias("all")).filter("all > 1")
-        fits = F.col("all") <= most
-        return materialise(
-            stands.join(common, "key").groupBy("text_id").agg(
-                F.first("copies").alias("copies"), F.collect_list(F.when(fits, F.col("key"))).alias("fit"), F.collect_list(F.when(~fits, F.col("key"))).alias("longer"),
-            ),
-            "prefixes",
-        )
+    stands = classes.select("text_id", "copies", F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("counts").alias("n"))))
+    common = stands.groupBy("key").agg(F.sum("n").alias("all")).filter("all > 1")
+    fits = F.col("all") <= most
+    prefix = materialise(
+        stands.join(common, "key").groupBy("text_id").agg(
+            F.first("copies").alias("copies"), F.collect_list(F.when(fits, F.col("key"))).alias("fit"), F.collect_list(F.when(~fits, F.col("key"))).alias("longer"),
+        ),
+        "prefixes",
+    )
 
-    def having(prefix: DataFrame, kind: str) -> DataFrame:
-        some = prefix.filter(F.size(kind) > 0).select("text_id", "copies", F.col(kind).alias("chosen"))
-        return base.join(some, F.col("_id") == F.col("text_id")).select("_text", "_id", "copies", "chosen")
-
-    def subtrees(prefix: DataFrame, level: int) -> DataFrame:
-        suffixes = having(prefix, "fit").mapInArrow(_suffix_reader(window, gram, level), SUFFIX)
-        return suffixes.repartition("key").sortWithinPartitions("key").mapInArrow(_subtrees(window, gram), "text_id long, places array<int>")
-
-    first = dealt(classes.select("text_id", "copies", F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("counts").alias("n")))))
-    met = subtrees(first, 0)
-    if not first.filter(F.size("longer") > 0).isEmpty():
-        stands = materialise(having(first, "longer").mapInArrow(_longer_counter(window, gram), "text_id long, copies long, key long, n int"), "longer")
-        second = dealt(stands)
-        met = met.union(subtrees(second, 1))
-        if not second.filter(F.size("longer") > 0).isEmpty():
-            windows = materialise(having(second, "longer").mapInArrow(_window_reader(window, gram), "key long, text_id long, place int"), "windows")
-            again = windows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-            met = met.union(windows.filter("place >= 0").join(again, "key").select("text_id", F.array("place").alias("places")))
+    def suffixes(chosen: DataFrame, level: int) -> DataFrame:
+        return base.join(chosen, F.col("_id") == F.col("text_id")).drop("text_id").mapInArrow(_suffix_reader(window, gram, level), SUFFIX)
+
+    def subtrees(rows: DataFrame) -> DataFrame:
+        return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_subtrees(window, gram), "text_id long, places array<int>")
+
+    met = subtrees(suffixes(prefix.filter(F.size("fit") > 0).select("text_id", "copies", F.col("fit").alias("chosen")), 0))
+    # Lists below are written on their own, so that Spark knows their size and broadcasts what is small.
+    longer = materialise(prefix.filter(F.size("longer") > 0).select("text_id", "copies", F.col("longer").alias("chosen")), "longer")
+    if not longer.isEmpty():
+        rows = materialise(suffixes(longer, 1), "suffixes")
+        counts = materialise(rows.groupBy("key").agg(F.count("*").alias("all")).filter("all > 1"), "counts")
+        met = met.union(subtrees(rows.join(counts.filter(fits), "key").select(rows.columns)))
+        windows = materialise(
+            rows.join(counts.filter(~fits), "key").select(rows.columns).mapInArrow(_window_reader(window), "key long, text_id long, place int"), "windows",
+        )
+        again = materialise(windows.groupBy("key").agg(F.count("*").alias("all")).filter("all > 1").select("key"), "again")
+        met = met.union(windows.filter("place >= 0").join(again, "key").select("text_id", F.array("place").alias("places")))
     gone = met.groupBy("text_id").agg(F.flatten(F.collect_list("places")).alias("_places")).withColumn("_copies", F.lit(1).cast("long"))
     copied = classes.filter("copies > 1").select("text_id", F.lit(None).cast("array<int>").alias("_places"), F.col("copies").alias("_copies"))
     rest = [c for c in base.columns if c not in ("_text", "_id")]
