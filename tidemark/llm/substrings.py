@@ -156,18 +156,18 @@ def _suffix_reader(window: int, gram: int, level: int):
 
 
 def _window_reader(window: int):
-    """Whole windows of suffixes whose longer prefix is too frequent as well."""
+    """The hash and number of each window in suffixes' words (content, all, words)."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text_id, first, n = (batch[c].to_numpy() for c in ("text_id", "first", "n"))
-            paths = window_sums(np.frombuffer(b"".join(batch["words"].to_pylist()), np.uint64), window)
-            # Windows that reach from one suffix into the next are between those of the two.
+            words = batch["words"].to_pylist()
+            n = np.array([len(w) // 8 - window + 1 for w in words], np.int64)
+            paths = window_sums(np.frombuffer(b"".join(words), np.uint64), window)
             number = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            # Windows that reach from one suffix into the next are between those of the two.
             at = number + np.repeat(np.cumsum(n + window - 1) - (n + window - 1), n)
-            start = np.repeat(np.where(first < 0, -1 - first, first), n) + number
-            place = np.where(np.repeat(first, n) < 0, -1 - start, start).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(paths[at].view(np.int64)), pa.array(np.repeat(text_id, n)), pa.array(place)], ["key", "text_id", "place"])
+            of = [np.repeat(batch[c].to_numpy(), n) for c in ("content", "all")]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, of), pa.array(paths[at].view(np.int64)), pa.array(number.astype(np.int32))], ["content", "all", "path", "number"])
 
     return read
 
@@ -332,11 +332,13 @@ def repeats_removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, mos
         rows = materialise(suffixes(longer, 1), "suffixes")
         counts = materialise(rows.groupBy("key").agg(F.count("*").alias("all")).filter("all > 1"), "counts")
         met = met.union(subtrees(rows.join(counts.filter(fits), "key").select(rows.columns)))
-        windows = materialise(
-            rows.join(counts.filter(~fits), "key").select(rows.columns).mapInArrow(_window_reader(window), "key long, text_id long, place int"), "windows",
-        )
-        again = materialise(windows.groupBy("key").agg(F.count("*").alias("all")).filter("all > 1").select("key"), "again")
-        met = met.union(windows.filter("place >= 0").join(again, "key").select("text_id", F.array("place").alias("places")))
+        # Most suffixes of the rest are the same words over and over: one of each is looked at, with their number.
+        over = rows.join(counts.filter(~fits), "key").select("text_id", "first", F.xxhash64("key", "words").alias("content"), "words")
+        contents = over.groupBy("content").agg(F.count("*").alias("all"), F.first("words").alias("words"))
+        windows = materialise(contents.mapInArrow(_window_reader(window), "content long, all long, path long, number int"), "windows")
+        again = materialise(windows.groupBy("path").agg(F.sum("all").alias("n")).filter("n > 1").select("path"), "again")
+        numbers = materialise(windows.join(again, "path").groupBy("content").agg(F.collect_list("number").alias("numbers")), "numbers")
+        met = met.union(over.filter("first >= 0").join(numbers, "content").select("text_id", F.transform("numbers", lambda x: x + F.col("first")).alias("places")))
     gone = met.groupBy("text_id").agg(F.flatten(F.collect_list("places")).alias("_places")).withColumn("_copies", F.lit(1).cast("long"))
     copied = classes.filter("copies > 1").select("text_id", F.lit(None).cast("array<int>").alias("_places"), F.col("copies").alias("_copies"))
     rest = [c for c in base.columns if c not in ("_text", "_id")]
