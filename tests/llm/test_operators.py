@@ -460,8 +460,8 @@ def test_quality_on_held_out_rows(labelled, none):
     assert {r.score for r in quality.quality(docs, labels.limit(0)).collect()} == {0.5}
 
 
-def test_word_sums_are_those_of_single_words(spark, monkeypatch):
-    monkeypatch.setattr(quality, "HELD_WORDS", 50)
+@pytest.mark.parametrize("group_bytes,share_bytes", [(1 << 20, 1 << 20), (20_000, 10_000), (2_000, 500)])
+def test_word_sums_are_those_of_single_words(spark, monkeypatch, group_bytes, share_bytes):
     texts = [prose(40 + k, 300, 30_000) for k in range(40)] + ["alone", None, "on on on"]
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
     vocabulary = sorted({w for t in texts for w in words(t)})
@@ -475,12 +475,23 @@ def test_word_sums_are_those_of_single_words(spark, monkeypatch):
             for j in range(max(0, i - quality.REACH), min(len(w), i + quality.REACH + 1)):
                 if i != j:
                     want[one] += index[w[j]]
-    got = quality.word_sums(docs).collect()
-    assert len(got) == len(vocabulary)
-    sums = {r.word: np.frombuffer(r.sums, f"<i{len(r.sums) // quality.DIMS}") for r in got}
-    for w, h in zip(vocabulary, hashes.view(np.int64)):
-        assert (sums[int(h)] == want[w]).all()
-    monkeypatch.setattr(quality, "GROUP_BYTES", 20_000)  # several groups
+    monkeypatch.setattr(quality, "GROUP_BYTES", group_bytes)
+    monkeypatch.setattr(quality, "SHARE_BYTES", share_bytes)
+    size = sum(len(t or "") for t in texts)
+    name = quality.grouped_texts(docs, size)
+    groups, word_of = spark.table(name), dict(zip(hashes.tolist(), vocabulary))
+    held = {}
+    for r in groups.collect():
+        held.setdefault(r.group, set()).update(words(r.text))
+    shared = {(g, w) for g, some in held.items() for w in some if any(w in other for h, other in held.items() if h != g)}
+    got = {}
+    for r in quality.word_totals(groups, size).collect():
+        for h, sums in zip(quality.unpacked_words(r.words).tolist(), quality.unpacked_sums(r.sums)):
+            assert (r.group, h) not in got
+            got[r.group, h] = sums
+            assert (sums == want[word_of[h]]).all()
+    assert {(g, word_of[h]) for g, h in got} == shared  # no word of one group alone has moved
+    spark.sql(f"DROP TABLE {name}")
     for r in quality.text_features(docs).collect():
         rows = quality.unit(np.array([want[w] for w in words(texts[r.doc_id])]).reshape(-1, quality.DIMS)).astype(float)
         whole = np.concatenate([rows.mean(0), rows.std(0)]) if len(rows) else np.zeros(2 * quality.DIMS)

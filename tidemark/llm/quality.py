@@ -2,34 +2,48 @@
 
 Random indexing gives every word a fixed sparse vector of +1 and -1, made of its
 64-bit hash; a word's context vector is the sum of those of its neighbours over
-the whole corpus. Every word has a row of its own in a written table of sums,
-which grows with the vocabulary. A text is the mean and the deviation of its
-words' context vectors: texts are dealt into groups of bounded size, and a group
-meets the rows of the words in it. A small network trained in numpy on a bounded,
-hash-chosen set of labelled rows gives a probability, whose temperature is set on
-labelled rows that it wasn't trained on.
+the whole corpus. A text is the mean and the deviation of its words' context
+vectors.
+
+Most words stand in few texts, so texts are written once, in groups of bounded
+size, bucketed by group. A word of one group gets its whole sum there and never
+moves. Groups first send prefixes of their words' hashes, a few bits over what
+tells them apart, and learn which of them another group may have too; only for
+those do sums go to the share of hashes they belong to, and totals come back. A
+prefix that two words share by chance costs a row and changes no sum. A share
+holds as many rows as there are groups for a word that all of them have.
+
+A small network trained in numpy on a bounded, hash-chosen set of labelled rows
+gives a probability, whose temperature is set on labelled rows that it wasn't
+trained on.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.toxicity import TRAIN_CHARS, picked_labels, sigmoid
 from tidemark.llm.words import Batch, batch_of, mix, slices, text_rows
-from tidemark.session import materialise
+from tidemark.session import fresh_folder, materialise
 
 DIMS, ENTRIES, REACH = 32, 4, 2
-HELD_WORDS = 1 << 18  # words whose sums a task combines before it sends them
-GROUP_BYTES = 16 << 20  # of text, that meet their words' vectors at once
+GROUP_BYTES = 16 << 20  # of text, whose words' sums are held at once
+SHARE_BYTES = 8 << 20  # of text, whose words make a share of all hashes
+SPARE_BITS = 12  # of a hash's prefix, beyond one bit for each doubling of the corpus
+PIECE = 4096  # words whose sums travel in one row
 HIDDEN = 32
 TRAIN_ROWS = 4000  # labelled rows of each kind that are learned from
-SUMS = "word long, sums binary"
+PREFIXES = "share long, group long, prefixes binary"
+MARKS = "share long, group long, marks binary"
+SUMS = "share long, group long, words binary, sums binary"
 
 
 def index_vectors(hashes: np.ndarray) -> np.ndarray:
@@ -42,44 +56,62 @@ def index_vectors(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sum_rows(words: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of SUMS; a row's integers are as wide as its largest needs."""
-    largest = np.abs(sums).max(1, initial=0)
-    width = np.select([largest < 1 << 7, largest < 1 << 15, largest < 1 << 31], [1, 2, 4], 8)
-    for w in np.unique(width):
-        some = width == w
-        data = np.ascontiguousarray(sums[some].astype(f"<i{w}"))
-        bounds = np.arange(len(data) + 1, dtype=np.int32) * np.int32(w * DIMS)
-        binary = pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
-        yield pa.RecordBatch.from_arrays([pa.array(words[some], pa.int64()), binary], ["word", "sums"])
-
-
-def _sums_of(column: pa.Array) -> np.ndarray:
-    """The integers of `sums` cells."""
-    width = pc.binary_length(column).to_numpy(zero_copy_only=False) // DIMS
-    out = np.zeros((len(column), DIMS), np.int64)
-    for w in np.unique(width):
-        some = np.flatnonzero(width == w)
-        out[some] = np.frombuffer(b"".join(column.take(pa.array(some)).to_pylist()), f"<i{w}").reshape(-1, DIMS)
-    return out
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0, byte by byte of their width, compressed."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return planes.size.to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+def packed_words(words: np.ndarray) -> bytes:
+    """Sorted hashes, as the steps between them."""
+    return _packed(np.diff(words, prepend=np.uint64(0)))
+
+
+def unpacked_words(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data), dtype=np.uint64)
+
+
+def packed_sums(sums: np.ndarray) -> bytes:
+    """Sums of either sign: the sign goes to the lowest bit, so that high bytes are 0."""
+    wide = sums.astype(np.int64).ravel()
+    return _packed(((wide << 1) ^ (wide >> 63)).view(np.uint64))
+
+
+def unpacked_sums(data: bytes) -> np.ndarray:
+    folded = _unpacked(data)
+    return ((folded >> np.uint64(1)).astype(np.int64) ^ -(folded & np.uint64(1)).astype(np.int64)).reshape(-1, DIMS)
+
+
+def _leading(words: np.ndarray, bits: int) -> np.ndarray:
+    """The first `bits` bits of each hash."""
+    return words >> np.uint64(64 - bits) if bits else np.zeros(len(words), np.uint64)
 
 
-def _combined(words: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct words in order, and the sums of their rows."""
-    if not len(words):
-        return words, sums.astype(np.int64)
-    order = np.argsort(words, kind="stable")
-    first = np.concatenate(([0], np.flatnonzero(np.diff(words[order])) + 1))
-    return words[order][first], np.add.reduceat(sums[order], first, axis=0, dtype=np.int64)
+def _by_share(words: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
+    """The shares that sorted hashes belong to, with the places of their words."""
+    shares, first = np.unique(_leading(words, bits), return_index=True)
+    for share, start, end in zip(shares, first, [*first[1:], len(words)]):
+        yield int(share), slice(int(start), int(end))
 
 
-def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What a task's texts add to the context sums of their words."""
-    held = [(np.zeros(0, np.int64), np.zeros((0, DIMS), np.int64))]
-    for rows in slices(batches, most=2 << 20):
+def _group_words(texts: pa.Table) -> np.ndarray:
+    """The distinct word hashes of a group, sorted."""
+    found = [np.unique(batch_of(rows["text"]).hashes()) for rows in slices(iter(texts.to_batches()))]
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *found]))
+
+
+def _group_sums(texts: pa.Table, words: np.ndarray) -> np.ndarray:
+    """What the texts of a group add to the context sums of the sorted `words`; other words are left out."""
+    sums = np.zeros((len(words), DIMS), np.int32)
+    for rows in slices(iter(texts.to_batches()), most=2 << 20):
         batch = batch_of(rows["text"])
         text = batch.of_text()
-        if not len(text):
+        if not len(text) or not len(words):
             continue
         distinct, place = np.unique(batch.hashes(), return_inverse=True)
         own = index_vectors(distinct)[place]
@@ -88,36 +120,109 @@ def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             same = (text[step:] == text[:-step])[:, None]
             around[step:] += own[:-step] * same
             around[:-step] += own[step:] * same
-        held.append(_combined(distinct.view(np.int64)[place], around))
-        if sum(len(w) for w, _ in held) > HELD_WORDS:
-            words, sums = _combined(*map(np.concatenate, zip(*held)))
-            held = [(words, sums)]
-            if len(words) > HELD_WORDS // 2:
-                yield from _sum_rows(words, sums)
-                held = [(words[:0], sums[:0])]
-    yield from _sum_rows(*_combined(*map(np.concatenate, zip(*held))))
-
-
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum rows that are sorted by word; the last word of a batch may go on in the next."""
-    words, sums = np.zeros(0, np.int64), np.zeros((0, DIMS), np.int64)
-    for batch in batches:
-        some = batch["word"].to_numpy(zero_copy_only=False)
-        words, sums = _combined(np.concatenate([words, some]), np.concatenate([sums, _sums_of(batch["sums"])]))
-        yield from _sum_rows(words[:-1], sums[:-1])
-        words, sums = words[-1:], sums[-1:]
-    yield from _sum_rows(words, sums)
-
-
-def word_sums(docs: DataFrame) -> DataFrame:
-    """The context sums of each word hash over all texts of `docs` (SUMS), written once."""
-    parts = text_rows(docs, "text").mapInArrow(_context_sums, SUMS)
-    return materialise(parts.repartition("word").sortWithinPartitions("word").mapInArrow(_added, SUMS), "words")
+        order = np.argsort(place, kind="stable")
+        first = np.searchsorted(place[order], np.arange(len(distinct)))
+        added = np.add.reduceat(around[order], first, axis=0, dtype=np.int32)
+        at = np.minimum(np.searchsorted(words, distinct), len(words) - 1)
+        asked = words[at] == distinct
+        sums[at[asked]] += added[asked]
+    return sums
+
+
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with the number of their group: runs of a task's rows of about GROUP_BYTES, one row at least."""
+    group, held = TaskContext.get().partitionId() << 32, 0
+    for rows in slices(batches, most=min(1 << 20, GROUP_BYTES)):
+        size = (pc.sum(pc.binary_length(rows["text"])).as_py() or 0) + 16 * rows.num_rows
+        if held and held + size > GROUP_BYTES:
+            group, held = group + 1, 0
+        held += size
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(rows.num_rows, group), pa.int64()), *rows.columns], ["group", *rows.schema.names])
+
+
+def grouped_texts(docs: DataFrame, size: int) -> str:
+    """The name of a table of the texts, bucketed by group, which the caller drops.
+
+    A task writes whole groups only, so there are about as many files as groups.
+    """
+    spark = docs.sparkSession
+    rows = text_rows(docs, "doc_id", "text").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.length("text").cast("long").alias("chars"), F.xxhash64("text").alias("key"))
+    buckets = max(size // GROUP_BYTES + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    name = f"tidemark_groups_{uuid.uuid4().hex}"
+    dealt = rows.mapInArrow(_dealt, "group long, doc_id long, text string, chars long, key long")
+    dealt.write.bucketBy(min(buckets, 100_000), "group").format("parquet").options(
+        path=fresh_folder(spark, "groups"), compression="zstd").saveAsTable(name)
+    return name
+
+
+def _some_rows(rows: list[tuple], schema: list[tuple[str, pa.DataType]]) -> pa.Table:
+    columns = list(zip(*rows)) if rows else [[] for _ in schema]
+    return pa.table([pa.array(c, t) for c, (_, t) in zip(columns, schema)], names=[n for n, _ in schema])
+
+
+_ROUTE = [("share", pa.int64()), ("group", pa.int64())]
+_SUMS = [*_ROUTE, ("words", pa.binary()), ("sums", pa.binary())]
+
+
+def _marks(rows: pa.Table) -> pa.Table:
+    """For each group that sent prefixes to a share: which of them were sent more than once."""
+    found = [_unpacked(p) for p in rows["prefixes"].to_pylist()]
+    found = [np.cumsum(f, dtype=np.uint64) for f in found]
+    _, place, count = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+    shared = np.split(count[place] > 1, np.cumsum([len(f) for f in found])[:-1])
+    marks = pa.array([np.packbits(s).tobytes() for s in shared], pa.binary())
+    return pa.table([rows["share"], rows["group"], marks], names=["share", "group", "marks"])
+
+
+def _totals(rows: pa.Table) -> pa.Table:
+    """Each row's words with their sums over all rows of the share."""
+    pieces = [unpacked_words(w) for w in rows["words"].to_pylist()]
+    words = np.unique(np.concatenate(pieces))
+    places, sums = [np.searchsorted(words, piece) for piece in pieces], np.zeros((len(words), DIMS), np.int64)
+    for place, data in zip(places, rows["sums"].to_pylist()):
+        sums[place] += unpacked_sums(data)
+    totals = pa.array([packed_sums(sums[place]) for place in places], pa.binary())
+    return pa.table([rows["share"], rows["group"], rows["words"], totals], names=[n for n, _ in _SUMS])
+
+
+def word_totals(groups: DataFrame, size: int) -> DataFrame:
+    """Rows of SUMS: for each group, the whole-corpus sums of its words that other groups have too."""
+    share_bits = min(32, (size // SHARE_BYTES).bit_length())
+    prefix_bits = min(64, max(share_bits, size.bit_length()) + SPARE_BITS)
+
+    def send_prefixes(texts: pa.Table) -> pa.Table:
+        words, group = _group_words(texts), texts["group"][0].as_py()
+        rows = [(share, group, packed_words(_leading(words[at], prefix_bits))) for share, at in _by_share(words, share_bits)]
+        return _some_rows(rows, [*_ROUTE, ("prefixes", pa.binary())])
+
+    def send_sums(texts: pa.Table, marks: pa.Table) -> pa.Table:
+        words = _group_words(texts)
+        shared = dict(zip(marks["share"].to_pylist(), marks["marks"].to_pylist()))
+        asked = np.zeros(len(words), bool)
+        for share, at in _by_share(words, share_bits):
+            asked[at] = np.unpackbits(np.frombuffer(shared[share], np.uint8), count=at.stop - at.start).astype(bool)
+        words = words[asked]
+        sums, rows = _group_sums(texts, words), []
+        for share, at in _by_share(words, share_bits):
+            for start in range(at.start, at.stop, PIECE):
+                piece = slice(start, min(start + PIECE, at.stop))
+                rows.append((share, texts["group"][0].as_py(), packed_words(words[piece]), packed_sums(sums[piece])))
+        return _some_rows(rows, _SUMS)
+
+    texts = groups.select("group", "text")
+    marks = texts.groupBy("group").applyInArrow(send_prefixes, PREFIXES).groupBy("share").applyInArrow(_marks, MARKS)
+    sums = texts.groupBy("group").cogroup(marks.groupBy("group")).applyInArrow(send_sums, SUMS)
+    return sums.groupBy("share").applyInArrow(_totals, SUMS)
 
 
 def unit(sums: np.ndarray) -> np.ndarray:
     """Context vectors of length 1 (or 0)."""
-    return (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    out = np.empty(sums.shape, np.float32)
+    for start in range(0, len(sums), 1 << 15):
+        some = sums[start:start + (1 << 15)]
+        out[start:start + (1 << 15)] = some / np.maximum(np.linalg.norm(some, axis=1, keepdims=True), 1e-9)
+    return out
 
 
 def pooled(batch: Batch, rows: np.ndarray) -> np.ndarray:
@@ -132,28 +237,16 @@ def pooled(batch: Batch, rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def _group_words(texts: pa.Table) -> pa.Table:
-    """The distinct words of a group."""
-    found = [np.unique(batch_of(rows["text"]).hashes()) for rows in slices(iter(texts.to_batches()))]
-    words = np.unique(np.concatenate([np.zeros(0, np.uint64), *found])).view(np.int64)
-    group = texts["group"][0].as_py()
-    return pa.table({"group": pa.array(np.full(len(words), group), pa.int64()), "word": pa.array(words, pa.int64())})
-
-
-def _group_features(texts: pa.Table, found: pa.Table) -> pa.Table:
-    """Features of a group's texts from the sums of its words."""
-    words = found["word"].combine_chunks().to_numpy(zero_copy_only=False)
-    order = np.argsort(words)
-    words = words[order]
-    vectors = np.concatenate([np.zeros((0, DIMS), np.float32), *(unit(_sums_of(c)) for c in found["sums"].chunks)])[order]
+def _group_features(texts: pa.Table, totals: pa.Table) -> pa.Table:
+    """Features of a group's texts: its own sums where a word stands in no other group, else the totals."""
+    words = _group_words(texts)
+    vectors = unit(_group_sums(texts, words))
+    for piece, sums in zip(totals["words"].to_pylist(), totals["sums"].to_pylist()):
+        vectors[np.searchsorted(words, unpacked_words(piece))] = unit(unpacked_sums(sums))
     out = []
     for rows in slices(iter(texts.to_batches()), most=1 << 20):
         batch = batch_of(rows["text"])
-        own = batch.hashes().view(np.int64)
-        at = np.searchsorted(words, own)
-        if len(own) and (not len(words) or (words[np.minimum(at, len(words) - 1)] != own).any()):
-            raise ValueError("a word of a text has no row in the table")
-        features = [f.tobytes() for f in pooled(batch, vectors[at]).astype("<f4")]
+        features = [f.tobytes() for f in pooled(batch, vectors[np.searchsorted(words, batch.hashes())]).astype("<f4")]
         out.append(pa.RecordBatch.from_arrays(
             [rows["doc_id"], rows["chars"], rows["key"], pa.array(features, pa.binary())], ["doc_id", "chars", "key", "features"],
         ))
@@ -162,19 +255,16 @@ def _group_features(texts: pa.Table, found: pa.Table) -> pa.Table:
 
 def text_features(docs: DataFrame) -> DataFrame:
     """Per row of `docs`: doc_id, its text's length (null without a text) and hash, and 2 * DIMS pooled floats; written once."""
-    sums = word_sums(docs)
-    docs = text_rows(docs, "doc_id", "text")
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    key = F.xxhash64("text")
-    # Equal texts are spread by their ids, so no group is large for their sake.
-    group = F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // GROUP_BYTES + 1))
-    dealt = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.length("text").cast("long").alias("chars"), key.alias("key"), group.alias("group"),
-    ).repartition("group")
-    asked = dealt.groupBy("group").applyInArrow(_group_words, "group long, word long")
-    found = asked.join(sums, "word").select("group", "word", "sums")
-    features = dealt.groupBy("group").cogroup(found.groupBy("group")).applyInArrow(_group_features, "doc_id long, chars long, key long, features binary")
-    return materialise(features, "features")
+    name = grouped_texts(docs, size)
+    try:
+        groups = docs.sparkSession.table(name)
+        totals = word_totals(groups, size)
+        features = groups.groupBy("group").cogroup(totals.groupBy("group")).applyInArrow(
+            _group_features, "doc_id long, chars long, key long, features binary")
+        return materialise(features, "features")
+    finally:
+        docs.sparkSession.sql(f"DROP TABLE {name}")
 
 
 def _floats(column: pa.Array) -> np.ndarray:
