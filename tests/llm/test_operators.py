@@ -486,7 +486,8 @@ def test_word_sums_are_those_of_single_words(spark, monkeypatch, group_bytes, sh
     shared = {(g, w) for g, some in held.items() for w in some if any(w in other for h, other in held.items() if h != g)}
     got = {}
     for r in quality.word_totals(groups, size).collect():
-        for h, sums in zip(quality.unpacked_words(r.words).tolist(), quality.unpacked_sums(r.sums)):
+        of_group = np.sort(np.array([h for h, w in word_of.items() if w in held[r.group]], np.uint64))
+        for h, sums in zip(of_group[quality.unpacked_words(r.places).astype(int)].tolist(), quality.unpacked_sums(r.sums)):
             assert (r.group, h) not in got
             got[r.group, h] = sums
             assert (sums == want[word_of[h]]).all()

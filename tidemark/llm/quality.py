@@ -35,7 +35,7 @@ from tidemark.llm.words import Batch, batch_of, mix, slices, text_rows
 from tidemark.session import fresh_folder, materialise
 
 DIMS, ENTRIES, REACH = 32, 4, 2
-GROUP_BYTES = 16 << 20  # of text, whose words' sums are held at once
+GROUP_BYTES = 64 << 20  # of text, whose words' sums are held at once
 SHARE_BYTES = 8 << 20  # of text, whose words make a share of all hashes
 SPARE_BITS = 12  # of a hash's prefix, beyond one bit for each doubling of the corpus
 PIECE = 4096  # words whose sums travel in one row
@@ -43,7 +43,8 @@ HIDDEN = 32
 TRAIN_ROWS = 4000  # labelled rows of each kind that are learned from
 PREFIXES = "share long, group long, prefixes binary"
 MARKS = "share long, group long, marks binary"
-SUMS = "share long, group long, words binary, sums binary"
+SUMS = "share long, group long, words binary, places binary, sums binary"
+TOTALS = "share long, group long, places binary, sums binary"
 
 
 def index_vectors(hashes: np.ndarray) -> np.ndarray:
@@ -68,7 +69,7 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def packed_words(words: np.ndarray) -> bytes:
-    """Sorted hashes, as the steps between them."""
+    """Sorted hashes or places, as the steps between them."""
     return _packed(np.diff(words, prepend=np.uint64(0)))
 
 
@@ -162,13 +163,12 @@ def _some_rows(rows: list[tuple], schema: list[tuple[str, pa.DataType]]) -> pa.T
 
 
 _ROUTE = [("share", pa.int64()), ("group", pa.int64())]
-_SUMS = [*_ROUTE, ("words", pa.binary()), ("sums", pa.binary())]
+_SUMS = [*_ROUTE, ("words", pa.binary()), ("places", pa.binary()), ("sums", pa.binary())]
 
 
 def _marks(rows: pa.Table) -> pa.Table:
     """For each group that sent prefixes to a share: which of them were sent more than once."""
-    found = [_unpacked(p) for p in rows["prefixes"].to_pylist()]
-    found = [np.cumsum(f, dtype=np.uint64) for f in found]
+    found = [unpacked_words(p) for p in rows["prefixes"].to_pylist()]
     _, place, count = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
     shared = np.split(count[place] > 1, np.cumsum([len(f) for f in found])[:-1])
     marks = pa.array([np.packbits(s).tobytes() for s in shared], pa.binary())
@@ -176,18 +176,18 @@ def _marks(rows: pa.Table) -> pa.Table:
 
 
 def _totals(rows: pa.Table) -> pa.Table:
-    """Each row's words with their sums over all rows of the share."""
+    """For each row: the places of its words in its group, and their sums over all rows of the share."""
     pieces = [unpacked_words(w) for w in rows["words"].to_pylist()]
     words = np.unique(np.concatenate(pieces))
     places, sums = [np.searchsorted(words, piece) for piece in pieces], np.zeros((len(words), DIMS), np.int64)
     for place, data in zip(places, rows["sums"].to_pylist()):
         sums[place] += unpacked_sums(data)
     totals = pa.array([packed_sums(sums[place]) for place in places], pa.binary())
-    return pa.table([rows["share"], rows["group"], rows["words"], totals], names=[n for n, _ in _SUMS])
+    return pa.table([rows["share"], rows["group"], rows["places"], totals], names=["share", "group", "places", "sums"])
 
 
 def word_totals(groups: DataFrame, size: int) -> DataFrame:
-    """Rows of SUMS: for each group, the whole-corpus sums of its words that other groups have too."""
+    """Rows of TOTALS: whole-corpus sums of the words that several groups have, by their places among a group's sorted words."""
     share_bits = min(32, (size // SHARE_BYTES).bit_length())
     prefix_bits = min(64, max(share_bits, size.bit_length()) + SPARE_BITS)
 
@@ -202,18 +202,18 @@ def word_totals(groups: DataFrame, size: int) -> DataFrame:
         asked = np.zeros(len(words), bool)
         for share, at in _by_share(words, share_bits):
             asked[at] = np.unpackbits(np.frombuffer(shared[share], np.uint8), count=at.stop - at.start).astype(bool)
-        words = words[asked]
+        words, places = words[asked], np.flatnonzero(asked).astype(np.uint64)
         sums, rows = _group_sums(texts, words), []
         for share, at in _by_share(words, share_bits):
             for start in range(at.start, at.stop, PIECE):
                 piece = slice(start, min(start + PIECE, at.stop))
-                rows.append((share, texts["group"][0].as_py(), packed_words(words[piece]), packed_sums(sums[piece])))
+                rows.append((share, texts["group"][0].as_py(), packed_words(words[piece]), packed_words(places[piece]), packed_sums(sums[piece])))
         return _some_rows(rows, _SUMS)
 
     texts = groups.select("group", "text")
     marks = texts.groupBy("group").applyInArrow(send_prefixes, PREFIXES).groupBy("share").applyInArrow(_marks, MARKS)
     sums = texts.groupBy("group").cogroup(marks.groupBy("group")).applyInArrow(send_sums, SUMS)
-    return sums.groupBy("share").applyInArrow(_totals, SUMS)
+    return sums.groupBy("share").applyInArrow(_totals, TOTALS)
 
 
 def unit(sums: np.ndarray) -> np.ndarray:
@@ -241,8 +241,8 @@ def _group_features(texts: pa.Table, totals: pa.Table) -> pa.Table:
     """Features of a group's texts: its own sums where a word stands in no other group, else the totals."""
     words = _group_words(texts)
     vectors = unit(_group_sums(texts, words))
-    for piece, sums in zip(totals["words"].to_pylist(), totals["sums"].to_pylist()):
-        vectors[np.searchsorted(words, unpacked_words(piece))] = unit(unpacked_sums(sums))
+    for places, sums in zip(totals["places"].to_pylist(), totals["sums"].to_pylist()):
+        vectors[unpacked_words(places).astype(np.int64)] = unit(unpacked_sums(sums))
     out = []
     for rows in slices(iter(texts.to_batches()), most=1 << 20):
         batch = batch_of(rows["text"])
