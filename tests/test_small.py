@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import window_bounds
 from tidemark.functions.keys import uuid_v5
 from tidemark.operators import audit
+from tidemark.plans.audits import audit_sources
 from tidemark.plans.oracle import oracle_sql
 from tidemark.plans.queries import REGISTRY
 from tidemark.sources.extract import folder_of_run, lake_folder
@@ -161,3 +162,22 @@ def test_bridge_keys_keep_unmatched_pairs(spark):
              for n in ("product", "a")]
     got = version_bridge(pairs, *sides, "product", "a", "sk", keep_unmatched=True)
     assert got.select("sk").distinct().count() == 3
+
+
+def test_negative_amounts_fail_the_job(spark):
+    lines = spark.createDataFrame([(1, 2.5), (2, None), (3, 0.0)], "id int, amount double")
+    assert rows(audit.reject_negative(lines, "amount")) == [(1, 2.5), (2, None), (3, 0.0)]
+    with pytest.raises(Exception, match="negative amount: -0.5"):
+        audit.reject_negative(lines.union(spark.sql("SELECT 4, -0.5D")), "amount").collect()
+
+
+def test_source_audits_name_the_table_and_need_parents(spark):
+    columns = "payment_type_id int, payment_type_uuid string, type_name string, date_added timestamp"
+    types = spark.sql("SELECT 1 a, 'u' b, 'Card' c, now() d UNION ALL SELECT 2, null, 'Card', now()").toDF(*[c.split()[0] for c in columns.split(", ")])
+    report = {(r.table_name, r.check_name, r.column_name): r.violations for r in audit_sources({"payment_types": types}).collect()}
+    assert report["payment_types", "unique", "type_name"] == 1 and report["payment_types", "not_null", "payment_type_uuid"] == 1
+    assert sum(report.values()) == 2
+    empty = audit_sources({"payment_types": types.limit(0)}).collect()
+    assert len(empty) == len(report) and not any(r.violations for r in empty)
+    with pytest.raises(ValueError, match="transaction_headers"):
+        audit_sources({"transaction_payments": types, "payment_types": types})

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.audit import Relationship, TableAudit
+from tidemark.operators.audit import Relationship, TableAudit, audit_table
 from tidemark.plans.entities import BRIDGES, ENTITIES
 
 
@@ -149,3 +152,18 @@ def source_audits() -> dict[str, TableAudit]:
         "employees": _source(("employee_id",), ("email", "date_hired")),
         **bridges,
     }
+
+
+def audit_sources(tables: dict[str, DataFrame], names: Iterable[str] | None = None) -> DataFrame:
+    """One report over the source tables `names` (all given), with table_name; the other tables serve as parents.
+
+    A table without constraints has no rows in it. A parent that isn't given is
+    an error, as its children can't be checked.
+    """
+    audits = source_audits()
+    wanted = [n for n in (tables if names is None else names) if n in audits]
+    missing = {r.parent for n in wanted for r in audits[n].relationships} - set(tables)
+    if missing:
+        raise ValueError(f"tables that others refer to are missing: {', '.join(sorted(missing))}")
+    reports = [audit_table(tables[n], audits[n], tables).withColumn("table_name", F.lit(n)) for n in wanted]
+    return reduce(DataFrame.unionByName, reports)

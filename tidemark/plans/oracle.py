@@ -496,6 +496,58 @@ def _ingested() -> str:
 
 
 SELECTS["ingest_all"] = _ingested()
+
+
+def _source_checks() -> str:
+    """The constraints of the event tables, one by one."""
+    tables = {"transaction_headers": "headers", "transaction_lines": "lines", "transaction_discounts": "discounts", "transaction_payments": "payments"}
+    # Columns that the stand-ins fill from `moment` or a total count as filled where those are.
+    filled = {
+        "transaction_headers": {"transaction_id": "", "transaction_uuid": "", "channel_id": "", "customer_id": "", "gross_subtotal_amount": "tax",
+                                "total_tax_amount": "tax", "total_amount": "tax", "transaction_date": "moment"},
+        "transaction_lines": {"transaction_line_id": "", "transaction_id": "", "line_number": "", "product_id": "", "quantity": "",
+                              "unit_price": "gross", "gross_line_total": "gross", "transaction_date": "moment"},
+        "transaction_discounts": {"transaction_discount_id": "", "promotion_id": "", "discount_amount": "", "date_applied": "moment"},
+        "transaction_payments": {"transaction_payment_id": "", "transaction_id": "", "payment_type_id": "", "amount_paid": "", "payment_date": "moment"},
+    }
+    unique = [("transaction_headers", "transaction_id"), ("transaction_headers", "transaction_uuid"), ("transaction_lines", "transaction_line_id"),
+              ("transaction_discounts", "transaction_discount_id"), ("transaction_payments", "transaction_payment_id")]
+    links = [
+        ("transaction_headers", "channel_id", "channel_history"), ("transaction_headers", "customer_id", "(SELECT c_custkey AS customer_id FROM customer)"),
+        ("transaction_lines", "transaction_id", "headers"), ("transaction_lines", "product_id", "product_history"),
+        ("transaction_discounts", "promotion_id", "promotion_history"), ("transaction_discounts", "transaction_line_id", "lines"),
+        ("transaction_discounts", "transaction_id", "headers"), ("transaction_payments", "transaction_id", "headers"),
+        ("transaction_payments", "payment_type_id", "payment_type_history"),
+    ]
+    broken = [
+        ("transaction_headers", "transaction_type", "transaction_type NOT IN ('Purchase', 'Return')"),
+        ("transaction_headers", "return_has_original", "transaction_type <> 'Purchase' AND original_transaction_id IS NULL"),
+        ("transaction_lines", "gross_not_negative", "gross < 0"), ("transaction_payments", "amount_not_negative", "amount_paid < 0"),
+        ("transaction_discounts", "line_or_order", "(transaction_line_id IS NULL) = (transaction_id IS NULL)"),
+        ("transaction_discounts", "units_on_lines_only", "(transaction_line_id IS NULL) <> (discounted_units IS NULL)"),
+    ]
+    row = "SELECT '{t}' AS table_name, '{k}' AS check_name, '{c}' AS column_name, count(*) AS violations FROM {f}".format
+    parts = [row(t=t, k="not_null", c=c, f=f"{tables[t]} WHERE {of or c} IS NULL") for t, columns in filled.items() for c, of in columns.items()]
+    parts += [row(t=t, k="unique", c=c, f=f"(SELECT {c} FROM {tables[t]} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)") for t, c in unique]
+    parts += [row(t=t, k="relationships", c=c, f=f"{tables[t]} c WHERE c.{c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {p} p WHERE p.{c} = c.{c})")
+              for t, c, p in links]
+    parts += [row(t=t, k="check", c=c, f=f"{tables[t]} WHERE {where}") for t, c, where in broken]
+    return " UNION ALL ".join(parts)
+
+
+SELECTS["audit_source_tables"] = _source_checks()
+SELECTS["reject_negative_lines"] = "SELECT transaction_id, sum(gross)::DOUBLE AS gross_subtotal FROM lines GROUP BY transaction_id"
+SELECTS["stream_late_counts"] = """SELECT * FROM (SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type, count(*) AS rows
+    FROM events WHERE ts IS NOT NULL GROUP BY 1, 2)
+    WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 3 DAY"""
+SELECTS["history_publish_after_delete"] = """
+    SELECT customer_id, status, moment AS valid_from_ts, until AS valid_to_ts, until IS NULL AS is_current_record,
+           customer_id % 11 <> 0 AS in_current
+    FROM (SELECT *, lead(moment) OVER (PARTITION BY customer_id ORDER BY moment) AS until FROM (
+        SELECT customer_id, status, moment, FALSE AS gone FROM customer_feed
+        QUALIFY row_number() OVER (PARTITION BY customer_id, moment < TIMESTAMP '1998-01-01' ORDER BY moment DESC) = 1
+        UNION ALL SELECT DISTINCT customer_id, NULL, TIMESTAMP '2035-01-01', TRUE FROM customer_feed WHERE customer_id % 11 = 0))
+    WHERE NOT gone"""
 # Other ways to the same rows.
 SELECTS["pit_customer_key_merge"] = SELECTS["pit_customer_key"]
 

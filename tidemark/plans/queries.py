@@ -30,11 +30,12 @@ from tidemark.operators.normalise import bridge_of, dimension_of, exploded_items
 from tidemark.operators.pointintime import date_key, pit_join
 from tidemark.operators.sets import rows_of, rows_of_either
 from tidemark.plans import facts, promotions
-from tidemark.plans.audits import source_audits
+from tidemark.plans.audits import audit_sources, source_audits
 from tidemark.plans.entities import EVENTS, PREP
 from tidemark.plans.proration import Proration
 from tidemark.plans.publish import Roles, audit_and_publish, prepare_audit
 from tidemark.plans.standins import DISCOUNT_TIES, LINE_TIES, Standins
+from tidemark.plans.warehouse import Warehouse
 from tidemark.session import configure, fresh_folder
 from tidemark.sources import extract, files, ingest, tables
 from tidemark.sources.specs import ENTITY_TABLES, EXTRACTS, LOADS, ExtractSpec, FieldSpec
@@ -694,6 +695,28 @@ def audit_marts(s: Standins) -> DataFrame:
     return audit.audit_table(facts.sales(s.prorated, dims), MART_AUDITS["fct_sales"], parents)
 
 
+@query
+def audit_source_tables(s: Standins) -> DataFrame:
+    """Every constraint of the four event tables, over their latest rows; order promotions of group 0 don't exist."""
+    parents = {
+        "customers": s.table("customer").select(F.col("c_custkey").alias("customer_id")), "channels": s.channel_changes,
+        "products": s.product_changes, "promotions": s.promotion_changes, "payment_types": s.payment_type_changes,
+    }
+    events = {
+        "transaction_headers": s.raw_headers, "transaction_payments": s.raw_payments,
+        "transaction_lines": latest_per_key(s.raw_lines, ["transaction_line_id"], "date_modified", LINE_TIES),
+        "transaction_discounts": latest_per_key(s.raw_discounts, ["transaction_discount_id"], "date_modified", DISCOUNT_TIES),
+    }
+    return audit_sources({**parents, **events}, events)
+
+
+@query
+def reject_negative_lines(s: Standins) -> DataFrame:
+    """Gross per order of lines that fail the job if one is below zero."""
+    lines = audit.reject_negative(s.lines, "gross_line_total")
+    return lines.groupBy("transaction_id").agg(F.sum("gross_line_total").alias("gross_subtotal"))
+
+
 # Publishing and streams: state lives in tables of their own ------------------
 
 
@@ -737,6 +760,32 @@ def revert_table(s: Standins) -> DataFrame:
     return tables.read_table(spark, table)
 
 
+@query
+def history_publish_after_delete(s: Standins) -> DataFrame:
+    """Customer versions published by three runs, the last of which deletes every eleventh customer; who is still current."""
+    house = Warehouse(s.spark, f"tm_house_{uuid.uuid4().hex[:12]}")
+    house.create()
+    feed = latest_per_key(s.customer_changes, ["customer_id", "date_modified"], "date_modified", ["order_id"]).drop("order_id")
+    unset = dict.fromkeys(("first_name", "last_name", "email", "gender", "province", "signup_platform"), F.lit(None).cast("string"))
+    feed = feed.withColumns({
+        "customer_uuid": F.md5(F.col("customer_id").cast("string")), "date_of_birth": F.lit(None).cast("date"),
+        "registration_date": F.lit(None).cast("timestamp"), "date_deleted": F.lit(None).cast("timestamp"), **unset,
+    })
+    cut, late = F.lit("1998-01-01").cast("timestamp"), F.lit("2035-01-01").cast("timestamp")
+    gone = latest_per_key(feed, ["customer_id"], "date_modified").filter("customer_id % 11 = 0").withColumns(
+        {"date_modified": late, "date_deleted": late})
+    mart, runs = house.db("mart_blue"), (feed.filter(F.col("date_modified") < cut), feed.filter(F.col("date_modified") >= cut), gone)
+    for k, rows in enumerate(runs):
+        house.load_raw("customers", rows, f"feed-{k}")
+        house.build_clean(RunWindow(), ["customers"])
+        house.build_snapshots(["customers"])
+        house.build_dimension("customers", RunWindow(), mart)
+    current = tables.read_table(s.spark, f"{mart}.dim_customers").select("customer_id", F.lit(True).alias("in_current"))
+    history = tables.read_table(s.spark, f"{mart}.dim_customers_history").join(current, "customer_id", "left")
+    return history.select(
+        "customer_id", F.col("customer_status").alias("status"), "valid_from_ts", "valid_to_ts", "is_current_record", F.coalesce("in_current", F.lit(False)).alias("in_current"))
+
+
 @query
 def expired_partitions(s: Standins) -> DataFrame:
     """Orders by month after dropping the months past their retention."""
@@ -808,6 +857,21 @@ def stream_dedupe(s: Standins) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@query
+def stream_late_counts(s: Standins) -> DataFrame:
+    """Events per type and day, given out once three days have passed after the day."""
+    spark = s.spark
+    events = s.table("events").select("event_type", "ts").filter(F.col("ts").isNotNull())
+    folder, out = fresh_folder(spark, "feed"), fresh_folder(spark, "counts")
+    checkpoint, cut = fresh_folder(spark, "state"), F.lit("2024-01-15").cast("timestamp")
+    # The second round takes up the counts that the first has left open.
+    for part in (events.filter(F.col("ts") < cut), events.filter(F.col("ts") >= cut)):
+        part.write.mode("append").parquet(folder)
+        counts = streams.late_tolerant_counts(streams.new_files(spark, folder, events.schema), "ts", "1 day", ["event_type"])
+        streams.append_stream(counts, out, checkpoint)
+    return spark.read.schema("window_start timestamp, event_type string, rows long").parquet(out)
+
+
 @query
 def stream_enrich(s: Standins) -> DataFrame:
     """Streamed orders with the customer version of their day."""

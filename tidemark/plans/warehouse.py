@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import partial
@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators.history import build_history, current_rows, history_changes
 from tidemark.operators.incremental import RunWindow, changed_rows
 from tidemark.plans import facts
-from tidemark.plans.audits import MART_AUDITS
+from tidemark.operators.audit import require_clean
+from tidemark.operators.latest import latest_per_key
+from tidemark.plans.audits import MART_AUDITS, audit_sources
 from tidemark.plans.entities import (
     BRIDGE_TABLES, BRIDGES, Bridge, CLEAN, CURRENT, DIM_DATE, ENTITIES, FACTS, HISTORY, MART_TABLES, PREP,
     SNAPSHOTS, history_dimension, stage_bridge, stage_entity,
@@ -89,16 +91,28 @@ class Warehouse:
 
     # Layers below the marts -------------------------------------------------
 
-    def build_clean(self, window: RunWindow) -> None:
+    def build_clean(self, window: RunWindow, names: Iterable[str] = tuple(CLEAN)) -> None:
         def build(name: str) -> None:
             table = self._table("clean", name)
             rows = changed_in_run(
                 self.spark, self._table("raw", name), "date_modified", window, table, "date_modified", 1, whole_days=False)
             upsert(rows, table, CLEAN[name])
 
-        in_parallel([partial(build, name) for name in CLEAN])
+        in_parallel([partial(build, name) for name in names])
 
-    def build_snapshots(self) -> None:
+    def source_report(self) -> DataFrame:
+        """Violations of the source constraints in the latest rows of all source tables that are loaded."""
+
+        def latest(name: str) -> DataFrame | None:
+            if name in CLEAN:
+                return self._existing(self._table("clean", name))
+            rows = self._existing(self._table("raw", name))
+            return rows if rows is None else latest_per_key(rows, list(RAW_KEYS[name]), "date_modified")
+
+        found = {name: latest(name) for name in RAW if name != "date_dimension"}
+        return audit_sources({name: rows for name, rows in found.items() if rows is not None})
+
+    def build_snapshots(self, names: Iterable[str] = tuple(SNAPSHOTS)) -> None:
         def build(name: str) -> None:
             entity, table = ENTITIES[name], self._table("snapshots", name)
             clean = read_table(self.spark, self._table("clean", name))
@@ -109,7 +123,7 @@ class Warehouse:
                 rows = history_changes(existing, clean, [entity.key], "date_modified")
             upsert(rows, table, SNAPSHOTS[name])
 
-        in_parallel([partial(build, name) for name in SNAPSHOTS])
+        in_parallel([partial(build, name) for name in names])
 
     def staged(self, name: str) -> DataFrame:
         """Conformed rows: an entity's versions, latest events, or latest bridge rows."""
@@ -143,7 +157,7 @@ class Warehouse:
         """Dimensions first: facts and bridges look their keys up in them."""
         in_parallel([
             partial(self._build_dates, database),
-            *[partial(self._build_dimension, name, window, database) for name in ENTITIES],
+            *[partial(self.build_dimension, name, window, database) for name in ENTITIES],
         ])
         dims = self._dimensions(database)
         in_parallel([
@@ -154,7 +168,7 @@ class Warehouse:
     def _build_dates(self, database: str) -> None:
         replace_table(self.raw("date_dimension"), f"{database}.dim_date", DIM_DATE)
 
-    def _build_dimension(self, name: str, window: RunWindow, database: str) -> None:
+    def build_dimension(self, name: str, window: RunWindow, database: str) -> None:
         entity = ENTITIES[name]
         history, current = f"{database}.{HISTORY[name].name}", f"{database}.dim_{name}"
         versions = changed = history_dimension(self.staged(name), entity)
@@ -240,9 +254,11 @@ class Warehouse:
     def roles(self) -> Roles:
         return read_roles(self.spark, self.db("mart_blue"), self.db("mart_green"))
 
-    def run(self, window: RunWindow, allow_unknown: bool = False) -> Roles:
-        """Build all layers for a window, audit the marts, publish them."""
+    def run(self, window: RunWindow, allow_unknown: bool = False, audit_source: bool = False) -> Roles:
+        """Build all layers for a window, audit the marts (and, if asked, the source before), publish them."""
         self.build_clean(window)
+        if audit_source:
+            require_clean(self.source_report(), "source")
         self.build_snapshots()
         self.create_staging_views()
         self.build_prep(window)
