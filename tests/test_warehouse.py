@@ -10,6 +10,7 @@ from retail_rows import SCHEMAS, all_days, at, customer, discount, first_day, fr
 
 from tidemark.operators.audit import AuditFailed
 from tidemark.operators.incremental import RunWindow
+from tidemark.plans.audits import source_audits
 from tidemark.plans.entities import MART_TABLES
 from tidemark.plans.publish import RoleError, Roles, prepare_audit, read_roles, set_status, table_names
 from tidemark.plans.warehouse import Warehouse
@@ -187,3 +188,11 @@ def test_corrections_and_deletes_reach_the_marts(spark):
     history = live(warehouse, "dim_customers_history", "customer_id", "valid_to_ts", "is_current_record")
     assert history == [(1, None, True), (2, at("22", 9), False)]
     assert live(warehouse, "dim_customers", "customer_id") == [(1,)]
+
+
+def test_source_report_counts_for_every_loaded_table(once):
+    report = {(r.table_name, r.check_name, r.column_name): r.violations for r in once.source_report().collect()}
+    loaded = {t for t in source_audits() if once._existing(once._table("raw", t)) is not None}
+    assert {t for t, _, _ in report} == loaded and "transaction_lines" in loaded
+    assert report["transaction_lines", "relationships", "transaction_id"] == 0
+    assert report["customers", "not_null", "email"] == 0 and report["customers", "check", "gender"] == 0
