@@ -10,6 +10,8 @@ from tidemark.operators.allocation import allocate
 from tidemark.operators.history import build_history, history_changes
 from tidemark.operators.ids import dense_ids
 from tidemark.operators.pointintime import BroadcastBound, pit_join, pit_keys
+from tidemark.operators.sets import spread_join
+from tidemark.plans.facts import discount_keys
 from tidemark.session import materialise
 
 
@@ -137,3 +139,52 @@ def test_lookups_by_merge_keep_the_plan_small(spark, skewed):
     # The facts once; for each lookup its versions twice and the keys and times of the facts.
     assert plan.count("FileScan") <= 1 + 6 * 3
     assert rows(keyed) == rows(pit_keys(facts, lookups, "at"))
+
+
+def _largest_task(df):
+    """Share of the rows that the fullest task ends up with."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    df.sparkSession.conf.set(name, "false")
+    counts = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    df.sparkSession.conf.set(name, "true")
+    return max(counts) / sum(counts)
+
+
+def test_rows_without_a_key_are_spread(spark, no_broadcast):
+    left = spark.range(4000).select("id", F.when(F.col("id") % 10 == 0, F.col("id") % 7).alias("k"))
+    right = spark.range(5).select(F.col("id").alias("r"), (F.col("id") * 2).alias("v"))
+    joined = spread_join(left, right, [("k", "r")])
+    want = [(i, i % 7 if i % 10 == 0 else None, i % 7 * 2 if i % 10 == 0 and i % 7 < 5 else None) for i in range(4000)]
+    assert rows(joined, "id", "k", "v") == sorted(want, key=repr)
+    assert _largest_task(joined) < 0.5
+
+
+def test_discounts_without_an_order_are_spread(spark, no_broadcast):
+    discounts = spark.range(4000).select(
+        F.col("id").alias("transaction_discount_id"), F.when(F.col("id") % 10 > 0, F.col("id")).alias("transaction_line_id"),
+        F.when(F.col("id") % 10 == 0, F.col("id") % 100).alias("transaction_id"))
+    lines = spark.range(4000).select(F.col("id").alias("transaction_line_id"), (F.col("id") % 100).alias("transaction_id"), F.lit(1).alias("product_id"))
+    headers = spark.range(100).select(F.col("id").alias("transaction_id"), (F.col("id") + 1000).alias("customer_id"))
+    for reduced in (True, False):
+        keyed = discount_keys(discounts, lines, headers, reduced)
+        assert rows(keyed, "transaction_discount_id", "customer_id") == sorted([(i, i % 100 + 1000) for i in range(4000)], key=repr)
+        assert _largest_task(keyed) < 0.5
+
+
+def test_versions_of_cold_keys_are_joined(spark):
+    """Too many versions to broadcast, few of each key: facts and versions move once, and the lookups' order doesn't show."""
+    facts = spark.range(900).select(
+        "id", F.when(F.col("id") % 3 > 0, F.col("id") % 30).cast("int").alias("k"), F.timestamp_seconds(F.lit(1_000_000_000) + F.col("id") * 900).alias("at"))
+    versions = build_history(spark.range(90).select(
+        (F.col("id") % 30).alias("k"), F.timestamp_seconds(F.lit(1_000_000_000) + F.col("id") * 4000).alias("changed")), ["k"], "changed")
+    versions = materialise(versions.withColumnsRenamed({"valid_from": "valid_from_ts", "valid_to": "valid_to_ts"}), "versions")
+    lookups = [{"versions": versions.withColumnRenamed("scd_id", "big"), "on": [("k", "k")], "sk": "big"},
+               {"versions": versions.filter("k < 9").withColumnRenamed("scd_id", "small"), "on": [("k", "k")], "sk": "small"}]
+    keyed = pit_keys(facts, lookups[::-1], "at", bound=BroadcastBound(rows=50))
+    assert keyed.columns == ["id", "k", "at", "small", "big"]
+    assert "Window" not in keyed._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(keyed) == rows(pit_keys(facts, lookups[::-1], "at"))
+    backwards = facts.withColumn("until", F.col("at") - F.expr("INTERVAL 1 HOUR"))
+    for bound in (BroadcastBound(rows=50), BroadcastBound(rows=50, joined=0)):
+        got = pit_join(backwards, versions, [("k", "k")], "at", {"scd_id": "sk"}, "until", bound=bound)
+        assert rows(got) == rows(pit_join(backwards, versions, [("k", "k")], "at", {"scd_id": "sk"}, "until"))

@@ -10,7 +10,7 @@ from tidemark.functions.measures import MONEY, discount_level, money, signed
 from tidemark.operators.allocation import allocate, total_by
 from tidemark.operators.incremental import all_rows_of_changed
 from tidemark.operators.pointintime import date_key, pit_join, pit_keys
-from tidemark.operators.sets import rows_of, rows_of_either
+from tidemark.operators.sets import rows_of, rows_of_either, spread_join
 
 MEASURES = [
     "gross_line_total", "line_discount_amount", "prorated_discount_amount", "total_discount_amount",
@@ -172,13 +172,15 @@ def discount_keys(
         lines = rows_of(lines, discounts, ["transaction_line_id"])
         headers = rows_of_either(
             headers, "transaction_id", discounts.select("transaction_id"), lines.select("_line_order"))
-    with_line = discounts.join(lines, "transaction_line_id", "left")
+    # A discount has a line or an order of its own: on either path many have no key.
+    with_line = spread_join(discounts, lines.withColumnRenamed("transaction_line_id", "_line"), [("transaction_line_id", "_line")])
     # Each path has its own lookup: the line's order may be missing where the discount's own is there.
-    through_line = headers.toDF("_line_order", "_line_customer")
-    own = headers.toDF("transaction_id", "_own_customer")
-    found = with_line.join(through_line, "_line_order", "left").join(own, "transaction_id", "left")
+    through_line = headers.toDF("_line_header", "_line_customer")
+    own = headers.toDF("_own_header", "_own_customer")
+    found = spread_join(with_line.drop("_line"), through_line, [("_line_order", "_line_header")]).drop("_line_header")
+    found = spread_join(found, own, [("transaction_id", "_own_header")])
     return found.withColumn("customer_id", F.coalesce("_line_customer", "_own_customer")).drop(
-        "_line_order", "_line_customer", "_own_customer")
+        "_line_order", "_line_customer", "_own_header", "_own_customer")
 
 
 def discounts(
