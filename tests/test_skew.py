@@ -12,6 +12,7 @@ from tidemark.operators.ids import dense_ids
 from tidemark.operators.pointintime import BroadcastBound, pit_join, pit_keys
 from tidemark.operators.sets import spread_join
 from tidemark.plans.facts import discount_keys
+from tidemark.plans.standins import Standins
 from tidemark.session import materialise
 
 
@@ -188,3 +189,11 @@ def test_versions_of_cold_keys_are_joined(spark):
     for bound in (BroadcastBound(rows=50), BroadcastBound(rows=50, joined=0)):
         got = pit_join(backwards, versions, [("k", "k")], "at", {"scd_id": "sk"}, "until", bound=bound)
         assert rows(got) == rows(pit_join(backwards, versions, [("k", "k")], "at", {"scd_id": "sk"}, "until"))
+
+
+def test_prorated_lines_are_shuffled_once(spark):
+    """Sums and shares read the deliveries with the same columns, so their shuffles are one."""
+    plan = Standins(spark, "/root/testdata/sf0.001").prorated._jdf.queryExecution().sparkPlan().toString()
+    scans = re.findall(r"FileScan parquet \[([^\]]*l_partkey[^\]]*)\]", plan)
+    assert len(scans) == 2
+    assert len({re.sub(r"#\d+L?", "", scan) for scan in scans}) == 1
