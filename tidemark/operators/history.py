@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import version_key
-from tidemark.operators.latest import latest_per_key
+from tidemark.operators.latest import tie_breakers
 
 SCD_COLUMNS = ["scd_id", "valid_from", "valid_to", "scd_updated_at"]
 
@@ -56,12 +56,6 @@ def _scd(keys: list[str], updated_at: str) -> dict[str, Column]:
     }
 
 
-def with_scd_columns(versions: DataFrame, keys: list[str], updated_at: str) -> DataFrame:
-    named = versions.withColumns(_scd(keys, updated_at))
-    chained = chain_versions(named, keys, "valid_from", "valid_to")
-    return chained.select(*versions.columns, *SCD_COLUMNS)
-
-
 def history_changes(
     history: DataFrame,
     batch: DataFrame,
@@ -76,17 +70,19 @@ def history_changes(
     """
     attributes = [c for c in history.columns if c not in SCD_COLUMNS]
     dated = batch.select(*attributes).filter(F.col(updated_at).isNotNull())
-    incoming = latest_per_key(dated, [*keys, updated_at], updated_at, ties)
-    opened = history.filter(F.col("valid_to").isNull())
+    opened = history.filter(F.col("valid_to").isNull()).select(*attributes)
     newest = opened.select(*keys, F.col(updated_at).alias("_open_at"))
     fresh = (
-        incoming.join(newest, keys, "left")
+        dated.join(newest, keys, "left")
         .filter(F.col("_open_at").isNull() | (F.col(updated_at) > F.col("_open_at")))
-        .drop("_open_at")
+        .select(*attributes)
     )
-    touched = opened.select(*attributes).join(fresh.select(*keys).distinct(), keys, "left_semi")
-    rows = touched.select(*attributes).unionByName(fresh.select(*attributes))
-    return with_scd_columns(rows, keys, updated_at).select(*history.columns)
+    # One narrow row per key tells which versions are closed; equal times are settled as the rows are chained.
+    last = dated.groupBy(*keys).agg(F.max(updated_at).alias("_last_at"))
+    touched = opened.join(last, keys).filter(F.col("_last_at") > F.col(updated_at)).select(*attributes)
+    ties = tie_breakers(dated, {*keys, updated_at}, ties)
+    chained = chain_versions(touched.unionByName(fresh), keys, updated_at, "valid_to", ties, distinct=False)
+    return chained.withColumns(_scd(keys, updated_at)).select(*history.columns)
 
 
 def current_rows(history: DataFrame, flag: str = "is_current_record") -> DataFrame:

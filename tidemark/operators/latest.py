@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 _UNORDERED = (T.MapType, T.VariantType)
 
 
-def _tie_breakers(df: DataFrame, used: set[str], ties: list[str] | None) -> list[str]:
+def tie_breakers(df: DataFrame, used: set[str], ties: list[str] | None) -> list[str]:
     if ties is not None:
         return ties
     return [f.name for f in df.schema if f.name not in used and not isinstance(f.dataType, _UNORDERED)]
@@ -26,7 +26,7 @@ def latest_per_key(
     the shuffle: each task passes on one row per key, so a hot key does not
     collect its rows in one place.
     """
-    ties = _tie_breakers(df, {*keys, updated_at}, ties)
+    ties = tie_breakers(df, {*keys, updated_at}, ties)
     order: list[Column] = [F.col(c).desc_nulls_last() for c in [updated_at, *ties]]
     return _first_by(df, keys, order)
 
