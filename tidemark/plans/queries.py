@@ -36,7 +36,7 @@ from tidemark.plans.proration import Proration
 from tidemark.plans.publish import Roles, audit_and_publish, prepare_audit
 from tidemark.plans.standins import DISCOUNT_TIES, LINE_TIES, Standins
 from tidemark.plans.warehouse import Warehouse
-from tidemark.session import configure, fresh_folder
+from tidemark.session import configure, fresh_folder, in_parallel, materialise
 from tidemark.sources import extract, files, ingest, tables
 from tidemark.sources.specs import ENTITY_TABLES, EXTRACTS, LOADS, ExtractSpec, FieldSpec
 from tidemark.sources.tables import TableSpec
@@ -702,11 +702,15 @@ def audit_source_tables(s: Standins) -> DataFrame:
         "customers": s.table("customer").select(F.col("c_custkey").alias("customer_id")), "channels": s.channel_changes,
         "products": s.product_changes, "promotions": s.promotion_changes, "payment_types": s.payment_type_changes,
     }
-    events = {
-        "transaction_headers": s.raw_headers, "transaction_payments": s.raw_payments,
+    # Each constraint reads its table by itself: the latest rows are written once, as the clean layer has them.
+    latest = {
         "transaction_lines": latest_per_key(s.raw_lines, ["transaction_line_id"], "date_modified", LINE_TIES),
         "transaction_discounts": latest_per_key(s.raw_discounts, ["transaction_discount_id"], "date_modified", DISCOUNT_TIES),
     }
+    written = in_parallel([partial(materialise, rows, f"latest-{name}") for name, rows in latest.items()])
+    events = {
+        "transaction_headers": s.raw_headers, "transaction_payments": s.raw_payments, **dict(zip(latest, written, strict=True)),
+    }
     return audit_sources({**parents, **events}, events)
 
 
