@@ -85,3 +85,29 @@ def test_one_per_key_writes_the_rows_as_they_are(spark, database, monkeypatch):
     upsert(batch(spark, (1, 1, 1, "a"), (2, 1, 1, "b")), f"{database}.t", SPEC, one_per_key=True)
     upsert(batch(spark, (1, 2, 2, "c")), f"{database}.t", SPEC, one_per_key=True)
     assert rows(read_table(spark, f"{database}.t").select("k", F.col("v"))) == [(1, "c"), (2, "b")]
+
+
+def test_each_change_of_an_event_table_is_read_once(spark, monkeypatch):
+    from tidemark.plans import proration
+
+    read, apart = [], proration.versions_apart
+
+    def counted(session, table, version):
+        read.append((table, version))
+        return apart(session, table, version)
+
+    monkeypatch.setattr(proration, "versions_apart", counted)
+    assert queries.REGISTRY["incremental_facts"](spark, FOLDER).count() > 0
+    assert len(read) == len(set(read)), read
+
+
+def test_first_load_counts_every_row_without_a_shuffle(spark, database):
+    from tidemark.plans.proration import Proration
+    from tidemark.sources.tables import table_version
+
+    table = f"{database}.transaction_lines"
+    upsert(batch(spark, (1, 1, 1, "a"), (2, 2, 1, "b")), table, SPEC)
+    work = Proration(spark, str, lambda name: f"{database}.{name}", str)
+    found = work._changed({"transaction_lines": 0}, {"transaction_lines": table_version(spark, table)})["transaction_lines"]
+    assert rows(found, "k", "_sign") == [(1, 1), (2, 1)]
+    assert "Aggregate" not in plan_of(found)
