@@ -210,3 +210,29 @@ def test_history_changes_read_the_open_versions_twice(spark):
     assert changes._jdf.queryExecution().sparkPlan().toString().count("FileScan") <= 2 * 4
     merged = first.join(changes.select("scd_id"), "scd_id", "left_anti").select(*first.columns).unionByName(changes)
     assert rows(merged) == rows(full)
+
+
+def test_joins_below_a_merge_are_shuffled_once(spark, no_broadcast):
+    """The merge reads its facts twice, for rows and for hours; lines and orders below them move once each."""
+    folder = "/root/testdata/sf0.001"
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_shipdate").cast("timestamp").alias("at"))
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("k"))
+    versions = spark.range(2000).select(
+        F.col("id").alias("k"), F.timestamp_seconds(F.lit(700_000_000)).alias("valid_from_ts"), F.lit(None).cast("timestamp").alias("valid_to_ts"),
+        F.md5(F.col("id").cast("string")).alias("sk"))
+    got = pit_join(lines.join(orders, "l_orderkey", "left"), versions, [("k", "k")], "at", {"sk": "sk"}, merge=True)
+    found = got.collect()
+    assert len(found) == lines.count() and all((r.sk is None) == (r.k is None) for r in found)
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"ReusedExchange \[l_orderkey#", plan)) == 2, plan
+
+
+def test_merge_of_rows_without_time_or_key_and_of_early_times(spark):
+    facts = spark.createDataFrame(
+        [(1, 1, -5000), (2, 1, None), (3, None, -5000), (4, 1, -10_000_000), (5, 1, 100), (6, 2, 0)], "id int, k int, s long",
+    ).select("id", "k", F.timestamp_seconds("s").alias("at"))
+    versions = spark.createDataFrame([(1, -9000, -4000, "a"), (1, -4000, None, "b")], "k long, s long, e long, sk string").select(
+        "k", F.timestamp_seconds("s").alias("valid_from_ts"), F.timestamp_seconds("e").alias("valid_to_ts"), "sk")
+    got = pit_join(facts, versions, [("k", "k")], "at", {"sk": "sk"}, merge=True)
+    assert got.columns == ["id", "k", "at", "sk"] and dict(got.dtypes)["k"] == "int"
+    assert rows(got, "id", "sk") == [(1, "a"), (2, None), (3, None), (4, None), (5, "b"), (6, None)]

@@ -133,17 +133,24 @@ def asof_merge(
     known = reduce(Column.__and__, [F.col(f).isNotNull() for f in (*fact_keys, at)])
     spread = -1 - F.pmod(F.xxhash64(*facts.columns), F.lit(1 << 20))
 
+    # The row moves without the key and time columns that move beside it anyway.
+    beside = {f: k for k, f in zip(keys, fact_keys, strict=True) if facts.schema[f].dataType.simpleString() == kinds[k]}
+    if facts.schema[at].dataType.typeName() == "timestamp":
+        beside[at] = "_at"
     rows = facts.select(
-        *own, F.col(at).cast("timestamp").alias("_at"), F.lit(1).alias("_kind"), known.alias("_known"),
-        F.struct(*facts.columns).alias("_row"), spread.alias("_spread"),
+        *own, F.col(at).cast("timestamp").alias("_at"), F.lit(1).cast("tinyint").alias("_kind"), known.alias("_known"),
+        F.struct(F.lit(None).cast("boolean").alias("_any"), *[F.col(c) for c in facts.columns if c not in beside]).alias("_row"), spread.alias("_spread"),
     )
-    # Before 1970 hours are negative too, but such rows have a key, which spread ones lack.
-    rows = rows.withColumn("_hour", F.when(F.col("_known"), hour).otherwise(F.col("_spread")))
-    rows = rows.withColumns({k: F.when(F.col("_known"), F.col(k)) for k in keys}).drop("_known", "_spread")
+    # Before 1970 hours are negative too, but a row spread there lacks a key, or its missing time sorts before all versions.
+    rows = rows.withColumn("_hour", F.when(F.col("_known"), hour).otherwise(F.col("_spread"))).drop("_known", "_spread")
     begun = right.filter(reduce(Column.__and__, [F.col(k).isNotNull() for k in (*keys, "_from")])).select(
-        *[F.col(k).cast(kinds[k]).alias(k) for k in keys], F.col("_from").alias("_at"), F.lit(0).alias("_kind"), version.alias("_version"),
+        *[F.col(k).cast(kinds[k]).alias(k) for k in keys], F.col("_from").alias("_at"), F.lit(0).cast("tinyint").alias("_kind"), version.alias("_version"),
     ).withColumn("_hour", hour)
 
+    if counted is facts:
+        # Always 0 where known, but as one expression over all columns: both reads of the facts keep the same plan, and
+        # Spark shuffles for the joins below them once. Facts given as a table to count are read by key and time alone.
+        known = F.when(known, F.pmod(F.xxhash64(*facts.columns), F.lit(1).cast("long"))) == 0
     asked = counted.filter(known).select(*own, F.col(at).cast("timestamp").alias("_at")).select(*keys, hour.alias("_hour")).distinct()
     last = begun.groupBy(*keys, "_hour").agg(F.max_by("_version", "_at").alias("_last"))
     hours = asked.withColumn("_asked", F.lit(True)).unionByName(last, allowMissingColumns=True)
@@ -151,12 +158,13 @@ def asof_merge(
     before = Window.partitionBy(*keys).orderBy("_hour", F.col("_asked").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     opening = hours.withColumn("_version", F.last("_last", ignorenulls=True).over(before)).filter(
         F.col("_asked") & F.col("_version").isNotNull()).select(
-        *keys, F.timestamp_micros(F.col("_hour") * F.lit(3_600_000_000)).alias("_at"), F.lit(-1).alias("_kind"), "_hour", "_version")
+        *keys, F.timestamp_micros(F.col("_hour") * F.lit(3_600_000_000)).alias("_at"), F.lit(-1).cast("tinyint").alias("_kind"), "_hour", "_version")
 
     names = [*keys, "_hour", "_at", "_kind", "_row", "_version"]
     table = rows.unionByName(begun, allowMissingColumns=True).unionByName(opening, allowMissingColumns=True).select(*names)
     upto = Window.partitionBy(*keys, "_hour").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = table.withColumn("_found", F.last("_version", ignorenulls=True).over(upto)).filter("_kind = 1").select("_row.*", "_found")
+    found = table.withColumn("_found", F.last("_version", ignorenulls=True).over(upto)).filter("_kind = 1").select(
+        *[F.col(beside.get(c, f"_row.`{c}`")).alias(c) for c in facts.columns], "_found")
     fits = F.col(until) < F.col("_found._to")
     return found.select(*facts.columns, *[F.when(fits, F.col(f"_found.{c}")).alias(c) for c in taken])
 
