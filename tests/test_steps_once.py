@@ -51,6 +51,10 @@ def test_audited_tables_are_written_before_each_constraint_reads_them(spark, mon
         assert "Window" not in plan_of(audited[name]), name
 
 
+def test_customer_feed_is_written_before_it_is_loaded(spark, monkeypatch):
+    assert "Window" not in plan_of(handed_over(spark, monkeypatch, queries.Warehouse, "load_raw", "history_publish_after_delete", 2))
+
+
 def test_ties_of_a_spec_settle_equal_times(spark, database):
     spec = TableSpec("t", ("k",), "day", "DAY", updated_at="changed", ties=("v",))
     upsert(batch(spark, (1, 5, 9, "a"), (1, 2, 9, "b"), (2, 3, 8, "z")), f"{database}.t", spec)
