@@ -497,3 +497,26 @@ def test_word_sums_are_those_of_single_words(spark, monkeypatch, group_bytes, sh
         rows = quality.unit(np.array([want[w] for w in words(texts[r.doc_id])]).reshape(-1, quality.DIMS)).astype(float)
         whole = np.concatenate([rows.mean(0), rows.std(0)]) if len(rows) else np.zeros(2 * quality.DIMS)
         assert np.allclose(np.frombuffer(r.features, "<f4"), whole, atol=1e-5)
+
+
+@pytest.mark.parametrize("held", [5, 1 << 18])
+def test_shared_prefixes_are_sent_once_a_block(spark, monkeypatch, held):
+    """A prefix that all texts have is a row's entry for each block of texts, not a row for each text."""
+    from tidemark.llm import substrings
+
+    monkeypatch.setattr(substrings, "KEYS_HELD", held)
+    texts = [(k, 1 + k % 2, [7, k % 9 - 4, 100 + k], [1, 2 if k == 5 else 1, 1]) for k in range(60)] + [(60, 1, [500], [2]), (61, 3, [], [])]
+    classes = spark.createDataFrame(texts, "text_id long, copies long, keys array<long>, counts array<int>")
+    all_ = Counter()
+    for _, _, keys, counts in texts:
+        for key, n in zip(keys, counts):
+            all_[key] += n
+    want = {}
+    for text_id, copies, keys, _ in texts:
+        fit, longer = [k for k in keys if 1 < all_[k] <= 10], [k for k in keys if all_[k] > 10]
+        if fit or longer:
+            want[text_id] = (copies, sorted(fit), sorted(longer))
+    found = substrings.shared_prefixes(classes, 10)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.text_id: (r.copies, sorted(r.fit), sorted(r.longer)) for r in found.collect()} == want
+    assert substrings.shared_prefixes(classes.limit(0), 10).count() == 0

@@ -45,3 +45,18 @@ def test_repeated_rows_and_rows_without_id_keep_one_text(spark, folder):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
     assert sorted(((r.doc_id, r.text) for r in substrings.without_repeats(kept).collect()), key=repr) == sorted(want, key=repr)
     assert neardup.without_near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_texts_stay_where_they_are_when_near_duplicates_go(spark, no_broadcast):
+    """Many rows: the kept ones are found by a bit for each, and no text is shuffled for them."""
+    from tidemark.llm import neardup
+
+    text = lambda k: " ".join(f"t{k}w{i}" for i in range(12))
+    rows = [(k, text(k // 2 if k % 5 == 0 else k)) for k in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = neardup.without_near_duplicates(docs)
+    assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+    first = {}
+    for k, t in rows:
+        first.setdefault(t, k)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(first.values())

@@ -253,4 +253,21 @@ def without_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
         groups.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")), "_row")
     kept = members.groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_row")).alias("_first"))
     kept = materialise(kept.select(F.col("_first._row").alias("_row")), "kept-rows")
-    return numbered.join(kept, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _rows_at(numbered, kept).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _rows_at(numbered: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of `numbered` whose _row is in `kept`, found without moving the texts.
+
+    Numbers are the task's, shifted by 33 bits, plus a place that counts from 0. A
+    bit for each row, in words of 64 by place, is broadcast: 1.5 MB for 12 million rows.
+    """
+    part, place = F.shiftright("_row", 33), F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    marks = numbered.select("_row", F.lit(0).cast("long").alias("mark")).union(kept.select("_row", bit.alias("mark")))
+    words = marks.groupBy(part.alias("_part"), F.shiftright(place, 6).alias("word")).agg(F.bit_or("mark").alias("bits"))
+    words = words.groupBy("_part").agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"]).alias("_bits"))
+    words = F.broadcast(materialise(words, "kept-bits"))
+    own = F.get(F.col("_bits"), F.shiftright(place, 6).cast("int"))
+    is_kept = F.call_function("shiftright", own, (place % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+    return numbered.withColumn("_part", part).join(words, "_part").filter(is_kept)

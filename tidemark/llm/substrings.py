@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ from tidemark.session import materialise
 
 WINDOW, GRAM = 35, 8
 MOST = 1 << 15  # suffixes of one prefix that a task holds, about 0.5 KB each
+KEYS_HELD = 1 << 18  # prefixes of a block of texts, or of a share of all prefixes, on average
 SUFFIX = "key long, text_id long, first int, n int, ahead int, words binary"
 
 
@@ -108,6 +110,76 @@ def _prefix_counter(window: int, gram: int):
     return read
 
 
+def _flat(lists: pa.ChunkedArray) -> np.ndarray:
+    """The values of a column of lists, row after row."""
+    return np.concatenate([np.zeros(0, np.int64), *[c.flatten().to_numpy() for c in lists.chunks if len(c)]])
+
+
+def _ends(lists: pa.ChunkedArray) -> np.ndarray:
+    """Where in their values the lists end, but for the last one."""
+    return np.cumsum(pc.list_value_length(lists).to_numpy())[:-1]
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, with the sums of their counts."""
+    values, place = np.unique(keys, return_inverse=True)
+    sums = np.zeros(len(values), np.int64)
+    np.add.at(sums, place, counts)
+    return values, sums
+
+
+def shared_prefixes(classes: DataFrame, most: int) -> DataFrame:
+    """(text_id, copies, fit, longer) of the texts with prefixes that stand more than once in `classes` (text_id, copies, keys, counts).
+
+    `fit` are those that stand `most` times at most, `longer` the others. Texts are
+    dealt into blocks and prefixes into shares of all prefixes. A block sends each of its prefixes
+    once to its share, however many of its texts have it, and gets back those that
+    stand more than once; so rows are of blocks and shares, and those of a prefix
+    are as many as blocks that have it.
+    """
+    n_keys = classes.agg(F.sum(F.size("keys").cast("long"))).first()[0] or 0
+    blocks = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_keys // KEYS_HELD + 1)
+    dealt = classes.select(F.pmod(F.xxhash64("text_id"), F.lit(blocks)).alias("block"), "text_id", "copies", "keys", "counts")
+    pairs = [pa.list_(pa.int64()), pa.list_(pa.int64())]
+
+    def by_place(rows: list[tuple], names: list[str]) -> pa.Table:
+        columns = list(zip(*rows)) if rows else [[] for _ in names]
+        kinds = [pa.int64()] * (len(names) - 2) + pairs
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+
+    def send(texts: pa.Table) -> pa.Table:
+        keys, counts = _summed(_flat(texts["keys"]), _flat(texts["counts"]))
+        share = (mix(keys.view(np.uint64), 51) % np.uint64(blocks)).astype(np.int64)
+        order = np.argsort(share, kind="stable")
+        shares, first = np.unique(share[order], return_index=True)
+        block = texts["block"][0].as_py()
+        parts = zip(shares.tolist(), np.split(keys[order], first[1:]), np.split(counts[order], first[1:]))
+        return by_place([(s, block, k, n) for s, k, n in parts], ["share", "block", "keys", "counts"])
+
+    def total(rows: pa.Table) -> pa.Table:
+        keys = _flat(rows["keys"])
+        values, sums = _summed(keys, _flat(rows["counts"]))
+        sums, ends = sums[np.searchsorted(values, keys)], _ends(rows["keys"])
+        parts = zip(rows["block"].to_pylist(), np.split(keys, ends), np.split(sums, ends))
+        return by_place([(b, k[n > 1], n[n > 1]) for b, k, n in parts if (n > 1).any()], ["block", "keys", "counts"])
+
+    def choose(texts: pa.Table, totals: pa.Table) -> pa.Table:
+        keys, place = np.unique(_flat(texts["keys"]), return_inverse=True)
+        sums = np.zeros(len(keys), np.int64)
+        sums[np.searchsorted(keys, _flat(totals["keys"]))] = _flat(totals["counts"])
+        sums, ends = sums[place], _ends(texts["keys"])
+        rows = []
+        for text_id, copies, k, n in zip(texts["text_id"].to_pylist(), texts["copies"].to_pylist(), np.split(keys[place], ends), np.split(sums, ends)):
+            if (n > 1).any():
+                rows.append((text_id, copies, k[(n > 1) & (n <= most)], k[n > most]))
+        return by_place(rows, ["text_id", "copies", "fit", "longer"])
+
+    sent = dealt.groupBy("block").applyInArrow(send, "share long, block long, keys array<long>, counts array<long>")
+    totals = sent.groupBy("share").applyInArrow(total, "block long, keys array<long>, counts array<long>")
+    return dealt.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(
+        choose, "text_id long, copies long, fit array<long>, longer array<long>")
+
+
 def _chosen_texts(batches: Iterator[pa.RecordBatch], window: int, gram: int):
     """(text id, copies, suffixes, place in them, chosen keys), each copied text once a task."""
     seen: set[int] = set()
@@ -309,15 +381,7 @@ def repeats_removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, mos
         "texts",
     )
 
-    stands = classes.select("text_id", "copies", F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("counts").alias("n"))))
-    common = stands.groupBy("key").agg(F.sum("n").alias("all")).filter("all > 1")
-    fits = F.col("all") <= most
-    prefix = materialise(
-        stands.join(common, "key").groupBy("text_id").agg(
-            F.first("copies").alias("copies"), F.collect_list(F.when(fits, F.col("key"))).alias("fit"), F.collect_list(F.when(~fits, F.col("key"))).alias("longer"),
-        ),
-        "prefixes",
-    )
+    prefix = materialise(shared_prefixes(classes, most), "prefixes")
 
     def suffixes(chosen: DataFrame, level: int) -> DataFrame:
         return base.join(chosen, F.col("_id") == F.col("text_id")).drop("text_id").mapInArrow(_suffix_reader(window, gram, level), SUFFIX)
@@ -330,6 +394,7 @@ def repeats_removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, mos
     longer = materialise(prefix.filter(F.size("longer") > 0).select("text_id", "copies", F.col("longer").alias("chosen")), "longer")
     if not longer.isEmpty():
         rows = materialise(suffixes(longer, 1), "suffixes")
+        fits = F.col("all") <= most
         counts = materialise(rows.groupBy("key").agg(F.count("*").alias("all")).filter("all > 1"), "counts")
         met = met.union(subtrees(rows.join(counts.filter(fits), "key").select(rows.columns)))
         # Most suffixes of the rest are the same words over and over: one of each is looked at, with their number.
