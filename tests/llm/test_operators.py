@@ -520,3 +520,39 @@ def test_shared_prefixes_are_sent_once_a_block(spark, monkeypatch, held):
     assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
     assert {r.text_id: (r.copies, sorted(r.fit), sorted(r.longer)) for r in found.collect()} == want
     assert substrings.shared_prefixes(classes.limit(0), 10).count() == 0
+
+
+def test_windows_take_the_states_of_the_next_ones(monkeypatch):
+    """The same logits as one window at a time, for fewer steps than one per word and window."""
+    from tidemark.llm.words import batch_of
+
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 300, n)) for n in (5, 32, 33, 700, 40, 2500)]
+    batch = toxicity.in_pieces(batch_of(pa.array(texts, pa.large_string())))
+    words = toxicity.words_of(batch)
+    model = toxicity.Model(rng.standard_normal(1 << toxicity.WORD_BITS).astype("f4"), rng.standard_normal(1 << toxicity.GRAM_BITS).astype("f4"))
+    for d in "fb":
+        model.c[d][:toxicity.HIDDEN] = 4  # states that forget
+    starts = [np.arange(a, max(a, b - toxicity.WINDOW + 1)) for a, b in zip(batch.first[:-1], batch.first[1:])]
+    want = [model.window_logits(words, s, s + toxicity.WINDOW).max() if len(s) else -np.inf for s in starts]
+
+    class Counting:
+        steps = 0
+
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def exp(self, x, **settings):
+            Counting.steps += x.size
+            return np.exp(x, **settings)
+
+        def tanh(self, x, **settings):
+            Counting.steps += x.size
+            return np.tanh(x, **settings)
+
+    monkeypatch.setattr(toxicity, "np", Counting())
+    for most in (16384, 300):
+        Counting.steps = 0
+        assert np.allclose(model.slid_logits(words, batch.first, most), want, atol=1e-4)
+        every = 2 * toxicity.WINDOW * 3 * toxicity.HIDDEN * len(words.place)
+        assert Counting.steps < 0.8 * every

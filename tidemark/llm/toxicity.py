@@ -29,6 +29,8 @@ WORD_DIMS, HIDDEN = 3, 6
 INPUTS = WORD_DIMS + 3
 # Bounds of what is learned from: labelled rows of each kind, and their length.
 TRAIN_ROWS, TRAIN_CHARS = 1500, 8_000
+# States (h + 1) / 2 this near are taken as one (logits keep to about 1e-5, as after rounding); steps after which they are compared.
+MERGED, MERGE_AT = 2e-6, (12, 14, 17)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -99,6 +101,54 @@ def windows_of(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, text
 
 
+def _slid(x: np.ndarray, u: np.ndarray, ends: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """`ends` of the states of windows at all starts, after each of their words: (2, WINDOW, windows).
+
+    States forget: after some words that of a window is the one that the next
+    window has at the same word, to MERGED. From there on the window takes the next
+    one's states, and only the others are carried on; they are tested again at the
+    steps MERGE_AT. Windows that aren't `inside` a text are given up then.
+    """
+    cut, n = 2 * HIDDEN, len(inside)
+    out, live = np.empty((2, WINDOW, n), np.float32), None
+    k = state = np.full((HIDDEN, n), 0.5, np.float32)
+    for t in range(WINDOW):
+        some = x[:, t:t + n] if live is None else x[:, live + t]
+        gates = u[:cut] @ k
+        gates += some[:cut]
+        new = k - np.float32(0.5)
+        with np.errstate(over="ignore"):
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            new *= gates[HIDDEN:]
+            new = u[cut:] @ new
+            new += some[cut:]
+            np.exp(new, out=new)
+        new += 1
+        np.reciprocal(new, out=new)
+        new -= k
+        new *= gates[:HIDDEN]
+        new += k
+        before, k = state, new
+        if live is None:
+            state, out[:, t] = k, ends @ k
+        else:
+            out[:, t, :-1] = out[:, t - 1, 1:]
+            out[:, t, live] = ends @ k
+            if t <= MERGE_AT[-1]:
+                state = np.empty_like(before)
+                state[:, :-1] = before[:, 1:]
+                state[:, live] = k
+        if t in MERGE_AT:
+            near = np.zeros(n, bool)
+            near[:-1] = np.abs(state[:, :-1] - before[:, 1:]).max(0) <= MERGED
+            near[:-1] &= inside[1:]
+            live = np.flatnonzero(inside & ~near) if live is None else live[~near[live]]
+            k = state[:, live]
+    return out
+
+
 class Model:
     """Weights; forward and backward passes over windows in time-major order."""
 
@@ -162,7 +212,7 @@ class Model:
             out[s:s + most] = self.run({d: gates[d][at] for d in "fb"}, mask)
         return out
 
-    def slid_logits(self, words: Words, first: np.ndarray, most: int = 4096) -> np.ndarray:
+    def slid_logits(self, words: Words, first: np.ndarray, most: int = 16384) -> np.ndarray:
         """Per text of WINDOW words or more, the largest logit of its windows at all starts; -inf for shorter ones.
 
         The same as `run` without a mask, over neighbouring windows at once: their
@@ -173,37 +223,23 @@ class Model:
         whole = np.arange(len(text)) + WINDOW <= first[text + 1]
         table = np.concatenate([self.words[words.word], self.evidence_of(words)], 1)
         gates, cut = self.gate_inputs(table), 2 * HIDDEN
-        for g in gates.values():
-            g[:, :cut] *= 0.5  # sigmoid(x) is (1 + tanh(x / 2)) / 2
+        u = {d: np.concatenate([-2 * self.u[d][:, :cut], -4 * self.u[d][:, cut:]], 1).T for d in "fb"}
+        for d, g in gates.items():
+            # States go as (h + 1) / 2, so that tanh and sigmoid are both 1 / (1 + exp) and need no more steps.
+            g[:, :cut] = self.u[d][:, :cut].sum(0) - g[:, :cut]
+            g[:, cut:] *= -2
+        ends = {d: 2 * np.stack([self.attend[own], self.out[own]]) for d, own in (("f", slice(0, HIDDEN)), ("b", slice(HIDDEN, None)))}
         for s in range(0, len(text) - WINDOW + 1, most):
             if not whole[s:s + most].any():
                 continue
             n = min(most, len(text) - WINDOW + 1 - s)
-            scores, values = np.zeros((WINDOW, n), np.float32), np.zeros((WINDOW, n), np.float32)
-            for d, own in (("f", slice(0, HIDDEN)), ("b", slice(HIDDEN, None))):
-                x = np.ascontiguousarray(gates[d][words.place[s:s + n + WINDOW - 1]].T)
-                u, u_new = np.ascontiguousarray(0.5 * self.u[d][:, :cut].T), np.ascontiguousarray(self.u[d][:, cut:].T)
-                ends = np.stack([self.attend[own], self.out[own]])
-                h = np.zeros((HIDDEN, n), np.float32)
-                for t in range(WINDOW) if d == "f" else range(WINDOW - 1, -1, -1):
-                    zr = u @ h
-                    zr += x[:cut, t:t + n]
-                    np.tanh(zr, out=zr)
-                    zr += 1
-                    zr *= 0.5
-                    new = u_new @ (zr[HIDDEN:] * h)
-                    new += x[cut:, t:t + n]
-                    np.tanh(new, out=new)
-                    new -= h
-                    new *= zr[:HIDDEN]
-                    h += new
-                    score, value = ends @ h
-                    scores[t] += score
-                    values[t] += value
+            place, inside = words.place[s:s + n + WINDOW - 1], whole[s:s + n]
+            x = {d: np.ascontiguousarray(gates[d][place if d == "f" else place[::-1]].T) for d in "fb"}
+            scores, values = _slid(x["f"], u["f"], ends["f"], inside) + _slid(x["b"], u["b"], ends["b"], inside[::-1])[:, ::-1, ::-1]
             scores -= scores.max(0)
             np.exp(scores, out=scores)
-            logits = (scores * values).sum(0) / scores.sum(0) + self.bias[0]
-            kept = np.flatnonzero(whole[s:s + n])
+            logits = (scores * values).sum(0) / scores.sum(0) + (self.bias[0] - self.out.sum())
+            kept = np.flatnonzero(inside)
             np.maximum.at(out, text[s + kept], logits[kept])
         return out
 
