@@ -571,3 +571,67 @@ def test_small_partitions_make_one_group(spark):
         assert quality.word_totals(groups, size).count() == 0
     finally:
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_totals_of_words_of_many_groups_come_once(spark, monkeypatch):
+    """What comes back for words that at least half of the groups have doesn't grow with the groups; features need no more."""
+    rng = random.Random(3)
+    common = [f"c{k}" for k in range(400)]
+    texts = [" ".join([*rng.sample(common, 400), *(f"own{j}x{k}" for k in range(20)), *(f"some{j % 9}x{k}" for k in range(20))]) for j in range(36)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(quality, "GROUP_BYTES", 2_000)
+    monkeypatch.setattr(quality, "SHARE_BYTES", 20_000)
+    size = sum(map(len, texts))
+    name = quality.grouped_texts(docs, size)
+    groups = spark.table(name)
+    n = groups.select("group").distinct().count()
+    assert n > 20 and groups.filter("first").count() == n
+    whole, once = quality.word_totals(groups, size).collect(), quality.word_totals(groups, size, n // 2).collect()
+    spark.sql(f"DROP TABLE {name}")
+    want, seen = {}, 0
+    for r in whole:
+        want.setdefault(r.group, {}).update(zip(quality.unpacked_words(r.places).tolist(), quality.unpacked_sums(r.sums).tolist()))
+    everywhere = {r.share: quality.unpacked_sums(r.sums).tolist() for r in once if r.group == quality.EVERY_GROUP}
+    assert sum(map(len, everywhere.values())) == len(common)
+    for r in once:
+        if r.group != quality.EVERY_GROUP:
+            got = dict(zip(quality.unpacked_words(r.places).tolist(), quality.unpacked_sums(r.sums).tolist()))
+            got.update((p, everywhere[r.share][a]) for p, a in zip(quality.unpacked_words(r.often).tolist(), quality.unpacked_words(r.at).tolist()))
+            assert all(want[r.group].get(p) == s for p, s in got.items())
+            seen += len(got)
+    assert seen == sum(map(len, want.values()))
+    assert sum(len(r.sums) for r in once if r.sums) < 0.4 * sum(len(r.sums) for r in whole)
+
+
+def test_packed_sums_take_few_bits():
+    rng = np.random.default_rng(1)
+    rare = rng.integers(-1, 2, (4000, quality.DIMS)) * rng.integers(0, 2, (4000, quality.DIMS))
+    wide = np.concatenate([rare, rng.integers(-9, 9, (50, quality.DIMS)), rng.integers(-1 << 45, 1 << 45, (50, quality.DIMS)), np.zeros((3, quality.DIMS), int)])
+    for sums in (wide[rng.permutation(len(wide))], wide[:1], wide[:0], wide[-3:]):
+        assert (quality.unpacked_sums(quality.packed_sums(sums)) == sums).all()
+    mixed = np.concatenate([rare, rng.integers(-3000, 3000, (400, quality.DIMS))])
+    assert len(quality.packed_sums(mixed)) < len(quality.packed_sums(rare)) + 400 * quality.DIMS * 2 + 1000
+    assert len(quality.packed_sums(rare)) < 4000 * quality.DIMS * 1.6 / 8
+
+
+def test_sums_and_features_of_long_texts(monkeypatch):
+    """Frequent words and texts longer than a block, beside texts of one word and without any."""
+    monkeypatch.setattr(quality, "BLOCK", 100)
+    texts = ["w " * 1500, "", "a", " ".join(f"v{k % 37}" for k in range(700)), "a b", "w v1 w"]
+    batch = quality.batch_of(pa.array(texts))
+    names = sorted({w for t in texts for w in words(t)}, key=lambda w: quality.batch_of(pa.array([w])).hashes()[0])
+    hashes = quality.batch_of(pa.array(names)).hashes()
+    index, want = quality.index_vectors(hashes).astype(int), np.zeros((len(names), quality.DIMS), int)
+    for t in texts:
+        w = [names.index(x) for x in words(t)]
+        for i, one in enumerate(w):
+            want[one] += sum(index[w[j]] for j in range(max(0, i - quality.REACH), min(len(w), i + quality.REACH + 1)) if i != j)
+    wanted, got = np.array([n != "a" for n in names]), np.zeros((len(names) - 1, quality.DIMS), np.int32)
+    quality._add_group_sums(pa.table({"text": texts}), hashes, wanted, got)
+    assert (got == want[wanted]).all()
+    vectors = quality.unit(want)
+    _, place, _, _ = quality._located(batch.hashes())
+    features = quality.pooled(batch, place, vectors)
+    for t, f in zip(texts, features):
+        rows = vectors[[names.index(x) for x in words(t)]].astype(float).reshape(-1, quality.DIMS)
+        assert np.allclose(f, np.concatenate([rows.mean(0), rows.std(0)]) if len(rows) else np.zeros(2 * quality.DIMS), atol=1e-5)

@@ -8,10 +8,16 @@ vectors.
 Most words stand in few texts, so texts are written once, in groups of bounded
 size, bucketed by group. A word of one group gets its whole sum there and never
 moves. Groups first send prefixes of their words' hashes, a few bits over what
-tells them apart, and learn which of them another group may have too; only for
-those do sums go to the share of hashes they belong to, and totals come back. A
-prefix that two words share by chance costs a row and changes no sum. A share
-holds as many rows as there are groups for a word that all of them have.
+tells them apart, and learn which of them another group may have too, and the rank
+of each; only for those do sums go to the share of hashes they belong to, with the
+rank and the rest of the hash, and totals come back. A prefix that two words share
+by chance costs a row and changes no sum. A share holds as many rows as there are
+groups for a word that all of them have.
+
+The totals of words that at least half of the groups have would come back as
+often as there are groups. They are broadcast once instead, and a group gets their
+places only. As a group has a bounded number of words, at most twice as many
+are broadcast, whatever the size of the corpus.
 
 A small network trained in numpy on a bounded, hash-chosen set of labelled rows
 gives a probability, whose temperature is set on labelled rows that it wasn't
@@ -35,16 +41,19 @@ from tidemark.llm.words import Batch, batch_of, mix, slices, text_rows
 from tidemark.session import fresh_folder, materialise
 
 DIMS, ENTRIES, REACH = 32, 4, 2
-GROUP_BYTES = 54 << 20  # of text, whose words' sums are held at once; about 800,000 words of 128 bytes
-SHARE_BYTES = 8 << 20  # of text, whose words make a share of all hashes
+GROUP_BYTES = 27 << 20  # of text, whose words' vectors are held at once; about 500,000 words of 128 bytes
+SHARE_BYTES = 16 << 20  # of text, whose words make a share of all hashes
 SPARE_BITS = 12  # of a hash's prefix, beyond one bit for each doubling of the corpus
 PIECE = 4096  # words whose sums travel in one row
+FEW = 16  # words of a batch up to so frequent are added up side by side
+BLOCK = 1 << 12  # words whose vectors are added up at once
 HIDDEN = 32
 TRAIN_ROWS = 4000  # labelled rows of each kind that are learned from
 PREFIXES = "share long, group long, prefixes binary"
-MARKS = "share long, group long, marks binary"
+MARKS = "share long, group long, marks binary, ranks binary"
 SUMS = "share long, group long, words binary, places binary, sums binary"
-TOTALS = "share long, group long, places binary, sums binary"
+TOTALS = "share long, group long, places binary, sums binary, often binary, at binary"
+EVERY_GROUP = -1  # in the place of a group: totals that are broadcast
 
 
 def index_vectors(hashes: np.ndarray) -> np.ndarray:
@@ -77,15 +86,48 @@ def unpacked_words(data: bytes) -> np.ndarray:
     return np.cumsum(_unpacked(data), dtype=np.uint64)
 
 
+def _planes(values: np.ndarray, bits: int) -> bytes:
+    """Rows of whole numbers below 2 ** bits: two or four to a byte where they fit, else byte by byte."""
+    if bits > 4:
+        return b"".join((values >> np.uint64(8 * k)).astype(np.uint8).tobytes() for k in range(-(-bits // 8)))
+    step, small = (2 if bits <= 2 else 4), values.astype(np.uint8)
+    return np.bitwise_or.reduce([small[:, k::8 // step] << np.uint8(k * step) for k in range(8 // step)]).tobytes()
+
+
+def _from_planes(data: bytes, n: int, bits: int) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8)
+    if bits > 4:
+        return sum(plane.astype(np.uint64) << np.uint64(8 * k) for k, plane in enumerate(planes.reshape(-1, n, DIMS)))
+    step, out = (2 if bits <= 2 else 4), np.empty((n, DIMS), np.uint64)
+    for k in range(8 // step):
+        out[:, k::8 // step] = (planes.reshape(n, -1) >> np.uint8(k * step)) & np.uint8((1 << step) - 1)
+    return out
+
+
+def _planes_size(n: int, bits: int) -> int:
+    return n * DIMS * -(-bits // 8) if bits > 4 else n * DIMS // (4 if bits <= 2 else 2)
+
+
 def packed_sums(sums: np.ndarray) -> bytes:
-    """Sums of either sign: the sign goes to the lowest bit, so that high bytes are 0."""
-    wide = sums.astype(np.int64).ravel()
-    return _packed(((wide << 1) ^ (wide >> 63)).view(np.uint64))
+    """Sums of either sign: the sign goes to the lowest bit, and words whose sums take as many bits are compressed together."""
+    wide = sums.astype(np.int64).reshape(-1, DIMS)
+    folded = ((wide << 1) ^ (wide >> 63)).view(np.uint64)
+    bits = np.frexp(folded.max(1, initial=0).astype(float))[1].astype(np.uint8)
+    planes = [_planes(folded[bits == b], int(b)) for b in np.unique(bits)]
+    parts = [pa.compress(part, codec="zstd", asbytes=True) for part in (bits.tobytes(), *planes)]
+    head = np.array([len(parts), len(bits), *map(len, parts)], "<u4")
+    return head.tobytes() + b"".join(parts)
 
 
 def unpacked_sums(data: bytes) -> np.ndarray:
-    folded = _unpacked(data)
-    return ((folded >> np.uint64(1)).astype(np.int64) ^ -(folded & np.uint64(1)).astype(np.int64)).reshape(-1, DIMS)
+    n_parts, n = np.frombuffer(data, "<u4", 2)
+    ends = np.cumsum([8 + 4 * n_parts, *np.frombuffer(data, "<u4", n_parts, 8)])
+    parts = [data[a:b] for a, b in zip(ends, ends[1:])]
+    bits, folded = np.frombuffer(pa.decompress(parts[0], int(n), codec="zstd", asbytes=True), np.uint8), np.empty((n, DIMS), np.uint64)
+    for b, part in zip(np.unique(bits).tolist(), parts[1:]):
+        here = np.flatnonzero(bits == b)
+        folded[here] = _from_planes(pa.decompress(part, _planes_size(len(here), b), codec="zstd", asbytes=True), len(here), b)
+    return (folded >> np.uint64(1)).astype(np.int64) ^ -(folded & np.uint64(1)).astype(np.int64)
 
 
 def _leading(words: np.ndarray, bits: int) -> np.ndarray:
@@ -100,45 +142,94 @@ def _by_share(words: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
         yield int(share), slice(int(start), int(end))
 
 
+def _first_of_each(ordered: np.ndarray) -> np.ndarray:
+    """Where each value of a sorted array starts."""
+    new = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted; `values` are sorted in place."""
+    values.sort()
+    return values[_first_of_each(values)]
+
+
 def _group_words(texts: pa.Table) -> np.ndarray:
     """The distinct word hashes of a group, sorted."""
-    found = [np.unique(batch_of(rows["text"]).hashes()) for rows in slices(iter(texts.to_batches()))]
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *found]))
+    found = [np.zeros(0, np.uint64)]
+    for rows in slices(iter(texts.to_batches()), most=1 << 20):
+        found.append(_distinct(batch_of(rows["text"]).hashes()))
+        if len(found) > 8:
+            found = [_distinct(np.concatenate(found))]
+    return _distinct(np.concatenate(found))
+
+
+def _located(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct hashes, the one at each place, the places by hash, and where each hash starts among those."""
+    order = np.argsort(hashes)
+    ordered = hashes.take(order)
+    first = _first_of_each(ordered)
+    place = np.empty(len(hashes), np.int64)
+    place[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(order)))
+    return ordered[first], place, order, first
+
+
+def _around(own: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """For each word, the sum of the index vectors of its neighbours in the same text; at most 2 * REACH in size."""
+    around = np.zeros_like(own)
+    for step in range(1, min(REACH, len(own) - 1) + 1):
+        around[step:] += own[:-step]
+        around[:-step] += own[step:]
+        across = np.flatnonzero(text[step:] != text[:-step])
+        around[across + step] -= own[across]
+        around[across] -= own[across + step]
+    return around
+
+
+def _summed(rows: np.ndarray, order: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The sums of rows[order[f:f + n]] for each first f and count n."""
+    by_count = np.argsort(counts)
+    first, counts = first[by_count], counts[by_count]
+    added, frequent = rows.take(order[first], axis=0).astype(np.int32), int(np.searchsorted(counts, FEW, "right"))
+    for k in range(1, FEW):
+        more = slice(int(np.searchsorted(counts, k, "right")), frequent)
+        added[more] += rows.take(order[first[more] + k], axis=0)
+    for k in range(frequent, len(first)):
+        # Sums of small whole numbers, exact in float32.
+        blocks = [order[start:min(start + BLOCK, first[k] + counts[k])] for start in range(first[k], first[k] + counts[k], BLOCK)]
+        added[k] = sum((np.ones(len(b), np.float32) @ rows.take(b, axis=0).astype(np.float32)).astype(np.int32) for b in blocks)
+    out = np.empty_like(added)
+    out[by_count] = added
+    return out
 
 
-def _group_sums(texts: pa.Table, words: np.ndarray) -> np.ndarray:
-    """What the texts of a group add to the context sums of the sorted `words`; other words are left out."""
-    sums = np.zeros((len(words), DIMS), np.int32)
+def _add_group_sums(texts: pa.Table, words: np.ndarray, wanted: np.ndarray, sums: np.ndarray) -> None:
+    """Add the context sums of a group's texts to `sums`: a row for each of its sorted `words` that is wanted."""
+    row = np.cumsum(wanted) - 1
     for rows in slices(iter(texts.to_batches()), most=1 << 20):
         batch = batch_of(rows["text"])
-        text = batch.of_text()
-        if not len(text) or not len(words):
+        if not len(batch.starts) or not wanted.any():
             continue
-        distinct, place = np.unique(batch.hashes(), return_inverse=True)
-        own = index_vectors(distinct)[place]
-        around = np.zeros_like(own)  # at most 2 * REACH in size
-        for step in range(1, REACH + 1):
-            same = (text[step:] == text[:-step])[:, None]
-            around[step:] += own[:-step] * same
-            around[:-step] += own[step:] * same
-        order = np.argsort(place, kind="stable")
-        first = np.searchsorted(place[order], np.arange(len(distinct)))
-        added = np.add.reduceat(around[order], first, axis=0, dtype=np.int32)
-        at = np.minimum(np.searchsorted(words, distinct), len(words) - 1)
-        asked = words[at] == distinct
-        sums[at[asked]] += added[asked]
-    return sums
+        distinct, place, order, first = _located(batch.hashes())
+        around = _around(index_vectors(distinct).take(place, axis=0), batch.of_text())
+        at = np.searchsorted(words, distinct)
+        asked, counts = wanted[at], np.diff(first, append=len(order))
+        sums[row[at[asked]]] += _summed(around, order, first[asked], counts[asked])
 
 
 def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with the number of their group: runs of a task's rows of GROUP_BYTES, or a quarter more, one row at least."""
-    group, held = TaskContext.get().partitionId() << 32, 0
+    """Texts with the number of their group, the first row marked: runs of a task's rows of GROUP_BYTES, or a quarter more, one row at least."""
+    group, held, begun = TaskContext.get().partitionId() << 32, 0, False
     for rows in slices(batches, most=min(1 << 20, GROUP_BYTES)):
         size = (pc.sum(pc.binary_length(rows["text"])).as_py() or 0) + 16 * rows.num_rows
         if held and held + size > GROUP_BYTES + GROUP_BYTES // 4:
-            group, held = group + 1, 0
+            group, held, begun = group + 1, 0, False
         held += size
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(rows.num_rows, group), pa.int64()), *rows.columns], ["group", *rows.schema.names])
+        first = np.zeros(rows.num_rows, bool)
+        first[:1], begun = not begun, True
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(rows.num_rows, group), pa.int64()), pa.array(first), *rows.columns], ["group", "first", *rows.schema.names])
 
 
 def grouped_texts(docs: DataFrame, size: int) -> str:
@@ -153,7 +244,7 @@ def grouped_texts(docs: DataFrame, size: int) -> str:
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.length("text").cast("long").alias("chars"), F.xxhash64("text").alias("key"))
     buckets = max(size // GROUP_BYTES + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     name = f"tidemark_groups_{uuid.uuid4().hex}"
-    dealt = rows.mapInArrow(_dealt, "group long, doc_id long, text string, chars long, key long")
+    dealt = rows.mapInArrow(_dealt, "group long, first boolean, doc_id long, text string, chars long, key long")
     dealt.write.bucketBy(min(buckets, 100_000), "group").format("parquet").options(
         **{"path": fresh_folder(spark, "groups"), "compression": "zstd", "parquet.compression.codec.zstd.level": "9"}).saveAsTable(name)
     return name
@@ -166,32 +257,51 @@ def _some_rows(rows: list[tuple], schema: list[tuple[str, pa.DataType]]) -> pa.T
 
 _ROUTE = [("share", pa.int64()), ("group", pa.int64())]
 _SUMS = [*_ROUTE, ("words", pa.binary()), ("places", pa.binary()), ("sums", pa.binary())]
+_TOTALS = [*_ROUTE, ("places", pa.binary()), ("sums", pa.binary()), ("often", pa.binary()), ("at", pa.binary())]
 
 
 def _marks(rows: pa.Table) -> pa.Table:
-    """For each group that sent prefixes to a share: which of them were sent more than once."""
+    """For each group that sent prefixes to a share: which of them were sent more than once, and their ranks among all such."""
     found = [unpacked_words(p) for p in rows["prefixes"].to_pylist()]
     _, place, count = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
-    shared = np.split(count[place] > 1, np.cumsum([len(f) for f in found])[:-1])
+    rank, ends = (np.cumsum(count > 1) - 1).astype(np.uint64), np.cumsum([len(f) for f in found])[:-1]
+    shared, ranks = np.split(count[place] > 1, ends), np.split(rank[place], ends)
     marks = pa.array([np.packbits(s).tobytes() for s in shared], pa.binary())
-    return pa.table([rows["share"], rows["group"], marks], names=["share", "group", "marks"])
+    ranks = pa.array([packed_words(r[s]) for r, s in zip(ranks, shared)], pa.binary())
+    return pa.table([rows["share"], rows["group"], marks, ranks], names=["share", "group", "marks", "ranks"])
+
 
+def _totals(rows: pa.Table, often: int) -> pa.Table:
+    """For each row: the places of its words in its group, and their sums over all rows of the share.
 
-def _totals(rows: pa.Table) -> pa.Table:
-    """For each row: the places of its words in its group, and their sums over all rows of the share."""
+    Words of one row alone are left out. The sums of words of `often` rows or
+    more come once, in a row of EVERY_GROUP; the others then hold the places of
+    those words, and where in that row each is found.
+    """
     pieces = [unpacked_words(w) for w in rows["words"].to_pylist()]
-    words = np.unique(np.concatenate(pieces))
-    places, sums = [np.searchsorted(words, piece) for piece in pieces], np.zeros((len(words), DIMS), np.int64)
-    for place, data in zip(places, rows["sums"].to_pylist()):
+    words = _distinct(np.concatenate(pieces))
+    found, sums = [np.searchsorted(words, piece) for piece in pieces], np.zeros((len(words), DIMS), np.int64)
+    for place, data in zip(found, rows["sums"].to_pylist()):
         sums[place] += unpacked_sums(data)
-    totals = pa.array([packed_sums(sums[place]) for place in places], pa.binary())
-    return pa.table([rows["share"], rows["group"], rows["places"], totals], names=["share", "group", "places", "sums"])
+    count = np.bincount(np.concatenate(found), minlength=len(words))
+    frequent = count >= often
+    some, at, out, share = (count > 1) & ~frequent, (np.cumsum(frequent) - 1).astype(np.uint64), [], rows["share"][0].as_py()
+    if frequent.any():
+        out.append((share, EVERY_GROUP, None, packed_sums(sums[frequent]), None, None))
+    for group, place, places in zip(rows["group"].to_pylist(), found, map(unpacked_words, rows["places"].to_pylist())):
+        own, sent = some[place], frequent[place]
+        out.append((share, group, packed_words(places[own]), packed_sums(sums[place[own]]), packed_words(places[sent]), packed_words(at[place[sent]])))
+    return _some_rows(out, _TOTALS)
 
 
-def word_totals(groups: DataFrame, size: int) -> DataFrame:
-    """Rows of TOTALS: whole-corpus sums of the words that several groups have, by their places among a group's sorted words."""
+def word_totals(groups: DataFrame, size: int, often: int | None = None) -> DataFrame:
+    """Rows of TOTALS: whole-corpus sums of the words that several groups have, by their places among a group's sorted words.
+
+    Those of words that `often` groups have come once, in rows of EVERY_GROUP.
+    """
     share_bits = min(32, (size // SHARE_BYTES).bit_length())
     prefix_bits = min(64, max(share_bits, size.bit_length()) + SPARE_BITS)
+    rest = np.uint64(64 - prefix_bits)
 
     def send_prefixes(texts: pa.Table) -> pa.Table:
         words, group = _group_words(texts), texts["group"][0].as_py()
@@ -200,22 +310,31 @@ def word_totals(groups: DataFrame, size: int) -> DataFrame:
 
     def send_sums(texts: pa.Table, marks: pa.Table) -> pa.Table:
         words = _group_words(texts)
-        shared = dict(zip(marks["share"].to_pylist(), marks["marks"].to_pylist()))
-        asked = np.zeros(len(words), bool)
-        for share, at in _by_share(words, share_bits):
-            asked[at] = np.unpackbits(np.frombuffer(shared[share], np.uint8), count=at.stop - at.start).astype(bool)
-        words, places = words[asked], np.flatnonzero(asked).astype(np.uint64)
-        sums, rows = _group_sums(texts, words), []
+        replies = {share: reply for share, *reply in zip(*(marks[name].to_pylist() for name in ("share", "marks", "ranks")))}
+        asked, short = np.zeros(len(words), bool), np.zeros(len(words), np.uint64)
         for share, at in _by_share(words, share_bits):
+            shared, ranks = replies[share]
+            asked[at] = np.unpackbits(np.frombuffer(shared, np.uint8), count=at.stop - at.start).astype(bool)
+            # The rank of the prefix and the rest of the hash: as good as the hash within a share.
+            here = at.start + np.flatnonzero(asked[at])
+            short[here] = unpacked_words(ranks) << rest | words[here] & ((np.uint64(1) << rest) - np.uint64(1))
+        places, rows = np.flatnonzero(asked), []
+        sums = np.zeros((len(places), DIMS), np.int32)
+        _add_group_sums(texts, words, asked, sums)
+        for share, at in _by_share(words[asked], share_bits):
             for start in range(at.start, at.stop, PIECE):
                 piece = slice(start, min(start + PIECE, at.stop))
-                rows.append((share, texts["group"][0].as_py(), packed_words(words[piece]), packed_words(places[piece]), packed_sums(sums[piece])))
+                here = places[piece]
+                rows.append((share, texts["group"][0].as_py(), packed_words(short[here]), packed_words(here.astype(np.uint64)), packed_sums(sums[piece])))
         return _some_rows(rows, _SUMS)
 
+    def total(rows: pa.Table) -> pa.Table:
+        return _totals(rows, often or 1 << 62)
+
     texts = groups.select("group", "text")
     marks = texts.groupBy("group").applyInArrow(send_prefixes, PREFIXES).groupBy("share").applyInArrow(_marks, MARKS)
     sums = texts.groupBy("group").cogroup(marks.groupBy("group")).applyInArrow(send_sums, SUMS)
-    return sums.groupBy("share").applyInArrow(_totals, TOTALS)
+    return sums.groupBy("share").applyInArrow(total, TOTALS)
 
 
 def unit(sums: np.ndarray) -> np.ndarray:
@@ -227,35 +346,49 @@ def unit(sums: np.ndarray) -> np.ndarray:
     return out
 
 
-def pooled(batch: Batch, rows: np.ndarray) -> np.ndarray:
-    """Mean and deviation of each text's `rows`, one per word; zeros without words."""
-    n = len(batch.first) - 1
-    out, full = np.zeros((n, 2 * DIMS), np.float32), np.flatnonzero(np.diff(batch.first))
-    if len(full):
-        counts = np.diff(batch.first)[full][:, None]
-        mean = np.add.reduceat(rows, batch.first[full], axis=0, dtype=np.float64) / counts
-        square = np.add.reduceat(rows * rows, batch.first[full], axis=0, dtype=np.float64) / counts
-        out[full] = np.concatenate([mean, np.sqrt(np.maximum(square - mean * mean, 0))], 1)
+def pooled(batch: Batch, place: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Mean and deviation of vectors[place] over each text's words; zeros without words."""
+    out, wide = np.zeros((len(batch.first) - 1, 2 * DIMS), np.float32), vectors.astype(np.float64)
+    both = np.concatenate([wide, wide * wide], 1)
+    for k in np.flatnonzero(np.diff(batch.first)):
+        start, end = batch.first[k], batch.first[k + 1]
+        blocks = [place[s:min(s + BLOCK, end)] for s in range(start, end, BLOCK)]
+        total = sum(np.ones(len(b)) @ both.take(b, axis=0) for b in blocks) / (end - start)
+        mean, square = total[:DIMS], total[DIMS:]
+        out[k, :DIMS], out[k, DIMS:] = mean, np.sqrt(np.maximum(square - mean * mean, 0))
     return out
 
 
 def _group_features(texts: pa.Table, totals: pa.Table) -> pa.Table:
     """Features of a group's texts: its own sums where a word stands in no other group, else the totals."""
     words = _group_words(texts)
-    sums = _group_sums(texts, words)
-    # Vectors take the place of the sums they are made of.
-    vectors, alone = sums.view(np.float32), np.ones(len(words), bool)
-    for places, data in zip(totals["places"].to_pylist(), totals["sums"].to_pylist()):
-        at = unpacked_words(places).astype(np.int64)
-        vectors[at], alone[at] = unit(unpacked_sums(data)), False
-    alone = np.flatnonzero(alone)
-    for start in range(0, len(alone), 1 << 15):
-        at = alone[start:start + (1 << 15)]
+    alone = np.ones(len(words), bool)
+    for name in ("places", "often"):
+        for places in totals[name].to_pylist():
+            alone[unpacked_words(places).astype(np.int64)] = False
+    n = np.count_nonzero(alone)
+    row = np.where(alone, np.cumsum(alone) - 1, n + np.cumsum(~alone) - 1)
+    # Vectors take the place of the sums they are made of; those of words alone come first.
+    sums = np.zeros((len(words), DIMS), np.int32)
+    _add_group_sums(texts, words, alone, sums)
+    vectors = sums.view(np.float32)
+    for start in range(0, n, 1 << 15):
+        at = slice(start, min(start + (1 << 15), n))
         vectors[at] = unit(sums[at])
+    common = pa.concat_arrays([rows.flatten() for rows in texts["common"].drop_null().chunks] or [pa.array([], texts["common"].type.value_type)])
+    row_of = {share: k for k, share in enumerate(common.field("share").to_pylist())}
+    for rows in totals.to_batches():
+        for share, places, data, often, at in zip(*(rows[name] for name in ("share", "places", "sums", "often", "at"))):
+            vectors[row[unpacked_words(places.as_py()).astype(np.int64)]] = unit(unpacked_sums(data.as_buffer()))
+            there = unpacked_words(often.as_py()).astype(np.int64)
+            if len(there):
+                everywhere = unpacked_sums(common.field("sums")[row_of[share.as_py()]].as_buffer())
+                vectors[row[there]] = unit(everywhere[unpacked_words(at.as_py()).astype(np.int64)])
     out = []
     for rows in slices(iter(texts.to_batches()), most=1 << 19):
         batch = batch_of(rows["text"])
-        features = [f.tobytes() for f in pooled(batch, vectors[np.searchsorted(words, batch.hashes())]).astype("<f4")]
+        distinct, place, _, _ = _located(batch.hashes())
+        features = [f.tobytes() for f in pooled(batch, place, vectors.take(row[np.searchsorted(words, distinct)], axis=0)).astype("<f4")]
         out.append(pa.RecordBatch.from_arrays(
             [rows["doc_id"], rows["chars"], rows["key"], pa.array(features, pa.binary())], ["doc_id", "chars", "key", "features"],
         ))
@@ -268,8 +401,13 @@ def text_features(docs: DataFrame) -> DataFrame:
     name = grouped_texts(docs, size)
     try:
         groups = docs.sparkSession.table(name)
-        totals = word_totals(groups, size)
-        features = groups.groupBy("group").cogroup(totals.groupBy("group")).applyInArrow(
+        totals = word_totals(groups, size, max(2, -(-groups.filter("first").count() // 2)))
+        # Both uses of the totals read the one shuffle of sums.
+        common = totals.filter(F.col("group") == EVERY_GROUP).agg(F.collect_list(F.struct("share", "sums")).alias("common"))
+        # One row of a group carries what is broadcast.
+        texts = groups.join(F.broadcast(common), F.col("first"), "left")
+        own = totals.filter(F.col("group") != EVERY_GROUP)
+        features = texts.groupBy("group").cogroup(own.groupBy("group")).applyInArrow(
             _group_features, "doc_id long, chars long, key long, features binary")
         return materialise(features, "features")
     finally:
