@@ -41,7 +41,8 @@ from tidemark.llm.words import Batch, batch_of, mix, slices, text_rows
 from tidemark.session import fresh_folder, materialise
 
 DIMS, ENTRIES, REACH = 32, 4, 2
-GROUP_BYTES = 27 << 20  # of text, whose words' vectors are held at once; about 500,000 words of 128 bytes
+GROUP_BYTES = 36 << 20  # of text, whose words' vectors are held at once; some 600,000 words of 128 bytes
+GROUPS_A_TASK = 3  # that texts of small partitions are read together for
 SHARE_BYTES = 16 << 20  # of text, whose words make a share of all hashes
 SPARE_BITS = 12  # of a hash's prefix, beyond one bit for each doubling of the corpus
 PIECE = 4096  # words whose sums travel in one row
@@ -219,11 +220,11 @@ def _add_group_sums(texts: pa.Table, words: np.ndarray, wanted: np.ndarray, sums
 
 
 def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with the number of their group, the first row marked: runs of a task's rows of GROUP_BYTES, or a quarter more, one row at least."""
+    """Texts with the number of their group, the first row marked: runs of a task's rows of GROUP_BYTES, one row at least."""
     group, held, begun = TaskContext.get().partitionId() << 32, 0, False
     for rows in slices(batches, most=min(1 << 20, GROUP_BYTES)):
         size = (pc.sum(pc.binary_length(rows["text"])).as_py() or 0) + 16 * rows.num_rows
-        if held and held + size > GROUP_BYTES + GROUP_BYTES // 4:
+        if held and held + size > GROUP_BYTES:
             group, held, begun = group + 1, 0, False
         held += size
         first = np.zeros(rows.num_rows, bool)
@@ -236,11 +237,12 @@ def grouped_texts(docs: DataFrame, size: int) -> str:
     """The name of a table of the texts, bucketed by group, which the caller drops.
 
     A task writes whole groups only, so there are about as many files as groups.
-    Small partitions are read together, up to a group in a task: the fewer the
-    groups, the fewer have a word in common, and the less of its sums travels.
+    Small partitions are read together, up to a few groups in a task, of which the
+    last may be small: the fewer the groups, the fewer have a word in common, and
+    the less of its sums travels.
     """
     spark = docs.sparkSession
-    rows = text_rows(docs, "doc_id", "text").coalesce(size // GROUP_BYTES + 1).select(
+    rows = text_rows(docs, "doc_id", "text").coalesce(size // (GROUPS_A_TASK * GROUP_BYTES) + 1).select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.length("text").cast("long").alias("chars"), F.xxhash64("text").alias("key"))
     buckets = max(size // GROUP_BYTES + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     name = f"tidemark_groups_{uuid.uuid4().hex}"
