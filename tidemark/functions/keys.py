@@ -16,6 +16,22 @@ def _text(column: Column | str) -> Column:
     return F.coalesce(column.cast("string"), F.lit(NULL_PART))
 
 
+def packed(text: Column | str) -> Column:
+    """Text as bytes for a shuffle, md5 digests in half their length; `unpacked` gives the text back."""
+    text = F.col(text) if isinstance(text, str) else text
+    raw = text.cast("binary")
+    # Sixteen bytes are a digest. Other text says in its last byte by how many bytes it was extended.
+    return F.when(text.rlike("^[0-9a-f]{32}$") & (F.length(text) == 32), F.unhex(text)).when(
+        F.octet_length(text) == 15, F.concat(raw, F.lit(b"\x02\x02"))).otherwise(F.concat(raw, F.lit(b"\x01")))
+
+
+def unpacked(bytes_: Column | str) -> Column:
+    bytes_ = F.col(bytes_) if isinstance(bytes_, str) else bytes_
+    size = F.octet_length(bytes_)
+    extended = F.when(bytes_.substr(size, F.lit(1)) == F.lit(b"\x02"), 2).otherwise(1)
+    return F.when(size == 16, F.lower(F.hex(bytes_))).otherwise(bytes_.substr(F.lit(1), size - extended).cast("string"))
+
+
 def surrogate_key(*columns: Column | str) -> Column:
     """md5 over the parts in the given order; nulls take part."""
     return F.md5(F.concat_ws("-", *[_text(c) for c in columns]))

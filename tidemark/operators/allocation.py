@@ -17,7 +17,7 @@ def allocate(
     lines: DataFrame,
     orders: DataFrame,
     keys: list[str],
-    weight: str,
+    weight: Column | str,
     amounts: dict[str, str],
     keep: list[str] | None = None,
 ) -> DataFrame:
@@ -25,12 +25,14 @@ def allocate(
 
     `orders` has one row per key. `amounts` maps its amount columns to output
     names, `keep` names columns of it to carry along. Where the weights of an
-    order sum to zero the shares are zero.
+    order sum to zero the shares are zero. A `weight` that is an expression of
+    the lines is not moved with them.
 
     Lines are summed per order with partial sums, joined with the order amounts
     at order grain, and meet the result in a single join, whose heavy orders
     Spark splits. No task has to hold the lines of an order.
     """
+    weight = F.col(weight) if isinstance(weight, str) else weight
     facts = orders.select(*keys, *amounts, *(keep or []))
     sums = lines.groupBy(*keys).agg(F.sum(money(weight)).alias("_weights"))
     joined = lines.join(sums.join(facts, keys, "left"), keys, "left")

@@ -28,13 +28,16 @@ def rows_of_either(df: DataFrame, on: str, *sources: DataFrame) -> DataFrame:
     return df.join(keys, on, "left_semi")
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], match: list[Column] | None = None) -> DataFrame:
+def spread_join(
+    left: DataFrame, right: DataFrame, on: list[tuple[str, str]], match: list[Column] | None = None, by: list[str] | None = None
+) -> DataFrame:
     """Left join, where left rows without a key, which match nothing, don't all go to the task of the null key.
 
-    `on` pairs left and right columns; the two sides share no column name.
+    `on` pairs left and right columns; the two sides share no column name. Rows
+    are spread by `by`: by all columns, all of them are moved, needed or not.
     """
     missing = reduce(Column.__or__, [F.col(name).isNull() for name, _ in on])
-    place = F.when(missing, F.pmod(F.xxhash64(*left.columns), F.lit(_SPREAD)) + 1).otherwise(F.lit(0).cast("long"))
+    place = F.when(missing, F.pmod(F.xxhash64(*(by or left.columns)), F.lit(_SPREAD)) + 1).otherwise(F.lit(0).cast("long"))
     # Always 0, but no literal: the optimizer would take that out of the join's keys.
     home = F.pmod(F.xxhash64(*[name for _, name in on]), F.lit(1).cast("long"))
     keys = [F.col(a) == F.col(b) for a, b in on]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import surrogate_key
@@ -29,50 +29,69 @@ def prorate_lines(
     if changed is not None:
         lines = all_rows_of_changed(lines, changed, ["transaction_id"])
         headers = rows_of(headers, changed, ["transaction_id"])
-    # One aggregate by both ids, so that the two sides read the discounts the same way
-    # and share its shuffle. A discount has one of the two.
-    totals = total_by(discounts, ["transaction_line_id", "transaction_id"], "discount_amount", "_discount")
-    by_line = total_by(
-        totals.filter(F.col("transaction_line_id").isNotNull()),
-        ["transaction_line_id"], "_discount", "_line_discount",
-    )
-    by_order = total_by(
-        totals.filter(F.col("transaction_id").isNotNull()),
-        ["transaction_id"], "_discount", "_header_discount",
-    )
+    by_line, by_order = _discount_totals(discounts)
     netted = (
         lines.select("transaction_line_id", "transaction_id", "line_number", "product_id", "quantity",
                      "gross_line_total", "line_created_at", "modified_at")
         .join(by_line, "transaction_line_id", "left")
         .withColumn("gross_line_total", money("gross_line_total"))
         .withColumn("line_discount_amount", F.coalesce("_line_discount", F.lit(0).cast(MONEY)))
-        .withColumn("_net", money(F.col("gross_line_total") - F.col("line_discount_amount")))
         .drop("_line_discount")
     )
+    net = money(F.col("gross_line_total") - F.col("line_discount_amount"))
     orders = headers.select(
         "transaction_id", "transaction_uuid", "transaction_type", "original_transaction_id",
         "customer_id", "channel_id", money("total_tax_amount").alias("_header_tax"),
     ).join(by_order, "transaction_id", "left")
     spread = allocate(
-        netted, orders, ["transaction_id"], "_net",
+        netted, orders, ["transaction_id"], net,
         {"_header_discount": "prorated_discount_amount", "_header_tax": "prorated_tax_amount"},
         keep=["transaction_uuid", "transaction_type", "original_transaction_id", "customer_id", "channel_id"],
     )
-    pretax = F.col("_net") - F.col("prorated_discount_amount")
-    return spread.select(
+    return spread.withColumns(_line_sums()).select(
         "transaction_line_id", "transaction_id", "line_number", "transaction_uuid", "transaction_type",
-        "original_transaction_id", "customer_id", "channel_id", "product_id", "quantity",
-        "gross_line_total", "line_discount_amount", "prorated_discount_amount",
-        money(F.col("line_discount_amount") + F.col("prorated_discount_amount")).alias("total_discount_amount"),
-        money(pretax).alias("pretax_net_amount"),
-        "prorated_tax_amount",
-        money(pretax + F.col("prorated_tax_amount")).alias("net_amount"),
+        "original_transaction_id", "customer_id", "channel_id", "product_id", "quantity", *MEASURES,
         "line_created_at", "modified_at",
     )
 
 
+def _discount_totals(discounts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Discounts per line and per order.
+
+    One aggregate by either id, whose rows both sides take as they are: the
+    discounts are shuffled once, to where the lines and orders of that id are.
+    """
+    line, order = F.col("transaction_line_id").cast("long"), F.col("transaction_id").cast("long")
+    kinds = F.array(F.struct(F.lit(False).alias("on_order"), line.alias("id")), F.struct(F.lit(True).alias("on_order"), order.alias("id")))
+    rows = discounts.select(money("discount_amount").alias("_amount"), F.explode(kinds).alias("_of")).filter("_of.id IS NOT NULL")
+    value = F.coalesce("_amount", F.lit(0).cast(MONEY))
+    totals = rows.groupBy(F.col("_of.id").alias("_id")).agg(*[
+        F.sum(F.when(F.col("_of.on_order") == on_order, value)).cast(MONEY).alias(name)
+        for name, on_order in (("_line_discount", False), ("_header_discount", True))
+    ])
+    # Always true, but it names all columns, so that both sides keep the same ones and share the shuffle.
+    alike = F.pmod(F.xxhash64(*totals.columns), F.lit(1).cast("long")) == 0
+
+    def of(id_name: str, amount: str) -> DataFrame:
+        return totals.filter(F.col(amount).isNotNull() & alike).select(F.col("_id").alias(id_name), amount)
+
+    return of("transaction_line_id", "_line_discount"), of("transaction_id", "_header_discount")
+
+
+def _line_sums() -> dict[str, Column]:
+    """Measures of a line that follow from its others."""
+    off = F.col("line_discount_amount") + F.col("prorated_discount_amount")
+    pretax = F.col("gross_line_total") - off
+    return {
+        "total_discount_amount": money(off), "pretax_net_amount": money(pretax),
+        "net_amount": money(pretax + F.col("prorated_tax_amount")),
+    }
+
+
 def _line_fact(prorated: DataFrame, kind: str, dims: dict[str, DataFrame], key_name: str) -> DataFrame:
-    lines = prorated.filter(F.col("transaction_type") == kind)
+    # Sums of other measures are made after the lookups rather than moved through them.
+    unread = {"transaction_type"} | ({"original_transaction_id"} if kind == "Purchase" else set())
+    lines = prorated.filter(F.col("transaction_type") == kind).drop(*_line_sums(), *unread)
     keyed = pit_keys(
         lines,
         [
@@ -80,8 +99,8 @@ def _line_fact(prorated: DataFrame, kind: str, dims: dict[str, DataFrame], key_n
             {"versions": dims["customers"], "on": [("customer_id", "customer_id")], "sk": "customer_sk"},
             {"versions": dims["channels"], "on": [("channel_id", "channel_id")], "sk": "channel_sk"},
         ],
-        "line_created_at",
-    )
+        "line_created_at", by=["transaction_line_id"],
+    ).withColumns(_line_sums())
     return date_key(keyed, dims["date"], "line_created_at", key_name)
 
 
@@ -131,7 +150,7 @@ def transactions(prorated: DataFrame, dims: dict[str, DataFrame], changed: DataF
             {"versions": dims["customers"], "on": [("customer_id", "customer_id")], "sk": "customer_sk"},
             {"versions": dims["channels"], "on": [("channel_id", "channel_id")], "sk": "channel_sk"},
         ],
-        "line_created_at",
+        "line_created_at", by=["transaction_id"],
     )
     dated = date_key(keyed, dims["date"], "line_created_at", "transaction_date_key")
     return dated.select(

@@ -23,6 +23,8 @@ LINE_TIES = ["product_id", "supplier_id"]
 DISCOUNT_TIES = ["promotion_id", "discount_amount"]
 # Proration reads the latest lines twice, for sums and shares. Ties on all it takes keep
 # both reads to the same columns, so that Spark shuffles the deliveries once for both.
+# Of a header the other columns follow from its id and these. Its tax follows its total, and goes up with it.
+HEADER_TIES = ["channel_id", "customer_id", "total_tax_amount"]
 PRORATED_TIES = [*LINE_TIES, "transaction_id", "line_number", "quantity", "gross_line_total", "transaction_date"]
 
 
@@ -247,4 +249,10 @@ class Standins:
     @property
     def prorated(self) -> DataFrame:
         lines = stage_event(self.raw_lines, "transaction_lines", PRORATED_TIES)
-        return facts.prorate_lines(lines, self.headers, self.discounts)
+        headers = stage_event(self.raw_headers, "transaction_headers", HEADER_TIES)
+        return facts.prorate_lines(lines, headers, self.discounts)
+
+    @property
+    def order_customers(self) -> DataFrame:
+        """Latest headers for their customers: later columns than the customer settle no tie between those."""
+        return stage_event(self.raw_headers, "transaction_headers", HEADER_TIES[:2]).select("transaction_id", "customer_id")

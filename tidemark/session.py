@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # The default is a task for each folder listed, and a table by day has thousands.
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
+    # What a step has shuffled goes when the step ends: else all steps of a query are on disk at once.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 
@@ -66,7 +68,7 @@ def settle(df: DataFrame) -> DataFrame:
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back."""
     folder = fresh_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
