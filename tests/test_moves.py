@@ -79,6 +79,12 @@ def test_lookups_move_packed_keys_and_needed_columns_only(spark, no_broadcast):
     assert "unhex" in plan and "Window" not in plan
 
 
+def test_spread_by_a_column_gives_the_same_rows(spark):
+    left = spark.range(40).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("k"))
+    right = spark.range(4).select(F.col("id").alias("r"), (F.col("id") * 10).alias("v"))
+    assert rows(spread_join(left, right, [("k", "r")], by=["id"])) == rows(spread_join(left, right, [("k", "r")]))
+
+
 def test_discounts_of_lines_and_orders_share_one_shuffle(spark, folder, no_broadcast):
     prorated = Standins(spark, folder).prorated
     assert prorated.count() == 80
@@ -96,6 +102,19 @@ def test_line_and_order_discounts_are_summed_apart(spark):
     assert [(k, float(v)) for k, v in rows(by_order)] == [(1, 10.0)]
 
 
+def test_customer_of_the_own_order_where_that_of_the_line_is_missing(spark):
+    discounts = spark.createDataFrame(
+        [(1, 10, None), (2, None, 6), (3, 11, 6), (4, 11, None), (5, 10, 6), (6, None, None), (7, 12, 6), (8, 10, 9)],
+        "transaction_discount_id long, transaction_line_id long, transaction_id long")
+    lines = spark.createDataFrame(
+        [(10, 5, 100), (11, 7, 101), (12, 8, 102)], "transaction_line_id long, transaction_id long, product_id long")
+    headers = spark.createDataFrame([(5, 50), (6, 60), (8, None)], "transaction_id long, customer_id long")
+    want = [(1, 100, 50), (2, None, 60), (3, 101, 60), (4, 101, None), (5, 100, 50), (6, None, None), (7, 102, 60), (8, 100, 50)]
+    for reduce in (True, False):
+        found = facts.discount_keys(discounts, lines, headers, reduce=reduce)
+        assert rows(found, "transaction_discount_id", "product_id", "customer_id") == want
+
+
 def test_headers_of_prorated_lines_move_without_unread_columns(spark, folder):
     plan = Standins(spark, folder).prorated._jdf.queryExecution().executedPlan().toString()
     assert "gross_subtotal_amount" not in plan and "employee_id" not in plan, plan

@@ -192,14 +192,20 @@ def discount_keys(
         headers = rows_of_either(
             headers, "transaction_id", discounts.select("transaction_id"), lines.select("_line_order"))
     # A discount has a line or an order of its own: on either path many have no key.
-    with_line = spread_join(discounts, lines.withColumnRenamed("transaction_line_id", "_line"), [("transaction_line_id", "_line")])
-    # Each path has its own lookup: the line's order may be missing where the discount's own is there.
-    through_line = headers.toDF("_line_header", "_line_customer")
-    own = headers.toDF("_own_header", "_own_customer")
-    found = spread_join(with_line.drop("_line"), through_line, [("_line_order", "_line_header")]).drop("_line_header")
-    found = spread_join(found, own, [("transaction_id", "_own_header")])
-    return found.withColumn("customer_id", F.coalesce("_line_customer", "_own_customer")).drop(
-        "_line_order", "_line_customer", "_own_header", "_own_customer")
+    by = ["transaction_discount_id"]
+    with_line = spread_join(
+        discounts, lines.withColumnRenamed("transaction_line_id", "_line"), [("transaction_line_id", "_line")], by=by).drop("_line")
+    # One lookup serves both paths: of the line's order, or else of the discount's own.
+    first = with_line.withColumn("_order", F.coalesce("_line_order", "transaction_id"))
+    found = spread_join(first, headers.toDF("_header", "customer_id"), [("_order", "_header")], by=by).drop("_header", "_order")
+    # Where both are there the line's order may have no customer, but the own one.
+    both = F.col("_line_order").isNotNull() & F.col("transaction_id").isNotNull()
+    open_ = F.coalesce(both & F.col("customer_id").isNull(), F.lit(False))
+    columns = [*with_line.drop("_line_order").columns, "customer_id"]
+    own = spread_join(
+        found.filter(both & F.col("customer_id").isNull()).drop("customer_id"), headers.toDF("_header", "customer_id"),
+        [("transaction_id", "_header")], by=by)
+    return found.filter(~open_).select(*columns).unionByName(own.select(*columns))
 
 
 def discounts(
@@ -213,7 +219,7 @@ def discounts(
             {"versions": dims["customers"], "on": [("customer_id", "customer_id")], "sk": "customer_sk"},
             {"versions": dims["products"], "on": [("product_id", "product_id")], "sk": "product_sk"},
         ],
-        "applied_at",
+        "applied_at", by=["transaction_discount_id"],
     )
     dated = date_key(keyed, dims["date"], "applied_at", "discount_date_key")
     return dated.select(

@@ -571,7 +571,7 @@ def payments_fact(s: Standins) -> DataFrame:
 
 @query
 def discounts_fact(s: Standins) -> DataFrame:
-    return facts.discounts(s.discounts, s.lines, s.headers, s.dims("promotions", "customers", "products"))
+    return facts.discounts(s.discounts, s.lines, s.order_customers, s.dims("promotions", "customers", "products"))
 
 
 @query
