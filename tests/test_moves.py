@@ -138,3 +138,17 @@ def test_sales_are_written_once_before_they_are_audited(spark, folder, monkeypat
     report = {(r.check_name, r.column_name): r.violations for r in queries.REGISTRY["audit_marts"](spark, folder).collect()}
     assert "Join" not in plan_of(handed[0]) and "Window" not in plan_of(handed[0])
     assert report["unique", "transaction_line_id"] == 0 and len(report) == 5
+
+
+def test_rows_of_a_write_are_made_once(spark, database):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    df = batch(spark, *[(k, k % 3, 1, "a") for k in range(30)])
+    tables.upsert(df.mapInArrow(count, df.schema), f"{database}.t", SPEC, one_per_key=True)
+    assert made.value == 30
+    assert tables.read_table(spark, f"{database}.t").count() == 30
