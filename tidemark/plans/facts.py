@@ -178,12 +178,13 @@ def payments(staged: DataFrame, payment_types: DataFrame) -> DataFrame:
 
 
 def discount_keys(
-    discounts: DataFrame, lines: DataFrame, headers: DataFrame, reduce: bool = True
+    discounts: DataFrame, lines: DataFrame, headers: DataFrame, reduce: bool = True, by: list[str] | None = None
 ) -> DataFrame:
     """Product and customer of each discount: through its line, else through its header.
 
     `reduce` first keeps the lines and headers that the discounts name. That pays
     off for a batch, whose keys are few enough to broadcast, not for a full run.
+    Discounts without a line or order are spread by the columns `by`, all by default.
     """
     lines = lines.select("transaction_line_id", F.col("transaction_id").alias("_line_order"), "product_id")
     headers = headers.select("transaction_id", "customer_id")
@@ -192,7 +193,6 @@ def discount_keys(
         headers = rows_of_either(
             headers, "transaction_id", discounts.select("transaction_id"), lines.select("_line_order"))
     # A discount has a line or an order of its own: on either path many have no key.
-    by = ["transaction_discount_id"]
     with_line = spread_join(
         discounts, lines.withColumnRenamed("transaction_line_id", "_line"), [("transaction_line_id", "_line")], by=by).drop("_line")
     # One lookup serves both paths: of the line's order, or else of the discount's own.
@@ -213,7 +213,7 @@ def discounts(
 ) -> DataFrame:
     """`batch`: the discounts are a small part of all."""
     keyed = pit_keys(
-        discount_keys(staged, lines, headers, reduce=batch),
+        discount_keys(staged, lines, headers, reduce=batch, by=["transaction_discount_id"]),
         [
             {"versions": dims["promotions"], "on": [("promotion_id", "promotion_id")], "sk": "promotion_sk"},
             {"versions": dims["customers"], "on": [("customer_id", "customer_id")], "sk": "customer_sk"},

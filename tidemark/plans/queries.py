@@ -411,7 +411,7 @@ def disjunctive_membership(s: Standins) -> DataFrame:
 def two_path_lookup(s: Standins) -> DataFrame:
     # Read for their own rows and to reduce the lines and headers: written once.
     discounts = materialise(s.discounts.select("transaction_discount_id", "transaction_line_id", "transaction_id"), "latest-discounts")
-    keyed = facts.discount_keys(discounts, s.lines, s.order_customers)
+    keyed = facts.discount_keys(discounts, s.lines, s.order_customers, by=["transaction_discount_id"])
     return keyed.select(
         "transaction_discount_id", "transaction_line_id", "transaction_id", "product_id", "customer_id",
         discount_level().alias("discount_level"),
